@@ -4,7 +4,7 @@ Every function takes and returns a ``Column`` so it runs inside whole-stage
 codegen (or the JVM higher-order-function evaluator) on the executors.
 
 Regex notes (Java vs Python):
-* ``(?U)`` makes ``\\s`` Unicode-aware (matches nbsp, like Python's ``\\s``).
+* strip uses trim-with-characters over Python's ``str.isspace`` set.
 * ``\\z`` is used for "end of input" instead of ``$`` (Java's ``$`` also
   matches before a final line terminator).
 """
@@ -31,22 +31,35 @@ def _re(col: Column, pattern: str, replacement: str) -> Column:
 # whitespace
 # --------------------------------------------------------------------------
 
+# Python's str.isspace() characters. Stripping uses Spark's trim-with-chars
+# (no regex, exact Python parity); collapsing uses Java's (?U)\s, which is the
+# same set except the separators U+001C..U+001F (Python counts them as space).
+PY_SPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                  + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
+WS = r"(?U)\s"
+
+
 def strip(col: ColumnOrName) -> Column:
     """Python ``str.strip()``: drop leading/trailing Unicode whitespace."""
-    return _re(_c(col), r"(?U)^\s+|\s+\z", "")
+    return F.trim(_c(col), F.lit(PY_SPACE_CHARS))
 
 
 def rstrip(col: ColumnOrName) -> Column:
-    return _re(_c(col), r"(?U)\s+\z", "")
+    return F.rtrim(_c(col), F.lit(PY_SPACE_CHARS))
 
 
 def lstrip(col: ColumnOrName) -> Column:
-    return _re(_c(col), r"(?U)^\s+", "")
+    return F.ltrim(_c(col), F.lit(PY_SPACE_CHARS))
+
+
+def collapse_ws(col: ColumnOrName) -> Column:
+    """Whitespace runs -> one space (no strip)."""
+    return _re(_c(col), r"(?U)\s+", " ")
 
 
 def single_line(col: ColumnOrName) -> Column:
     """Whitespace runs -> one space, stripped."""
-    return strip(_re(_c(col), r"(?U)\s+", " "))
+    return strip(collapse_ws(col))
 
 
 normalize_heading = single_line
@@ -54,9 +67,8 @@ normalize_heading = single_line
 
 def truncate(col: ColumnOrName, limit: int) -> Column:
     """At most ``limit`` chars; else first ``limit-1``, right-stripped, + ellipsis."""
-    c = _c(col)
-    return F.when(F.length(c) <= limit, c).otherwise(
-        F.concat(rstrip(F.substring(c, 1, limit - 1)), F.lit("…")))
+    return let(_c(col), lambda c: F.when(F.length(c) <= limit, c).otherwise(
+        F.concat(rstrip(F.substring(c, 1, limit - 1)), F.lit("…"))))
 
 
 # --------------------------------------------------------------------------
@@ -68,54 +80,54 @@ def truncate(col: ColumnOrName, limit: int) -> Column:
 # from that rule rather than spelled out. HTML5-only names are unsupported.
 _NAMED = dict(html.entities.name2codepoint)
 _NAMED["apos"] = 0x27
-_AMP_FORMS = ("amp", "#38", "#x26", "#X26")
 
 
 def _entity_map() -> Column:
     args = []
     for name, cp in sorted(_NAMED.items()):
-        if name == "amp":
-            continue
         args.extend([F.lit(name), F.lit(chr(cp))])
     return F.create_map(*args)
 
 
-_ENTITY_RE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
-
-
 def _codepoint_to_str(num: Column) -> Column:
     # chr() in Spark is modulo 256, so decode the code point as UTF-32.
     return F.decode(F.unhex(F.lpad(F.hex(num.cast("long")), 8, "0")), "UTF-32")
 
 
+# One pass over the text: entity tokens, runs without '&', or a lone '&'.
+_PIECE_RE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|[^&]+|&"
+
+
 def html_unescape(col: ColumnOrName) -> Column:
     """``html.unescape`` for numeric entities and the HTML4/XML names.
 
-    Each distinct entity is replaced once; ``&amp;`` (and its numeric forms)
-    is replaced last so that ``&amp;lt;`` becomes ``&lt;``, not ``<``.
+    The text is split once into entity / non-entity pieces and each entity is
+    decoded independently, so the result is single-pass like Python's
+    (``&amp;lt;`` becomes ``&lt;``). Unknown names are kept as written.
     """
-    c = _c(col)
     entity_map = _entity_map()
-    found = F.array_distinct(F.regexp_extract_all(c, F.lit(_ENTITY_RE), 1))
-
-    def step(acc: Column, ent: Column) -> Column:
-        hex_num = F.when(ent.startswith("#x") | ent.startswith("#X"),
-                         F.conv(F.substring(ent, 3, 16), 16, 10))
-        dec_num = F.when(ent.startswith("#") & ~(ent.startswith("#x") | ent.startswith("#X")),
-                         F.substring(ent, 2, 16))
-        num = F.coalesce(hex_num, dec_num).cast("long")
-        valid = num.isNotNull() & (num > 0) & (num <= 0x10FFFF) & ~num.between(0xD800, 0xDFFF)
-        decoded = (F.when(num.isNotNull() & valid, _codepoint_to_str(num))
-                   .when(num.isNotNull(), F.lit("\ufffd"))
-                   .otherwise(F.try_element_at(entity_map, ent)))
-        token = F.concat(F.lit("&"), ent, F.lit(";"))
-        return F.when(ent.isin(*_AMP_FORMS) | decoded.isNull(), acc).otherwise(
-            F.replace(acc, token, decoded))
-
-    out = F.aggregate(found, c, step)
-    for form in _AMP_FORMS:
-        out = F.replace(out, F.lit("&" + form + ";"), F.lit("&"))
-    return F.when(F.instr(c, "&") > 0, out).otherwise(c)
+
+    def piece(p: Column) -> Column:
+        body = F.regexp_extract(p, r"^&(#?[xX]?[0-9A-Za-z]+);$", 1)
+        is_hex = body.startswith("#x") | body.startswith("#X")
+        is_dec = body.startswith("#") & ~is_hex
+        num = (F.when(is_hex, F.conv(F.substring(body, 3, 16), 16, 10))
+               .when(is_dec, F.substring(body, 2, 16))).cast("long")
+        valid = (num > 0) & (num <= 0x10FFFF) & ~num.between(0xD800, 0xDFFF)
+        named = F.when(body == "amp", F.lit("&")).otherwise(F.try_element_at(entity_map, body))
+        decoded = (F.when(body == "", p)
+                   .when(is_hex | is_dec, F.when(valid, _codepoint_to_str(num)).otherwise(F.lit("\ufffd")))
+                   .otherwise(F.coalesce(named, p)))
+        return decoded
+
+    pieces = F.regexp_extract_all(_c(col), F.lit(_PIECE_RE), 0)
+    return F.array_join(F.transform(pieces, piece), "")
+
+
+def let(expr: Column, fn) -> Column:
+    """Evaluate ``expr`` once and bind it for ``fn`` (avoids duplicating an
+    expensive sub-expression that ``fn`` references several times)."""
+    return F.element_at(F.transform(F.array(expr), fn), 1)
 
 
 def html_escape(col: ColumnOrName, quote: bool = True) -> Column:
@@ -137,7 +149,7 @@ def _nbsp_to_space(col: Column) -> Column:
 # markup -> text
 # --------------------------------------------------------------------------
 
-def _tag_rules(col: Column) -> Column:
+def tag_rules(col: Column) -> Column:
     v = _re(col, r"(?i)<br\s*/?>", "\n")
     v = _re(v, r"(?i)</p\s*>", "\n\n")
     v = _re(v, r"(?i)<li[^>]*>", "- ")
@@ -147,7 +159,7 @@ def _tag_rules(col: Column) -> Column:
 
 def html_to_text(col: ColumnOrName) -> Column:
     """Block tags to newlines / bullets, other tags to spaces, unescape, tidy."""
-    v = _nbsp_to_space(html_unescape(_tag_rules(_c(col))))
+    v = _nbsp_to_space(html_unescape(tag_rules(_c(col))))
     v = _re(v, r"[ \t]+\n", "\n")
     v = _re(v, r"\n{3,}", "\n\n")
     v = _re(v, r"[ \t]{2,}", " ")
@@ -156,13 +168,12 @@ def html_to_text(col: ColumnOrName) -> Column:
 
 def preview_text(col: ColumnOrName, limit: int = 240) -> Column:
     """T4: null when blank, else whitespace-collapsed and truncated."""
-    collapsed = single_line(_c(col))
-    return truncate(F.nullif(collapsed, F.lit("")), limit)
+    return let(single_line(_c(col)), lambda v: truncate(F.when(v != "", v), limit))
 
 
 def preview_html(col: ColumnOrName, limit: int = 240) -> Column:
     """T5: T1's tag rules + unescape, then T4."""
-    return preview_text(_nbsp_to_space(html_unescape(_tag_rules(_c(col)))), limit)
+    return preview_text(_nbsp_to_space(html_unescape(tag_rules(_c(col)))), limit)
 
 
 def comment_preview(col: ColumnOrName, limit: int = 280) -> Column:
@@ -212,7 +223,7 @@ _UNSAFE_NAME_CHARS = '<>:"/\\|?*'
 def sanitize_name(col: ColumnOrName) -> Column:
     """Unsafe chars -> '_', strip, drop trailing dots, collapse, default 'untitled'."""
     v = F.translate(_c(col), _UNSAFE_NAME_CHARS, "_" * len(_UNSAFE_NAME_CHARS))
-    v = _re(strip(v), r"\.+\z", "")
+    v = F.rtrim(strip(v), F.lit("."))
     v = single_line(v)
     return F.coalesce(F.nullif(v, F.lit("")), F.lit("untitled"))
 
@@ -230,7 +241,7 @@ def normalize_header(col: ColumnOrName) -> Column:
     """T8, lower-case, strip ':' / fullwidth colon at both ends, collapse."""
     v = F.lower(collapse_inline(col))
     v = _re(v, "^[:：]+|[:：]+\\z", "")
-    return _re(v, r"(?U)\s+", " ")
+    return collapse_ws(v)
 
 
 def escape_cell(col: ColumnOrName) -> Column:

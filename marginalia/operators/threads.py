@@ -31,6 +31,15 @@ def _blank_to(c: Column, default: str) -> Column:
     return F.coalesce(F.nullif(c, F.lit("")), F.lit(default))
 
 
+def excerpt_of(body_html: Column) -> Column:
+    """Comment excerpt: T1 text, one line, at most 160 chars.
+
+    T1's whitespace tidying is subsumed by the one-line collapse, so only its
+    tag rules and unescape run here.
+    """
+    return tx.truncate(tx.single_line(tx.html_unescape(tx.tag_rules(body_html))), EXCERPT_LIMIT)
+
+
 def normalize_comments(raw: DataFrame, base_url: str) -> DataFrame:
     """Flat, defaulted comment rows."""
     body = F.coalesce(F.col("body.storage.value"), F.lit(""))
@@ -44,8 +53,9 @@ def normalize_comments(raw: DataFrame, base_url: str) -> DataFrame:
         _blank_to(F.col("extensions.resolution.status"), "unknown").alias("status"),
         tx.strip(F.coalesce(F.col("extensions.inlineProperties.originalSelection"), F.lit(""))).alias("selection"),
         tx.strip(F.coalesce(F.col("extensions.inlineProperties.markerRef"), F.lit(""))).alias("marker_ref"),
+        body.alias("body_html"),
         body_text.alias("body_text"),
-        tx.truncate(tx.single_line(body_text), EXCERPT_LIMIT).alias("body_excerpt"),
+        excerpt_of(body).alias("body_excerpt"),
         F.col("history.createdDate").alias("created_at"),
         _blank_to(F.col("history.createdBy.displayName"), "Unknown").alias("created_by"),
         F.when(webui.isNotNull(), F.concat(F.lit(base), webui)).alias("webui_url"),
@@ -81,6 +91,9 @@ def _status_rank(c: Column) -> Column:
 def thread_rollup(assigned: DataFrame) -> DataFrame:
     """One row per (page_id, thread_key).
 
+    The excerpt is rendered only for each thread's latest comment (after the
+    aggregate), not for every comment.
+
     status: any open > any dangling > any resolved > last comment's status.
     latest comment: max created_at compared as a string (null as ''), first
     in arrival order on ties.
@@ -95,7 +108,7 @@ def thread_rollup(assigned: DataFrame) -> DataFrame:
         F.max(F.struct(F.coalesce(F.col("created_at"), F.lit("")).alias("t"),
                        (-F.col("position")).alias("np"),
                        F.col("created_at").alias("created_at"),
-                       F.col("body_excerpt").alias("excerpt"),
+                       F.col("body_html").alias("body"),
                        F.col("webui_url").alias("url"))).alias("latest"),
         F.max(F.struct(F.col("position").alias("p"), F.col("status").alias("s"))).getField("s").alias("last_status"),
         F.array_sort(F.collect_set("created_by")).alias("participant_list"),
@@ -127,7 +140,7 @@ def thread_rollup(assigned: DataFrame) -> DataFrame:
         "participant_list",
         "statuses",
         F.col("latest.created_at").alias("latest_comment_at"),
-        F.col("latest.excerpt").alias("latest_comment_excerpt"),
+        excerpt_of(F.col("latest.body")).alias("latest_comment_excerpt"),
         F.col("latest.url").alias("latest_comment_url"),
         "first_position",
     )

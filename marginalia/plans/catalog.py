@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import threads as th
 from ..sources import driver_tables as dt
 from . import sqlgen as q
+from .partitioning import spread
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -44,7 +45,7 @@ TURN_BUCKET = 4
 
 
 def _event_comments(spark: SparkSession, sf: str) -> DataFrame:
-    raw = dt.comments_from_events(dt.table(spark, sf, "events"))
+    raw = dt.comments_from_events(spread(dt.table(spark, sf, "events")))
     return th.normalize_comments(raw, dt.WIKI_BASE)
 
 
@@ -246,3 +247,7 @@ def q_conversation_threads(spark: SparkSession, sf: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     return q_thread_rollup(spark, sf)
+
+
+# Query families registered in their own modules (imported for the side effect).
+from . import page_queries  # noqa: E402,F401

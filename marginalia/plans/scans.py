@@ -48,7 +48,11 @@ def ordered_carry(df: DataFrame, by: Sequence[str], order: str, carry: Sequence[
     for c in carry:
         b = b.withColumn(c + "__in", F.last(c, ignorenulls=True).over(w_in))
 
-    aggs = [F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("o"), F.col(c).alias("v"))))
+    # Summaries come from the windowed frame, so they reuse its (group, bucket)
+    # partitioning: no second exchange of the rows, and the join back below
+    # meets the rows already partitioned on its key.
+    # The bucket's last non-null value is the window value of its last row.
+    aggs = [F.max(F.struct(F.col(order).alias("o"), F.col(c + "__in").alias("v")))
             .getField("v").alias(c + "__last") for c in carry]
     aggs += [F.min(F.struct(F.col(order).alias("o"), F.col(c).alias("v"))).getField("v").alias(c + "__bfirst")
              for c in first]
@@ -82,7 +86,9 @@ def ordered_running_sum(df: DataFrame, by: Sequence[str], order: str, value: str
     w_in = (Window.partitionBy(*keys).orderBy(order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     b = b.withColumn(out + "__in", F.sum(value).over(w_in))
-    summary = b.groupBy(*keys).agg(F.sum(value).alias(out + "__tot"))
+    # The bucket total is the running value of its last row (shares the window).
+    summary = b.groupBy(*keys).agg(
+        F.max(F.struct(F.col(order).alias("o"), F.col(out + "__in").alias("v"))).getField("v").alias(out + "__tot"))
     w_prev = (Window.partitionBy(*by).orderBy(_BUCKET)
               .rowsBetween(Window.unboundedPreceding, -1))
     carry_in = summary.select(*keys, F.coalesce(F.sum(out + "__tot").over(w_prev), F.lit(0))

@@ -78,3 +78,34 @@ def preview_text(expr: str, n: int = 240) -> str:
 
 def preview_html(expr: str, n: int = 240) -> str:
     return preview_text(nbsp(unescape_basic(tag_rules(expr))), n)
+
+
+def sanitize_name(expr: str) -> str:
+    v = f"translate({expr}, '<>:\"/\\|?*', '_________')"
+    v = f"rtrim({strip(v)}, '.')"
+    v = single_line(v)
+    return f"COALESCE(NULLIF({v}, ''), 'untitled')"
+
+
+def pages_cte(name: str = "pg") -> str:
+    """The ``wiki_pages`` / ``child_edges`` adapter in SQL."""
+    title = unescape_basic("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")
+    return f"""{name} AS (
+  SELECT page_id, CAST(page_id AS VARCHAR) AS id, {title} AS title,
+    CASE WHEN page_id % 7 = 0 THEN '<p><br/></p>' WHEN page_id % 7 = 3 THEN '<!-- draft --><p>&nbsp;</p>'
+         ELSE html END AS body,
+    CASE WHEN page_id > 0 THEN CAST((page_id - 1) // 4 AS VARCHAR) END AS parent_id,
+    'SP' || CAST(page_id % 3 AS VARCHAR) AS space_key,
+    CAST(page_id % 5 + 1 AS BIGINT) AS version,
+    CASE WHEN page_id % 6 = 5 THEN NULL ELSE 'https://wiki.example.com/pages/' || CAST(page_id AS VARCHAR) END
+      AS webui_url
+  FROM pages)"""
+
+
+def is_empty_body(expr: str) -> str:
+    v = f"replace(replace({expr}, chr(160), ' '), '&nbsp;', ' ')"
+    v = re(v, r"<!--.*?-->", "''", "gs")
+    v = re(v, r"<p>\s*(<br\s*/?>)?\s*</p>", "''", "gi")
+    v = re(v, r"<br\s*/?>", "''", "gi")
+    v = re(v, r"\s+", "''")
+    return f"({expr} IS NULL OR {expr} = '' OR {v} = '')"
