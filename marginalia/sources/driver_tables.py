@@ -182,18 +182,21 @@ def issues(orders: DataFrame, customer: DataFrame, lineitem: DataFrame | None =
     ok = F.col("o_orderkey").cast("string")
     if lineitem is not None:
         lc = lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
-            F.col("l_linenumber").alias("n"),
+            # total order within an order (line numbers repeat in the data)
+            F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity").alias("n"),
             F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("id"),
             F.struct(F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("displayName")).alias("author"),
             F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("created"),
             F.date_format("l_shipdate", "yyyy-MM-dd").alias("updated"),
-            F.concat(F.lit("Ship  "), F.col("l_quantity").cast("long").cast("string"), F.lit(" units\n of part  "),
+            F.concat(F.lit("Ship  "), F.floor("l_quantity").cast("string"), F.lit(" units\n of part  "),
                      F.col("l_partkey").cast("string"), F.lit("   flag "), F.col("l_returnflag")).alias("body")))).alias("cs"))
         o = o.join(lc, o["o_orderkey"] == lc["l_orderkey"], "left")
         comments = F.transform(F.coalesce(F.col("cs"), F.array()), lambda c: c.dropFields("n"))
         comment = F.struct(
-            F.when(F.col("o_orderkey") % 3 == 0, F.lit(None)).otherwise(F.size(F.coalesce("cs", F.array())))
-            .cast("long").alias("total"),
+            # the server's total may exceed the returned list, or be absent
+            F.when(F.col("o_orderkey") % 3 == 0, F.lit(None))
+            .when(F.col("o_orderkey") % 3 == 1, F.size(F.coalesce("cs", F.array())) + 100)
+            .otherwise(F.size(F.coalesce("cs", F.array()))).cast("long").alias("total"),
             comments.alias("comments"))
     else:
         comment = F.lit(None).cast("struct<total:bigint,comments:array<struct<id:string,author:struct<"
@@ -219,6 +222,6 @@ def createmeta(region: DataFrame, nation: DataFrame) -> DataFrame:
         F.col("n_nationkey").alias("k"), F.col("n_nationkey").cast("string").alias("id"),
         F.col("n_name").alias("name"), (F.col("n_nationkey") % 2 == 0).alias("subtask")))).alias("ts"))
     r = region.join(types, region["r_regionkey"] == types["n_regionkey"], "left")
-    proj = F.struct(F.col("r_name").alias("key"), F.initcap("r_name").alias("name"),
+    proj = F.struct(F.col("r_name").alias("key"), F.lower("r_name").alias("name"),
                     F.transform(F.coalesce("ts", F.array()), lambda t: t.dropFields("k")).alias("issuetypes"))
     return r.select(F.array(proj).alias("projects"))
