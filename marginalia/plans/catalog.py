@@ -252,3 +252,4 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 # Query families registered in their own modules (imported for the side effect).
 from . import page_queries  # noqa: E402,F401
 from . import issue_queries  # noqa: E402,F401
+from . import markup_queries  # noqa: E402,F401

@@ -109,3 +109,24 @@ def is_empty_body(expr: str) -> str:
     v = re(v, r"<br\s*/?>", "''", "gi")
     v = re(v, r"\s+", "''")
     return f"({expr} IS NULL OR {expr} = '' OR {v} = '')"
+
+
+def collapse_inline(expr: str) -> str:
+    return single_line(nbsp(unescape_basic(expr)))
+
+
+def join_inline_list(lst: str) -> str:
+    """T9 over a DuckDB list. ``:status[`` is shielded first because RE2 has
+    no look-ahead."""
+    v = f"array_to_string(list_filter({lst}, lambda x: x <> ''), ' ')"
+    v = f"replace({v}, ':status[', chr(1))"
+    v = re(v, r"\s+([,.;!?:])", r"'\1'")
+    v = f"replace({v}, chr(1), ':status[')"
+    v = re(v, r"\(\s+", "'('")
+    v = re(v, r"\s+\)", "')'")
+    v = f"replace(replace(replace({v}, ' ' || chr(10) || ' ', chr(10)), chr(10) || ' ', chr(10)), ' ' || chr(10), chr(10))"
+    return strip(v)
+
+
+def plain_inner(expr: str) -> str:
+    return join_inline_list(f"list_transform(regexp_extract_all({expr}, '[^<]+'), lambda p: {collapse_inline('p')})")
