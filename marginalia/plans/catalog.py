@@ -253,3 +253,4 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 from . import page_queries  # noqa: E402,F401
 from . import issue_queries  # noqa: E402,F401
 from . import markup_queries  # noqa: E402,F401
+from . import edit_queries  # noqa: E402,F401
