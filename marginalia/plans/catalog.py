@@ -254,3 +254,4 @@ from . import page_queries  # noqa: E402,F401
 from . import issue_queries  # noqa: E402,F401
 from . import markup_queries  # noqa: E402,F401
 from . import edit_queries  # noqa: E402,F401
+from . import change_queries  # noqa: E402,F401
