@@ -205,3 +205,39 @@ FROM f"""
 def q_error_triage(spark: SparkSession, sf: str) -> DataFrame:
     """L1-L4: message extraction and guidance by status / config rule."""
     return tg.triage(event_errors(dt.table(spark, sf, "events")))
+
+
+# --------------------------------------------------------------------------
+# Offset-paged batches
+# --------------------------------------------------------------------------
+
+BATCH_LIMIT = 3
+
+
+def customer_batches(orders: DataFrame) -> DataFrame:
+    """orders re-paged per customer: batches of 3 by order key; for every
+    5th customer the third batch is missing, so its chain stops early.
+    (The numbering window is per customer; its size is that customer's orders.)"""
+    from pyspark.sql import Window
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    o = orders.select("o_custkey", "o_orderkey", (F.row_number().over(w) - 1).alias("rn"))
+    o = o.withColumn("batch_no", F.floor(F.col("rn") / BATCH_LIMIT))
+    o = o.filter(~((F.col("o_custkey") % 5 == 0) & (F.col("batch_no") == 2)))
+    return o.groupBy("o_custkey", "batch_no").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("k"),
+                                             F.col("o_orderkey").cast("string").alias("id")))).alias("r")
+    ).select(F.col("o_custkey").cast("string").alias("entity_id"),
+             (F.col("batch_no") * BATCH_LIMIT).cast("long").alias("start"),
+             F.transform("r", lambda x: x.dropFields("k")).alias("results"))
+
+
+@register("offset_batches", f"""WITH o AS (
+  SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS rn FROM orders),
+b AS (SELECT *, rn // {BATCH_LIMIT} AS batch_no FROM o)
+SELECT CAST(o_custkey AS VARCHAR) AS entity_id, CAST(rn AS BIGINT) AS position, CAST(o_orderkey AS VARCHAR) AS item_id
+FROM b WHERE NOT (o_custkey % 5 = 0 AND batch_no >= 2)""")
+def q_offset_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Complete lists rebuilt from offset batches (stop at a gap / short batch)."""
+    from ..sources.readers import merge_offset_batches
+    m = merge_offset_batches(customer_batches(dt.table(spark, sf, "orders")), BATCH_LIMIT, bucket_width=64)
+    return m.select("entity_id", "position", F.col("item.id").alias("item_id"))
