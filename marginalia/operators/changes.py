@@ -29,18 +29,21 @@ SETTING = {
 }
 
 
-def _sized(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when its row count is within the bound."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def _kind_sizes(allow: DataFrame) -> dict[str, int]:
+    """Rows per allowlist kind: one small aggregate (at most one row per kind)."""
+    return {r["kind"]: r["n"] for r in allow.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def _member(changes: DataFrame, allow: DataFrame, kind: str, value: Column, flag: str) -> DataFrame:
-    """Adds ``flag``: true = allowed (in list, or kind unrestricted)."""
-    kind_rows = allow.filter(F.col("kind") == kind)
-    restricted = kind_rows.limit(1).count() > 0
-    if not restricted:
+def _member(changes: DataFrame, allow: DataFrame, sizes: dict[str, int], kind: str, value: Column,
+            flag: str) -> DataFrame:
+    """Adds ``flag``: true = allowed (in list, or kind unrestricted). The list
+    is broadcast only when its size is within ``BROADCAST_MAX_ROWS``."""
+    n = sizes.get(kind, 0)
+    if n == 0:
         return changes.withColumn(flag, F.lit(True))
-    vals = _sized(kind_rows.select(F.col("value").alias("__v")).distinct())
+    vals = allow.filter(F.col("kind") == kind).select(F.col("value").alias("__v")).distinct()
+    if n <= BROADCAST_MAX_ROWS:
+        vals = F.broadcast(vals)
     tmp = changes.withColumn("__probe", value)
     j = tmp.join(vals, tmp["__probe"] == vals["__v"], "left")
     return j.withColumn(flag, F.col("__v").isNotNull()).drop("__v", "__probe")
@@ -53,12 +56,13 @@ def validate_changes(changes: DataFrame, allow: DataFrame, pages: DataFrame | No
     ``pages`` (id, parent_id) is needed for V6 (move to the current parent).
     """
     c = changes
+    sizes = _kind_sizes(allow)
     for kind, col in (("space", F.col("space_key")), ("parent", F.col("parent_id")),
                       ("page", F.col("page_id")), ("project", F.col("project_key")),
                       ("issue", F.col("issue_key"))):
-        c = _member(c, allow, kind, col, "ok_" + kind)
-    parent_restricted = allow.filter(F.col("kind") == "parent").limit(1).count() > 0
-    c = _member(c, allow, "parent", F.col("new_parent_id"), "ok_new_parent")
+        c = _member(c, allow, sizes, kind, col, "ok_" + kind)
+    parent_restricted = sizes.get("parent", 0) > 0
+    c = _member(c, allow, sizes, "parent", F.col("new_parent_id"), "ok_new_parent")
     if pages is not None:
         cur = pages.select(F.col("id").alias("__pid"), F.col("parent_id").alias("current_parent_id"))
         c = c.join(cur, c["page_id"] == cur["__pid"], "left").drop("__pid")
@@ -149,3 +153,121 @@ def apply_updates(pages: DataFrame, updates: DataFrame) -> DataFrame:
     folded = F.when(F.col("edits").isNull(), init).otherwise(F.aggregate("edits", init, step))
     return j.select("id", folded.alias("n"), F.coalesce(F.size("edits"), F.lit(0)).alias("edit_count")).select(
         "id", "n.title", "n.body", "n.version", "n.parent_id", "edit_count")
+
+
+def preview_update(valid: DataFrame, pages: DataFrame) -> DataFrame:
+    """B2: current vs next title/body of update-page requests.
+
+    ``pages``: (id, title, body, version, space_key, webui_url). An empty
+    title keeps the current one; an empty append still reports
+    ``body_appended`` (it was given) but changes nothing.
+    """
+    c = valid.filter((F.col("action") == "update-page") & F.col("error").isNull()).drop("space_key")
+    p = pages.select(F.col("id").alias("page_id"), F.col("title").alias("current_title"),
+                     F.coalesce(F.col("body"), F.lit("")).alias("current_body"),
+                     F.col("version").alias("current_version"), "space_key", F.col("webui_url").alias("source_url"))
+    j = c.join(p, "page_id", "left")
+    nxt_body = F.coalesce(F.col("body_html"), F.col("current_body"))
+    nxt_body = F.when(F.coalesce(F.col("append_html"), F.lit("")) != "",
+                      F.concat(nxt_body, F.col("append_html"))).otherwise(nxt_body)
+    next_title = F.when(F.coalesce(F.col("title"), F.lit("")) != "", F.col("title")).otherwise(F.col("current_title"))
+    return j.select(
+        "request_id", "page_id", "space_key", "source_url", "current_version", "current_title",
+        next_title.alias("next_title"),
+        (~next_title.eqNullSafe(F.col("current_title"))).alias("title_changed"),
+        F.col("body_html").isNotNull().alias("body_replaced"),
+        F.col("append_html").isNotNull().alias("body_appended"),
+        "body_source",
+        F.when(F.col("append_html").isNotNull(), F.lit("storage_html")).alias("append_source"),
+        F.length("current_body").alias("current_body_length"),
+        F.length(nxt_body).alias("next_body_length"),
+        tx.preview_html(nxt_body).alias("body_preview"))
+
+
+def preview_attachment(uploads: DataFrame, attachments: DataFrame) -> DataFrame:
+    """``replace`` iff an attachment with the same (page, file name)
+    exists (first by ordinal), else ``create``.
+
+    ``uploads``: (request_id, page_id, file_name, file_size);
+    ``attachments``: (page_id, ordinal, id, title, media_type, file_size, download_url).
+    """
+    first = attachments.groupBy("page_id", F.col("title").alias("file_name")).agg(
+        F.min(F.struct("ordinal", "id", "title", "media_type", "file_size", "download_url")).alias("existing"))
+    j = uploads.join(first, ["page_id", "file_name"], "left")
+    return j.select("request_id", "page_id", "file_name", "file_size",
+                    F.when(F.col("existing").isNotNull(), "replace").otherwise("create").alias("mode"),
+                    F.col("existing").dropFields("ordinal").alias("existing_attachment"))
+
+
+def apply_attachments(attachments: DataFrame, uploads: DataFrame) -> DataFrame:
+    """U4: upsert on (page, file name): an upload replaces the metadata of the
+    first existing attachment of that name (lowest ordinal), or creates one.
+    Assumes one upload per (page, name) in a change set."""
+    firsts = attachments.groupBy("page_id", "title").agg(F.min("ordinal").alias("first_ordinal"))
+    a = attachments.join(firsts, ["page_id", "title"]).withColumn(
+        "is_first", F.col("ordinal") == F.col("first_ordinal"))
+    up = uploads.select(F.col("page_id").alias("u_page"), F.col("file_name").alias("u_title"),
+                        F.col("file_size").alias("new_size"), F.col("request_id"))
+    j = a.join(up, (a["page_id"] == up["u_page"]) & (a["title"] == up["u_title"]) & a["is_first"], "full_outer")
+    return j.select(
+        F.coalesce("page_id", "u_page").alias("page_id"), F.coalesce("title", "u_title").alias("title"),
+        F.coalesce(F.col("id"), F.concat(F.lit("new-"), F.col("request_id"))).alias("id"),
+        "ordinal",
+        F.coalesce(F.col("new_size"), F.col("file_size")).alias("file_size"),
+        F.when(F.col("request_id").isNull(), "unchanged")
+        .when(F.col("id").isNull(), "created").otherwise("replaced").alias("change"))
+
+
+def preview_issue(valid: DataFrame, base_url: str) -> DataFrame:
+    """Create-issue preview: description length/preview, sorted extra
+    field keys, project browse URL."""
+    c = valid.filter((F.col("action") == "jira-create-issue") & F.col("error").isNull())
+    return c.select(
+        "request_id", "project_key", "summary", "issue_type_name",
+        tx.preview_text(F.col("description")).alias("description_preview"),
+        F.coalesce(F.length("description"), F.lit(0)).alias("description_length"),
+        F.array_sort(F.coalesce(F.map_keys("fields"), F.array().cast("array<string>"))).alias("extra_field_keys"),
+        F.concat(F.lit(base_url.rstrip("/") + "/projects/"), F.col("project_key")).alias("project_browse_url"))
+
+
+def apply_issue_fields(valid: DataFrame) -> DataFrame:
+    """Issue fields = base fields overridden by the extra fields map.
+
+    ``map_concat`` raises on duplicate keys, so base keys present in the
+    extras are filtered out first."""
+    c = valid.filter((F.col("action") == "jira-create-issue") & F.col("error").isNull())
+    base = F.map_from_arrays(
+        F.array(F.lit("project"), F.lit("summary"), F.lit("issuetype"), F.lit("description")),
+        F.array(F.col("project_key"), F.col("summary"), F.col("issue_type_name"), F.col("description")))
+    base = F.map_filter(base, lambda k, v: v.isNotNull())
+    extras = F.coalesce(F.col("fields"), F.create_map().cast("map<string,string>"))
+    kept = F.map_filter(base, lambda k, v: ~F.array_contains(F.map_keys(extras), k))
+    return c.select("request_id", F.map_concat(kept, extras).alias("fields"))
+
+
+def preview_comment(valid: DataFrame, issues: DataFrame) -> DataFrame:
+    """Add-comment preview: issue summary and status, comment length and
+    T4 preview. ``issues``: (key, summary, status, browse_url)."""
+    c = valid.filter((F.col("action") == "jira-add-comment") & F.col("error").isNull()).drop("summary")
+    j = c.join(issues.withColumnRenamed("key", "issue_key"), "issue_key", "left")
+    body = F.coalesce(F.col("comment_body"), F.lit(""))
+    return j.select("request_id", "issue_key", F.col("summary").alias("issue_summary"),
+                    F.col("status").alias("issue_status"), "browse_url",
+                    F.length(body).alias("comment_length"), tx.preview_text(body).alias("comment_preview"))
+
+
+def apply_creates(pages: DataFrame, valid: DataFrame) -> DataFrame:
+    """Next snapshot with the created pages appended (id = request id)."""
+    c = valid.filter((F.col("action") == "create-page") & F.col("error").isNull() & (F.col("mode") == "apply"))
+    new = c.select(F.concat(F.lit("new-"), F.col("request_id")).alias("id"), "title",
+                   F.coalesce(F.col("body_html"), F.lit("")).alias("body"), F.lit(1).cast("long").alias("version"),
+                   "parent_id")
+    return pages.select("id", "title", "body", "version", "parent_id").unionByName(new)
+
+
+def apply_comments(comments: DataFrame, valid: DataFrame) -> DataFrame:
+    """Issue comments with the new ones appended (ordinal after the last)."""
+    c = valid.filter((F.col("action") == "jira-add-comment") & F.col("error").isNull() & (F.col("mode") == "apply"))
+    new = c.select("issue_key", F.lit(None).cast("long").alias("ordinal"),
+                   F.concat(F.lit("new-"), F.col("request_id")).alias("id"), F.col("comment_body").alias("body"))
+    return comments.select("issue_key", "ordinal", "id", "body").unionByName(new)

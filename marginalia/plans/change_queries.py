@@ -29,6 +29,12 @@ def order_changes(orders: DataFrame) -> DataFrame:
         "body_html": F.when(k % 13 == 0, F.lit(None)).otherwise(F.lit("<p>b</p>")),
         "project_key": F.when(k % 2 == 0, F.lit("ASIA")).otherwise(F.lit("MARS")),
         "issue_key": F.concat(F.lit("ORD-"), ks),
+        "summary": F.concat(F.lit("Summary "), ks),
+        "issue_type_name": F.col("o_orderpriority"),
+        "description": F.when(k % 4 == 0, F.lit(None)).otherwise(F.concat(F.lit("Desc  "), ks, F.lit("\n more"))),
+        "fields": F.when(k % 2 == 0, F.create_map(F.lit("priority"), F.concat(F.lit("P"), (k % 3).cast("string")),
+                                                   F.lit("summary"), F.lit("Override"))),
+        "comment_body": F.concat(F.lit("Comment for "), ks, F.lit("  with   spaces")),
     }
     schema = struct_type(CHANGE_DDL)
     return orders.select(*[(cols[f.name] if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -241,3 +247,135 @@ def q_offset_batches(spark: SparkSession, sf: str) -> DataFrame:
     from ..sources.readers import merge_offset_batches
     m = merge_offset_batches(customer_batches(dt.table(spark, sf, "orders")), BATCH_LIMIT, bucket_width=64)
     return m.select("entity_id", "position", F.col("item.id").alias("item_id"))
+
+
+# --------------------------------------------------------------------------
+# previews and applies
+# --------------------------------------------------------------------------
+
+def _validated(spark: SparkSession, sf: str) -> DataFrame:
+    orders = dt.table(spark, sf, "orders")
+    pages = orders.select(F.col("o_orderkey").cast("string").alias("id"),
+                          ((F.col("o_custkey") + F.col("o_orderkey") % 2) % 30).cast("string").alias("parent_id"))
+    allow = allowlist(dt.table(spark, sf, "region"), dt.table(spark, sf, "nation"))
+    return ch.validate_changes(order_changes(orders), allow, pages)
+
+
+_VALID_ERR = "NOT (o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0)"
+
+
+@register("update_previews", f"""SELECT 'req-' || {_K} AS request_id, {_K} AS page_id,
+  'Order ' || {_K} AS current_title, 'T' || {_K} AS next_title, true AS title_changed,
+  true AS body_replaced, false AS body_appended,
+  CAST(length('<p>order ' || {_K} || '</p>') AS INTEGER) AS current_body_length,
+  CAST(8 AS INTEGER) AS next_body_length, 'b' AS body_preview,
+  CAST(o_orderkey % 5 + 1 AS BIGINT) AS current_version
+FROM orders WHERE o_orderkey % 5 = 1 AND {_VALID_ERR} AND o_orderkey % 13 <> 0""")
+def q_update_previews(spark: SparkSession, sf: str) -> DataFrame:
+    """B2: update-page previews against the live pages."""
+    orders = dt.table(spark, sf, "orders")
+    live = orders.select(F.col("o_orderkey").cast("string").alias("id"),
+                         F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("title"),
+                         F.concat(F.lit("<p>order "), F.col("o_orderkey").cast("string"), F.lit("</p>")).alias("body"),
+                         (F.col("o_orderkey") % 5 + 1).cast("long").alias("version"),
+                         F.lit("SP").alias("space_key"), F.lit(None).cast("string").alias("webui_url"))
+    p = ch.preview_update(_validated(spark, sf), live)
+    return p.select("request_id", "page_id", "current_title", "next_title", "title_changed", "body_replaced",
+                    "body_appended", "current_body_length", "next_body_length", "body_preview", "current_version")
+
+
+from .issue_queries import _ISSUE_CTE  # noqa: E402
+
+
+@register("comment_previews", f"""WITH {_ISSUE_CTE}
+SELECT 'req-' || id AS request_id, key AS issue_key, summary AS issue_summary, status AS issue_status, browse_url,
+  CAST(length('Comment for ' || id || '  with   spaces') AS INTEGER) AS comment_length,
+  'Comment for ' || id || ' with spaces' AS comment_preview
+FROM iss WHERE o_orderkey % 5 = 4 AND NOT (o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0)""")
+def q_comment_previews(spark: SparkSession, sf: str) -> DataFrame:
+    """Add-comment previews with the issue's summary and status."""
+    from ..operators import summaries as sm
+    iss = sm.summarize_issue(dt.issues(dt.table(spark, sf, "orders"), dt.table(spark, sf, "customer")),
+                             dt.ISSUE_BASE).select("key", "summary", "status", "browse_url")
+    return ch.preview_comment(_validated(spark, sf), iss)
+
+
+_DESC = f"'Desc  ' || {_K} || chr(10) || ' more'"
+_ISSUE_PREVIEW_SQL = f"""SELECT 'req-' || {_K} AS request_id, 'ASIA' AS project_key, 'Summary ' || {_K} AS summary,
+  o_orderpriority AS issue_type_name,
+  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'Desc ' || {_K} || ' more' END AS description_preview,
+  CAST(CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE length({_DESC}) END AS INTEGER) AS description_length,
+  'priority,summary' AS extra_field_keys,
+  'https://issues.example.com/projects/ASIA' AS project_browse_url,
+  CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE 'description=' || {_DESC} || ';' END
+    || 'issuetype=' || o_orderpriority || ';priority=P' || CAST(o_orderkey % 3 AS VARCHAR)
+    || ';project=ASIA;summary=Override' AS fields
+FROM orders WHERE o_orderkey % 5 = 3 AND o_orderkey % 2 = 0 AND NOT (o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0)"""
+
+
+@register("issue_create_previews", _ISSUE_PREVIEW_SQL)
+def q_issue_create_previews(spark: SparkSession, sf: str) -> DataFrame:
+    """B6 + U5: create-issue previews and the merged field map (extras win)."""
+    v = _validated(spark, sf)
+    prev = ch.preview_issue(v, dt.ISSUE_BASE)
+    merged = ch.apply_issue_fields(v).select(
+        "request_id", F.array_join(F.transform(F.array_sort(F.map_entries("fields")),
+                                               lambda e: F.concat(e.key, F.lit("="), e.value)), ";").alias("fields"))
+    return prev.withColumn("extra_field_keys", F.array_join("extra_field_keys", ",")).join(merged, "request_id")
+
+
+def part_attachments(part: DataFrame) -> DataFrame:
+    return part.select(
+        (F.col("p_partkey") % 50).cast("string").alias("page_id"), F.col("p_partkey").alias("ordinal"),
+        F.concat(F.lit("att-"), F.col("p_partkey").cast("string")).alias("id"),
+        F.concat(F.col("p_name"), F.lit(".png")).alias("title"),
+        (F.col("p_size") * 1000).cast("long").alias("file_size"))
+
+
+def part_uploads(part: DataFrame) -> DataFrame:
+    """Uploads for every third part, half of them aimed at another page; the
+    last request per (page, name) wins."""
+    u = part.filter(F.col("p_partkey") % 3 == 0).select(
+        F.concat(F.lit("up-"), F.col("p_partkey").cast("string")).alias("request_id"),
+        ((F.col("p_partkey") + F.col("p_partkey") % 2) % 50).cast("string").alias("page_id"),
+        F.concat(F.col("p_name"), F.lit(".png")).alias("file_name"),
+        (F.col("p_size") * 10).cast("long").alias("file_size"), F.col("p_partkey").alias("seq"))
+    return u.groupBy("page_id", "file_name").agg(
+        F.max_by("request_id", "seq").alias("request_id"), F.max_by("file_size", "seq").alias("file_size"))
+
+
+_ATT_CTE = """att AS (SELECT CAST(p_partkey % 50 AS VARCHAR) AS page_id, p_partkey AS ordinal,
+    'att-' || CAST(p_partkey AS VARCHAR) AS id, p_name || '.png' AS title, CAST(p_size * 1000 AS BIGINT) AS file_size
+  FROM part),
+up0 AS (SELECT 'up-' || CAST(p_partkey AS VARCHAR) AS request_id,
+    CAST((p_partkey + p_partkey % 2) % 50 AS VARCHAR) AS page_id, p_name || '.png' AS file_name,
+    CAST(p_size * 10 AS BIGINT) AS file_size, p_partkey AS seq FROM part WHERE p_partkey % 3 = 0),
+up AS (SELECT page_id, file_name, arg_max(request_id, seq) AS request_id, arg_max(file_size, seq) AS file_size
+  FROM up0 GROUP BY page_id, file_name)"""
+
+
+@register("attachment_preview", f"""WITH {_ATT_CTE},
+fa AS (SELECT page_id, title, arg_min(id, ordinal) AS existing_id FROM att GROUP BY page_id, title)
+SELECT request_id, up.page_id, file_name, file_size,
+  CASE WHEN existing_id IS NULL THEN 'create' ELSE 'replace' END AS mode, existing_id
+FROM up LEFT JOIN fa ON up.page_id = fa.page_id AND up.file_name = fa.title""")
+def q_attachment_preview(spark: SparkSession, sf: str) -> DataFrame:
+    """Upload previews: replace iff the page already has that file name."""
+    part = dt.table(spark, sf, "part")
+    p = ch.preview_attachment(part_uploads(part), part_attachments(part).withColumn("media_type", F.lit("image/png"))
+                              .withColumn("download_url", F.lit(None).cast("string")))
+    return p.select("request_id", "page_id", "file_name", "file_size", "mode",
+                    F.col("existing_attachment.id").alias("existing_id"))
+
+
+@register("attachment_upsert", f"""WITH {_ATT_CTE},
+a2 AS (SELECT *, ordinal = min(ordinal) OVER (PARTITION BY page_id, title) AS is_first FROM att)
+SELECT COALESCE(a2.page_id, up.page_id) AS page_id, COALESCE(a2.title, up.file_name) AS title,
+  COALESCE(a2.id, 'new-' || up.request_id) AS id, a2.ordinal,
+  COALESCE(up.file_size, a2.file_size) AS file_size,
+  CASE WHEN up.request_id IS NULL THEN 'unchanged' WHEN a2.id IS NULL THEN 'created' ELSE 'replaced' END AS change
+FROM a2 FULL OUTER JOIN up ON a2.page_id = up.page_id AND a2.title = up.file_name AND a2.is_first""")
+def q_attachment_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """U4: attachments after the uploads (replace first same-name, else create)."""
+    part = dt.table(spark, sf, "part")
+    return ch.apply_attachments(part_attachments(part), part_uploads(part))
