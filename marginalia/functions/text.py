@@ -82,11 +82,23 @@ _NAMED = dict(html.entities.name2codepoint)
 _NAMED["apos"] = 0x27
 
 
+_MAP_CACHE: dict[int, Column] = {}
+
+
 def _entity_map() -> Column:
-    args = []
-    for name, cp in sorted(_NAMED.items()):
-        args.extend([F.lit(name), F.lit(chr(cp))])
-    return F.create_map(*args)
+    """Literal map name -> character, built once per SparkContext (building
+    it costs ~500 driver round trips, and it is used by every unescape)."""
+    from pyspark import SparkContext
+    key = id(SparkContext._active_spark_context)
+    cached = _MAP_CACHE.get(key)
+    if cached is None:
+        args = []
+        for name, cp in sorted(_NAMED.items()):
+            args.extend([F.lit(name), F.lit(chr(cp))])
+        cached = F.create_map(*args)
+        _MAP_CACHE.clear()
+        _MAP_CACHE[key] = cached
+    return cached
 
 
 def _codepoint_to_str(num: Column) -> Column:

@@ -20,13 +20,14 @@ most ``QUOTE_DEPTH`` levels (deeper markers stay text).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from .freshness import LINE_BREAKS
 
-QUOTE_DEPTH = 3
+QUOTE_DEPTH = 2
 
 # Markdown line grammar.
 LIST_ITEM_RE = r"^(\s*)([-+*]|\d+\.)\s+(.*)$"
@@ -364,67 +365,83 @@ def _list_html(items: Column) -> Column:
     return F.aggregate(F.array_sort(items), init, step, finish)
 
 
-def render_blocks(blocks: DataFrame, mermaid_macro: str | None = None) -> DataFrame:
-    """M4-M7: one HTML string per (doc_id, block_no). Quote blocks are
-    returned with their stripped content lines for the caller's next pass."""
+def render_blocks(blocks: DataFrame, mermaid_macro: str | None = None, quotes_as_text: bool = False) -> DataFrame:
+    """M4-M7: one HTML string per (doc_id, block_no).
+
+    Every block first lists the texts that need inline rendering as
+    ``array<array<string>>`` (heading text, paragraph text, table cells per
+    row, list item + continuation texts); they are rendered by ONE
+    ``transform`` so the (large) inline expression appears once in the plan.
+    Quote blocks return their content lines for the caller's next pass, or
+    are rendered as paragraph text once the nesting bound is reached.
+    """
     lines = blocks.filter(F.col("block_no") > 0)
-    item_html = F.when(F.col("kind") == "item", render_inline(tx.strip(F.regexp_extract("line", LIST_ITEM_RE, 3))))
-    cont_html = F.when(F.col("kind") == "cont", F.concat(F.lit(" "), render_inline(F.col("stripped"))))
-    lines = lines.withColumn("item_html", item_html).withColumn("cont_html", cont_html)
     # continuation text attaches to the item it follows
     w = Window.partitionBy("doc_id", "block_no").orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
     lines = lines.withColumn("owner", F.last(F.when(F.col("kind") == "item", F.col("ln")), ignorenulls=True).over(w))
     g = lines.groupBy("doc_id", "block_no").agg(
         F.min_by("kind", "ln").alias("first_kind"),
         F.min_by("stripped", "ln").alias("first_stripped"),
-        F.array_sort(F.collect_list(F.struct("ln", "line", "stripped", "kind", "indent", "ordered",
-                                             "item_html", "cont_html", "owner"))).alias("ls"))
+        F.array_sort(F.collect_list(F.struct("ln", "line", "stripped", "kind", "indent", "ordered", "owner")))
+        .alias("ls"))
     ls = F.col("ls")
     fk = F.col("first_kind")
+    items = F.filter(ls, lambda r: r.getField("kind") == "item")
+    rows = F.filter(ls, lambda r: r.getField("kind").isin("table_start", "table_row")
+                    & ~r.getField("stripped").rlike(TABLE_SEP_RE))
+    quote_lines = F.transform(F.filter(ls, lambda r: r.getField("kind") == "quote"),
+                              lambda r: F.regexp_replace(tx.lstrip(r.getField("line")), r"^> ?", ""))
+    one = lambda c: F.array(F.array(c))
+    none = F.array().cast("array<array<string>>")
+    item_srcs = F.transform(items, lambda it: F.concat(
+        F.array(tx.strip(F.regexp_extract(it.getField("line"), LIST_ITEM_RE, 3))),
+        F.transform(F.filter(ls, lambda r: (r.getField("kind") == "cont") & (r.getField("owner") == it.getField("ln"))),
+                    lambda r: r.getField("stripped"))))
+    para_src = one(tx.strip(F.array_join(F.transform(ls, lambda r: r.getField("stripped")), " ")))
+    srcs = (F.when(fk == "heading", one(tx.strip(F.regexp_extract("first_stripped", HEADING_RE, 2))))
+            .when(fk == "table_start", F.transform(rows, lambda r: _table_row(r.getField("line"))))
+            .when(fk == "item", item_srcs)
+            .when(fk.isin("fence", "hr"), none)
+            .when(fk == "quote", one(tx.strip(F.array_join(quote_lines, " "))) if quotes_as_text else none)
+            .otherwise(para_src))
+    g = g.select("doc_id", "block_no", "first_kind", "first_stripped", "ls", srcs.alias("srcs"),
+                 F.when(fk == "quote", quote_lines).alias("quote_lines"))
+    g = g.withColumn("rendered", F.transform("srcs", lambda row: F.transform(row, lambda c: render_inline(c))))
+    r = F.col("rendered")
+    first = F.try_element_at(F.try_element_at(r, F.lit(1)), F.lit(1))
     # headings
-    hm_level = F.length(F.regexp_extract("first_stripped", HEADING_RE, 1))
-    heading = F.concat(F.lit("<h"), hm_level.cast("string"), F.lit(">"),
-                       render_inline(tx.strip(F.regexp_extract("first_stripped", HEADING_RE, 2))),
-                       F.lit("</h"), hm_level.cast("string"), F.lit(">"))
-    # paragraphs: stripped lines joined by one space
-    para = F.concat(F.lit("<p>"), render_inline(tx.strip(F.array_join(F.transform(ls, lambda r: r.getField("stripped")),
-                                                                       " "))), F.lit("</p>"))
+    hm_level = F.length(F.regexp_extract("first_stripped", HEADING_RE, 1)).cast("string")
+    heading = F.concat(F.lit("<h"), hm_level, F.lit(">"), first, F.lit("</h"), hm_level, F.lit(">"))
+    para = F.concat(F.lit("<p>"), first, F.lit("</p>"))
     # fenced code: opener gives the language; the closing fence is dropped
     lang = F.coalesce(F.nullif(tx.strip(F.substring("first_stripped", 4, 1 << 30)), F.lit("")), F.lit("none"))
-    code_rows = F.filter(ls, lambda r: r.getField("kind") == "code")
-    closed = F.exists(code_rows, lambda r: r.getField("stripped").startswith("```"))
+    code_rows = F.filter(ls, lambda x: x.getField("kind") == "code")
+    closed = F.exists(code_rows, lambda x: x.getField("stripped").startswith("```"))
     # the closing fence is the last code row of a closed block
     code_lines = F.when(closed, F.slice(code_rows, 1, F.greatest(F.size(code_rows) - 1, F.lit(0)))
                         ).otherwise(code_rows)
-    code = _code_macro(F.array_join(F.transform(code_lines, lambda r: r.getField("line")), "\n"), lang, mermaid_macro)
-    # tables: header row, separator rows skipped
-    rows = F.filter(ls, lambda r: r.getField("kind").isin("table_start", "table_row")
-                    & ~r.getField("stripped").rlike(TABLE_SEP_RE))
-    header = F.transform(_table_row(F.element_at(rows, 1).getField("line")),
-                         lambda c: F.concat(F.lit("<th>"), render_inline(c), F.lit("</th>")))
-    body_rows = F.transform(F.slice(rows, 2, 1 << 30), lambda r: F.concat(
-        F.lit("<tr>"), F.array_join(F.transform(_table_row(r.getField("line")),
-                                                lambda c: F.concat(F.lit("<td>"), render_inline(c), F.lit("</td>"))), ""),
-        F.lit("</tr>")))
-    table = F.concat(F.lit("<table><tbody><tr>"), F.array_join(header, ""), F.lit("</tr>"),
-                     F.array_join(body_rows, ""), F.lit("</tbody></table>"))
-    # lists: item html + its continuation lines
-    items = F.transform(F.filter(ls, lambda r: r.getField("kind") == "item"), lambda it: F.struct(
+    code = _code_macro(F.array_join(F.transform(code_lines, lambda x: x.getField("line")), "\n"), lang, mermaid_macro)
+    # tables: first row is the header
+    header = F.array_join(F.transform(F.try_element_at(r, F.lit(1)),
+                                      lambda c: F.concat(F.lit("<th>"), c, F.lit("</th>"))), "")
+    body_rows = F.array_join(F.transform(F.slice(r, 2, 1 << 30), lambda row: F.concat(
+        F.lit("<tr>"), F.array_join(F.transform(row, lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))), ""),
+        F.lit("</tr>"))), "")
+    table = F.concat(F.lit("<table><tbody><tr>"), header, F.lit("</tr>"), body_rows, F.lit("</tbody></table>"))
+    # lists: item text + " " + each continuation
+    items2 = F.zip_with(items, r, lambda it, parts: F.struct(
         it.getField("ln").alias("ln"), it.getField("indent").cast("int").alias("indent"),
         it.getField("ordered").alias("ordered"),
-        tx.strip(F.concat(it.getField("item_html"), F.array_join(F.transform(
-            F.filter(ls, lambda r: (r.getField("kind") == "cont") & (r.getField("owner") == it.getField("ln"))),
-            lambda r: r.getField("cont_html")), ""))).alias("html")))
-    lst = _list_html(items)
-    # quotes: content lines for the next pass ('>' and one space removed)
-    quote_lines = F.transform(F.filter(ls, lambda r: r.getField("kind") == "quote"),
-                              lambda r: F.regexp_replace(tx.lstrip(r.getField("line")), r"^> ?", ""))
+        tx.strip(F.concat(F.element_at(parts, 1), F.array_join(F.transform(
+            F.slice(parts, 2, 1 << 30), lambda x: F.concat(F.lit(" "), x)), ""))).alias("html")))
+    lst = _list_html(items2)
+    fk = F.col("first_kind")
     html = (F.when(fk == "heading", heading).when(fk == "hr", F.lit("<hr />"))
             .when(fk == "fence", code).when(fk == "table_start", table)
-            .when(fk == "item", lst).when(fk == "quote", F.lit(None))
+            .when(fk == "item", lst)
+            .when(fk == "quote", para if quotes_as_text else F.lit(None).cast("string"))
             .otherwise(para))
-    return g.select("doc_id", "block_no", fk.alias("kind"), html.alias("html"),
-                    F.when(fk == "quote", quote_lines).alias("quote_lines"))
+    return g.select("doc_id", "block_no", fk.alias("kind"), html.alias("html"), "quote_lines")
 
 
 def _assemble(rendered: DataFrame) -> DataFrame:
@@ -436,7 +453,11 @@ def _assemble(rendered: DataFrame) -> DataFrame:
 
 def _to_html(docs: DataFrame, mermaid_macro: str | None, depth: int, frontmatter: bool = True) -> DataFrame:
     blocks = markdown_blocks(classify_lines(markdown_lines(docs, frontmatter=frontmatter)))
-    rendered = render_blocks(blocks, mermaid_macro)
+    if depth > 0:
+        # the block table feeds both this level's rendering and the next
+        # level's quote bodies: keep it (recomputable from lineage if lost)
+        blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    rendered = render_blocks(blocks, mermaid_macro, quotes_as_text=depth <= 0)
     quotes = rendered.filter(F.col("kind") == "quote")
     if depth > 0:
         first = tx.strip(F.element_at("quote_lines", 1))
@@ -466,10 +487,6 @@ def _to_html(docs: DataFrame, mermaid_macro: str | None, depth: int, frontmatter
             F.concat(F.lit("<blockquote>"), inner_html, F.lit("</blockquote>"))).alias("qhtml"))
         rendered = rendered.join(quote_html, ["doc_id", "block_no"], "left").withColumn(
             "html", F.coalesce(F.col("html"), F.col("qhtml")))
-    else:
-        # past the nesting bound, quote markers stay as paragraph text
-        rendered = rendered.withColumn("html", F.coalesce(F.col("html"), F.concat(
-            F.lit("<p>"), render_inline(F.array_join("quote_lines", " ")), F.lit("</p>"))))
     return _assemble(rendered.select("doc_id", "block_no", "html"))
 
 

@@ -18,11 +18,10 @@ expressions -> ``posexplode``; they need no shuffle at all.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..plans.scans import ordered_carry, ordered_running_sum
 
 # Token grammar pieces and HTML void elements.
 TOKEN_RE = (r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -39,7 +38,13 @@ def markup_tokens(pages: DataFrame, id_col: str = "page_id", body_col: str = "bo
     kind: comment | cdata | raw (script/style, one token) | decl | open |
     close | selfclose | void (HTML void tag written open) | text.
     ``depth`` is the element depth at the token (a close tag counts at its
-    open tag's level); computed with the skew-safe two-level running sum.
+    open tag's level).
+
+    Windows here are partitioned by page: every token of a page comes from
+    that page's single body value, so a window partition never exceeds one
+    input row's content (unlike comments, where one page can own an
+    unbounded number of rows and the two-level scans of ``plans.scans`` are
+    used). ``bucket_width`` is accepted for API symmetry and unused.
     """
     toks = pages.select(F.col(id_col).alias("page_id"),
                         F.posexplode(F.regexp_extract_all(F.col(body_col), F.lit(TOKEN_RE), 0))
@@ -61,19 +66,32 @@ def markup_tokens(pages: DataFrame, id_col: str = "page_id", body_col: str = "bo
         F.when(kind.isin("text", "cdata", "raw"), t).alias("text"),
         F.when(kind == "open", 1).when(kind == "close", -1).otherwise(0).alias("delta"),
         t.alias("tok"))
-    toks = ordered_running_sum(toks, ["page_id"], "pos", "delta", "run", bucket_width)
+    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    toks = toks.withColumn("run", F.sum("delta").over(w))
     # depth before this token = run - delta; a close tag sits at run.
     return toks.withColumn("depth", F.when(F.col("kind") == "close", F.col("run"))
                            .otherwise(F.col("run") - F.col("delta"))).drop("run")
 
 
-def well_formed(tokens: DataFrame, pages: DataFrame, id_col: str = "page_id", body_col: str = "body",
-                bucket_width: int = 1 << 16) -> DataFrame:
+def well_formed(pages: DataFrame, id_col: str = "page_id", body_col: str = "body") -> DataFrame:
     """Per page ``(page_id, well_formed)`` as an XML parser with only the
-    namespace declarations would decide (tag balance + known entities)."""
-    opens = tokens.withColumn("open_name", F.when(F.col("kind") == "open", F.col("name")))
-    nested = ordered_carry(opens.filter(F.col("kind").isin("open", "close")),
-                           ["page_id", "depth"], "pos", ["open_name"], bucket_width)
+    namespace declarations would decide (tag balance + known entities).
+
+    The entity scan is a per-row expression; only pages that pass it are
+    tokenized for the nesting checks, so bodies that are rejected by it (most
+    raw web pages) never reach the token table.
+    """
+    ent = pages.select(F.col(id_col).alias("page_id"), F.col(body_col).alias("body"),
+                       F.regexp_replace(F.col(body_col), XML_ENTITY_OK, "").contains("&").alias("bad_entity"))
+    cand = ent.filter(~F.col("bad_entity"))
+    tokens = markup_tokens(cand, "page_id", "body")
+    opens = tokens.filter(F.col("kind").isin("open", "close")).withColumn(
+        "open_name", F.when(F.col("kind") == "open", F.col("name")))
+    # last open tag at the same level (the page's tokens are already
+    # clustered by page, so this needs only a local sort)
+    wl = Window.partitionBy("page_id", "depth").orderBy("pos").rowsBetween(Window.unboundedPreceding,
+                                                                           Window.currentRow)
+    nested = opens.withColumn("open_name_carry", F.last("open_name", ignorenulls=True).over(wl))
     mismatch = nested.groupBy("page_id").agg(
         F.max(F.when((F.col("kind") == "close") & ~F.col("name").eqNullSafe(F.col("open_name_carry")), 1)
               .otherwise(0)).alias("bad_nesting"))
@@ -81,9 +99,7 @@ def well_formed(tokens: DataFrame, pages: DataFrame, id_col: str = "page_id", bo
         F.sum("delta").alias("final_depth"),
         F.min("depth").alias("min_depth"),
         F.max(F.when(F.col("kind").isin("decl", "void") | (F.col("tok") == "<"), 1).otherwise(0)).alias("bad_tok"))
-    ent = pages.select(F.col(id_col).alias("page_id"),
-                       F.regexp_replace(F.col(body_col), XML_ENTITY_OK, "").contains("&").alias("bad_entity"))
-    j = ent.join(shape, "page_id", "left").join(mismatch, "page_id", "left")
+    j = ent.select("page_id", "bad_entity").join(shape, "page_id", "left").join(mismatch, "page_id", "left")
     ok = (~F.col("bad_entity") & (F.coalesce("final_depth", F.lit(0)) == 0)
           & (F.coalesce("min_depth", F.lit(0)) >= 0) & (F.coalesce("bad_tok", F.lit(0)) == 0)
           & (F.coalesce("bad_nesting", F.lit(0)) == 0))

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..plans.scans import ordered_running_sum
 from .markup import _plain_inner, markup_tokens
 
 
@@ -23,7 +22,8 @@ def sections(pages: DataFrame, id_col: str = "page_id", body_col: str = "body",
     section body is [h_end, sec_end)."""
     body = pages.select(F.col(id_col).alias("page_id"), F.col(body_col).alias("body"))
     toks = markup_tokens(body, bucket_width=bucket_width).withColumn("len", F.length("tok"))
-    toks = ordered_running_sum(toks, ["page_id"], "pos", "len", "end_off", bucket_width)
+    wt = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    toks = toks.withColumn("end_off", F.sum("len").over(wt))
     heads = (toks.filter((F.col("kind") == "open") & (F.col("depth") == 0) & F.col("name").rlike("^h[1-6]$"))
              .select("page_id", "pos", (F.col("end_off") - F.col("len")).alias("h_start"),
                      F.substring("name", 2, 1).cast("int").alias("level")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,7 +117,7 @@ def q_page_tokens(spark: SparkSession, sf: str) -> DataFrame:
 def q_markup_wellformed(spark: SparkSession, sf: str) -> DataFrame:
     """D1 + strict-mode well-formedness over real pages and generated markup."""
     b = _all_markup(spark, sf)
-    return mk.well_formed(mk.markup_tokens(b), b)
+    return mk.well_formed(b)
 
 
 @register("page_headings", f"""WITH h AS (
@@ -187,7 +188,7 @@ def q_part_markdown(spark: SparkSession, sf: str) -> DataFrame:
     """D19 body: structured rendering of well-formed markup, strip-tags
     fallback otherwise (strict parity)."""
     b = part_markup(dt.table(spark, sf, "part"))
-    wf = mk.well_formed(mk.markup_tokens(b), b)
+    wf = mk.well_formed(b)
     j = b.join(wf, "page_id")
     return j.select("page_id", F.when(F.col("well_formed"), mk.render_structured(
         F.col("body"), dt.WIKI_BASE, F.col("page_id").cast("string"))).otherwise(
@@ -222,8 +223,10 @@ FROM e"""
 def q_export_markdown(spark: SparkSession, sf: str) -> DataFrame:
     """D18 + D19 (+ N2): every page exported in strict parity mode; hub pages
     get the child table, malformed bodies the strip-tags fallback."""
-    pages = dt.table(spark, sf, "pages")
-    wiki = dt.wiki_pages(pages)
+    pages = spread(dt.table(spark, sf, "pages"))
+    # the page projection feeds five branches (payload, kinds, edges, hub
+    # rows, well-formedness); keep it instead of re-parsing every page each time
+    wiki = dt.wiki_pages(pages).persist(StorageLevel.MEMORY_AND_DISK)
     edges = dt.child_edges(wiki)
     kinds = nav.classify_pages(wiki, edges)
     hubs_ids = kinds.filter(F.col("page_kind") == "hub").select(F.col("page_id").alias("parent_id"))
@@ -233,5 +236,5 @@ def q_export_markdown(spark: SparkSession, sf: str) -> DataFrame:
         "parent_page_id")
     payload = payload.join(kinds.select("page_id", "page_kind", "child_count"), "page_id")
     body = payload.select("page_id", "body")
-    wf = mk.well_formed(mk.markup_tokens(body), body)
+    wf = mk.well_formed(body)
     return mk.export_markdown(payload, wf, dt.WIKI_BASE, EXPORTED_AT, hubs=hub_md)
