@@ -256,3 +256,4 @@ from . import markup_queries  # noqa: E402,F401
 from . import edit_queries  # noqa: E402,F401
 from . import change_queries  # noqa: E402,F401
 from . import markdown_queries  # noqa: E402,F401
+from . import more_queries  # noqa: E402,F401
