@@ -8,9 +8,9 @@ Two paths, as in the reference:
   ``strip_tags`` text (T19). Well-formedness is decided from the token table
   (depth never negative and back to 0, every close tag matching the last open
   tag at its level) plus an entity/stray-``<`` scan of the body.
-* **structured**: well-formed bodies are rendered by an ordered chain of
-  regex rewrites (headings, paragraphs, emphasis, code, links, flat list
-  items, status macros, attachment images, diagram macros), all JVM-side.
+* **structured**: well-formed bodies are rendered by ``operators.storage_md``
+  (fragment rendering by regex extraction + higher-order functions, one
+  column step per stage), all JVM-side.
 
 Extraction operators (headings, links, images, macros) are per-row array
 expressions -> ``posexplode``; they need no shuffle at all.
@@ -109,7 +109,7 @@ def well_formed(pages: DataFrame, id_col: str = "page_id", body_col: str = "body
 def _plain_inner(inner: Column) -> Column:
     """Plain text of a fragment: text pieces between tags, each T8-collapsed,
     then T9-joined (the reference's ``itertext`` + join)."""
-    pieces = F.regexp_extract_all(inner, F.lit(r"[^<]+"), 0)
+    pieces = F.split(F.regexp_replace(inner, r"<[^>]*>", "\u0001"), "\u0001", -1)
     return tx.join_inline(F.transform(pieces, lambda p: tx.collapse_inline(p)))
 
 
@@ -213,56 +213,6 @@ def _rx(c: Column, pattern: str, repl: str) -> Column:
     return F.regexp_replace(c, F.lit(pattern), F.lit(repl))
 
 
-def render_structured(body: Column, base_url: str, page_id: Column, diagram_macro: str | None = None) -> Column:
-    """Well-formed body -> Markdown by an ordered chain of rewrites (flat
-    documents: headings, paragraphs, emphasis, code, links, list items,
-    status / diagram macros, attachment images; toc and other macros drop)."""
-    v = body
-    # status macros -> token
-    v = F.regexp_replace(v, F.lit(r"(?is)<ac:structured-macro\b[^>]*ac:name\s*=\s*[\"']status[\"'][^>]*>"
-                                  r"(.*?)</ac:structured-macro\s*>"), F.lit("\u0001STATUS$1\u0002"))
-    status_inner = F.regexp_extract_all(v, F.lit("(?s)\u0001STATUS(.*?)\u0002"), 1)
-    rendered = F.transform(status_inner, lambda s: render_status(
-        _plain_inner(F.regexp_extract(s, r"(?is)ac:name\s*=\s*[\"']title[\"'][^>]*>(.*?)</ac:parameter", 1)),
-        _plain_inner(F.regexp_extract(s, r"(?is)ac:name\s*=\s*[\"']colour[\"'][^>]*>(.*?)</ac:parameter", 1)),
-        _plain_inner(F.regexp_extract(s, r"(?is)ac:name\s*=\s*[\"']color[\"'][^>]*>(.*?)</ac:parameter", 1))))
-    parts = F.split(v, "(?s)\u0001STATUS.*?\u0002")
-    v = F.array_join(F.zip_with(parts, F.concat(rendered, F.array(F.lit(""))),
-                                lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))), "")
-    # diagram macro
-    if diagram_macro:
-        v = _rx(v, rf"(?is)<ac:structured-macro\b[^>]*ac:name\s*=\s*[\"']{diagram_macro}[\"'][^>]*>.*?"
-                   r"<ac:plain-text-body\b[^>]*>(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?</ac:plain-text-body\s*>.*?"
-                   r"</ac:structured-macro\s*>", "\n```mermaid\n$1\n```\n\n")
-    v = _rx(v, r"(?is)<ac:structured-macro\b[^>]*ac:name\s*=\s*[\"']toc[\"'][^>]*(/>|>.*?</ac:structured-macro\s*>)", "")
-    # images with an attachment
-    v = _rx(v, r"(?is)<ac:image\b[^>]*>.*?<ri:attachment\b[^>]*ri:filename\s*=\s*[\"']([^\"']*)[\"'][^>]*/?>.*?"
-               r"</ac:image\s*>", "\u0003IMG$1\u0004")
-    img_names = F.regexp_extract_all(v, F.lit("\u0003IMG(.*?)\u0004"), 1)
-    img_md = F.transform(img_names, lambda n: F.concat(
-        F.lit("\n\n!["), n, F.lit("]("), tx.attachment_link(F.lit(base_url), page_id, n), F.lit(")\n\n")))
-    iparts = F.split(v, "(?s)\u0003IMG.*?\u0004")
-    v = F.array_join(F.zip_with(iparts, F.concat(img_md, F.array(F.lit(""))),
-                                lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))), "")
-    for level in range(1, 7):
-        v = _rx(v, rf"(?is)<h{level}\b[^>]*>(.*?)</h{level}\s*>", "\n\n" + "#" * level + " $1\n\n")
-    v = _rx(v, r"(?is)<(strong|b)\b[^>]*>(.*?)</\1\s*>", "**$2**")
-    v = _rx(v, r"(?is)<(em|i)\b[^>]*>(.*?)</\1\s*>", "*$2*")
-    v = _rx(v, r"(?is)<code\b[^>]*>(.*?)</code\s*>", "`$1`")
-    v = _rx(v, r"(?is)<a\b[^>]*href\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a\s*>", "[$2]($1)")
-    v = _rx(v, r"(?is)<hr\s*/?>", "\n\n---\n\n")
-    v = _rx(v, r"(?is)<br\s*/?>", "\n")
-    v = _rx(v, r"(?is)<li\b[^>]*>", "\n- ")
-    v = _rx(v, r"(?is)</p\s*>", "\n\n")
-    v = _rx(v, r"(?is)<ac:structured-macro\b.*?</ac:structured-macro\s*>", "")
-    v = _rx(v, r"<[^>]+>", "")
-    # inline tidy: spaces before punctuation, per line
-    v = _rx(v, r"[ \t]+([,.;!?])", "$1")
-    v = _rx(v, r"(?m)^[ \t]+(?=\S)", "")
-    v = _rx(v, r"[ \t]{2,}", " ")
-    return F.concat(tx.clean_text(v), F.lit("\n"))
-
-
 def export_markdown(pages: DataFrame, well: DataFrame, base_url: str, exported_at: str,
                     diagram_macro: str | None = None, strict: bool = True,
                     hubs: DataFrame | None = None) -> DataFrame:
@@ -281,10 +231,12 @@ def export_markdown(pages: DataFrame, well: DataFrame, base_url: str, exported_a
     title = F.coalesce(F.nullif(F.col("title"), F.lit("")), F.lit("Untitled"))
     url = F.coalesce(F.col("webui_url"), F.lit(""))
     fallback = F.concat(tx.strip_tags(F.coalesce(F.col("body"), F.lit(""))), F.lit("\n"))
-    structured = render_structured(F.coalesce(F.col("body"), F.lit("")), base_url,
-                                   F.col("page_id").cast("string"), diagram_macro)
+    use_struct = F.coalesce(F.col("well_formed"), F.lit(False)) | F.lit(not strict)
+    from .storage_md import render_markdown
+    sdf = render_markdown(p.filter(use_struct).select("page_id", "body"), base_url, diagram_macro)
+    p = p.join(sdf.withColumnRenamed("markdown", "struct_md"), "page_id", "left")
     body_md = (F.when((F.col("page_kind") == "hub") & F.col("hub_md").isNotNull(), F.col("hub_md"))
-               .when(F.coalesce(F.col("well_formed"), F.lit(False)) | F.lit(not strict), structured)
+               .when(use_struct, F.col("struct_md"))
                .otherwise(fallback))
     lines = F.concat_ws("\n",
                         F.lit("---"),

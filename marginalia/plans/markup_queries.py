@@ -187,12 +187,13 @@ FROM pm""")
 def q_part_markdown(spark: SparkSession, sf: str) -> DataFrame:
     """D19 body: structured rendering of well-formed markup, strip-tags
     fallback otherwise (strict parity)."""
+    from ..operators.storage_md import render_markdown
     b = part_markup(dt.table(spark, sf, "part"))
-    wf = mk.well_formed(b)
-    j = b.join(wf, "page_id")
-    return j.select("page_id", F.when(F.col("well_formed"), mk.render_structured(
-        F.col("body"), dt.WIKI_BASE, F.col("page_id").cast("string"))).otherwise(
-        F.concat(mk.tx.strip_tags("body"), F.lit("\n"))).alias("body_markdown"))
+    j = b.join(mk.well_formed(b), "page_id")
+    good = render_markdown(j.filter(F.col("well_formed")), dt.WIKI_BASE).withColumnRenamed("markdown", "body_markdown")
+    bad = j.filter(~F.col("well_formed")).select(
+        "page_id", F.concat(mk.tx.strip_tags("body"), F.lit("\n")).alias("body_markdown"))
+    return good.unionByName(bad)
 
 
 def _export_sql() -> str:

@@ -129,4 +129,5 @@ def join_inline_list(lst: str) -> str:
 
 
 def plain_inner(expr: str) -> str:
-    return join_inline_list(f"list_transform(regexp_extract_all({expr}, '[^<]+'), lambda p: {collapse_inline('p')})")
+    pieces = f"string_split(regexp_replace({expr}, '<[^>]*>', chr(1), 'g'), chr(1))"
+    return join_inline_list(f"list_transform({pieces}, lambda p: {collapse_inline('p')})")
