@@ -85,10 +85,15 @@ def _param(m: Column, name: str) -> Column:
     return _plain(inner)
 
 
+def _collapse(p: Column) -> Column:
+    """T8 without the entity decode (decoding happens once per page, below)."""
+    return tx.single_line(F.replace(p, F.lit("\u00a0"), F.lit(" ")))
+
+
 def _plain(frag: Column) -> Column:
     """Plain text: text pieces between tags, each collapsed, space-joined."""
     pieces = F.split(F.regexp_replace(frag, r"<[^>]*>", "\u0001"), "\u0001", -1)
-    return tx.join_inline(F.transform(pieces, tx.collapse_inline))
+    return tx.join_inline(F.transform(pieces, _collapse))
 
 
 def status_token(m: Column) -> Column:
@@ -122,7 +127,6 @@ def inline_spaced(frag: Column) -> Column:
     """Paragraph / cell inline text: pieces joined by single spaces."""
     v = _inline_elements(frag, " ")
     v = _rx(v, r"<[^>]+>", " ")
-    v = tx.html_unescape(v)
     v = F.replace(v, F.lit("\u00a0"), F.lit(" "))
     v = _rx(v, r"(?U)\s+", " ")
     v = _rx(v, r"(?U)\s+([,.;!?]|:(?!status\[))", "$1")
@@ -137,7 +141,6 @@ def inline_tight(frag: Column) -> Column:
     v = _rx(frag, r"(?U)\s*(<[^>]+>)\s*", "$1")
     v = _inline_elements(v, "")
     v = _rx(v, r"<[^>]+>", "")
-    v = tx.html_unescape(v)
     v = F.replace(v, F.lit("\u00a0"), F.lit(" "))
     v = _rx(v, r"(?U)[ \t\r\f\x0B]+", " ")
     v = F.replace(v, F.lit(BR), F.lit("\n"))
@@ -359,12 +362,13 @@ def _tables_stage(df):
     per_slot = tables.groupBy("page_id", "slot").agg(
         F.array_sort(F.collect_list(F.struct("table_no", "md"))).alias("__tables"))
     # placeholders carry the table's position among the slot's tables
-    d = df.withColumn(V, F.array_join(F.zip_with(
+    has_table = F.instr(F.lower(F.col(V)), "<table") > 0
+    d = df.withColumn(V, F.when(~has_table, F.col(V)).otherwise(F.array_join(F.zip_with(
         F.split(F.col(V), TABLE_RE, -1),
         F.concat(F.transform(F.regexp_extract_all(F.col(V), F.lit(TABLE_RE), 0),
                              lambda m, i: F.concat(F.lit(T_OPEN), i.cast("string"), F.lit(T_CLOSE))),
                  F.array(F.lit(""))),
-        lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))), ""))
+        lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))), "")))
     d = d.join(per_slot, ["page_id", "slot"], "left")
     d = d.withColumn(V, _splice(F.col(V), f"{T_OPEN}[0-9]+{T_CLOSE}", lambda m: tx.let(
         F.regexp_extract(m, "([0-9]+)", 1).cast("int"), lambda n: F.coalesce(F.element_at(
@@ -375,17 +379,28 @@ def _tables_stage(df):
 
 def _block_stages(df, base_url: str, diagram_macro: str | None):
     """All block stages over column ``V`` (page id in ``page_id``)."""
-    sp = lambda pat, fn: (lambda c: _splice(c, pat, fn, bind=False))
+    def sp(pat, fn, *needles):
+        """Splice stage, skipped (no regex pass) on rows containing none of the needles."""
+        def stage(c: Column) -> Column:
+            out = _splice(c, pat, fn, bind=False)
+            if not needles:
+                return out
+            low = F.lower(c)
+            present = F.lit(False)
+            for n in needles:
+                present = present | (F.instr(low, n) > 0)
+            return F.when(present, out).otherwise(c)
+        return stage
     df = _stage(df, sp(ANY_MACRO_RE, lambda m: F.regexp_extract(
-        m, r"(?is)<ac:rich-text-body\b[^>]*>(.*)</ac:rich-text-body\s*>", 1)), "macros")
+        m, r"(?is)<ac:rich-text-body\b[^>]*>(.*)</ac:rich-text-body\s*>", 1), "<ac:structured-macro"), "macros")
     df = _stage(df, lambda c: _rx(c, r"(?is)<ac:structured-macro\b[^>]*/>", ""), "empty_macros")
     df = _stage(df, sp(IMAGE_RE, lambda m: tx.let(
         F.regexp_extract(m, r"(?is)<ri:attachment\b[^>]*ri:filename\s*=\s*" + _ATTR, 1),
         lambda f: F.when(f != "", F.concat(F.lit(" !["), f, F.lit("]("),
                                            tx.attachment_link(F.lit(base_url), F.col("page_id").cast("string"), f),
-                                           F.lit(") "))).otherwise(F.lit("")))), ("images", base_url))
+                                           F.lit(") "))).otherwise(F.lit(""))), "<ac:image"), ("images", base_url))
     for _ in range(LIST_PASSES):
-        df = _stage(df, sp(LIST_RE, _render_list), "lists")
+        df = _stage(df, sp(LIST_RE, _render_list, "<ul", "<ol"), "lists")
     df = _tables_stage(df)
     df = _stage(df, sp(HEADING_RE, lambda m: tx.let(_plain(m), lambda t: F.when(
         t != "", F.concat(F.lit("\n\n"), F.repeat(F.lit("#"), F.regexp_extract(m, r"(?is)^<h([1-6])", 1).cast("int")),
@@ -489,5 +504,9 @@ def render_markdown(pages, base_url: str, diagram_macro: str | None = None, id_c
                  F.transform(F.slice("rows", 2, 1 << 30), quoted).alias("__q"))
     g = g.withColumn(V, _splice(F.col(V), "\ue007[0-9]+\ue008", lambda m: F.coalesce(F.element_at(
         F.col("__q"), F.regexp_extract(m, "([0-9]+)", 1).cast("int") + 1), F.lit("")), bind=False))
+    # Entities: in well-formed storage markup only XML and numeric ones occur.
+    # The reference decodes each text piece and then the whole page again;
+    # decoding the rendered page twice gives the same text.
+    g = g.withColumn(V, tx.html_unescape(F.col(V)))
     g = g.withColumn(V, postprocess(F.col(V)))
     return g.select("page_id", F.concat(tx.clean_text(F.col(V)), F.lit("\n")).alias("markdown"))

@@ -222,11 +222,12 @@ BATCH_LIMIT = 3
 
 def customer_batches(orders: DataFrame) -> DataFrame:
     """orders re-paged per customer: batches of 3 by order key; for every
-    5th customer the third batch is missing, so its chain stops early.
-    (The numbering window is per customer; its size is that customer's orders.)"""
-    from pyspark.sql import Window
-    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
-    o = orders.select("o_custkey", "o_orderkey", (F.row_number().over(w) - 1).alias("rn"))
+    5th customer the third batch is missing, so its chain stops early."""
+    from ..plans.scans import ordered_running_sum
+    # per-customer numbering with the skew-safe two-level running count
+    o = ordered_running_sum(orders.select("o_custkey", "o_orderkey", F.lit(1).alias("one")),
+                            ["o_custkey"], "o_orderkey", "one", "n", bucket_width=1 << 12)
+    o = o.select("o_custkey", "o_orderkey", (F.col("n") - 1).alias("rn"))
     o = o.withColumn("batch_no", F.floor(F.col("rn") / BATCH_LIMIT))
     o = o.filter(~((F.col("o_custkey") % 5 == 0) & (F.col("batch_no") == 2)))
     return o.groupBy("o_custkey", "batch_no").agg(

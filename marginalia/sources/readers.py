@@ -51,7 +51,8 @@ def read_createmeta(spark: SparkSession, path: str, project: str, issue_type: st
 
 def read_markdown(spark: SparkSession, glob: str) -> DataFrame:
     """Exported documents as ``(path, text)`` rows, one per file (whole text)."""
-    return (spark.read.option("wholetext", True).text(glob)
+    # text()'s own ``wholetext`` argument overrides an option set earlier
+    return (spark.read.text(glob, wholetext=True)
             .select(F.input_file_name().alias("path"), F.col("value").alias("text")))
 
 
