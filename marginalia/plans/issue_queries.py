@@ -26,8 +26,8 @@ _ISSUE_COLS = "id, key, summary, status, issue_type, project_key, assignee, repo
 
 
 def _issues(spark: SparkSession, sf: str, with_comments: bool = False) -> DataFrame:
-    li = dt.table(spark, sf, "lineitem") if with_comments else None
-    return dt.issues(dt.table(spark, sf, "orders"), dt.table(spark, sf, "customer"), li)
+    li = spread(dt.table(spark, sf, "lineitem")) if with_comments else None
+    return dt.issues(spread(dt.table(spark, sf, "orders")), dt.table(spark, sf, "customer"), li)
 
 
 @register("issue_summary", f"WITH {_ISSUE_CTE} SELECT {_ISSUE_COLS} FROM iss")

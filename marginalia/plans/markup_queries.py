@@ -188,8 +188,9 @@ def q_part_markdown(spark: SparkSession, sf: str) -> DataFrame:
     """D19 body: structured rendering of well-formed markup, strip-tags
     fallback otherwise (strict parity)."""
     from ..operators.storage_md import render_markdown
-    b = part_markup(dt.table(spark, sf, "part"))
-    j = b.join(mk.well_formed(b), "page_id")
+    b = part_markup(spread(dt.table(spark, sf, "part")))
+    # both branches (structured / fallback) read the well-formedness result
+    j = b.join(mk.well_formed(b), "page_id").persist(StorageLevel.MEMORY_AND_DISK)
     good = render_markdown(j.filter(F.col("well_formed")), dt.WIKI_BASE).withColumnRenamed("markdown", "body_markdown")
     bad = j.filter(~F.col("well_formed")).select(
         "page_id", F.concat(mk.tx.strip_tags("body"), F.lit("\n")).alias("body_markdown"))
