@@ -106,6 +106,17 @@ def well_formed(pages: DataFrame, id_col: str = "page_id", body_col: str = "body
     return j.select("page_id", ok.alias("well_formed"))
 
 
+def markup_blocks(tokens: DataFrame) -> DataFrame:
+    """Top-level blocks ``(page_id, pos, kind, name)``: every depth-0
+    element (open, self-closing or void tag) and every non-blank depth-0 text
+    run, in document order."""
+    t = tokens.filter((F.col("depth") == 0) & (
+        F.col("kind").isin("open", "selfclose", "void")
+        | ((F.col("kind") == "text") & (tx.strip(F.col("text")) != ""))))
+    return t.select("page_id", "pos", F.when(F.col("kind") == "text", F.lit("text")).otherwise(F.lit("element"))
+                    .alias("kind"), F.when(F.col("kind") == "text", F.lit(None)).otherwise(F.col("name")).alias("name"))
+
+
 def _plain_inner(inner: Column) -> Column:
     """Plain text of a fragment: text pieces between tags, each T8-collapsed,
     then T9-joined (the reference's ``itertext`` + join)."""

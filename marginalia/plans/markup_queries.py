@@ -240,3 +240,80 @@ def q_export_markdown(spark: SparkSession, sf: str) -> DataFrame:
     body = payload.select("page_id", "body")
     wf = mk.well_formed(body)
     return mk.export_markdown(payload, wf, dt.WIKI_BASE, EXPORTED_AT, hubs=hub_md)
+
+
+# --------------------------------------------------------------------------
+# D2 blocks, D7 cells, D9/D10 key/content tables
+# --------------------------------------------------------------------------
+
+@register("markup_blocks", f"""WITH {_PART_BODY_SQL},
+src AS (SELECT -1 - page_id AS page_id, body FROM pm), {_tokens_sql("src")}
+SELECT page_id, pos, CASE WHEN kind = 'text' THEN 'text' ELSE 'element' END AS kind,
+  CASE WHEN kind = 'text' THEN NULL ELSE name END AS name
+FROM tk WHERE depth = 0 AND (kind IN ('open', 'selfclose', 'void')
+  OR (kind = 'text' AND regexp_replace(tok, '^\\s+|\\s+$', '', 'g') <> ''))""")
+def q_markup_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """D1 + D2: top-level block sequence of the generated storage markup."""
+    parts = part_markup(dt.table(spark, sf, "part")).select((-1 - F.col("page_id")).alias("page_id"), "body")
+    return mk.markup_blocks(mk.markup_tokens(parts))
+
+
+def region_tables(region: DataFrame, nation: DataFrame) -> DataFrame:
+    """region x nation -> one storage page per region holding a key/content
+    table (Item / Description / Notes) and a plain table (Name / Key)."""
+    rows = nation.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct(
+        "n_nationkey", "n_name"))).alias("ns"))
+    j = region.join(rows, region["r_regionkey"] == rows["n_regionkey"], "left")
+    kc = F.array_join(F.transform(F.coalesce("ns", F.array()), lambda n: F.concat(
+        F.lit("<tr><td>"), n.getField("n_name"), F.lit("</td><td><p>Key "), n.getField("n_nationkey").cast("string"),
+        F.lit("</p></td><td>Region "), F.col("r_name"), F.lit("</td></tr>"))), "")
+    plain = F.array_join(F.transform(F.coalesce("ns", F.array()), lambda n: F.concat(
+        F.lit("<tr><td>"), n.getField("n_name"), F.lit("</td><td><strong>"),
+        n.getField("n_nationkey").cast("string"), F.lit("</strong></td></tr>"))), "")
+    body = F.concat(F.lit("<table><tbody><tr><th>Item</th><th>Description</th><th>Notes</th></tr>"), kc,
+                    F.lit("</tbody></table><table><tbody><tr><th>Name</th><th>Key</th></tr>"), plain,
+                    F.lit("</tbody></table>"))
+    return j.select(F.col("r_regionkey").cast("string").alias("page_id"), body.alias("body"))
+
+
+@register("table_cells", """SELECT CAST(r_regionkey AS VARCHAR) AS page_id, -1 AS slot, t.table_no,
+  CAST(t.row_no AS INTEGER) AS row_no, CAST(t.col_no AS INTEGER) AS col_no, t.flat
+FROM region, (VALUES (0, 0, 0, 'Item'), (0, 0, 1, 'Description'), (0, 0, 2, 'Notes'),
+                     (1, 0, 0, 'Name'), (1, 0, 1, 'Key')) AS t(table_no, row_no, col_no, flat)
+UNION ALL
+SELECT CAST(n_regionkey AS VARCHAR), -1, 0, CAST(rn AS INTEGER), CAST(c.col_no AS INTEGER),
+  CASE c.col_no WHEN 0 THEN n_name WHEN 1 THEN 'Key ' || CAST(n_nationkey AS VARCHAR)
+       ELSE 'Region ' || r_name END
+FROM (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS rn FROM nation)
+  JOIN region ON n_regionkey = r_regionkey, (VALUES (0), (1), (2)) AS c(col_no)
+UNION ALL
+SELECT CAST(n_regionkey AS VARCHAR), -1, 1, CAST(rn AS INTEGER), CAST(c.col_no AS INTEGER),
+  CASE c.col_no WHEN 0 THEN n_name ELSE '**' || CAST(n_nationkey AS VARCHAR) || '**' END
+FROM (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS rn FROM nation),
+  (VALUES (0), (1)) AS c(col_no)""")
+def q_table_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Table cells with their flattened (one-line) text."""
+    from ..operators import storage_md as smd
+    pages = region_tables(dt.table(spark, sf, "region"), dt.table(spark, sf, "nation"))
+    u = pages.select("page_id", F.lit(-1).alias("slot"), F.col("body").alias(smd.V))
+    cells = smd.table_cells(u)
+    return cells.select("page_id", "slot", F.col("table_no").cast("int"), F.col("row_no").cast("int"),
+                        F.col("col_no").cast("int"), smd.flatten_cell(F.col("cell")).alias("flat"))
+
+
+@register("region_table_markdown", """WITH n AS (
+  SELECT n_regionkey, n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT CAST(r_regionkey AS VARCHAR) AS page_id,
+  COALESCE((SELECT string_agg('#### ' || n_name || chr(10) || chr(10) || 'Key ' || CAST(n_nationkey AS VARCHAR)
+                  || chr(10) || chr(10) || '**Notes:** Region ' || r_name, chr(10) || chr(10) ORDER BY n_nationkey)
+            FROM n WHERE n.n_regionkey = region.r_regionkey), '')
+  || chr(10) || chr(10) || '| Name | Key |' || chr(10) || '| --- | --- |'
+  || COALESCE((SELECT string_agg(chr(10) || '| ' || n_name || ' | **' || CAST(n_nationkey AS VARCHAR) || '** |', ''
+                  ORDER BY n_nationkey) FROM n WHERE n.n_regionkey = region.r_regionkey), '')
+  || chr(10) AS markdown
+FROM region""")
+def q_region_table_markdown(spark: SparkSession, sf: str) -> DataFrame:
+    """A key/content table rendered as sections, a plain table as Markdown."""
+    from ..operators.storage_md import render_markdown
+    pages = region_tables(dt.table(spark, sf, "region"), dt.table(spark, sf, "nation"))
+    return render_markdown(pages, dt.WIKI_BASE)
