@@ -178,7 +178,8 @@ def preview_update(valid: DataFrame, pages: DataFrame) -> DataFrame:
         F.col("body_html").isNotNull().alias("body_replaced"),
         F.col("append_html").isNotNull().alias("body_appended"),
         "body_source",
-        F.when(F.col("append_html").isNotNull(), F.lit("storage_html")).alias("append_source"),
+        (F.col("append_source") if "append_source" in j.columns else
+         F.when(F.col("append_html").isNotNull(), F.lit("storage_html"))).alias("append_source"),
         F.length("current_body").alias("current_body_length"),
         F.length(nxt_body).alias("next_body_length"),
         tx.preview_html(nxt_body).alias("body_preview"))
@@ -271,3 +272,27 @@ def apply_comments(comments: DataFrame, valid: DataFrame) -> DataFrame:
     new = c.select("issue_key", F.lit(None).cast("long").alias("ordinal"),
                    F.concat(F.lit("new-"), F.col("request_id")).alias("id"), F.col("comment_body").alias("body"))
     return comments.select("issue_key", "ordinal", "id", "body").unionByName(new)
+
+
+def resolve_bodies(changes: DataFrame, mermaid_macro: str | None = None) -> DataFrame:
+    """V7: the storage body of each request: ``body_html`` if given, else
+    ``body_markdown`` converted by the Markdown importer (M12); the same for
+    the appended part. Adds ``append_source``; ``body_source`` comes from
+    ``validate_changes``. Only requests that carry Markdown are converted.
+    """
+    from .markdown import import_markdown
+    md = changes.filter(F.col("body_markdown").isNotNull() & F.col("body_html").isNull()).select(
+        F.concat(F.col("request_id"), F.lit("\u0000body")).alias("doc_id"), F.col("body_markdown").alias("text"))
+    ap = changes.filter(F.col("append_markdown").isNotNull() & F.col("append_html").isNull()).select(
+        F.concat(F.col("request_id"), F.lit("\u0000append")).alias("doc_id"), F.col("append_markdown").alias("text"))
+    conv = import_markdown(md.unionByName(ap), mermaid_macro)
+    body = conv.filter(F.col("doc_id").endswith("\u0000body")).select(
+        F.substring_index("doc_id", "\u0000", 1).alias("request_id"), F.col("html").alias("__body"))
+    app = conv.filter(F.col("doc_id").endswith("\u0000append")).select(
+        F.substring_index("doc_id", "\u0000", 1).alias("request_id"), F.col("html").alias("__append"))
+    out = changes.join(body, "request_id", "left").join(app, "request_id", "left")
+    return (out.withColumn("append_source", F.when(F.col("append_html").isNotNull(), "storage_html")
+                           .when(F.col("append_markdown").isNotNull(), "markdown"))
+            .withColumn("body_html", F.coalesce("body_html", "__body"))
+            .withColumn("append_html", F.coalesce("append_html", "__append"))
+            .drop("__body", "__append"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import markdown as md
 from ..sources import driver_tables as dt
+from . import sqlgen as q
 from .catalog import register
 from .partitioning import spread
 
@@ -90,3 +91,29 @@ def q_markdown_blocks(spark: SparkSession, sf: str) -> DataFrame:
     docs = part_markdown_docs(dt.table(spark, sf, "part"))
     b = md.markdown_blocks(md.classify_lines(md.markdown_lines(docs))).filter(F.col("block_start"))
     return b.select("doc_id", F.col("block_no").cast("int"), "kind")
+
+
+def part_create_changes(part: DataFrame) -> DataFrame:
+    """Dry-run create-page requests whose bodies are the part Markdown documents."""
+    from ..sources.schemas import CHANGE_DDL, struct_type
+    docs = part_markdown_docs(part)
+    cols = {"request_id": F.concat(F.lit("md-"), F.col("doc_id").cast("string")), "seq": F.col("doc_id"),
+            "action": F.lit("create-page"), "allow_write": F.lit(False), "dry_run": F.lit(True),
+            "space_key": F.lit("DOCS"), "title": F.concat(F.lit("Part "), F.col("doc_id").cast("string")),
+            "body_markdown": F.col("text")}
+    return docs.select(*[(cols[f.name] if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
+                         for f in struct_type(CHANGE_DDL).fields])
+
+
+@register("markdown_create_previews", f"""WITH imp AS ({_IMPORT_SQL})
+SELECT 'md-' || CAST(doc_id AS VARCHAR) AS request_id, 'DOCS' AS space_key, CAST(NULL AS VARCHAR) AS parent_id,
+  'Part ' || CAST(doc_id AS VARCHAR) AS title, 'markdown' AS body_source,
+  CAST(length(html) AS INTEGER) AS body_length, {q.preview_html("html")} AS body_preview
+FROM imp""")
+def q_markdown_create_previews(spark: SparkSession, sf: str) -> DataFrame:
+    """V7 + M12 + B1: create previews whose Markdown bodies are converted first."""
+    from ..operators import changes as ch
+    changes = part_create_changes(spread(dt.table(spark, sf, "part")))
+    allow = spark.createDataFrame([], "kind string, value string")
+    v = ch.resolve_bodies(ch.validate_changes(changes, allow), MERMAID_MACRO)
+    return ch.preview_create(v)

@@ -104,3 +104,38 @@ def test_offset_batches(spark):
     assert [r.item.id for r in got.orderBy("position").collect()] == ["1", "2", "3"]
     assert merge_offset_batches(mk([(0, ["1", "2"]), (2, ["3", "4"]), (4, [])]), 2).count() == 4
     assert merge_offset_batches(mk([(0, ["1"]), (1, ["2", "3"])]), 2).count() == 1
+
+
+def _change_rows(spark, rows):
+    from marginalia.sources.schemas import CHANGE_DDL
+    schema = struct_type(CHANGE_DDL)
+    full = []
+    for r in rows:
+        base = {f.name: None for f in schema.fields}
+        base.update(r)
+        full.append(base)
+    return spark.createDataFrame(full, schema)
+
+
+def test_markdown_create_preview(spark):
+    changes = _change_rows(spark, [dict(request_id="r1", seq=1, action="create-page", allow_write=False,
+                                        dry_run=True, space_key="DOCS", parent_id="100001", title="Demo Page",
+                                        body_markdown="# Demo\n\n- Item A")])
+    allow = spark.createDataFrame([], "kind string, value string")
+    v = ch.resolve_bodies(ch.validate_changes(changes, allow))
+    p = ch.preview_create(v).first()
+    assert p.body_source == "markdown" and "Demo" in p.body_preview
+    assert v.first().body_html == "<h1>Demo</h1><ul><li>Item A</li></ul>"
+
+
+def test_update_preview_with_markdown_append(spark):
+    changes = _change_rows(spark, [dict(request_id="r2", seq=1, action="update-page", allow_write=True,
+                                        dry_run=True, page_id="1", title="New title", append_markdown="More **text**")])
+    allow = spark.createDataFrame([], "kind string, value string")
+    v = ch.resolve_bodies(ch.validate_changes(changes, allow))
+    live = spark.createDataFrame([("1", "Old", "<p>a</p>", 3, "S", None)],
+                                 "id string, title string, body string, version long, space_key string,"
+                                 " webui_url string")
+    p = ch.preview_update(v, live).first()
+    assert p.body_appended and p.next_title == "New title" and p.title_changed
+    assert p.append_source == "markdown" and p.next_body_length == len("<p>a</p><p>More <strong>text</strong></p>")
