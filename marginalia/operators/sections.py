@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..session import ensure_checkpoint_dir
 from .markup import _plain_inner, markup_tokens
 
 
@@ -92,3 +93,33 @@ def replace_sections(pages: DataFrame, edits: DataFrame, id_col: str = "page_id"
         F.when(ok, tx.preview_html(new)).alias("new_section_preview"),
         F.when(ok, tx.preview_html(updated)).alias("resulting_body_preview"),
     )
+
+
+def replace_sections_folded(pages: DataFrame, edits: DataFrame, id_col: str = "page_id", body_col: str = "body",
+                            max_rounds: int = 64) -> tuple[DataFrame, DataFrame]:
+    """E3 with several edits per page: edits are applied in ``seq`` order, each
+    to the body left by the previous one.
+
+    Round r applies every page's r-th edit in one distributed pass; the driver
+    loop runs as many rounds as the largest number of edits on one page (a
+    change-set property, checked once). Returns ``(results, next_bodies)``.
+    """
+    from pyspark.sql import Window
+    body = pages.select(F.col(id_col).alias("page_id"), F.col(body_col).alias("body"))
+    ranked = edits.withColumn("__round", F.row_number().over(Window.partitionBy("page_id").orderBy("seq")))
+    rounds = ranked.agg(F.max("__round")).first()[0] or 0
+    if rounds > max_rounds:
+        raise ValueError(f"{rounds} edits on one page exceed max_rounds={max_rounds}")
+    results = None
+    for r in range(1, rounds + 1):
+        step = ranked.filter(F.col("__round") == r).drop("__round")
+        res = replace_sections(body, step).cache()
+        results = res if results is None else results.unionByName(res)
+        updated = res.filter(F.col("status") == "ok").select("page_id", F.col("updated_body_html").alias("__new"))
+        body = (body.join(updated, "page_id", "left")
+                .select("page_id", F.coalesce("__new", "body").alias("body")))
+        if r % 8 == 0:
+            # cut lineage in the shared checkpoint folder
+            ensure_checkpoint_dir(body.sparkSession)
+            body = body.checkpoint(eager=True)
+    return results, body

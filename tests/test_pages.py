@@ -139,3 +139,14 @@ def test_update_preview_with_markdown_append(spark):
     p = ch.preview_update(v, live).first()
     assert p.body_appended and p.next_title == "New title" and p.title_changed
     assert p.append_source == "markdown" and p.next_body_length == len("<p>a</p><p>More <strong>text</strong></p>")
+
+
+def test_replace_sections_folded(spark):
+    body = "<h2>A</h2><p>a</p><h2>B</h2><p>b</p>"
+    pages = spark.createDataFrame([("1", body)], "page_id string, body string")
+    edits = spark.createDataFrame([(2, "1", "B", "<p>b2</p>"), (1, "1", "A", "<p>a2</p>"),
+                                   (3, "1", "A", "<p>a3</p>")],
+                                  "seq long, page_id string, heading string, replacement_html string")
+    res, nxt = se.replace_sections_folded(pages, edits)
+    assert nxt.first().body == "<h2>A</h2><p>a3</p><h2>B</h2><p>b2</p>"
+    assert sorted((r.seq, r.status) for r in res.collect()) == [(1, "ok"), (2, "ok"), (3, "ok")]
