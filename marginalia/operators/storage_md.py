@@ -105,7 +105,12 @@ def status_token(m: Column) -> Column:
 
 def _link(m: Column) -> Column:
     href = F.regexp_extract(m, r"(?is)^<a\b[^>]*\bhref\s*=\s*" + _ATTR, 1)
-    text = _plain(F.regexp_extract(m, r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1))
+    inner = F.regexp_extract(m, r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1)
+    # link text keeps simple inline emphasis (pieces space-joined, as in paragraphs)
+    inner = _rx(inner, r"(?is)<(strong|b)\b[^>]*>\s*(.*?)\s*</\1\s*>", " **$2** ")
+    inner = _rx(inner, r"(?is)<(em|i)\b[^>]*>\s*(.*?)\s*</\1\s*>", " *$2* ")
+    inner = _rx(inner, r"(?is)<code\b[^>]*>\s*(.*?)\s*</code\s*>", " `$1` ")
+    text = _plain(inner)
     text = F.when(text != "", text).otherwise(href)
     return F.when(href != "", F.concat(F.lit("["), text, F.lit("]("), href, F.lit(")"))).otherwise(text)
 
