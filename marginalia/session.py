@@ -43,8 +43,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    The cluster names it; only when it is unset (local tests) do we pick a
-    scratch folder ourselves.
+    The cluster names it; only when it is unset on a local master (tests) do
+    we pick a scratch folder ourselves. On a cluster an unset value is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir()
@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local"):
+        # a machine-local folder is not reachable from other executors
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     local = tempfile.mkdtemp(prefix="marginalia-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
