@@ -182,12 +182,6 @@ def _expand_levels(v: Column) -> Column:
     return v
 
 
-def render_lists(v: Column) -> Column:
-    for _ in range(LIST_PASSES):
-        v = _splice(v, LIST_RE, _render_list)
-    return v
-
-
 # --------------------------------------------------------------------------
 # tables (D7-D10)
 # --------------------------------------------------------------------------
@@ -222,51 +216,6 @@ def _key_set(words: list[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
 
-def render_table(m: Column) -> Column:
-    """Markdown table, or key/content sections."""
-    m = _rx(m, r"(?is)<(t[hd])\b([^>]*)/>", "<$1$2></$1>")
-    rows = F.regexp_extract_all(m, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), 1)
-    cells = F.filter(F.transform(rows, lambda r: F.regexp_extract_all(
-        r, F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]\s*>"), 1)), lambda c: F.size(c) > 0)
-
-    def go(cs: Column) -> Column:
-        headers = F.transform(F.element_at(cs, 1), flatten_cell)
-        structured = ((F.size(headers) >= 2)
-                      & F.array_contains(_key_set(KEY_HEADERS), tx.normalize_header(F.element_at(headers, 1)))
-                      & F.array_contains(_key_set(CONTENT_HEADERS), tx.normalize_header(F.element_at(headers, 2))))
-        flat = F.transform(cs, lambda r: F.transform(r, flatten_cell))
-        width = F.array_max(F.transform(flat, F.size))
-        padded = F.transform(flat, lambda r: F.concat(r, F.array_repeat(F.lit(""), width - F.size(r))))
-        md_lines = F.concat(
-            F.array(F.concat(F.lit("| "), F.array_join(F.element_at(padded, 1), " | "), F.lit(" |")),
-                    F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), width), " | "), F.lit(" |"))),
-            F.transform(F.slice(padded, 2, 1 << 30),
-                        lambda r: F.concat(F.lit("| "), F.array_join(r, " | "), F.lit(" |"))))
-        md_table = F.array_join(md_lines, "\n")
-
-        def section(r: Column) -> Column:
-            title = F.coalesce(F.nullif(flatten_cell(F.element_at(r, 1)), F.lit("")), F.lit("Item"))
-            content = F.when(F.size(r) > 1, cell_content(F.element_at(r, 2))).otherwise(F.lit(""))
-            extras = F.transform(F.sequence(F.lit(3), F.greatest(F.size(headers), F.lit(3))), lambda idx: F.when(
-                (idx <= F.size(headers)) & (idx <= F.size(r)),
-                tx.let(cell_content(F.element_at(r, idx)), lambda c: F.when(c == "", F.lit("")).otherwise(
-                    tx.let(F.coalesce(F.nullif(tx.strip(F.element_at(headers, idx)), F.lit("")),
-                                      F.concat(F.lit("Note "), (idx - 1).cast("string"))),
-                           lambda label: F.when(
-                               (F.instr(c, "\n") > 0) | c.rlike(r"^(-|\||!\[|#|```)"),
-                               F.concat(F.lit("**"), label, F.lit("**\n\n"), c, F.lit("\n\n")))
-                           .otherwise(F.concat(F.lit("**"), label, F.lit(":** "), c, F.lit("\n\n"))))))
-            ).otherwise(F.lit("")))
-            return F.concat(F.lit("#### "), title, F.lit("\n\n"),
-                            F.when(content != "", F.concat(content, F.lit("\n\n"))).otherwise(F.lit("")),
-                            F.array_join(extras, ""))
-
-        sections = tx.strip(F.array_join(F.transform(F.slice(cs, 2, 1 << 30), section), ""))
-        return F.when(F.size(cs) == 0, F.lit("")).when(structured, sections).otherwise(md_table)
-
-    return F.concat(F.lit("\n\n"), tx.let(cells, go), F.lit("\n\n"))
-
-
 # --------------------------------------------------------------------------
 # blocks and the whole body (a DataFrame pipeline: one column step per stage,
 # so no stage nests inside another)
