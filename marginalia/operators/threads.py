@@ -88,7 +88,7 @@ def _status_rank(c: Column) -> Column:
     return expr
 
 
-def thread_rollup(assigned: DataFrame) -> DataFrame:
+def thread_rollup(assigned: DataFrame, parsed_time: bool = False) -> DataFrame:
     """One row per (page_id, thread_key).
 
     The excerpt is rendered only for each thread's latest comment (after the
@@ -96,7 +96,8 @@ def thread_rollup(assigned: DataFrame) -> DataFrame:
 
     status: any open > any dangling > any resolved > last comment's status.
     latest comment: max created_at compared as a string (null as ''), first
-    in arrival order on ties.
+    in arrival order on ties. ``parsed_time=True`` compares parsed instants
+    instead (timestamps with different UTC offsets then order correctly).
     """
     g = assigned.groupBy("page_id", "thread_key").agg(
         F.count(F.lit(1)).alias("comment_count"),
@@ -105,7 +106,8 @@ def thread_rollup(assigned: DataFrame) -> DataFrame:
             F.col("position").alias("p"), F.col("id").alias("id"),
             F.col("selection").alias("selection"), F.col("marker_ref").alias("marker_ref")))).alias("anchor"),
         F.min("page_first_id").alias("page_first_id"),
-        F.max(F.struct(F.coalesce(F.col("created_at"), F.lit("")).alias("t"),
+        F.max(F.struct((F.coalesce(F.col("created_at"), F.lit("")) if not parsed_time else
+                        F.coalesce(F.try_to_timestamp(F.col("created_at")).cast("string"), F.lit(""))).alias("t"),
                        (-F.col("position")).alias("np"),
                        F.col("created_at").alias("created_at"),
                        F.col("body_html").alias("body"),

@@ -107,3 +107,12 @@ def test_digest_lines(spark):
     md = th.assemble_lines(lines).first().markdown
     for h in ("# Demo - Inline Comment Summary", "## Quick Summary", "## Threads", "### Open", "- `Sel`"):
         assert h in md
+
+
+def test_latest_parsed_time_opt_in(spark):
+    # 10:00+09:00 is 01:00Z, earlier than 09:00+00:00, but sorts later as a string
+    rows = [(1, "1", "m", None, "open", "2024-01-01T10:00:00+09:00", "u", "<p>tokyo</p>"),
+            (2, "2", None, None, "open", "2024-01-01T09:00:00+00:00", "u", "<p>london</p>")]
+    a, t = run(spark, rows)
+    assert t.first().latest_comment_excerpt == "tokyo"
+    assert th.thread_rollup(a, parsed_time=True).first().latest_comment_excerpt == "london"
