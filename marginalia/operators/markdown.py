@@ -13,9 +13,8 @@ Pipeline (all native expressions):
   headings, rules) with inline rendering (M8 plain, M9 tokens, M11 status)
   -> M12 ordered join of blocks per document.
 
-Known simplifications (documented in the README): a table inside a
-list item's indented continuation is treated as a block, and quotes nest at
-most ``QUOTE_DEPTH`` levels (deeper markers stay text).
+Known simplification (documented in the README): quotes nest at most
+``QUOTE_DEPTH`` levels (deeper markers stay text).
 """
 
 from __future__ import annotations
@@ -225,23 +224,26 @@ def classify_lines(lines: DataFrame) -> DataFrame:
         li.alias("is_item"),
         s.startswith(">").alias("is_quote"),
     )
-    # A fence line indented past the last list item (no blank or shallower
-    # line since it) is that item's continuation text, not a fence.
+    # Any non-item line indented past the last list item (no blank or
+    # shallower line since it) is that item's continuation text, whatever it
+    # looks like (heading, table, quote, fence).
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("li_ind", F.last(F.when(F.col("is_item"), F.col("indent")), ignorenulls=True).over(upto))
     d = d.withColumn("li_ln", F.max(F.when(F.col("is_item"), F.col("ln"))).over(upto))
     shallow = F.col("blank") | (~F.col("is_item") & (F.col("indent") <= F.coalesce("li_ind", F.lit(-1))))
     d = d.withColumn("li_break", F.max(F.when(shallow, F.col("ln"))).over(wrun))
-    fence_cont = (F.col("is_fence") & F.col("li_ln").isNotNull()
-                  & (F.col("li_ln") > F.coalesce(F.col("li_break"), F.lit(-1)))
-                  & (F.col("indent") > F.col("li_ind")))
-    d = d.withColumn("is_fence", F.col("is_fence") & ~fence_cont).drop("li_ind", "li_ln", "li_break")
+    list_cont = (~F.col("is_item") & ~F.col("blank") & F.col("li_ln").isNotNull()
+                 & (F.col("li_ln") > F.coalesce(F.col("li_break"), F.lit(-1)))
+                 & (F.col("indent") > F.col("li_ind")))
+    d = d.withColumn("list_cont", list_cont).drop("li_ind", "li_ln", "li_break")
+    d = d.withColumn("is_fence", F.col("is_fence") & ~F.col("list_cont"))
     d = d.withColumn("fences_before", F.coalesce(F.sum(F.col("is_fence").cast("int")).over(wrun), F.lit(0)))
     in_code = (F.col("fences_before") % 2 == 1)
     d = d.withColumn("code", in_code)  # code body or closing fence
     d = d.withColumn("next_sep", F.coalesce(F.lead("is_sep").over(w), F.lit(False)))
     kind = (F.when(F.col("code"), "code")
             .when(F.col("blank"), "blank")
+            .when(F.col("list_cont"), "text")
             .when(F.col("is_heading"), "heading")
             .when(F.col("is_hr"), "hr")
             .when(F.col("is_fence"), "fence")
