@@ -74,3 +74,9 @@ def test_link_text_keeps_emphasis(spark):
                                "page_id string, body string")
     md = sm.render_markdown(df, BASE).first().markdown
     assert "See [the **docs**](https://x.example.com)." in md
+
+
+def test_list_inside_paragraph(spark):
+    df = spark.createDataFrame([("1", "<p>text<ul><li>a</li><li>b</li></ul>more</p>")], "page_id string, body string")
+    md = sm.render_markdown(df, BASE).first().markdown
+    assert md == "text\n- a\n - b\nmore\n"
