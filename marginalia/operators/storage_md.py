@@ -139,9 +139,8 @@ def inline_spaced(frag: Column) -> Column:
     v = _rx(v, r"(?U)\s+\)", ")")
     # a list inside the paragraph: its own lines (rendered at indent 1, so
     # later items keep one space after the joiner's newline tidying)
-    v = _splice(v, f" ?{L_OPEN}[^{L_CLOSE}]*{L_CLOSE} ?", lambda m: F.concat(
-        F.lit("\n"), F.replace(F.regexp_replace(m, f"^ ?{L_OPEN}|{L_CLOSE} ?$", ""), F.lit(NL), F.lit(NL + " ")),
-        F.lit("\n")))
+    v = F.when(F.instr(v, L_OPEN) > 0, _rx(_rx(v, f" ?{L_OPEN}([^{L_CLOSE}]*){L_CLOSE} ?", "\n$1\n"),
+                                            NL, NL + " ")).otherwise(v)
     v = _rx(v, r" ?" + BR + " ?", "\n")
     return tx.strip(v)
 
