@@ -70,10 +70,14 @@ def process_batch(batch: DataFrame, batch_id: int, store_path: str, out_path: st
 
 
 def start_thread_rollup_stream(spark: SparkSession, source: DataFrame, store_path: str, out_path: str,
-                               checkpoint_path: str, base_url: str, buckets: int = 64,
+                               checkpoint_path: str | None, base_url: str, buckets: int = 64,
                                available_now: bool = False):
     """Start the streaming query over ``source`` (a streaming DataFrame of
-    COMMENT records). Returns the ``StreamingQuery``."""
+    COMMENT records). Returns the ``StreamingQuery``. Without an explicit
+    ``checkpoint_path`` the stream checkpoints under the session's shared
+    ``spark.checkpoint.dir``."""
+    if checkpoint_path is None:
+        checkpoint_path = ensure_checkpoint_dir(spark).rstrip("/") + "/thread-rollup-stream"
     writer = (source.writeStream
               .foreachBatch(lambda df, bid: process_batch(df, bid, store_path, out_path, base_url, buckets))
               .option("checkpointLocation", checkpoint_path))
