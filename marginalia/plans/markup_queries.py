@@ -106,7 +106,7 @@ src AS (SELECT page_id, html AS body FROM pages UNION ALL SELECT -1 - page_id AS
 
 
 @register("page_tokens", f"""WITH src AS (SELECT page_id, html AS body FROM pages), {_tokens_sql("src")}
-SELECT page_id, pos, kind, name, depth FROM tk""")
+SELECT page_id, CAST(pos AS INTEGER) AS pos, kind, name, CAST(depth AS BIGINT) AS depth FROM tk""")
 def q_page_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """Token table of every page with element depth."""
     t = mk.markup_tokens(_pages_body(spark, sf))
@@ -125,7 +125,8 @@ def q_markup_wellformed(spark: SparkSession, sf: str) -> DataFrame:
          regexp_extract_all(html, '{mk.HEADING_RE}', 2) AS inn FROM pages),
 u AS (SELECT page_id, unnest(generate_series(0, len(lv) - 1)) AS heading_no, unnest(lv) AS level,
              unnest(inn) AS inn FROM h),
-v AS (SELECT page_id, heading_no, CAST(level AS INTEGER) AS level, {q.plain_inner("inn")} AS text FROM u)
+v AS (SELECT page_id, CAST(heading_no AS INTEGER) AS heading_no, CAST(level AS INTEGER) AS level,
+             {q.plain_inner("inn")} AS text FROM u)
 SELECT * FROM v WHERE text <> ''""")
 def q_page_headings(spark: SparkSession, sf: str) -> DataFrame:
     """D3: heading level and plain text per page."""
@@ -141,7 +142,8 @@ _HREF_SQL = mk.HREF_RE.replace("'", "''")
 u AS (SELECT page_id, unnest(generate_series(0, len(att) - 1)) AS link_no, unnest(att) AS att, unnest(inn) AS inn
       FROM h),
 v AS (SELECT page_id, link_no, {q.plain_inner("inn")} AS t, regexp_extract(att, '{_HREF_SQL}', 1) AS href FROM u)
-SELECT page_id, link_no, CASE WHEN t <> '' THEN t ELSE href END AS text, href FROM v""")
+SELECT page_id, CAST(link_no AS INTEGER) AS link_no, CASE WHEN t <> '' THEN t ELSE href END AS text, href
+FROM v""")
 def q_page_links(spark: SparkSession, sf: str) -> DataFrame:
     """(text, href) of every link; text defaults to the href."""
     return mk.links(_pages_body(spark, sf))
@@ -207,7 +209,7 @@ hm AS (SELECT parent_id AS page_id, {q.lit(chr(10).join(nav.HUB_HEADER) + chr(10
          || string_agg(line, chr(10) ORDER BY ordinal) || chr(10) AS hub_md FROM r GROUP BY parent_id),
 e AS (SELECT pg.*, cc.child_count, hm.hub_md FROM pg LEFT JOIN cc ON pg.id = cc.parent_id
       LEFT JOIN hm ON pg.id = hm.page_id)
-SELECT page_id, {title} AS title,
+SELECT id AS page_id, {title} AS title,
   '---' || {nl} || 'title: "' || replace({title}, '"', chr(39)) || '"' || {nl}
   || 'confluence_page_id: ' || id || {nl} || 'confluence_version: ' || CAST(version AS VARCHAR) || {nl}
   || CASE WHEN parent_id IS NOT NULL THEN 'confluence_parent_page_id: ' || parent_id || {nl} ELSE '' END
@@ -248,7 +250,7 @@ def q_export_markdown(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("markup_blocks", f"""WITH {_PART_BODY_SQL},
 src AS (SELECT -1 - page_id AS page_id, body FROM pm), {_tokens_sql("src")}
-SELECT page_id, pos, CASE WHEN kind = 'text' THEN 'text' ELSE 'element' END AS kind,
+SELECT page_id, CAST(pos AS INTEGER) AS pos, CASE WHEN kind = 'text' THEN 'text' ELSE 'element' END AS kind,
   CASE WHEN kind = 'text' THEN NULL ELSE name END AS name
 FROM tk WHERE depth = 0 AND (kind IN ('open', 'selfclose', 'void')
   OR (kind = 'text' AND regexp_replace(tok, '^\\s+|\\s+$', '', 'g') <> ''))""")
