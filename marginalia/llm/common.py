@@ -105,3 +105,8 @@ class Remembered(dict):
             self.clear()
         self[key] = value
         return value
+
+
+def constant(values: list, kind: str) -> Column:
+    """A bounded list as one array constant: the optimizer folds it, so lambdas look elements up in place."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")

@@ -24,9 +24,11 @@ from .common import Remembered, map_rows, materialize, public_tokenizer
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 # Base rules.
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-# Bands: median plus or minus so many robust deviations, at least the floor.
-DEVIATIONS = 6.0
-FLOORS = {"piece_chars": 0.12, "byte_chars": 0.12, "fallback_share": 0.01, "entropy": 0.05}
+# Rejection bands: measure -> (scaled, deviations below, deviations above, least spread). A scaled
+# measure is a mean over the document's words, so its deviation from the median is multiplied by
+# sqrt(n_words) before it is compared with the group's spread.
+BANDS = {"byte_chars": (True, 3.5, 8.0, 0.3), "piece_chars": (True, 6.0, 9.0, 0.3),
+         "fallback_share": (False, None, 6.0, 0.01), "entropy": (False, 6.0, None, 0.02)}
 # Languages with fewer documents than this are held against the bands of all documents.
 MIN_GROUP = 30
 
@@ -160,41 +162,55 @@ def _base_failed():
     return (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n)
 
 
-def fertility_bands(features: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
-    """(grp, <measure>_low, <measure>_high ...) per language or script; grp null is the band of all documents."""
+def _off(measure: str):
+    """Deviation of a document from the median of its group."""
+    off = F.col(measure) - F.col(f"{measure}_median")
+    return off * F.sqrt("n_words") if BANDS[measure][0] else off
+
+
+def _spreads() -> list:
+    """Robust spread: the distance of the quartiles of the deviations, in standard deviations of a normal law."""
+    out = []
+    for m, (_, _, _, least) in BANDS.items():
+        q = F.percentile_approx(_off(m), [0.25, 0.75], 2000)
+        out.append(F.greatest((q[1] - q[0]) / 1.349, F.lit(least)).alias(f"{m}_spread"))
+    return out
+
+
+def fertility_bands(features: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bands per language or script, one row of bands over all documents): <measure>_median and _spread.
+
+    Both cover every document that passes the base rules; all aggregates are
+    partial, so a language that holds most rows doesn't gather in one task.
+    """
     passed = features.where(~_base_failed())
-    quartiles = [F.percentile_approx(m, [0.25, 0.5, 0.75], 2000).alias(m) for m in FLOORS]
-    per = passed.rollup("grp").agg(F.count(F.lit(1)).alias("n"), F.grouping("grp").alias("all"), *quartiles)
-    per = per.where((F.col("all") == 1) | (F.col("n") >= MIN_GROUP))
-    limits = []
-    for m, floor in FLOORS.items():
-        q = F.col(m)
-        width = deviations * F.greatest((q[2] - q[0]) / 1.349, F.lit(floor))
-        limits += [(q[1] - width).alias(f"{m}_low"), (q[1] + width).alias(f"{m}_high")]
-    return per.select("grp", "all", *limits)
-
-
-def judge(features: DataFrame, bands: DataFrame) -> DataFrame:
+    middles = [F.percentile_approx(m, 0.5, 2000).alias(f"{m}_median") for m in BANDS]
+    centre = passed.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), *middles).where(F.col("n") >= MIN_GROUP).drop("n")
+    own = passed.join(centre, "grp").groupBy("grp").agg(*_spreads()).join(centre, "grp")
+    whole = passed.agg(*middles)
+    placed = passed.withColumn("m", whole.select(F.struct(*whole.columns)).scalar()).select("*", "m.*")
+    general = placed.agg(*_spreads(), *[F.max(c).alias(c) for c in whole.columns])
+    return own, general
+
+
+def judge(features: DataFrame, bands: tuple[DataFrame, DataFrame]) -> DataFrame:
     """Features with base_failed, kept and the reasons of a rejection."""
-    limits = [c for c in bands.columns if c.endswith(("_low", "_high"))]
-    own = bands.where("all = 0").drop("all")
-    general = bands.where("all = 1").select(F.struct(*limits))
-    joined = features.join(own, "grp", "left").withColumn("general", general.scalar())
-    at = {c: F.coalesce(F.col(c), F.col(f"general.{c}")) for c in limits}
-    rules = {
-        "piece_chars_low": F.col("piece_chars") < at["piece_chars_low"],
-        "piece_chars_high": F.col("piece_chars") > at["piece_chars_high"],
-        "byte_chars_low": F.col("byte_chars") < at["byte_chars_low"],
-        "byte_chars_high": F.col("byte_chars") > at["byte_chars_high"],
-        "fallback_high": F.col("fallback_share") > at["fallback_share_high"],
-        "entropy_low": F.col("entropy") < at["entropy_low"],
-    }
-    reasons = F.array_join(F.filter(F.array(*[F.when(r, F.lit(n)) for n, r in rules.items()]), lambda x: x.isNotNull()), ",")
+    own, general = bands
+    limits = [c for c in own.columns if c != "grp"]
+    joined = (features.join(own, "grp", "left")
+              .withColumn("general", general.select(F.struct(*limits)).scalar()))
+    joined = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"general.{c}")) for c in limits})
+    rules = []
+    for m, (_, low, high, _) in BANDS.items():
+        z = _off(m) / F.col(f"{m}_spread")
+        rules += [F.when(z < -low, F.lit(f"{m}_low"))] if low else []
+        rules += [F.when(z > high, F.lit(f"{m}_high"))] if high else []
+    reasons = F.array_join(F.array_compact(F.array(*rules)), ",")
     return (joined.withColumn("base_failed", _base_failed()).withColumn("reasons", reasons)
             .withColumn("kept", ~F.col("base_failed") & (F.col("reasons") == "")).drop("general", *limits))
 
 
-def fertility_rules(docs: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
+def fertility_rules(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, lang, text): counts, measures, base_failed, kept, reasons.
 
     Null or blank texts have no words and fail the base rules. Repeated rows
@@ -204,11 +220,11 @@ def fertility_rules(docs: DataFrame, deviations: float = DEVIATIONS) -> DataFram
     no bands and the base rules alone decide.
     """
     features = materialize(fertility_features(docs), "fertility")
-    return judge(features, fertility_bands(features, deviations))
+    return judge(features, fertility_bands(features))
 
 
-def keep_fertile(docs: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
+def keep_fertile(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, all columns as they are."""
-    verdicts = fertility_rules(docs, deviations).where("kept").select(F.col("key").alias("__key")).distinct()
+    verdicts = fertility_rules(docs).where("kept").select(F.col("key").alias("__key")).distinct()
     keyed = docs.withColumn("__key", F.xxhash64("doc_id", F.col("lang").cast("string"), F.col("text").cast("string")))
     return keyed.join(verdicts, "__key", "left_semi").select(*docs.columns)
