@@ -101,7 +101,7 @@ class Remembered(dict):
             if len(key) > self.longest:
                 return value
         if len(self) >= self.limit:
-            self.old = dict(self)
+            self.old = self.copy()
             self.clear()
         self[key] = value
         return value

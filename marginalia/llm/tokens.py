@@ -9,10 +9,9 @@ pieces repeat: a bounded memo per Python worker holds their ids.
 from __future__ import annotations
 
 import re
+import struct
 from functools import lru_cache
 
-import numpy as np
-
 from .common import Remembered
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -20,8 +19,8 @@ VOCABULARY = "byte_bpe_50k.json"
 # calls white space: both sides of such a cut are independent.
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _DOUBLE = re.compile(r"\s\s")
-# Letters of every Unicode version, then one run of marks: two pre-tokens.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
+# Perhaps a newline, letters of every Unicode version, one run of marks: each a pre-token, a blank before letters included.
+_PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -37,32 +36,37 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
+        self.tokenize = self.tokenizer.model.tokenize
+        letters = _byte_letters()
+        self.blank = letters[32]
+        self.letters = str.maketrans({chr(b): c for b, c in letters.items()})
         self.first = Remembered(self._encode, 50_000)
-        self.later = Remembered(self._later)
-        self.stems = Remembered(self._stem)
+        self.later = Remembered(self._later, 500_000)
 
     def _encode(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _stem(self, stem: str) -> bytes:
-        """One pre-token of letters, perhaps after a blank."""
-        word = stem.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(word)], dtype="<u4").tobytes()
+    def _stem(self, letters: str) -> bytes:
+        """One pre-token in the byte-level alphabet."""
+        ids = [t.id for t in self.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _later(self, piece: str) -> bytes:
         """A piece after the first; a leading newline is kept in the key, a leading blank is not."""
-        if piece[:1] == "\n":
-            head, rest, blank = self.first["\n"], piece[1:], ""
-            if not rest:
-                return head
-        else:
-            head, rest, blank = b"", piece, " "
-        plain = _PLAIN.fullmatch(rest)
+        if piece.isascii() and piece.isalpha():
+            return self._stem(self.blank + piece)
+        plain = _PLAIN.fullmatch(piece)
         if plain is None:
-            return self._encode(piece if head else " " + piece)
-        return head + self.stems[blank + plain[1]] + (self.first[plain[2]] if plain[2] else b"")
+            return self._encode(piece if piece[:1] == "\n" else " " + piece)
+        newline, stem, marks = plain.groups()
+        if newline:
+            ids = self.first["\n"] + self.first[stem]
+        elif marks:
+            ids = self.later[stem]
+        else:
+            return self._stem(self.blank + stem.encode().decode("latin-1").translate(self.letters))
+        return ids + self.first[marks] if marks else ids
 
     def ids(self, text: str | None) -> bytes:
         if not text:
