@@ -186,7 +186,9 @@ def fertility_bands(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     passed = features.where(~_base_failed())
     middles = [F.percentile_approx(m, 0.5, 2000).alias(f"{m}_median") for m in BANDS]
     centre = passed.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), *middles).where(F.col("n") >= MIN_GROUP).drop("n")
-    own = passed.join(centre, "grp").groupBy("grp").agg(*_spreads()).join(centre, "grp")
+    # a written table has a known size: a few languages are broadcast, very many aren't
+    centre = materialize(centre, "fertility-centres")
+    own = materialize(passed.join(centre, "grp").groupBy("grp").agg(*_spreads()).join(centre, "grp"), "fertility-bands")
     whole = passed.agg(*middles)
     placed = passed.withColumn("m", whole.select(F.struct(*whole.columns)).scalar()).select("*", "m.*")
     general = placed.agg(*_spreads(), *[F.max(c).alias(c) for c in whole.columns])

@@ -16,11 +16,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import public_tokenizer, rows
+from .common import materialize, public_tokenizer, rows
 from .tokens import VOCABULARY, word_encoder
 
 # Lengths per block of the two-level suffix sums.
-BLOCK = 4096
+BLOCK = 256
 
 
 def encoded_lengths(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -47,8 +47,9 @@ def length_histogram(docs: DataFrame, text: str = "text", vocabulary: str = VOCA
     ascending length). Nulls and empty texts count as length 0; repeated rows
     count each time; an empty table gives no rows; other columns are not read.
     """
-    hist = (encoded_lengths(docs, text, vocabulary).groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
-            .withColumn("block", F.floor(F.col("n_tokens") / BLOCK)))
+    merged = encoded_lengths(docs, text, vocabulary).groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
+    # read twice below, so written once
+    hist = materialize(merged, "lengths").withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
     # level one: inside a block; level two: one row per block
     inside = Window.partitionBy("block").orderBy("n_tokens").rowsBetween(Window.unboundedPreceding, 0)
     tokens = F.col("n_tokens") * F.col("n_docs")

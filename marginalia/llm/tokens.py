@@ -18,7 +18,8 @@ VOCABULARY = "byte_bpe_50k.json"
 # Cut only at a blank or newline after a character that no Unicode version
 # calls white space: both sides of such a cut are independent.
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
-_DOUBLE = re.compile(r"\s\s")
+# Texts with two white-space characters in a row, or any but blank and newline, take the general cut.
+_UNUSUAL = ("  ", " \n", "\n ", "\n\n", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"))
 # Perhaps a newline, letters of every Unicode version, one run of marks: each a pre-token, a blank before letters included.
 _PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
 
@@ -71,7 +72,7 @@ class WordEncoder:
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _DOUBLE.search(text):
+        if any(map(text.__contains__, _UNUSUAL)):
             return b"".join(map(self.first.__getitem__, _CUT.split(text)))
         pieces = text.replace("\n", " \n").split(" ")
         return self.first[pieces[0]] + b"".join(map(self.later.__getitem__, pieces[1:]))
