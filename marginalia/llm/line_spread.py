@@ -52,8 +52,9 @@ def line_spread(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K,
     unsure = wide.where(F.col("estimate") <= (1 + near) * min_sites)
     exact = (lines.join(unsure.select("h"), "h", "left_semi").groupBy("h", "site").agg(F.count(F.lit(1)))
              .groupBy("h").agg(F.count(F.lit(1)).alias("exact")))
-    return (wide.join(exact, "h", "left").withColumn("sites", F.coalesce("exact", "estimate"))
-            .where(F.col("sites") >= min_sites).select("h", "first_doc", "sites"))
+    found = wide.join(exact, "h", "left").withColumn("sites", F.coalesce("exact", "estimate"))
+    # a written table has a known size: a short list of lines is broadcast, a long one isn't
+    return materialize(found.where(F.col("sites") >= min_sites).select("h", "first_doc", "sites"), "line-spread")
 
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, near: float = NEAR) -> DataFrame:

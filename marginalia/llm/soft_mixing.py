@@ -28,7 +28,7 @@ SMOOTHING = 1.0
 CORRELATION = 0.25
 # At most so many features, the most correlated first: bounds the model.
 MAX_FEATURES = 2000
-STEPS, TOLERANCE, CUT = 40, 1e-6, 10
+STEPS, TOLERANCE, CUT = 40, 1e-4, 20
 
 
 def _features(text: Column) -> Column:
@@ -120,7 +120,8 @@ def _rate(history: list[list[float]], start: Column) -> Column:
     """Fold of the steps: r = max(0, r - p . v) for the vector v of each step."""
     if not history:
         return start
-    steps = F.array(*[F.array(*[F.lit(float(x)) for x in v]) for v in history])
+    steps = F.transform(F.split(F.lit(";".join(",".join(repr(float(x)) for x in v) for v in history)), ";"),
+                        lambda v: F.split(v, ",").cast("array<double>"))
     dot = lambda v: F.aggregate(F.zip_with("p", v, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     return F.aggregate(steps, start, lambda r, v: F.greatest(F.lit(0.0), r - dot(v)))
 
@@ -138,6 +139,7 @@ def fit_rates(members: DataFrame, weights: list[float], budget: float | None = N
     n, table, start, history = len(weights), members, F.lit(1.0), []
     target: list[float] = []
     scale: list[float] = []
+    last: list[float] = []
     for _ in range(steps):
         mass = _rate(history, start) * F.col("n_tokens")
         row = table.agg(*[F.coalesce(F.sum(mass * F.col("p")[k]), F.lit(0.0)) for k in range(n)]).first()
@@ -147,8 +149,11 @@ def fit_rates(members: DataFrame, weights: list[float], budget: float | None = N
             target = [w / sum(weights) * whole for w in weights]
             scale = [max(t, 1e-9 * max(1.0, sum(totals))) for t in totals]
         gap = [t - b for t, b in zip(totals, target)]
-        if max(map(abs, gap)) <= tolerance * max(1.0, sum(target)):
+        # met, or as near as rates >= 0 and these posteriors allow: a further step changes nothing
+        least = tolerance * max(1.0, sum(target))
+        if max(map(abs, gap)) <= least or last and max(abs(g - h) for g, h in zip(gap, last)) <= least:
             break
+        last = gap
         history.append([g / s for g, s in zip(gap, scale)])
         if len(history) == CUT:
             table = materialize(table.withColumn("__r", _rate(history, start)).drop(
