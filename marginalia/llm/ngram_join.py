@@ -4,10 +4,12 @@ A document's set holds the hashes of its distinct word shingles. Equal sets
 form a class; only classes are compared.
 
 1. Shingles are ordered from rare to frequent by a count sketch of the whole
-   table (one bounded array). Two sets that reach the similarity share a shingle
-   among the first ``n - ceil(t n) + 1`` of each, so only those are posted.
-2. Within the list of a shingle, classes of compatible size are chained. The
-   components of these chains are blobs: every link lies within one.
+   table (one bounded array). Two sets that reach the similarity share at least l
+   shingles among the first ``n - ceil(t n) + l`` of each, so only those are
+   posted; l grows with the set, and the lesser l of two sets holds for both.
+2. Classes that share l short lists, or stand next to each other by size in a
+   long one, are joined into blobs: every link lies within one. Sizes that rule
+   out the similarity are left out on the way.
 3. Blobs are dealt out in cells of bounded size; a task gets one cell or two.
    It searches each set against an inverted index of its cell: short lists are
    heap-merged, long ones binary-probed (DivideSkip), and sets that reach the
@@ -36,6 +38,10 @@ from .graph import Union, connected_components
 SKETCH_BITS = 20
 # A list is salted when its shingle is so many times as frequent as the sketch's mean.
 HEAVY, SALTS = 16, 32
+# Lists of up to so many classes count each of their pairs; longer ones are chained by size.
+SHORT_LIST = 16
+# A set posts this share of its shingles beyond the least prefix, and so many more have to be shared.
+SHARED = 40
 # A cell holds at most about so many shingles and sets.
 CELL_SHINGLES, CELL_SETS = 1 << 18, 256
 # Weight of DivideSkip's choice of how many lists are long.
@@ -119,8 +125,13 @@ def frequency_levels(docs: DataFrame, size: int) -> tuple[np.ndarray, int]:
     return level(counts).astype(np.uint8), heavy
 
 
+def shared_least(n):
+    """l: how many posted shingles a set of n shares with any set that reaches the similarity; number or column."""
+    return 1 + n // SHARED if isinstance(n, int) else 1 + F.floor(n / SHARED)
+
+
 def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+    return min(n, n - -(-percent * n // 100) + shared_least(n))
 
 
 def shingle_table(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> DataFrame:
@@ -149,21 +160,33 @@ def shingle_table(docs: DataFrame, levels: np.ndarray, size: int, percent: int)
 
 
 def candidate_chains(classes: DataFrame, heavy: int, percent: int) -> DataFrame:
-    """(u, v) classes that follow each other by size in the list of a posted shingle.
+    """(u, v) pairs of classes whose components hold every pair that reaches the similarity.
 
     A list of a heavy shingle is dealt over ``SALTS`` lists; the least class of each size band of
     each of them is chained in a second, small list.
     """
-    salt = F.when(F.shiftright("s", 56) >= heavy, F.pmod("cls", F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+    is_heavy = F.shiftright("s", 56) >= heavy
+    salt = F.when(is_heavy, F.pmod("cls", F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
     posted = classes.select(F.explode("prefix").alias("s"), "cls", "n").withColumn("salt", salt)
-    by_size = Window.partitionBy("s", "salt").orderBy("n", "cls")
-    chained = posted.withColumns({"u": F.lag("cls").over(by_size), "m": F.lag("n").over(by_size)})
-    own = chained.where((F.col("m") * 100 >= F.col("n") * percent)).select("u", F.col("cls").alias("v"))
+    one = Window.partitionBy("s", "salt")
+    by_size = one.orderBy("n", "cls")
+    several = posted.withColumn("c", F.count(F.lit(1)).over(one)).where("c > 1")
+    before = F.collect_list(F.struct("cls", "n")).over(by_size.rowsBetween(1 - SHORT_LIST, -1))
+    long_list = (F.col("c") > SHORT_LIST) | is_heavy
+    near = F.when(long_list, F.slice("before", -1, 1)).otherwise(F.col("before"))
+    pairs = (several.withColumn("before", before).where(F.size("before") > 0)
+             .select("cls", "n", long_list.alias("chain"), F.explode(near).alias("b"))
+             .where(F.col("b.n") * 100 >= F.col("n") * percent))
+    # the smaller set's l holds for both; standing together in a long list is enough
+    weighed = pairs.select(F.col("b.cls").alias("u"), F.col("cls").alias("v"), shared_least(F.col("b.n")).alias("least"),
+                           F.when(F.col("chain"), F.lit(1 << 40)).otherwise(F.lit(1)).alias("w"))
+    own = (weighed.groupBy("u", "v").agg(F.sum("w").alias("w"), F.min("least").alias("least"))
+           .where(F.col("w") >= F.col("least")).select("u", "v"))
     # bands narrower than the size ratio: compatible sizes are at most two bands apart
     narrow = 0.5 * (1 + percent / 100) if percent < 90 else percent / 100 + 0.02
     reach = math.ceil(math.log(percent / 100) / math.log(narrow))
     band = F.floor(F.log(F.col("n").cast("double")) / -math.log(narrow))
-    tops = posted.where(F.shiftright("s", 56) >= heavy).withColumn("band", band).groupBy("s", "salt", "band").agg(
+    tops = posted.where(is_heavy).withColumn("band", band).groupBy("s", "salt", "band").agg(
         F.min("cls").alias("cls"))
     over = Window.partitionBy("s").orderBy("band", "salt")
     second = tops.withColumns({"u": F.lag("cls").over(over), "b": F.lag("band").over(over)})
