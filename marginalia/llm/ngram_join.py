@@ -195,16 +195,16 @@ def candidate_chains(classes: DataFrame, heavy: int, percent: int) -> DataFrame:
 
 
 def blob_tasks(classes: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
-    """(task, side, cls, rep): which classes each search task gets; two cells of a large blob meet in one task."""
-    members = classes.select("cls", "rep", "n").join(blobs.select(F.col("node").alias("cls"), F.col("root").alias("blob")), "cls")
+    """(task, side, cls, key): which classes each search task gets; two cells of a large blob meet in one task."""
+    members = classes.select("cls", "key", "n").join(blobs.select(F.col("node").alias("cls"), F.col("root").alias("blob")), "cls")
     sizes = members.groupBy("blob").agg(F.sum("n").alias("shingles"), F.count(F.lit(1)).alias("sets"))
     small = (F.col("shingles") <= CELL_SHINGLES) & (F.col("sets") <= CELL_SETS)
     step = -math.log(percent / 100)
     placed = members.join(sizes, "blob").withColumns({
         "whole": small, "band": F.when(small, F.lit(0)).otherwise(F.floor(F.log(F.col("n").cast("double")) / step)).cast("int")})
-    whole = placed.where("whole").select(F.col("blob").alias("task"), F.lit(0).alias("side"), "cls", "rep")
+    whole = placed.where("whole").select(F.col("blob").alias("task"), F.lit(0).alias("side"), "cls", "key")
     # large blobs: cells by size band, as many as their content asks for
-    rest = materialize(placed.where("not whole").select("blob", "band", "cls", "rep", "n"), "blob-members")
+    rest = materialize(placed.where("not whole").select("blob", "band", "cls", "key", "n"), "blob-members")
     cells = rest.groupBy("blob", "band").agg(F.greatest(
         F.ceil(F.sum("n") / CELL_SHINGLES), F.ceil(F.count(F.lit(1)) / CELL_SETS)).cast("int").alias("k"))
     dealt = rest.join(cells, ["blob", "band"]).withColumn("h", F.pmod(F.xxhash64("cls"), F.col("k")).cast("int"))
@@ -219,7 +219,7 @@ def blob_tasks(classes: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
         F.array(F.struct("band", "h", F.lit(1).alias("side")), F.struct(
             F.col("band2").alias("band"), F.col("h2").alias("h"), F.lit(2).alias("side"))))).alias("c")).select(
         "blob", "task", "c.*")
-    return whole.union(dealt.join(sides, ["blob", "band", "h"]).select("task", "side", "cls", "rep"))
+    return whole.union(dealt.join(sides, ["blob", "band", "h"]).select("task", "side", "cls", "key"))
 
 
 def search(sets: list[np.ndarray], sides: list[int], percent: int) -> Iterator[tuple[int, int]]:
@@ -276,8 +276,8 @@ def search(sets: list[np.ndarray], sides: list[int], percent: int) -> Iterator[t
 
 def verified_links(docs: DataFrame, tasks: DataFrame, size: int, percent: int) -> DataFrame:
     """(u, v) classes linked by the search tasks; a task's sets are made from the whole texts again."""
-    texts = docs.select(F.col("doc_id").alias("rep"), F.col("text").cast("string").alias("text"))
-    dealt = (tasks.where("rep is not null").join(texts, "rep").select("task", "side", "cls", "text")
+    texts = _texts(docs).select("key", "text")
+    dealt = (tasks.join(texts, "key").select("task", "side", "cls", "text")
              .repartition("task").sortWithinPartitions("task"))
     arrow = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
@@ -292,7 +292,7 @@ def verified_links(docs: DataFrame, tasks: DataFrame, size: int, percent: int) -
             sets, sides, names = [], [], {}
             for _, side, cls, text in group:
                 own = shingler(text)
-                # rows that share the id of a class's document but not its set aren't members
+                # a class is searched once, however many rows its document has
                 if len(own) and set_class(own) == cls and (cls, side) not in names:
                     names[cls, side] = len(sets)
                     sets.append(own)
@@ -318,9 +318,11 @@ def jaccard_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
     """
     levels, heavy = frequency_levels(docs, size)
     table = materialize(shingle_table(docs, levels, size, percent), "shingles")
-    classes = materialize(table.where("n > 0").groupBy("cls").agg(
-        F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.any_value("prefix").alias("prefix")), "classes")
-    blobs = connected_components(candidate_chains(classes, heavy, percent))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("f")
+    classes = materialize(table.where("n > 0").groupBy("cls").agg(first, F.min("n").alias("n")).select(
+        "cls", F.col("f.doc_id").alias("rep"), F.col("f.key").alias("key"), "n"), "classes")
+    posting = table.join(classes.select("key", "cls"), ["key", "cls"], "left_semi").dropDuplicates(["key", "cls"])
+    blobs = connected_components(candidate_chains(posting, heavy, percent))
     tasks = blob_tasks(classes, blobs, percent)
     links = connected_components(verified_links(docs, tasks, size, percent))
     roots = classes.select("cls", "rep").join(links.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
