@@ -87,6 +87,17 @@ def runs(keys: Iterable) -> Iterator[tuple[object, int, int]]:
         at += n
 
 
+_HELD: dict = {}
+
+
+def held(kind: tuple, make: Callable):
+    """What a Python worker keeps between tasks: one model with its memo, that of the operator now at work."""
+    if kind not in _HELD:
+        _HELD.clear()
+        _HELD[kind] = make()
+    return _HELD[kind]
+
+
 class Remembered(dict):
     """Bounded memo: two generations, the older is dropped when the newer is full."""
 

@@ -13,13 +13,12 @@ from __future__ import annotations
 import base64
 import re
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered, map_rows, materialize, public_tokenizer
+from .common import Remembered, held, map_rows, materialize, public_tokenizer
 
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 # Base rules.
@@ -60,7 +59,7 @@ class Vocabularies:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bytes = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                        special_tokens={})
-        self.words = Remembered(self._word)
+        self.words = Remembered(self._word, 100_000)
 
     def _word(self, word: str) -> tuple[bytes, int, int]:
         ids = self.pieces.encode(word)
@@ -68,9 +67,9 @@ class Vocabularies:
                 len(self.bytes.encode_ordinary(" " + word)))
 
 
-@lru_cache(maxsize=1)
 def vocabularies(pieces: str, byte_level: str) -> Vocabularies:
-    return Vocabularies(pieces, byte_level)
+    """The vocabularies of this Python worker, kept between tasks."""
+    return held(("fertility", pieces, byte_level), lambda: Vocabularies(pieces, byte_level))
 
 
 def repeat_words(words: list[str]) -> int:

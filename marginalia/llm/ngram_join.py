@@ -56,7 +56,7 @@ class Shingler:
 
     def __init__(self, size: int):
         self.size = size
-        self.words = Remembered(xxhash.xxh3_64_intdigest)
+        self.words = Remembered(xxhash.xxh3_64_intdigest, 100_000)
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = _WORD.findall(text.encode("utf-8", "surrogatepass").lower()) if text else []

@@ -10,9 +10,8 @@ from __future__ import annotations
 
 import re
 import struct
-from functools import lru_cache
 
-from .common import Remembered
+from .common import Remembered, held
 
 VOCABULARY = "byte_bpe_50k.json"
 # Cut only at a blank or newline after a character that no Unicode version
@@ -78,7 +77,6 @@ class WordEncoder:
         return self.first[pieces[0]] + b"".join(map(self.later.__getitem__, pieces[1:]))
 
 
-@lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
-    """One encoder for each Python worker, kept between tasks."""
-    return WordEncoder(path)
+    """The encoder of this Python worker, kept between tasks."""
+    return held(("tokens", path), lambda: WordEncoder(path))
