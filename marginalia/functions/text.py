@@ -107,7 +107,9 @@ def _codepoint_to_str(num: Column) -> Column:
 
 
 # One pass over the text: entity tokens, runs without '&', or a lone '&'.
-_PIECE_RE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|[^&]+|&"
+_PIECE_RE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]{1,31});|[^&]+|&"
+# Numeric references 128 to 159 mean Windows-1252; the five it leaves open stand for themselves.
+_WINDOWS = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))
 
 
 def html_unescape(col: ColumnOrName) -> Column:
@@ -123,12 +125,15 @@ def html_unescape(col: ColumnOrName) -> Column:
         body = F.regexp_extract(p, r"^&(#?[xX]?[0-9A-Za-z]+);$", 1)
         is_hex = body.startswith("#x") | body.startswith("#X")
         is_dec = body.startswith("#") & ~is_hex
-        num = (F.when(is_hex, F.conv(F.substring(body, 3, 16), 16, 10))
-               .when(is_dec, F.substring(body, 2, 16))).cast("long")
+        # leading zeros count for nothing; more than eight digits are beyond the last code point
+        digits = _re(body, r"\A#[xX]?0*", "")
+        digits = F.when(F.length(digits) > 8, F.lit("99999999")).when(digits == "", F.lit("0")).otherwise(digits)
+        num = F.when(is_hex, F.conv(digits, 16, 10)).when(is_dec, digits).cast("long")
         valid = (num > 0) & (num <= 0x10FFFF) & ~num.between(0xD800, 0xDFFF)
         named = F.when(body == "amp", F.lit("&")).otherwise(F.try_element_at(entity_map, body))
         decoded = (F.when(body == "", p)
-                   .when(is_hex | is_dec, F.when(valid, _codepoint_to_str(num)).otherwise(F.lit("\ufffd")))
+                   .when(is_hex | is_dec, F.when(num.between(0x80, 0x9F), F.substring(F.lit(_WINDOWS), (num - 0x7F).cast("int"), F.lit(1)))
+                         .when(valid, _codepoint_to_str(num)).otherwise(F.lit("\ufffd")))
                    .otherwise(F.coalesce(named, p)))
         return decoded
 
@@ -303,27 +308,3 @@ def attachment_link(base_url: ColumnOrName, page_id: ColumnOrName, filename: Col
     """``{base}/download/attachments/{page}/{quoted filename}``."""
     base = _re(_c(base_url), "/+\\z", "")
     return F.concat(base, F.lit("/download/attachments/"), _c(page_id), F.lit("/"), url_quote(filename))
-
-
-def strip_frontmatter(col: ColumnOrName) -> Column:
-    """Drop a leading ``---`` ... ``---`` block when it is closed."""
-    return _re(_c(col), r"(?s)\A---[ \t]*\n.*?\n---[ \t]*(\n|\z)", "")
-
-
-def has_scheme(col: ColumnOrName) -> Column:
-    """URL-like target (``scheme:``, ``//host`` or ``#anchor``)."""
-    return _c(col).rlike(r"^([A-Za-z][A-Za-z0-9+.-]*:|//|#)")
-
-
-def looks_like_attachment(col: ColumnOrName) -> Column:
-    """A relative target whose extension is not md/markdown."""
-    c = _c(col)
-    ext = F.lower(F.regexp_extract(c, r"\.([A-Za-z0-9]+)$", 1))
-    return (~has_scheme(c)) & (ext != "") & ~ext.isin("md", "markdown")
-
-
-def split_alias(col: ColumnOrName) -> Column:
-    """``target|alias`` -> struct(target, alias) (alias null if absent)."""
-    parts = F.split(_c(col), r"\|", 2)
-    return F.struct(strip(parts.getItem(0)).alias("target"),
-                    strip(F.try_element_at(parts, F.lit(2))).alias("alias"))

@@ -162,7 +162,8 @@ def preview_update(valid: DataFrame, pages: DataFrame) -> DataFrame:
     title keeps the current one; an empty append still reports
     ``body_appended`` (it was given) but changes nothing.
     """
-    c = valid.filter((F.col("action") == "update-page") & F.col("error").isNull()).drop("space_key")
+    c = valid.filter((F.col("action") == "update-page") & F.col("error").isNull()
+                     & (F.col("mode") == "preview")).drop("space_key")
     p = pages.select(F.col("id").alias("page_id"), F.col("title").alias("current_title"),
                      F.coalesce(F.col("body"), F.lit("")).alias("current_body"),
                      F.col("version").alias("current_version"), "space_key", F.col("webui_url").alias("source_url"))
@@ -222,7 +223,7 @@ def apply_attachments(attachments: DataFrame, uploads: DataFrame) -> DataFrame:
 def preview_issue(valid: DataFrame, base_url: str) -> DataFrame:
     """Create-issue preview: description length/preview, sorted extra
     field keys, project browse URL."""
-    c = valid.filter((F.col("action") == "jira-create-issue") & F.col("error").isNull())
+    c = valid.filter((F.col("action") == "jira-create-issue") & F.col("error").isNull() & (F.col("mode") == "preview"))
     return c.select(
         "request_id", "project_key", "summary", "issue_type_name",
         tx.preview_text(F.col("description")).alias("description_preview"),
@@ -249,7 +250,7 @@ def apply_issue_fields(valid: DataFrame) -> DataFrame:
 def preview_comment(valid: DataFrame, issues: DataFrame) -> DataFrame:
     """Add-comment preview: issue summary and status, comment length and
     T4 preview. ``issues``: (key, summary, status, browse_url)."""
-    c = valid.filter((F.col("action") == "jira-add-comment") & F.col("error").isNull()).drop("summary")
+    c = valid.filter((F.col("action") == "jira-add-comment") & F.col("error").isNull() & (F.col("mode") == "preview")).drop("summary")
     j = c.join(issues.withColumnRenamed("key", "issue_key"), "issue_key", "left")
     body = F.coalesce(F.col("comment_body"), F.lit(""))
     return j.select("request_id", "issue_key", F.col("summary").alias("issue_summary"),

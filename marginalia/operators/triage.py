@@ -7,7 +7,9 @@ fixed-size, so broadcasting them is bounded by construction.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Per-status guidance. ``{P}`` is the product name,
@@ -113,21 +115,19 @@ def triage(errors: DataFrame) -> DataFrame:
     guidance; ``ConfigError`` rows get L3's first matching rule; file and
     JSON errors get their fixed hint.
     """
-    spark = errors.sparkSession
     e = errors.withColumn("message", F.when(F.col("error_type") == "ApiError", error_message())
                           .otherwise(F.col("message")))
-    sr = F.broadcast(status_rules(spark))
-    j = e.join(sr, (F.col("error_type") == "ApiError") & F.col("status_code").between(sr["lo"], sr["hi"]), "left")
-    prod = F.col("product")
-    status_g = F.replace(F.replace(F.col("template"), F.lit("{PU}"), F.upper(prod)), F.lit("{P}"), prod)
-    cr = F.broadcast(config_rules(spark))
-    j2 = j.join(cr, (F.col("error_type") == "ConfigError")
-                & (F.instr(F.lower(F.col("message")), cr["pattern"]) > 0), "left")
-    g = j2.groupBy("error_id", "product", "error_type", "status_code", "message").agg(
-        F.first(status_g, ignorenulls=True).alias("status_guidance"),
-        F.min_by("guidance", "rule_no").alias("config_guidance"))
-    guidance = (F.when(F.col("error_type") == "ApiError", F.col("status_guidance"))
-                .when(F.col("error_type") == "ConfigError", F.col("config_guidance"))
+    prod, code, text = F.col("product"), F.col("status_code"), F.lower(F.col("message"))
+    status_g = F.lit(None).cast("string")
+    for lo, hi, hints in reversed(STATUS_RULES):
+        filled = F.replace(F.replace(F.lit(GUIDANCE_SEP.join(hints)), F.lit("{PU}"), F.upper(prod)), F.lit("{P}"), prod)
+        status_g = F.when(code.between(lo, hi), filled).otherwise(status_g)
+    config_g = F.lit(None).cast("string")
+    for patterns, hints in reversed(CONFIG_RULES):
+        hit = reduce(Column.__or__, [F.instr(text, p) > 0 for p in patterns])
+        config_g = F.when(hit, F.lit(GUIDANCE_SEP.join(hints))).otherwise(config_g)
+    guidance = (F.when(F.col("error_type") == "ApiError", status_g)
+                .when(F.col("error_type") == "ConfigError", config_g)
                 .when(F.col("error_type") == "FileNotFoundError", F.lit(FILE_HINT))
                 .when(F.col("error_type") == "JSONDecodeError", F.lit(JSON_HINT)))
-    return g.select("error_id", "product", "error_type", "status_code", "message", guidance.alias("guidance"))
+    return e.select("error_id", "product", "error_type", "status_code", "message", guidance.alias("guidance"))

@@ -271,7 +271,8 @@ _VALID_ERR = "NOT (o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0)"
   CAST(length('<p>order ' || {_K} || '</p>') AS INTEGER) AS current_body_length,
   CAST(8 AS INTEGER) AS next_body_length, 'b' AS body_preview,
   CAST(o_orderkey % 5 + 1 AS BIGINT) AS current_version
-FROM orders WHERE o_orderkey % 5 = 1 AND {_VALID_ERR} AND o_orderkey % 13 <> 0""")
+FROM orders WHERE o_orderkey % 5 = 1 AND {_VALID_ERR} AND o_orderkey % 13 <> 0
+  AND o_orderkey % 7 = 0""")
 def q_update_previews(spark: SparkSession, sf: str) -> DataFrame:
     """B2: update-page previews against the live pages."""
     orders = dt.table(spark, sf, "orders")
@@ -292,7 +293,7 @@ from .issue_queries import _ISSUE_CTE  # noqa: E402
 SELECT 'req-' || id AS request_id, key AS issue_key, summary AS issue_summary, status AS issue_status, browse_url,
   CAST(length('Comment for ' || id || '  with   spaces') AS INTEGER) AS comment_length,
   'Comment for ' || id || ' with spaces' AS comment_preview
-FROM iss WHERE o_orderkey % 5 = 4 AND NOT (o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0)""")
+FROM iss WHERE o_orderkey % 5 = 4 AND o_orderkey % 7 = 0""")
 def q_comment_previews(spark: SparkSession, sf: str) -> DataFrame:
     """Add-comment previews with the issue's summary and status."""
     from ..operators import summaries as sm
@@ -311,7 +312,7 @@ _ISSUE_PREVIEW_SQL = f"""SELECT 'req-' || {_K} AS request_id, 'ASIA' AS project_
   CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE 'description=' || {_DESC} || ';' END
     || 'issuetype=' || o_orderpriority || ';priority=P' || CAST(o_orderkey % 3 AS VARCHAR)
     || ';project=ASIA;summary=Override' AS fields
-FROM orders WHERE o_orderkey % 5 = 3 AND o_orderkey % 2 = 0 AND NOT (o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0)"""
+FROM orders WHERE o_orderkey % 5 = 3 AND o_orderkey % 2 = 0 AND o_orderkey % 7 = 0"""
 
 
 @register("issue_create_previews", _ISSUE_PREVIEW_SQL)
