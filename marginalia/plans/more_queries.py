@@ -11,7 +11,7 @@ from ..operators import freshness as fr
 from ..operators import summaries as sm
 from ..operators import threads as th
 from ..sources import driver_tables as dt
-from .catalog import EXPORTED_AT, _EVENT_RAW_SQL, _event_threads, _threads_sql, register
+from .catalog import EXPORTED_AT, ORACLES, _EVENT_RAW_SQL, _event_threads, _threads_sql, register
 from .change_queries import _validated
 
 _NL = "chr(10)"
@@ -198,10 +198,16 @@ def q_change_conflicts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# S4 refresh (composition of two oracle-checked queries; rows-only here)
+# S4 refresh: the oracles of its two parts joined
 # --------------------------------------------------------------------------
 
-@register("refresh_exports")
+def _refresh_sql() -> str:
+    from . import markup_queries, page_queries  # noqa: F401  (they register the two oracles)
+    return (f"SELECT s.file, s.page_id, s.title, s.remote_version, m.markdown FROM ({ORACLES['stale_exports']}) s "
+            f"JOIN ({ORACLES['export_markdown']}) m ON s.page_id = m.page_id WHERE s.is_stale")
+
+
+@register("refresh_exports", _refresh_sql())
 def q_refresh_exports(spark: SparkSession, sf: str) -> DataFrame:
     """Re-render the stale exported files from the live pages."""
     from .markup_queries import q_export_markdown
