@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 from collections import Counter
 
 import numpy as np
@@ -59,11 +60,11 @@ class Vocabularies:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bytes = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                        special_tokens={})
-        self.words = Remembered(self._word, 100_000)
+        self.words = Remembered(self._word, 200_000)
 
     def _word(self, word: str) -> tuple[bytes, int, int]:
         ids = self.pieces.encode(word)
-        return (np.array(ids, dtype="<u4").tobytes(), sum(map(self.is_byte.__getitem__, ids)),
+        return (struct.pack(f"<{len(ids)}I", *ids), sum(map(self.is_byte.__getitem__, ids)),
                 len(self.bytes.encode_ordinary(" " + word)))
 
 
