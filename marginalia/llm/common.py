@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import itertools
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -91,9 +92,15 @@ _HELD: dict = {}
 
 
 def held(kind: tuple, make: Callable):
-    """What a Python worker keeps between tasks: one model with its memo, that of the operator now at work."""
+    """What a Python worker keeps between tasks: one model with its memo, that of the operator now at work.
+
+    The one before is freed at once: model and memo refer to each other, and
+    a full collection may not come by itself for the rest of a job.
+    """
     if kind not in _HELD:
         _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _HELD[kind] = make()
     return _HELD[kind]
 

@@ -47,8 +47,12 @@ FEATURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_
             "script string, piece_chars double, byte_chars double, fallback_share double, entropy double")
 
 
+# A word's entry in the memo is its piece ids and two counts, each a 32-bit number with one of these bits.
+_FALLBACK, _LEVEL = 1 << 30, 1 << 31
+
+
 class Vocabularies:
-    """Per word: its piece ids, how many of them are byte fallback, its number of byte-level tokens."""
+    """Per word, packed: its piece ids, how many of them are byte fallback, its number of byte-level tokens."""
 
     def __init__(self, pieces: str, byte_level: str):
         import public_tokenizers
@@ -62,10 +66,16 @@ class Vocabularies:
                                        special_tokens={})
         self.words = Remembered(self._word, 200_000)
 
-    def _word(self, word: str) -> tuple[bytes, int, int]:
+    def _word(self, word: str) -> bytes:
         ids = self.pieces.encode(word)
-        return (struct.pack(f"<{len(ids)}I", *ids), sum(map(self.is_byte.__getitem__, ids)),
-                len(self.bytes.encode_ordinary(" " + word)))
+        return struct.pack(f"<{len(ids) + 2}I", *ids, _FALLBACK | sum(map(self.is_byte.__getitem__, ids)),
+                           _LEVEL | len(self.bytes.encode_ordinary(" " + word)))
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, int, int]:
+        """(piece ids, byte-fallback pieces, byte-level tokens) of the words."""
+        packed = np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype="<u4")
+        ids, fallback, level = packed[packed < _FALLBACK], packed[packed & _FALLBACK > 0], packed[packed >= _LEVEL]
+        return ids, int((fallback & (_FALLBACK - 1)).sum()), int((level & (_LEVEL - 1)).sum())
 
 
 def vocabularies(pieces: str, byte_level: str) -> Vocabularies:
@@ -122,12 +132,10 @@ def measure(text: str | None, voc: Vocabularies, need_script: bool) -> tuple:
     if not words:
         return (0, 0, 0, 0, 0, "None", None, None, None, None)
     chars = sum(map(len, words))
-    found = list(map(voc.words.__getitem__, words))
-    ids = np.frombuffer(b"".join([f[0] for f in found]), dtype="<u4")
-    n_bytes = sum([f[2] for f in found])
+    ids, n_fallback, n_bytes = voc(words)
     return (len(words), chars, sum(map(text.count, _SYMBOLS)), dup_lines(text), repeat_words(words),
             dominant_script(words) if need_script else "Known", chars / max(1, len(ids)), chars / max(1, n_bytes),
-            sum([f[1] for f in found]) / max(1, len(ids)), entropy_share(ids))
+            n_fallback / max(1, len(ids)), entropy_share(ids))
 
 
 def fertility_features(docs: DataFrame) -> DataFrame:

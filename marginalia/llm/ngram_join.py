@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Remembered, _arrow_schema, materialize, rows
+from .common import Remembered, _arrow_schema, held, materialize, rows
 from .graph import Union, connected_components
 
 SKETCH_BITS = 20
@@ -76,6 +76,11 @@ class Shingler:
         return np.unique(code)
 
 
+def shingler_of(size: int) -> Shingler:
+    """The shingler of this Python worker, kept between tasks."""
+    return held(("shingles", size), lambda: Shingler(size))
+
+
 def set_class(shingles: np.ndarray) -> int:
     """A signed 64-bit name of the set."""
     return int(np.frombuffer(xxhash.xxh3_64_digest(shingles.tobytes()), "<i8")[0])
@@ -95,7 +100,7 @@ def frequency_levels(docs: DataFrame, size: int) -> tuple[np.ndarray, int]:
     arrow = pa.schema([("chunk", pa.int32()), ("counts", pa.binary())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, total = Shingler(size), np.zeros(width, np.uint64)
+        shingler, total = shingler_of(size), np.zeros(width, np.uint64)
         for part in rows(batches):
             found = np.concatenate([shingler(t) for t in part["text"]] or [np.zeros(0, np.uint64)])
             at, n = np.unique((found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), return_counts=True)
@@ -142,7 +147,7 @@ def shingle_table(docs: DataFrame, levels: np.ndarray, size: int, percent: int)
     arrow, shared = _arrow_schema(spark, schema), spark.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, level = Shingler(size), shared.value.astype(np.uint64)
+        shingler, level = shingler_of(size), shared.value.astype(np.uint64)
         for part in rows(batches):
             ns, classes, prefixes = [], [], []
             for text in part["text"]:
@@ -282,7 +287,7 @@ def verified_links(docs: DataFrame, tasks: DataFrame, size: int, percent: int) -
     arrow = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(size)
+        shingler = shingler_of(size)
 
         def members():
             for part in rows(batches):
