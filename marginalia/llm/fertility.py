@@ -4,13 +4,14 @@ Each word is encoded by public vocabularies: a piece vocabulary with byte
 fallback and a byte-level one for many languages. A document's characters per
 token, share of byte-fallback tokens and token entropy are held against bands
 of its language (of its script where the language isn't known). The bands are
-robust statistics (median and quartiles) over all documents of the table that
-pass the base rules.
+robust statistics (median and quartiles) over the documents of the language
+that pass the base rules, widened for their number.
 """
 
 from __future__ import annotations
 
 import base64
+import math
 import re
 import struct
 from collections import Counter
@@ -29,8 +30,8 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 # sqrt(n_words) before it is compared with the group's spread.
 BANDS = {"byte_chars": (True, 3.5, 8.0, 0.3), "piece_chars": (True, 6.0, 9.0, 0.3),
          "fallback_share": (False, None, 6.0, 0.01), "entropy": (False, 6.0, None, 0.02)}
-# Languages with fewer documents than this are held against the bands of all documents.
-MIN_GROUP = 30
+# The distance of the quartiles of n documents tells the spread as well as the standard deviation of this many of n does.
+QUARTILES_WORTH = 0.37
 
 _WORD = re.compile(r"[^ \t-\r]+")
 _SYMBOLS = "#*$%&|<>"
@@ -185,39 +186,43 @@ def _spreads() -> list:
     return out
 
 
-def fertility_bands(features: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(bands per language or script, one row of bands over all documents): <measure>_median and _spread.
+def fertility_bands(features: DataFrame) -> DataFrame:
+    """Bands per language or script: n_group, <measure>_median and _spread.
 
-    Both cover every document that passes the base rules; all aggregates are
+    They cover every document that passes the base rules; all aggregates are
     partial, so a language that holds most rows doesn't gather in one task.
     """
     passed = features.where(~_base_failed())
     middles = [F.percentile_approx(m, 0.5, 2000).alias(f"{m}_median") for m in BANDS]
-    centre = passed.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), *middles).where(F.col("n") >= MIN_GROUP).drop("n")
+    centre = passed.groupBy("grp").agg(F.count(F.lit(1)).alias("n_group"), *middles)
     # a written table has a known size: a few languages are broadcast, very many aren't
     centre = materialize(centre, "fertility-centres")
-    own = materialize(passed.join(centre, "grp").groupBy("grp").agg(*_spreads()).join(centre, "grp"), "fertility-bands")
-    whole = passed.agg(*middles)
-    placed = passed.withColumn("m", whole.select(F.struct(*whole.columns)).scalar()).select("*", "m.*")
-    general = placed.agg(*_spreads(), *[F.max(c).alias(c) for c in whole.columns])
-    return own, general
+    return materialize(passed.join(centre, "grp").groupBy("grp").agg(*_spreads()).join(centre, "grp"), "fertility-bands")
 
 
-def judge(features: DataFrame, bands: tuple[DataFrame, DataFrame]) -> DataFrame:
+def _limit(deviations: float):
+    """Deviations that a document may be off where median and spread come from n_group documents.
+
+    The value of Student's law (Wallace's approximation) that is as rare as
+    ``deviations`` of a normal law, times the uncertainty of the median: as
+    given for large groups, wider without a jump the fewer documents tell.
+    """
+    free = QUARTILES_WORTH * F.col("n_group")
+    return F.sqrt(free * F.expm1(deviations ** 2 / free)) * F.sqrt(1 + math.pi / 2 / F.col("n_group"))
+
+
+def judge(features: DataFrame, bands: DataFrame) -> DataFrame:
     """Features with base_failed, kept and the reasons of a rejection."""
-    own, general = bands
-    limits = [c for c in own.columns if c != "grp"]
-    joined = (features.join(own, "grp", "left")
-              .withColumn("general", general.select(F.struct(*limits)).scalar()))
-    joined = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"general.{c}")) for c in limits})
+    limits = [c for c in bands.columns if c != "grp"]
+    joined = features.join(bands, "grp", "left")
     rules = []
     for m, (_, low, high, _) in BANDS.items():
         z = _off(m) / F.col(f"{m}_spread")
-        rules += [F.when(z < -low, F.lit(f"{m}_low"))] if low else []
-        rules += [F.when(z > high, F.lit(f"{m}_high"))] if high else []
+        rules += [F.when(z < -_limit(low), F.lit(f"{m}_low"))] if low else []
+        rules += [F.when(z > _limit(high), F.lit(f"{m}_high"))] if high else []
     reasons = F.array_join(F.array_compact(F.array(*rules)), ",")
     return (joined.withColumn("base_failed", _base_failed()).withColumn("reasons", reasons)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("reasons") == "")).drop("general", *limits))
+            .withColumn("kept", ~F.col("base_failed") & (F.col("reasons") == "")).drop(*limits))
 
 
 def fertility_rules(docs: DataFrame) -> DataFrame:
@@ -225,9 +230,8 @@ def fertility_rules(docs: DataFrame) -> DataFrame:
 
     Null or blank texts have no words and fail the base rules. Repeated rows
     get equal verdicts, an empty table gives no rows, extra columns aren't
-    read. Documents whose language is rarer than ``MIN_GROUP`` are held against
-    the bands of all documents; if no document passes the base rules there are
-    no bands and the base rules alone decide.
+    read. Every language has bands of its own, wider the fewer its documents; if
+    none passes the base rules there are no bands and the base rules alone decide.
     """
     features = materialize(fertility_features(docs), "fertility")
     return judge(features, fertility_bands(features))
