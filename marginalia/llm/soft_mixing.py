@@ -72,7 +72,8 @@ class Model(NamedTuple):
 
 
 def _log(x: Column) -> Column:
-    return F.when(x > 0, F.log(x)).otherwise(F.lit(0.0))
+    """0 for what has no logarithm, an undefined quotient included."""
+    return F.coalesce(F.when(x > 0, F.log(x)), F.lit(0.0))
 
 
 def _odds(a: Column, total: Column, size: Column, everyone: Column) -> Column:
@@ -85,7 +86,7 @@ def _sure(a: Column, total: Column, size: Column, everyone: Column) -> Column:
     """Likelihood-ratio statistic of presence and domain."""
     cells = ((a, total, size), (total - a, total, everyone - size), (size - a, everyone - total, size),
              (everyone - total - size + a, everyone - total, everyone - size))
-    return 2 * reduce(Column.__add__, [x * _log(x * everyone / (r * c)) for x, r, c in cells])
+    return 2 * reduce(Column.__add__, [x * _log(F.try_divide(x * everyone, r * c)) for x, r, c in cells])
 
 
 def _is_style() -> Column:
@@ -145,7 +146,7 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str], sample: int
     phi = []
     for a, b in zip(n, size):
         spread = F.sqrt(total * (everyone - total) * b * (everyone - b))
-        phi.append(F.when(spread > 0, F.abs(a * (everyone - b) - (total - a) * b) / spread).otherwise(F.lit(0.0)))
+        phi.append(F.when(spread > 0, F.try_divide(F.abs(a * (everyone - b) - (total - a) * b), spread)).otherwise(F.lit(0.0)))
     told = pool.where(_is_style()).withColumn("phi", F.greatest(*phi)).where(F.col("phi") >= CORRELATION)
     single = told.orderBy(F.desc("phi"), "i").collect()
     base, weights = [], []

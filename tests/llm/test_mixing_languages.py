@@ -30,3 +30,20 @@ def test_markers_of_a_rare_language(spark, make_docs):
     # the language column is optional
     bare = soft_mixing.memberships(docs.select("doc_id", "text"), soft_mixing.quality_domains(labels), ["clean", "toxic"])
     assert bare.where(F.size("p") != 2).count() == 0 and bare.count() == len(texts)
+
+
+def test_languages_without_a_domain(spark, make_docs):
+    """One language has one domain only, one a single label, one word is in every document: no division by zero."""
+    langs = ["en"] * 60 + ["de"] * 30 + ["fr"]
+    bad = [i < 60 and i % 3 == 0 for i in range(91)]
+    r = random.Random(5)
+    texts = ["always " + " ".join(r.choices("abcdefghijklmnopqrst", k=20)) + " scum" * b for b in bad]
+    rows = [(i, 1, int(b)) for i, b in enumerate(bad)]
+    docs = make_docs(texts, langs)
+    schema = "doc_id long, quality int, toxic int"
+    for part in (rows, rows[60:], rows[90:], rows[:1], []):
+        labels = soft_mixing.quality_domains(spark.createDataFrame(part, schema))
+        members = soft_mixing.memberships(docs, labels, ["clean", "low", "toxic"]).collect()
+        assert len(members) == 91 and all(abs(sum(m["p"]) - 1) < 1e-9 for m in members)
+        if part is rows:
+            assert all((m["p"][2] > 0.5) == bad[m["doc_id"]] for m in members)
