@@ -126,7 +126,8 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str], sample: int
         .orderBy(F.xxhash64("doc_id"), "doc_id", "k").limit(sample))
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
     texts = docs.select("doc_id", lang.alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
-    rows = _with_copy_key(texts.join(labels, "doc_id"))
+    # at most ``sample`` slim rows: the texts stay where they are
+    rows = _with_copy_key(texts.join(F.broadcast(labels), "doc_id"))
     rows = _featured(rows.withColumn("key", F.xxhash64("doc_id", "t")), "k", "lang", "copy", "key")
     one = rows.groupBy("k", "lang", "copy").agg(F.min(F.struct("key", "f")).alias("x"))
     rows = materialize(one.select("k", "lang", "x.f"), "mixing-labelled")
