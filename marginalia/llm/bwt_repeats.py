@@ -114,7 +114,9 @@ def anchors(texts: list[bytes]) -> Iterator[Anchors]:
         piece = np.searchsorted(ends, place, "right")
         texts_of = np.array([t for t, _, _ in block])[piece]
         base = np.array([a for _, a, _ in block])[piece] - np.r_[0, ends[:-1]][piece]
-        yield Anchors(buf, place, place - first[last], place - first[new], name[place], texts_of, base)
+        # the least hashes are small: hashed again, they spread evenly over the buckets
+        again = _mix(name[place], name[place] >> _R32)
+        yield Anchors(buf, place, place - first[last], place - first[new], again, texts_of, base)
 
 
 def _bucket(name: np.ndarray, n: int) -> np.ndarray:
