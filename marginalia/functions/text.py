@@ -75,30 +75,15 @@ def truncate(col: ColumnOrName, limit: int) -> Column:
 # HTML entity codec
 # --------------------------------------------------------------------------
 
-# Named entities come from the Python standard library's HTML 4 table
-# (``html.entities.name2codepoint``, 252 names) plus XML's ``apos``; built
-# from that rule rather than spelled out. HTML5-only names are unsupported.
-_NAMED = dict(html.entities.name2codepoint)
-_NAMED["apos"] = 0x27
+# Names come from the Python standard library's HTML 5 table; the old names that
+# also count without a semicolon are part of it. One literal holds each map:
+# the optimizer folds it.
+_OLD_NAMES = {n: c for n, c in html.entities.html5.items() if not n.endswith(";")}
+_ENTRY, _VALUE = "\x02", "\x01"
 
 
-_MAP_CACHE: dict[int, Column] = {}
-
-
-def _entity_map() -> Column:
-    """Literal map name -> character, built once per SparkContext (building
-    it costs ~500 driver round trips, and it is used by every unescape)."""
-    from pyspark import SparkContext
-    key = id(SparkContext._active_spark_context)
-    cached = _MAP_CACHE.get(key)
-    if cached is None:
-        args = []
-        for name, cp in sorted(_NAMED.items()):
-            args.extend([F.lit(name), F.lit(chr(cp))])
-        cached = F.create_map(*args)
-        _MAP_CACHE.clear()
-        _MAP_CACHE[key] = cached
-    return cached
+def _literal_map(pairs: dict[str, str]) -> Column:
+    return F.str_to_map(F.lit(_ENTRY.join(f"{k}{_VALUE}{v}" for k, v in sorted(pairs.items()))), F.lit(_ENTRY), F.lit(_VALUE))
 
 
 def _codepoint_to_str(num: Column) -> Column:
@@ -106,39 +91,57 @@ def _codepoint_to_str(num: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(num.cast("long")), 8, "0")), "UTF-32")
 
 
-# One pass over the text: entity tokens, runs without '&', or a lone '&'.
-_PIECE_RE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]{1,31});|[^&]+|&"
+# One pass over the text: references, runs without '&', or a lone '&'.
+_PIECE_RE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)|[^&]+|&"
 # Numeric references 128 to 159 mean Windows-1252; the five it leaves open stand for themselves.
 _WINDOWS = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))
 
 
+def _numeric(s: Column) -> Column:
+    """The character of a reference from its ``#`` on: none for control and other characters that no text has."""
+    is_hex = s.startswith("#x") | s.startswith("#X")
+    # leading zeros count for nothing; more than eight digits are beyond the last code point
+    digits = _re(s, r"\A#[xX]?0*|;\z", "")
+    digits = F.when(F.length(digits) > 8, F.lit("99999999")).when(digits == "", F.lit("0")).otherwise(digits)
+    value = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+
+    def char(n: Column) -> Column:
+        control = (n.between(1, 8) | n.isin(0xB, 0x7F) | n.between(0xE, 0x1F) | n.between(0xFDD0, 0xFDEF)
+                   | (n.bitwiseAND(0xFFFE) == 0xFFFE))
+        return (F.when(n.between(0x80, 0x9F), F.substring(F.lit(_WINDOWS), (n - 0x7F).cast("int"), F.lit(1)))
+                .when((n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+                .when(control, F.lit("")).otherwise(_codepoint_to_str(n)))
+
+    return let(value, char)
+
+
 def html_unescape(col: ColumnOrName) -> Column:
-    """``html.unescape`` for numeric entities and the HTML4/XML names.
+    """``html.unescape``: numeric references, all HTML 5 names, old names also without a semicolon.
 
-    The text is split once into entity / non-entity pieces and each entity is
-    decoded independently, so the result is single-pass like Python's
-    (``&amp;lt;`` becomes ``&lt;``). Unknown names are kept as written.
+    The text is split once into references and the rest, and each reference is
+    decoded by itself, so the result is single-pass like Python's (``&amp;lt;``
+    becomes ``&lt;``). A name that isn't known is matched by its longest known
+    beginning (``&notit;`` is ``¬it;``); unknown ones are kept as written.
     """
-    entity_map = _entity_map()
+    names, old = _literal_map(html.entities.html5), _literal_map(_OLD_NAMES)
+    longest = max(map(len, _OLD_NAMES))
+
+    def named(s: Column) -> Column:
+        known = [F.try_element_at(names, s)]
+        for x in range(longest, 1, -1):
+            start = F.try_element_at(old, F.substring(s, 1, x))
+            known.append(F.when(F.length(s) > x, F.concat(start, F.substring(s, F.lit(x + 1), F.length(s)))))
+        return F.coalesce(*known, F.concat(F.lit("&"), s))
 
     def piece(p: Column) -> Column:
-        body = F.regexp_extract(p, r"^&(#?[xX]?[0-9A-Za-z]+);$", 1)
-        is_hex = body.startswith("#x") | body.startswith("#X")
-        is_dec = body.startswith("#") & ~is_hex
-        # leading zeros count for nothing; more than eight digits are beyond the last code point
-        digits = _re(body, r"\A#[xX]?0*", "")
-        digits = F.when(F.length(digits) > 8, F.lit("99999999")).when(digits == "", F.lit("0")).otherwise(digits)
-        num = F.when(is_hex, F.conv(digits, 16, 10)).when(is_dec, digits).cast("long")
-        valid = (num > 0) & (num <= 0x10FFFF) & ~num.between(0xD800, 0xDFFF)
-        named = F.when(body == "amp", F.lit("&")).otherwise(F.try_element_at(entity_map, body))
-        decoded = (F.when(body == "", p)
-                   .when(is_hex | is_dec, F.when(num.between(0x80, 0x9F), F.substring(F.lit(_WINDOWS), (num - 0x7F).cast("int"), F.lit(1)))
-                         .when(valid, _codepoint_to_str(num)).otherwise(F.lit("\ufffd")))
-                   .otherwise(F.coalesce(named, p)))
-        return decoded
-
-    pieces = F.regexp_extract_all(_c(col), F.lit(_PIECE_RE), 0)
-    return F.array_join(F.transform(pieces, piece), "")
+        s = F.substring(p, F.lit(2), F.length(p))
+        return F.when(~p.startswith("&") | (F.length(p) == 1), p).when(s.startswith("#"), _numeric(s)).otherwise(named(s))
+
+    def decoded(c: Column) -> Column:
+        pieces = F.regexp_extract_all(c, F.lit(_PIECE_RE), 0)
+        return F.when(F.instr(c, "&") > 0, F.array_join(F.transform(pieces, piece), "")).otherwise(c)
+
+    return let(_c(col), decoded)
 
 
 def let(expr: Column, fn) -> Column:

@@ -2,15 +2,12 @@
 
 Two paths, as in the reference:
 
-* **strict parity** (default for ``export_markdown``): a body that is not
-  well-formed XML (undeclared entities such as ``&nbsp;``, unclosed tags,
-  a doctype, stray ``<``) loses all structure and is exported as
-  ``strip_tags`` text (T19). Well-formedness is decided from the token table
-  (depth never negative and back to 0, every close tag matching the last open
-  tag at its level) plus an entity/stray-``<`` scan of the body.
-* **structured**: well-formed bodies are rendered by ``operators.storage_md``
-  (fragment rendering by regex extraction + higher-order functions, one
-  column step per stage), all JVM-side.
+* **strict parity** (default for ``export_markdown``): a body that an XML parser
+  wouldn't accept (undeclared entities such as ``&nbsp;``, unclosed tags, a
+  doctype, stray ``<``) loses all structure and is exported as ``strip_tags``
+  text (T19). ``markup_fold.is_well_formed`` decides, within the row.
+* **structured**: well-formed bodies are rendered by the fold of
+  ``markup_fold`` over the row's tokens.
 
 Extraction operators (headings, links, images, macros) are per-row array
 expressions -> ``posexplode``; they need no shuffle at all.
@@ -22,29 +19,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from .markup_fold import attribute, is_well_formed, macro_array
 
 # Token grammar pieces and HTML void elements.
 TOKEN_RE = (r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-            r"|<[!?][^>]*>|</?[A-Za-z][^>]*>|[^<]+|<")
+            r"""|<[!?][^>]*>|</?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|</?[A-Za-z][^>]*>|[^<]+|<""")
 VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
              "param", "source", "track", "wbr"]
-XML_ENTITY_OK = r"&(amp|lt|gt|quot|apos|#[0-9]+|#x[0-9a-fA-F]+);"
 
 
-def markup_tokens(pages: DataFrame, id_col: str = "page_id", body_col: str = "body",
-                  bucket_width: int = 1 << 16) -> DataFrame:
+def markup_tokens(pages: DataFrame, id_col: str = "page_id", body_col: str = "body") -> DataFrame:
     """``(page_id, pos, kind, name, attrs, text, delta, depth)``.
 
     kind: comment | cdata | raw (script/style, one token) | decl | open |
     close | selfclose | void (HTML void tag written open) | text.
     ``depth`` is the element depth at the token (a close tag counts at its
-    open tag's level).
+    open tag's level). A ``>`` in a quoted attribute value doesn't end the tag.
 
     Windows here are partitioned by page: every token of a page comes from
     that page's single body value, so a window partition never exceeds one
     input row's content (unlike comments, where one page can own an
     unbounded number of rows and the two-level scans of ``plans.scans`` are
-    used). ``bucket_width`` is accepted for API symmetry and unused.
+    used).
     """
     toks = pages.select(F.col(id_col).alias("page_id"),
                         F.posexplode(F.regexp_extract_all(F.col(body_col), F.lit(TOKEN_RE), 0))
@@ -74,36 +70,8 @@ def markup_tokens(pages: DataFrame, id_col: str = "page_id", body_col: str = "bo
 
 
 def well_formed(pages: DataFrame, id_col: str = "page_id", body_col: str = "body") -> DataFrame:
-    """Per page ``(page_id, well_formed)`` as an XML parser with only the
-    namespace declarations would decide (tag balance + known entities).
-
-    The entity scan is a per-row expression; only pages that pass it are
-    tokenized for the nesting checks, so bodies that are rejected by it (most
-    raw web pages) never reach the token table.
-    """
-    ent = pages.select(F.col(id_col).alias("page_id"), F.col(body_col).alias("body"),
-                       F.regexp_replace(F.col(body_col), XML_ENTITY_OK, "").contains("&").alias("bad_entity"))
-    cand = ent.filter(~F.col("bad_entity"))
-    tokens = markup_tokens(cand, "page_id", "body")
-    opens = tokens.filter(F.col("kind").isin("open", "close")).withColumn(
-        "open_name", F.when(F.col("kind") == "open", F.col("name")))
-    # last open tag at the same level (the page's tokens are already
-    # clustered by page, so this needs only a local sort)
-    wl = Window.partitionBy("page_id", "depth").orderBy("pos").rowsBetween(Window.unboundedPreceding,
-                                                                           Window.currentRow)
-    nested = opens.withColumn("open_name_carry", F.last("open_name", ignorenulls=True).over(wl))
-    mismatch = nested.groupBy("page_id").agg(
-        F.max(F.when((F.col("kind") == "close") & ~F.col("name").eqNullSafe(F.col("open_name_carry")), 1)
-              .otherwise(0)).alias("bad_nesting"))
-    shape = tokens.groupBy("page_id").agg(
-        F.sum("delta").alias("final_depth"),
-        F.min("depth").alias("min_depth"),
-        F.max(F.when(F.col("kind").isin("decl", "void") | (F.col("tok") == "<"), 1).otherwise(0)).alias("bad_tok"))
-    j = ent.select("page_id", "bad_entity").join(shape, "page_id", "left").join(mismatch, "page_id", "left")
-    ok = (~F.col("bad_entity") & (F.coalesce("final_depth", F.lit(0)) == 0)
-          & (F.coalesce("min_depth", F.lit(0)) >= 0) & (F.coalesce("bad_tok", F.lit(0)) == 0)
-          & (F.coalesce("bad_nesting", F.lit(0)) == 0))
-    return j.select("page_id", ok.alias("well_formed"))
+    """``(page_id, well_formed)`` as an XML parser with only the namespace declarations would decide, row by row."""
+    return pages.select(F.col(id_col).alias("page_id"), is_well_formed(F.col(body_col)).alias("well_formed"))
 
 
 def markup_blocks(tokens: DataFrame) -> DataFrame:
@@ -126,7 +94,7 @@ def _plain_inner(inner: Column) -> Column:
 
 HEADING_RE = r"(?is)<h([1-6])\b[^>]*>(.*?)</h[1-6]\s*>"
 LINK_RE = r"(?is)<a\b([^>]*)>(.*?)</a\s*>"
-HREF_RE = r"""(?is)\bhref\s*=\s*["']([^"']*)["']"""
+HREF_RE = r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)')"""
 
 
 def headings(pages: DataFrame, id_col: str = "page_id", body_col: str = "body") -> DataFrame:
@@ -148,14 +116,14 @@ def links(pages: DataFrame, id_col: str = "page_id", body_col: str = "body") ->
         F.regexp_extract_all(b, F.lit(LINK_RE), 1).alias("attrs"),
         F.regexp_extract_all(b, F.lit(LINK_RE), 2).alias("inner")).alias("ls"))
     h = h.select("page_id", F.posexplode("ls").alias("link_no", "l"))
-    href = F.regexp_extract(F.col("l.attrs"), HREF_RE, 1)
+    href = F.concat(F.regexp_extract(F.col("l.attrs"), HREF_RE, 1), F.regexp_extract(F.col("l.attrs"), HREF_RE, 2))
     text = _plain_inner(F.col("l.inner"))
     return h.select("page_id", "link_no", F.when(text != "", text).otherwise(href).alias("text"),
                     href.alias("href"))
 
 
 IMAGE_RE = r"(?is)<ac:image\b[^>]*>(.*?)</ac:image\s*>"
-FILENAME_RE = r"""(?is)<ri:attachment\b[^>]*\bri:filename\s*=\s*["']([^"']*)["']"""
+ATTACHMENT_RE = r"""(?is)<ri:attachment\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 
 
 def images(pages: DataFrame, base_url: str, id_col: str = "page_id", body_col: str = "body") -> DataFrame:
@@ -164,39 +132,34 @@ def images(pages: DataFrame, base_url: str, id_col: str = "page_id", body_col: s
     b = F.col(body_col)
     h = pages.select(F.col(id_col).alias("page_id"),
                      F.posexplode(F.regexp_extract_all(b, F.lit(IMAGE_RE), 1)).alias("image_no", "inner"))
-    fn = F.regexp_extract("inner", FILENAME_RE, 1)
+    fn = attribute(F.regexp_extract("inner", ATTACHMENT_RE, 0), "ri:filename")
     h = h.select("page_id", "image_no", fn.alias("filename")).filter(F.col("filename") != "")
     link = tx.attachment_link(F.lit(base_url), F.col("page_id").cast("string"), F.col("filename"))
     return h.select("page_id", "image_no", "filename", link.alias("url"),
                     F.concat(F.lit("!["), F.col("filename"), F.lit("]("), link, F.lit(")")).alias("markdown"))
 
 
-MACRO_RE = r"(?is)<ac:structured-macro\b([^>]*)>(.*?)</ac:structured-macro\s*>"
-MACRO_NAME_RE = r"""(?is)\bac:name\s*=\s*["']([^"']*)["']"""
-PARAM_RE = r"""(?is)<ac:parameter\b[^>]*\bac:name\s*=\s*["']([^"']*)["'][^>]*>(.*?)</ac:parameter\s*>"""
+PARAM_RE = r"""(?is)(<ac:parameter\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?<!/)>)(.*?)</ac:parameter\s*>"""
 
 
 def macros(pages: DataFrame, id_col: str = "page_id", body_col: str = "body") -> DataFrame:
-    """``(page_id, macro_no, name, params MAP, plain_body, rich_body)``.
-    Nested macros are matched innermost-last (non-greedy), as flat rows."""
-    b = F.col(body_col)
-    m = pages.select(F.col(id_col).alias("page_id"), F.arrays_zip(
-        F.regexp_extract_all(b, F.lit(MACRO_RE), 1).alias("attrs"),
-        F.regexp_extract_all(b, F.lit(MACRO_RE), 2).alias("inner")).alias("ms"))
-    m = m.select("page_id", F.posexplode("ms").alias("macro_no", "m"))
-    inner = F.col("m.inner")
-    keys = F.regexp_extract_all(inner, F.lit(PARAM_RE), 1)
-    vals = F.transform(F.regexp_extract_all(inner, F.lit(PARAM_RE), 2), lambda v: _plain_inner(v))
-    # last duplicate parameter wins in a map built left to right
-    params = F.map_from_arrays(F.reverse(keys), F.reverse(vals))
+    """``(page_id, macro_no, name, params MAP, plain_body, rich_body)`` of every macro, in order of open tags.
+
+    A macro inside another is a row of its own and part of the outer one's
+    ``rich_body``; ``params`` and ``plain_body`` are a macro's own. Of
+    parameters of one name the first counts.
+    """
+    m = pages.select(F.col(id_col).alias("page_id"), F.posexplode(macro_array(F.col(body_col))).alias("macro_no", "m"))
+    own, inner = F.col("m.own"), F.col("m.inner")
+    given = F.zip_with(F.regexp_extract_all(own, F.lit(PARAM_RE), 1), F.regexp_extract_all(own, F.lit(PARAM_RE), 2),
+                       lambda tag, v: F.struct(attribute(tag, "ac:name").alias("k"), _plain_inner(v).alias("v")))
+    names = F.transform(given, lambda g: g.getField("k"))
+    first = F.filter(given, lambda g, i: F.array_position(names, g.getField("k")) == i + 1)
+    plain = F.regexp_extract(own, r"(?is)<ac:plain-text-body\b[^>]*>(.*?)</ac:plain-text-body\s*>", 1)
     return m.select(
-        "page_id", "macro_no",
-        F.regexp_extract(F.col("m.attrs"), MACRO_NAME_RE, 1).alias("name"),
-        params.alias("params"),
-        F.regexp_extract(inner, r"(?is)<ac:plain-text-body\b[^>]*>(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?</ac:plain-text-body\s*>", 1)
-        .alias("plain_body"),
-        F.regexp_extract(inner, r"(?is)<ac:rich-text-body\b[^>]*>(.*)</ac:rich-text-body\s*>", 1).alias("rich_body"),
-    )
+        "page_id", "macro_no", attribute(F.col("m.tag"), "ac:name").alias("name"),
+        F.map_from_entries(first).alias("params"), tx.html_unescape(plain).alias("plain_body"),
+        F.regexp_extract(inner, r"(?is)<ac:rich-text-body\b[^>]*>(.*)</ac:rich-text-body\s*>", 1).alias("rich_body"))
 
 
 def render_status(title: Column, colour: Column, color: Column) -> Column:
@@ -224,31 +187,27 @@ def _rx(c: Column, pattern: str, repl: str) -> Column:
     return F.regexp_replace(c, F.lit(pattern), F.lit(repl))
 
 
-def export_markdown(pages: DataFrame, well: DataFrame, base_url: str, exported_at: str,
-                    diagram_macro: str | None = None, strict: bool = True,
-                    hubs: DataFrame | None = None) -> DataFrame:
-    """``(page_id, title, markdown)``.
+def export_markdown(pages: DataFrame, base_url: str, exported_at: str, diagram_macro: str | None = None,
+                    strict: bool = True, hubs: DataFrame | None = None) -> DataFrame:
+    """``(page_id, title, markdown)``, a row for each row of ``pages``.
 
     ``pages``: (page_id, title, body, version, webui_url, parent_page_id,
-    page_kind, child_count); ``well``: (page_id, well_formed).
-    Frontmatter omits a missing parent/kind and a zero child count; ``"`` in
-    the title becomes ``'``; ``exported_at`` is a parameter.
+    page_kind, child_count). Bodies are checked and rendered within their row; only hub
+    tables are joined, if given. Frontmatter omits a missing parent/kind and a zero
+    child count; ``"`` in the title becomes ``'``; ``exported_at`` is a parameter.
     """
-    p = pages.join(well, "page_id", "left")
+    from .storage_md import rendered
+    p = pages
     if hubs is not None:  # D18 output (page_id, markdown) for hub pages
         p = p.join(hubs.withColumnRenamed("markdown", "hub_md"), "page_id", "left")
     else:
         p = p.withColumn("hub_md", F.lit(None).cast("string"))
     title = F.coalesce(F.nullif(F.col("title"), F.lit("")), F.lit("Untitled"))
     url = F.coalesce(F.col("webui_url"), F.lit(""))
-    fallback = F.concat(tx.strip_tags(F.coalesce(F.col("body"), F.lit(""))), F.lit("\n"))
-    use_struct = F.coalesce(F.col("well_formed"), F.lit(False)) | F.lit(not strict)
-    from .storage_md import render_markdown
-    sdf = render_markdown(p.filter(use_struct).select("page_id", "body"), base_url, diagram_macro)
-    p = p.join(sdf.withColumnRenamed("markdown", "struct_md"), "page_id", "left")
+    body = F.coalesce(F.col("body"), F.lit(""))
     body_md = (F.when((F.col("page_kind") == "hub") & F.col("hub_md").isNotNull(), F.col("hub_md"))
-               .when(use_struct, F.col("struct_md"))
-               .otherwise(fallback))
+               .when(is_well_formed(body) | F.lit(not strict), rendered(base_url, diagram_macro))
+               .otherwise(F.concat(tx.strip_tags(body), F.lit("\n"))))
     lines = F.concat_ws("\n",
                         F.lit("---"),
                         F.concat(F.lit('title: "'), F.replace(title, F.lit('"'), F.lit("'")), F.lit('"')),

@@ -1,50 +1,79 @@
 """Section edits in bulk.
 
-A section is a top-level heading (depth 0 in the token table) plus every
-following top-level element up to the next heading whose level is <= its
-own. Offsets come from the token table (running sum of token lengths), so
-untouched markup is kept byte-for-byte and only the section body is spliced.
+A section is a top-level heading plus the top-level elements after it, up to
+the next heading whose level is <= its own. Top-level elements are found by
+one fold over the row's tokens, so sections are an array of the row: pages meet
+their edits in one join by page, and several edits of a page are folded in
+``seq`` order over the body that each leaves. Untouched markup is kept as
+written; only the section is spliced. As in the reference, text right after a heading
+belongs to the heading, and loose text before the first element of a page or
+of a replacement is dropped on write.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..session import ensure_checkpoint_dir
-from .markup import _plain_inner, markup_tokens
-
-
-def sections(pages: DataFrame, id_col: str = "page_id", body_col: str = "body",
-             bucket_width: int = 1 << 16) -> DataFrame:
-    """``(page_id, heading_no, level, heading_text, h_start, h_end, sec_end)``
-    with 0-based character offsets: heading element is [h_start, h_end),
-    section body is [h_end, sec_end)."""
-    body = pages.select(F.col(id_col).alias("page_id"), F.col(body_col).alias("body"))
-    toks = markup_tokens(body, bucket_width=bucket_width).withColumn("len", F.length("tok"))
-    wt = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    toks = toks.withColumn("end_off", F.sum("len").over(wt))
-    heads = (toks.filter((F.col("kind") == "open") & (F.col("depth") == 0) & F.col("name").rlike("^h[1-6]$"))
-             .select("page_id", "pos", (F.col("end_off") - F.col("len")).alias("h_start"),
-                     F.substring("name", 2, 1).cast("int").alias("level")))
-    h = heads.join(body, "page_id")
-    rest = F.expr("substring(body, h_start + 1)")
-    elem = F.regexp_extract(rest, r"(?is)^<(h[1-6])\b[^>]*>.*?</\1\s*>", 0)
-    inner = F.regexp_extract(rest, r"(?is)^<(h[1-6])\b[^>]*>(.*?)</\1\s*>", 2)
-    h = h.select("page_id", "pos", "level", "h_start",
-                 (F.col("h_start") + F.length(elem)).alias("h_end"),
-                 tx.normalize_heading(_plain_inner(inner)).alias("heading_text"),
-                 F.length("body").alias("body_len"))
-    # next top-level heading with level <= own: one window per level over the
-    # page's headings only (a small subset of its tokens)
-    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
-    nxt = F.lit(None).cast("long")
-    for lv in range(1, 7):
-        nxt = F.when(F.col("level") == lv,
-                     F.min(F.when(F.col("level") <= lv, F.col("h_start"))).over(w)).otherwise(nxt)
-    return h.select("page_id", F.col("pos").alias("heading_no"), "level", "heading_text", "h_start", "h_end",
-                    F.coalesce(nxt, F.col("body_len")).alias("sec_end"))
+from .markup_fold import _TAG, _UNSEEN, _decode, _seen, is_well_formed
+
+# Error texts of the reference.
+PARSE_ERROR = "Failed to parse Confluence storage HTML fragment."
+
+
+def top_elements(body: Column) -> Column:
+    """(level, start, end) of the top-level elements, 0-based; level 0 for all but headings."""
+    toks = F.regexp_extract_all(body, F.lit(rf"{_UNSEEN}|{_TAG}|[^<]+|<"), 0)
+    element = "array<struct<level:int,start:int,end:int>>"
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("off"), F.array().cast(element).alias("els"))
+
+    def step(s: Column, t: Column) -> Column:
+        depth, off, els = (s.getField(n) for n in ("depth", "off", "els"))
+        after = off + F.length(t)
+        tag = t.startswith("<") & ~t.startswith("<!") & ~t.startswith("<?") & (F.length(t) > 1)
+        closing, alone = t.startswith("</"), t.endswith("/>")
+        level = F.coalesce(F.regexp_extract(t, r"^<h([1-6])[\s/>]", 1).try_cast("int"), F.lit(0))
+        opened = F.concat(els, F.array(F.struct(level.alias("level"), off.alias("start"), after.alias("end"))))
+        last = F.element_at(els, -1)
+        closed = F.concat(F.slice(els, 1, F.size(els) - 1), F.array(F.struct(
+            last.getField("level").alias("level"), last.getField("start").alias("start"), after.alias("end"))))
+        return F.struct(
+            (depth + F.when(~tag | alone, 0).when(closing, -1).otherwise(1)).alias("depth"), after.alias("off"),
+            F.when(tag & ~closing & (depth == 0), opened).when(tag & closing & (depth == 1), closed).otherwise(els).alias("els"))
+
+    return F.aggregate(toks, start, step, lambda s: s.getField("els"))
+
+
+def section_array(body: Column) -> Column:
+    """E1 in the row: (heading_no, level, heading_text, h_start, h_end, sec_start, sec_end, first) of each top-level heading.
+
+    Offsets are 0-based; [h_end, sec_start) is the heading's tail, [sec_start, sec_end)
+    the section, ``first`` where the first element of the page starts.
+    """
+    def build(els: Column) -> Column:
+        def heading(e: Column, i: Column) -> Column:
+            level, a, b = (e.getField(n) for n in ("level", "start", "end"))
+            rest = F.slice(els, i + 2, F.size(els))
+            up = F.filter(rest, lambda x: (x.getField("level") > 0) & (x.getField("level") <= level))
+            element = F.substring(body, a + 1, b - a)
+            text = tx.normalize_heading(_decode(F.regexp_replace(_seen(element), _TAG, "")))
+            end = F.length(body)
+            return F.struct(i.alias("heading_no"), level.alias("level"), text.alias("heading_text"), a.alias("h_start"),
+                            b.alias("h_end"), F.coalesce(F.try_element_at(rest, F.lit(1)).getField("start"), end).alias("sec_start"),
+                            F.coalesce(F.try_element_at(up, F.lit(1)).getField("start"), end).alias("sec_end"),
+                            F.element_at(els, 1).getField("start").alias("first"))
+
+        found = F.transform(els, lambda e, i: F.when(e.getField("level") > 0, heading(e, i)))
+        return F.filter(found, lambda h: h.isNotNull())
+
+    return tx.let(top_elements(body), build)
+
+
+def sections(pages: DataFrame, id_col: str = "page_id", body_col: str = "body") -> DataFrame:
+    """``(page_id, heading_no, level, heading_text, h_start, h_end, sec_start, sec_end)`` of top-level headings."""
+    found = pages.select(F.col(id_col).alias("page_id"), F.explode(section_array(F.coalesce(F.col(body_col), F.lit("")))).alias("s"))
+    return found.select("page_id", "s.*").drop("first")
 
 
 def match_sections(edits: DataFrame, secs: DataFrame) -> DataFrame:
@@ -53,73 +82,105 @@ def match_sections(edits: DataFrame, secs: DataFrame) -> DataFrame:
     e = edits.withColumn("target", tx.normalize_heading(F.col("heading")))
     m = e.join(secs, (e["page_id"] == secs["page_id"]) & (e["target"] == secs["heading_text"]), "left") \
         .drop(secs["page_id"])
-    g = m.groupBy("seq", "page_id", "heading").agg(
-        F.count("heading_text").alias("match_count"),
-        F.min(F.struct("heading_no", "level", "heading_text", "h_start", "h_end", "sec_end")).alias("m"))
-    status = (F.when(F.col("match_count") == 0, "not_found")
-              .when(F.col("match_count") > 1, "ambiguous").otherwise("ok"))
-    return g.withColumn("status", status)
+    g = m.groupBy("seq", "page_id", "heading").agg(F.count("heading_text").alias("match_count"))
+    return g.withColumn("status", F.when(F.col("match_count") == 0, "not_found")
+                        .when(F.col("match_count") > 1, "ambiguous").otherwise("ok"))
+
+
+def _edited(body: Column, heading: Column, replacement: Column) -> Column:
+    """E2 + E3 of one edit: status, matched heading and level, old and new section, next body (null unless ok)."""
+    target = tx.normalize_heading(heading)
 
+    def outcome(status: str, *values: Column) -> Column:
+        names = ("matched", "level", "old", "new", "body")
+        kinds = ("string", "int", "string", "string", "string")
+        given = values or (F.lit(None),) * len(names)
+        return F.struct(F.lit(status).alias("status"), *[v.cast(k).alias(n) for n, k, v in zip(names, kinds, given)])
 
-def replace_sections(pages: DataFrame, edits: DataFrame, id_col: str = "page_id", body_col: str = "body",
-                     bucket_width: int = 1 << 16) -> DataFrame:
-    """E3 + B3: keep the heading, swap its section body.
+    def splice(s: Column) -> Column:
+        g = s.getField
+        first = top_elements(replacement)
+        new = F.when(F.size(first) == 0, F.lit("")).otherwise(tx.strip(F.substring(
+            replacement, F.element_at(first, 1).getField("start") + 1, F.length(replacement))))
+        old = tx.strip(F.substring(body, g("sec_start") + 1, g("sec_end") - g("sec_start")))
+        return tx.let(new, lambda n: outcome(
+            "ok", g("heading_text"), g("level"), old, n,
+            tx.strip(F.concat(F.substring(body, g("first") + 1, g("sec_start") - g("first")), n,
+                              F.substring(body, g("sec_end") + 1, F.length(body))))))
 
-    Returns per edit: status, error, matched heading and level, old/new
-    section html, updated body and the three B3 previews.
+    def choose(found: Column) -> Column:
+        return F.when(F.size(found) == 0, outcome("not_found")).when(F.size(found) > 1, outcome("ambiguous")).when(
+            ~is_well_formed(replacement), outcome("malformed")).otherwise(splice(F.element_at(found, 1)))
+
+    matches = F.filter(section_array(body), lambda s: s.getField("heading_text") == target)
+    return F.when(~is_well_formed(body), outcome("malformed")).otherwise(tx.let(matches, choose))
+
+
+def _error(status: Column, heading: Column) -> Column:
+    named = F.concat(F.lit('replace-section target heading "'), heading, F.lit('"'))
+    return (F.when(status == "not_found", F.concat(named, F.lit(" was not found.")))
+            .when(status == "ambiguous", F.concat(named, F.lit(" is ambiguous because it appears multiple times.")))
+            .when(status == "malformed", F.lit(PARSE_ERROR))
+            .when(status == "no_page", F.lit("Page not found.")))
+
+
+def replace_sections(pages: DataFrame, edits: DataFrame, id_col: str = "page_id", body_col: str = "body") -> DataFrame:
+    """E3 + B3: keep the heading, swap its section; every edit on the page as it is now.
+
+    Returns per edit: status (ok, not_found, ambiguous, malformed, no_page), error, matched heading and level, old and new
+    section html, updated body and the three B3 previews. A page or replacement that doesn't parse is an error row.
     """
-    body = pages.select(F.col(id_col).alias("page_id"), F.col(body_col).alias("body"))
-    secs = sections(body, bucket_width=bucket_width)
-    m = match_sections(edits, secs).join(edits.select("seq", "page_id", "replacement_html"), ["seq", "page_id"])
-    m = m.join(body, "page_id", "left")
-    ok = F.col("status") == "ok"
-    old = F.expr("substring(body, m.h_end + 1, m.sec_end - m.h_end)")
-    updated = F.concat(F.expr("substring(body, 1, m.h_end)"), F.coalesce("replacement_html", F.lit("")),
-                       F.expr("substring(body, m.sec_end + 1)"))
-    new = tx.strip(F.coalesce("replacement_html", F.lit("")))
-    error = (F.when(F.col("status") == "not_found",
-                    F.concat(F.lit('replace-section target heading "'), F.col("heading"), F.lit('" was not found.')))
-             .when(F.col("status") == "ambiguous",
-                   F.concat(F.lit('replace-section target heading "'), F.col("heading"),
-                            F.lit('" is ambiguous because it appears multiple times.'))))
-    return m.select(
-        "seq", "page_id", "heading", "status", error.alias("error"),
-        F.when(ok, F.col("m.heading_text")).alias("matched_heading"),
-        F.when(ok, F.col("m.level")).alias("heading_level"),
-        F.when(ok, tx.strip(old)).alias("old_section_html"),
-        F.when(ok, new).alias("new_section_html"),
-        F.when(ok, tx.strip(updated)).alias("updated_body_html"),
-        F.when(ok, tx.preview_html(old)).alias("old_section_preview"),
-        F.when(ok, tx.preview_html(new)).alias("new_section_preview"),
-        F.when(ok, tx.preview_html(updated)).alias("resulting_body_preview"),
-    )
-
-
-def replace_sections_folded(pages: DataFrame, edits: DataFrame, id_col: str = "page_id", body_col: str = "body",
-                            max_rounds: int = 64) -> tuple[DataFrame, DataFrame]:
-    """E3 with several edits per page: edits are applied in ``seq`` order, each
-    to the body left by the previous one.
-
-    Round r applies every page's r-th edit in one distributed pass; the driver
-    loop runs as many rounds as the largest number of edits on one page (a
-    change-set property, checked once). Returns ``(results, next_bodies)``.
+    body = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(body_col), F.lit("")).alias("__body"))
+    j = edits.select("seq", "page_id", "heading", F.coalesce("replacement_html", F.lit("")).alias("__new")).join(body, "page_id", "left")
+    done = F.when(F.col("__body").isNotNull(), _edited(F.col("__body"), F.col("heading"), F.col("__new")))
+    r = j.select("seq", "page_id", "heading", done.alias("r"))
+    status = F.coalesce("r.status", F.lit("no_page"))
+    return r.select(
+        "seq", "page_id", "heading", status.alias("status"), _error(status, F.col("heading")).alias("error"),
+        F.col("r.matched").alias("matched_heading"), F.col("r.level").alias("heading_level"),
+        F.col("r.old").alias("old_section_html"), F.col("r.new").alias("new_section_html"),
+        F.col("r.body").alias("updated_body_html"), tx.preview_html("r.old").alias("old_section_preview"),
+        tx.preview_html("r.new").alias("new_section_preview"), tx.preview_html("r.body").alias("resulting_body_preview"))
+
+
+def fold_section_edits(pages: DataFrame, edits: DataFrame, id_col: str = "page_id", body_col: str = "body") -> DataFrame:
+    """E3 with several edits per page: ``(page_id, body, results)`` of every page, and of edits without a page (body null).
+
+    One pass: a page's edits (seq, heading, replacement_html) come as an array and are folded in ``seq`` order, each on the
+    body that the one before left, so headings that an edit brings or removes count for the next. ``results`` holds seq, heading,
+    status, error, matched_heading, heading_level, old_section_html, new_section_html of each. The array holds the change
+    set's fragments of one page, never bodies.
     """
-    from pyspark.sql import Window
-    body = pages.select(F.col(id_col).alias("page_id"), F.col(body_col).alias("body"))
-    ranked = edits.withColumn("__round", F.row_number().over(Window.partitionBy("page_id").orderBy("seq")))
-    rounds = ranked.agg(F.max("__round")).first()[0] or 0
-    if rounds > max_rounds:
-        raise ValueError(f"{rounds} edits on one page exceed max_rounds={max_rounds}")
-    results = None
-    for r in range(1, rounds + 1):
-        step = ranked.filter(F.col("__round") == r).drop("__round")
-        res = replace_sections(body, step).cache()
-        results = res if results is None else results.unionByName(res)
-        updated = res.filter(F.col("status") == "ok").select("page_id", F.col("updated_body_html").alias("__new"))
-        body = (body.join(updated, "page_id", "left")
-                .select("page_id", F.coalesce("__new", "body").alias("body")))
-        if r % 8 == 0:
-            # cut lineage in the shared checkpoint folder
-            ensure_checkpoint_dir(body.sparkSession)
-            body = body.checkpoint(eager=True)
-    return results, body
+    own = edits.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct(
+        "seq", "heading", F.coalesce("replacement_html", F.lit("")).alias("new")))).alias("edits"))
+    body = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(body_col), F.lit("")).alias("body"))
+    j = body.join(own, "page_id", "full").withColumn("edits", F.coalesce(
+        "edits", F.array().cast(own.schema["edits"].dataType)))
+    result = ("array<struct<seq:bigint,heading:string,status:string,error:string,matched_heading:string,heading_level:int,"
+              "old_section_html:string,new_section_html:string>>")
+
+    def step(s: Column, e: Column) -> Column:
+        def put(r: Column) -> Column:
+            g = r.getField
+            row = F.struct(e.getField("seq").cast("bigint").alias("seq"), e.getField("heading").alias("heading"), g("status").alias("status"),
+                           _error(g("status"), e.getField("heading")).alias("error"), g("matched").alias("matched_heading"),
+                           g("level").alias("heading_level"), g("old").alias("old_section_html"), g("new").alias("new_section_html"))
+            return F.struct(F.coalesce(g("body"), s.getField("body")).alias("body"),
+                            F.concat(s.getField("done"), F.array(row)).alias("done"))
+
+        made = _edited(s.getField("body"), e.getField("heading"), e.getField("new"))
+        none = F.struct(F.lit("no_page").alias("status"), *[F.lit(None).cast(k).alias(n) for n, k in (
+            ("matched", "string"), ("level", "int"), ("old", "string"), ("new", "string"), ("body", "string"))])
+        return tx.let(F.when(s.getField("body").isNull(), none).otherwise(made), put)
+
+    start = F.struct(F.col("body").alias("body"), F.array().cast(result).alias("done"))
+    folded = j.select("page_id", F.when(F.size("edits") == 0, start).otherwise(F.aggregate("edits", start, step)).alias("s"))
+    return folded.select("page_id", "s.body", F.col("s.done").alias("results"))
+
+
+def replace_sections_folded(pages: DataFrame, edits: DataFrame, id_col: str = "page_id",
+                            body_col: str = "body") -> tuple[DataFrame, DataFrame]:
+    """``(results, next bodies)`` of ``fold_section_edits``."""
+    folded = fold_section_edits(pages, edits, id_col, body_col)
+    return (folded.select("page_id", F.explode("results").alias("r")).select("page_id", "r.*"),
+            folded.where(F.col("body").isNotNull()).select("page_id", "body"))

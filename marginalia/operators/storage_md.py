@@ -1,390 +1,24 @@
 """Structured storage markup -> Markdown for well-formed bodies.
 
-The body of a page is one value, so rendering is a per-row column
-expression: element kinds are found with regexes, each match is rendered by
-a higher-order function, and the result is spliced back (``_splice``). The
-stages run in the order that makes inner structures final before their
-containers are rendered:
-
-  macros (status, diagram, toc, callouts, others) -> images -> lists
-  (innermost first, a fixed number of passes) -> tables (incl. key/content
-  tables) -> headings -> paragraphs -> rules / pre / breaks -> line
-  post-processing (D17) -> clean text (T7).
-
-Inline content follows two joining rules, as in the reference: paragraphs,
-cells and emphasis join their pieces with single spaces (T9); list items join
-them with no separator. A bold/italic element that contains another emphasis
-element is flattened to plain text (D5).
-
-Limits (see README): lists nest up to ``LIST_PASSES`` levels, a table
-inside a list or cell and a macro inside a callout body are not rendered
-structurally.
+A body is one value, so rendering is an expression of its row: the fold of
+``markup_fold`` over the tokens, then line rules and clean text (T7). Nothing
+is shuffled, and containers nest to any depth.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-
-LIST_PASSES = 4
-
-# Private-use markers (never produced by the rewrites themselves).
-BR = "\ue001"       # line break inside space-joined inline text
-NL = "\ue002"       # line break inside a rendered list
-LVL = "\ue003"      # one list nesting level at the start of a line
-L_OPEN, L_CLOSE = "\ue004", "\ue005"   # a rendered list
-BLOCK = "\ue006"    # block separator inside a table cell
-
-# key/content table header words (first and second column).
-KEY_HEADERS = [
-    "category", "component", "feature", "field", "flow", "group", "item", "label", "name", "option",
-    "screen", "section", "setting", "step", "title",
-    "구분", "기능", "단계", "명칭", "분류", "설정", "섹션", "순서", "옵션", "이름", "항목명", "카테고리",
-    "컴포넌트", "타이틀", "항목", "화면", "흐름", "필드",
-]
-CONTENT_HEADERS = [
-    "content", "definition", "description", "detail", "details", "overview", "summary",
-    "내용", "상세", "설명", "요약",
-]
-# Callout macro names.
-CALLOUTS = ["info", "note", "tip", "warning", "expand"]
-
-_ATTR = r"""["']([^"']*)["']"""
-STATUS_RE = r"(?is)<ac:structured-macro\b[^>]*ac:name\s*=\s*[\"']status[\"'][^>]*>.*?</ac:structured-macro\s*>"
-CALLOUT_RE = (r"(?is)<ac:structured-macro\b[^>]*ac:name\s*=\s*[\"'](?:" + "|".join(CALLOUTS)
-              + r")[\"'][^>]*>.*?</ac:structured-macro\s*>")
-ANY_MACRO_RE = r"(?is)<ac:structured-macro\b[^>]*>.*?</ac:structured-macro\s*>"
-IMAGE_RE = r"(?is)<ac:image\b[^>]*>.*?</ac:image\s*>|<ac:image\b[^>]*/>"
-LIST_RE = r"(?is)<(ul|ol)\b[^>]*>((?:(?!<(?:ul|ol)\b).)*?)</\1\s*>"
-TABLE_RE = r"(?is)<table\b[^>]*>.*?</table\s*>"
-HEADING_RE = r"(?is)<h([1-6])\b[^>]*>(.*?)</h\1\s*>"
-PARA_RE = r"(?is)<p\b[^>]*>(.*?)</p\s*>|<p\b[^>]*/>"
-EMPH_NESTED_RE = r"(?is)<(strong|b|em|i)\b[^>]*>(?:(?!</\1\s*>).)*?<(?:strong|b|em|i)\b.*?</\1\s*>"
+from .markup_fold import Renderer
 
 
 def _rx(c: Column, pattern: str, repl: str) -> Column:
     return F.regexp_replace(c, F.lit(pattern), F.lit(repl))
 
 
-def _splice(v: Column, pattern: str, fn, bind: bool = True) -> Column:
-    """Replace every match of ``pattern`` by ``fn(match)`` (a Column function).
-    ``bind=False`` when ``v`` is a plain column reference (no let-binding)."""
-    def go(x: Column) -> Column:
-        matches = F.regexp_extract_all(x, F.lit(pattern), 0)
-        parts = F.split(x, pattern, -1)
-        return F.array_join(F.zip_with(parts, F.concat(F.transform(matches, fn), F.array(F.lit(""))),
-                                       lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))),
-                            "")
-    return tx.let(v, go) if bind else go(v)
-
-
-def _param(m: Column, name: str) -> Column:
-    inner = F.regexp_extract(m, rf"(?is)<ac:parameter\b[^>]*ac:name\s*=\s*[\"']{name}[\"'][^>]*>(.*?)</ac:parameter", 1)
-    return _plain(inner)
-
-
-def _collapse(p: Column) -> Column:
-    """T8 without the entity decode (decoding happens once per page, below)."""
-    return tx.single_line(F.replace(p, F.lit("\u00a0"), F.lit(" ")))
-
-
-def _plain(frag: Column) -> Column:
-    """Plain text: text pieces between tags, each collapsed, space-joined."""
-    pieces = F.split(F.regexp_replace(frag, r"<[^>]*>", "\u0001"), "\u0001", -1)
-    return tx.join_inline(F.transform(pieces, _collapse))
-
-
-def status_token(m: Column) -> Column:
-    """``:status[title]{color=c}`` (``colour`` before ``color``)."""
-    colour = F.coalesce(F.nullif(_param(m, "colour"), F.lit("")), _param(m, "color"))
-    return F.concat(F.lit(":status["), _param(m, "title"), F.lit("]{color="), tx.status_colour_export(colour),
-                    F.lit("}"))
-
-
-def _link(m: Column) -> Column:
-    href = F.regexp_extract(m, r"(?is)^<a\b[^>]*\bhref\s*=\s*" + _ATTR, 1)
-    inner = F.regexp_extract(m, r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1)
-    # link text keeps simple inline emphasis (pieces space-joined, as in paragraphs)
-    inner = _rx(inner, r"(?is)<(strong|b)\b[^>]*>\s*(.*?)\s*</\1\s*>", " **$2** ")
-    inner = _rx(inner, r"(?is)<(em|i)\b[^>]*>\s*(.*?)\s*</\1\s*>", " *$2* ")
-    inner = _rx(inner, r"(?is)<code\b[^>]*>\s*(.*?)\s*</code\s*>", " `$1` ")
-    text = _plain(inner)
-    text = F.when(text != "", text).otherwise(href)
-    return F.when(href != "", F.concat(F.lit("["), text, F.lit("]("), href, F.lit(")"))).otherwise(text)
-
-
-def _inline_elements(v: Column, pad: str) -> Column:
-    """Emphasis (with D5 flattening), code, links, breaks, attachment names."""
-    v = _splice(v, EMPH_NESTED_RE, lambda m: F.concat(F.lit(pad), _plain(m), F.lit(pad)))
-    v = _rx(v, r"(?is)<(strong|b|em|i|code)\b[^>]*>\s*</\1\s*>", "")
-    v = _rx(v, r"(?is)<(strong|b)\b[^>]*>\s*(.*?)\s*</\1\s*>", f"{pad}**$2**{pad}")
-    v = _rx(v, r"(?is)<(em|i)\b[^>]*>\s*(.*?)\s*</\1\s*>", f"{pad}*$2*{pad}")
-    v = _rx(v, r"(?is)<code\b[^>]*>\s*(.*?)\s*</code\s*>", f"{pad}`$1`{pad}")
-    v = _splice(v, r"(?is)<a\b[^>]*>.*?</a\s*>", lambda m: F.concat(F.lit(pad), _link(m), F.lit(pad)))
-    v = _rx(v, r"(?is)<br\s*/?>", f"{pad}{BR}{pad}")
-    v = _rx(v, r"(?is)<ri:attachment\b[^>]*ri:filename\s*=\s*" + _ATTR + r"[^>]*/?>", f"{pad}$1{pad}")
-    return v
-
-
-def inline_spaced(frag: Column) -> Column:
-    """Paragraph / cell inline text: pieces joined by single spaces."""
-    v = _inline_elements(frag, " ")
-    v = _rx(v, r"<[^>]+>", " ")
-    v = F.replace(v, F.lit("\u00a0"), F.lit(" "))
-    v = _rx(v, r"(?U)\s+", " ")
-    v = _rx(v, r"(?U)\s+([,.;!?]|:(?!status\[))", "$1")
-    v = _rx(v, r"(?U)\(\s+", "(")
-    v = _rx(v, r"(?U)\s+\)", ")")
-    # a list inside the paragraph: its own lines (rendered at indent 1, so
-    # later items keep one space after the joiner's newline tidying)
-    v = F.when(F.instr(v, L_OPEN) > 0, _rx(_rx(v, f" ?{L_OPEN}([^{L_CLOSE}]*){L_CLOSE} ?", "\n$1\n"),
-                                            NL, NL + " ")).otherwise(v)
-    v = _rx(v, r" ?" + BR + " ?", "\n")
-    return tx.strip(v)
-
-
-def inline_tight(frag: Column) -> Column:
-    """List-item inline text: each text piece stripped, pieces joined with no separator."""
-    v = _rx(frag, r"(?U)\s*(<[^>]+>)\s*", "$1")
-    v = _inline_elements(v, "")
-    v = _rx(v, r"<[^>]+>", "")
-    v = F.replace(v, F.lit("\u00a0"), F.lit(" "))
-    v = _rx(v, r"(?U)[ \t\r\f\x0B]+", " ")
-    v = F.replace(v, F.lit(BR), F.lit("\n"))
-    return tx.strip(v)
-
-
-# --------------------------------------------------------------------------
-# lists (D6)
-# --------------------------------------------------------------------------
-
-def _render_list(m: Column) -> Column:
-    """One innermost list (nested lists inside it are already rendered)."""
-    ordered = F.lower(F.substring(m, 2, 2)) == "ol"
-    items = F.regexp_extract_all(m, F.lit(r"(?is)<li\b[^>]*>(.*?)</li\s*>|<li\b[^>]*/>"), 0)
-
-    def item(it: Column, i: Column) -> Column:
-        inner = F.regexp_extract(it, r"(?is)^<li\b[^>]*>(.*)</li\s*>$", 1)
-        nested = F.regexp_extract_all(inner, F.lit(f"(?s){L_OPEN}(.*?){L_CLOSE}"), 1)
-        text = inline_tight(_rx(inner, f"(?s){L_OPEN}.*?{L_CLOSE}", ""))
-        prefix = F.when(ordered, F.concat((i + 1).cast("string"), F.lit(". "))).otherwise(F.lit("- "))
-        nested_lines = F.flatten(F.transform(nested, lambda n: F.transform(
-            F.split(n, NL, -1), lambda ln: F.concat(F.lit(LVL), ln))))
-        return F.concat(F.array(F.concat(prefix, text)), nested_lines)
-
-    lines = F.flatten(F.transform(items, item))
-    lines = F.filter(lines, lambda ln: tx.strip(F.replace(ln, F.lit(LVL), F.lit(""))) != "")
-    return F.concat(F.lit(L_OPEN), F.array_join(lines, NL), F.lit(L_CLOSE))
-
-
-def _expand_levels(v: Column) -> Column:
-    """k level markers -> k*k + 3k spaces (each nesting adds its own indent and
-    re-indents the nested text), then the D17 clamp to 8 spaces."""
-    v = _splice(v, f"{LVL}+", lambda m: F.repeat(F.lit(" "), F.length(m) * F.length(m) + 3 * F.length(m)))
-    return v
-
-
-# --------------------------------------------------------------------------
-# tables (D7-D10)
-# --------------------------------------------------------------------------
-
-def _cell_list_text(c: Column, sep: str) -> Column:
-    """Rendered lists inside a cell: markers -> separator (``<br>`` or newline)."""
-    return F.replace(_rx(c, f"(?s){L_OPEN}(.*?){L_CLOSE}", f" {BLOCK}$1{BLOCK} "), F.lit(NL), F.lit(sep))
-
-
-def flatten_cell(cell: Column) -> Column:
-    """One-line cell text; lists / newlines become ``<br>``, pipes escaped."""
-    v = _expand_levels(inline_spaced(F.replace(_cell_list_text(cell, BR), F.lit(BLOCK), F.lit(" "))))
-    v = F.replace(v, F.lit("|"), F.lit("\\|"))
-    v = F.replace(v, F.lit("\n"), F.lit("<br>"))
-    v = _rx(v, r"(?U)\s{2,}", " ")
-    v = _rx(v, r"^(<br>\s*)+$", "")
-    return tx.strip(v)
-
-
-def cell_content(cell: Column) -> Column:
-    """D10 content cell: paragraphs and lists as separate blocks (blank line
-    between), inline runs space-joined."""
-    v = _cell_list_text(cell, NL)
-    v = _rx(v, r"(?is)</?p\b[^>]*>|<br\s*/?>", BLOCK)
-    blocks = F.transform(F.split(v, BLOCK, -1),
-                         lambda b: _expand_levels(F.replace(inline_spaced(b), F.lit(NL), F.lit("\n"))))
-    blocks = F.filter(blocks, lambda b: b != "")
-    return tx.strip(F.array_join(blocks, "\n\n"))
-
-
-def _key_set(words: list[str]) -> Column:
-    return F.array(*[F.lit(w) for w in words])
-
-
-# --------------------------------------------------------------------------
-# blocks and the whole body (a DataFrame pipeline: one column step per stage,
-# so no stage nests inside another)
-# --------------------------------------------------------------------------
-
-V = "__md"
-_COLUMN_CACHE: dict = {}
-
-
-def _cached(key, build):
-    """Stage expressions only reference columns by name, so each is built
-    once per SparkContext and reused (building them costs many driver round
-    trips; reuse also covers the repeated list passes)."""
-    from pyspark import SparkContext
-    sc_key = id(SparkContext._active_spark_context)
-    if _COLUMN_CACHE.get("__sc") != sc_key:
-        _COLUMN_CACHE.clear()
-        _COLUMN_CACHE["__sc"] = sc_key
-    if key not in _COLUMN_CACHE:
-        _COLUMN_CACHE[key] = build()
-    return _COLUMN_CACHE[key]
-
-
-def _stage(df, fn, key=None):
-    col = _cached(key, lambda: fn(F.col(V))) if key is not None else fn(F.col(V))
-    return df.withColumn(V, col)
-
-
-def _diagram(code_block: Column) -> Column:
-    code = F.regexp_replace(F.regexp_extract(code_block, r"(?is)<ac:plain-text-body\b[^>]*>(?:<!\[CDATA\[)?(.*?)"
-                                                         r"(?:\]\]>)?</ac:plain-text-body", 1), r"^\n+|\n+$", "")
-    return F.when(code != "", F.concat(F.lit("\n\n```mermaid\n"), code, F.lit("\n```\n\n"))) \
-        .otherwise(F.lit("\n\n```mermaid\n```\n\n"))
-
-
-T_OPEN, T_CLOSE = "\ue009", "\ue00a"   # a table placeholder
-
-
-def table_cells(df):
-    """``(page_id, slot, table_no, row_no, col_no, cell)`` for every cell
-    of every table in column ``V`` (empty rows vanish with the explode)."""
-    t = df.select("page_id", "slot", F.posexplode(F.regexp_extract_all(F.col(V), F.lit(TABLE_RE), 0))
-                  .alias("table_no", "t"))
-    t = t.withColumn("t", _rx(F.col("t"), r"(?is)<(t[hd])\b([^>]*)/>", "<$1$2></$1>"))
-    r = t.select("page_id", "slot", "table_no", F.posexplode(F.regexp_extract_all(
-        F.col("t"), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), 1)).alias("row_no", "r"))
-    return r.select("page_id", "slot", "table_no", "row_no", F.posexplode(F.regexp_extract_all(
-        F.col("r"), F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]\s*>"), 1)).alias("col_no", "cell"))
-
-
-def _table_md(flat: Column, content: Column) -> Column:
-    """D8-D10 from per-row arrays of flattened cells / content cells."""
-    headers = F.element_at(flat, 1)
-    structured = ((F.size(headers) >= 2)
-                  & F.array_contains(_key_set(KEY_HEADERS), tx.normalize_header(F.element_at(headers, 1)))
-                  & F.array_contains(_key_set(CONTENT_HEADERS), tx.normalize_header(F.element_at(headers, 2))))
-    width = F.array_max(F.transform(flat, F.size))
-    padded = F.transform(flat, lambda r: F.concat(r, F.array_repeat(F.lit(""), width - F.size(r))))
-    md_table = F.array_join(F.concat(
-        F.array(F.concat(F.lit("| "), F.array_join(F.element_at(padded, 1), " | "), F.lit(" |")),
-                F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), width), " | "), F.lit(" |"))),
-        F.transform(F.slice(padded, 2, 1 << 30), lambda r: F.concat(F.lit("| "), F.array_join(r, " | "), F.lit(" |")))),
-        "\n")
-
-    def section(fr: Column, cr: Column) -> Column:
-        title = F.coalesce(F.nullif(F.element_at(fr, 1), F.lit("")), F.lit("Item"))
-        content = F.when(F.size(cr) > 1, F.element_at(cr, 2)).otherwise(F.lit(""))
-        extras = F.transform(F.sequence(F.lit(3), F.greatest(F.size(headers), F.lit(3))), lambda idx: F.when(
-            (idx <= F.size(headers)) & (idx <= F.size(cr)) & (F.element_at(cr, idx) != ""),
-            tx.let(F.struct(F.element_at(cr, idx).alias("c"), F.coalesce(
-                F.nullif(tx.strip(F.element_at(headers, idx)), F.lit("")),
-                F.concat(F.lit("Note "), (idx - 1).cast("string"))).alias("label")), lambda x: F.when(
-                (F.instr(x.getField("c"), "\n") > 0) | x.getField("c").rlike(r"^(-|\||!\[|#|```)"),
-                F.concat(F.lit("**"), x.getField("label"), F.lit("**\n\n"), x.getField("c"), F.lit("\n\n")))
-                .otherwise(F.concat(F.lit("**"), x.getField("label"), F.lit(":** "), x.getField("c"), F.lit("\n\n"))))
-        ).otherwise(F.lit("")))
-        return F.concat(F.lit("#### "), title, F.lit("\n\n"),
-                        F.when(content != "", F.concat(content, F.lit("\n\n"))).otherwise(F.lit("")),
-                        F.array_join(extras, ""))
-
-    sections = tx.strip(F.array_join(F.zip_with(F.slice(flat, 2, 1 << 30), F.slice(content, 2, 1 << 30), section), ""))
-    return F.concat(F.lit("\n\n"), F.when(structured, sections).otherwise(md_table), F.lit("\n\n"))
-
-
-def _tables_stage(df):
-    """Tables -> Markdown via the cell table (each cell rendered once, as a
-    plain column step), re-assembled per table and spliced back."""
-    cells = table_cells(df)
-    cells = cells.withColumn("flat", _cached("flat", lambda: flatten_cell(F.col("cell"))))
-    cells = cells.withColumn("content", _cached("content", lambda: cell_content(F.col("cell"))))
-    rows = cells.groupBy("page_id", "slot", "table_no", "row_no").agg(
-        F.array_sort(F.collect_list(F.struct("col_no", "flat", "content"))).alias("cs"))
-    tables = rows.groupBy("page_id", "slot", "table_no").agg(
-        F.array_sort(F.collect_list(F.struct("row_no", "cs"))).alias("rs"))
-    tables = tables.select("page_id", "slot", "table_no", _table_md(
-        F.transform("rs", lambda r: F.transform(r.getField("cs"), lambda c: c.getField("flat"))),
-        F.transform("rs", lambda r: F.transform(r.getField("cs"), lambda c: c.getField("content")))).alias("md"))
-    per_slot = tables.groupBy("page_id", "slot").agg(
-        F.array_sort(F.collect_list(F.struct("table_no", "md"))).alias("__tables"))
-    # placeholders carry the table's position among the slot's tables
-    has_table = F.instr(F.lower(F.col(V)), "<table") > 0
-    d = df.withColumn(V, F.when(~has_table, F.col(V)).otherwise(F.array_join(F.zip_with(
-        F.split(F.col(V), TABLE_RE, -1),
-        F.concat(F.transform(F.regexp_extract_all(F.col(V), F.lit(TABLE_RE), 0),
-                             lambda m, i: F.concat(F.lit(T_OPEN), i.cast("string"), F.lit(T_CLOSE))),
-                 F.array(F.lit(""))),
-        lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))), "")))
-    d = d.join(per_slot, ["page_id", "slot"], "left")
-    d = d.withColumn(V, _splice(F.col(V), f"{T_OPEN}[0-9]+{T_CLOSE}", lambda m: tx.let(
-        F.regexp_extract(m, "([0-9]+)", 1).cast("int"), lambda n: F.coalesce(F.element_at(
-            F.filter(F.coalesce(F.col("__tables"), F.array().cast("array<struct<table_no:int,md:string>>")),
-                     lambda t: t.getField("table_no") == n), 1).getField("md"), F.lit("\n\n"))), bind=False))
-    return d.drop("__tables")
-
-
-def _block_stages(df, base_url: str, diagram_macro: str | None):
-    """All block stages over column ``V`` (page id in ``page_id``)."""
-    def sp(pat, fn, *needles):
-        """Splice stage, skipped (no regex pass) on rows containing none of the needles."""
-        def stage(c: Column) -> Column:
-            out = _splice(c, pat, fn, bind=False)
-            if not needles:
-                return out
-            low = F.lower(c)
-            present = F.lit(False)
-            for n in needles:
-                present = present | (F.instr(low, n) > 0)
-            return F.when(present, out).otherwise(c)
-        return stage
-    df = _stage(df, sp(ANY_MACRO_RE, lambda m: F.regexp_extract(
-        m, r"(?is)<ac:rich-text-body\b[^>]*>(.*)</ac:rich-text-body\s*>", 1), "<ac:structured-macro"), "macros")
-    df = _stage(df, lambda c: _rx(c, r"(?is)<ac:structured-macro\b[^>]*/>", ""), "empty_macros")
-    df = _stage(df, sp(IMAGE_RE, lambda m: tx.let(
-        F.regexp_extract(m, r"(?is)<ri:attachment\b[^>]*ri:filename\s*=\s*" + _ATTR, 1),
-        lambda f: F.when(f != "", F.concat(F.lit(" !["), f, F.lit("]("),
-                                           tx.attachment_link(F.lit(base_url), F.col("page_id").cast("string"), f),
-                                           F.lit(") "))).otherwise(F.lit(""))), "<ac:image"), ("images", base_url))
-    for _ in range(LIST_PASSES):
-        df = _stage(df, sp(LIST_RE, _render_list, "<ul", "<ol"), "lists")
-    df = _tables_stage(df)
-    df = _stage(df, sp(HEADING_RE, lambda m: tx.let(_plain(m), lambda t: F.when(
-        t != "", F.concat(F.lit("\n\n"), F.repeat(F.lit("#"), F.regexp_extract(m, r"(?is)^<h([1-6])", 1).cast("int")),
-                          F.lit(" "), t, F.lit("\n\n"))).otherwise(F.lit("")))), "headings")
-    df = _stage(df, sp(r"(?is)<pre\b[^>]*>.*?</pre\s*>", lambda m: tx.let(
-        F.regexp_replace(F.regexp_replace(m, r"<[^>]+>", ""), r"^\n+|\n+$", ""),
-        lambda t: F.when(t != "", F.concat(F.lit("\n\n```\n"), t, F.lit("\n```\n\n"))).otherwise(F.lit("")))),
-        "pre")
-    df = _stage(df, sp(PARA_RE, lambda m: tx.let(
-        inline_spaced(F.regexp_extract(m, r"(?is)^<p\b[^>]*>(.*)</p\s*>$", 1)),
-        lambda t: F.when(t != "", F.concat(t, F.lit("\n\n"))).otherwise(F.lit("\n")))), "paragraphs")
-
-    def finish(v: Column) -> Column:
-        # top-level lists end with one newline
-        v = _rx(v, f"(?s){L_OPEN}(.*?){L_CLOSE}", "$1\n")
-        v = F.replace(v, F.lit(NL), F.lit("\n"))
-        v = _rx(v, r"(?is)<hr\s*/?>", "---\n\n")
-        v = _rx(v, r"(?is)<br\s*/?>", "\n")
-        v = _rx(v, r"<[^>]+>", "")
-        # a block-level status token keeps no inline padding
-        v = _rx(v, r"(?m)^[ \t]+(?=:status\[)", "")
-        return F.replace(v, F.lit(BR), F.lit("\n"))
-    df = _stage(df, finish, "finish")
-    return _stage(df, _expand_levels, "levels")
-
-
+# The patterns of the line rules define what the export looks like.
 def _postprocess_line(line: Column) -> Column:
     """D17 line rules: odd ``**`` / ``*`` counts drop all ``*``; an image
     that does not start its line moves to its own paragraph; deep list
@@ -411,60 +45,23 @@ def postprocess(v: Column) -> Column:
     return _rx(v, r"\n{3,}", "\n\n")
 
 
-def render_markdown(pages, base_url: str, diagram_macro: str | None = None, id_col: str = "page_id",
-                    body_col: str = "body"):
-    """D2-D19 body rendering for well-formed markup: ``(page_id, markdown)``.
+def rendered(base_url: str, diagram_macro: str | None = None, page_id: str = "page_id", body: str = "body") -> Column:
+    """The Markdown of the body column of a page, for well-formed markup."""
+    blocks = Renderer.of(page_id, base_url, diagram_macro).of_column("markdown", body)
+    return F.concat(tx.clean_text(postprocess(blocks)), F.lit("\n"))
+
 
-    Callout bodies (D15) are cut out first, exploded into their own rows and
-    rendered by the same stages as the page text, then quoted and spliced
-    back per page (one page's callouts, bounded by its body).
-    """
-    d = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(body_col), F.lit("")).alias(V))
-    d = _stage(d, lambda c: _splice(c, STATUS_RE, lambda m: F.concat(F.lit(" "), status_token(m), F.lit(" ")),
-                                    bind=False), "status")
-    if diagram_macro:
-        d = _stage(d, lambda c: _splice(
-            c, rf"(?is)<ac:structured-macro\b[^>]*ac:name\s*=\s*[\"']{diagram_macro}[\"'][^>]*>.*?"
-               r"</ac:structured-macro\s*>", _diagram, bind=False))
-    # callouts -> indexed placeholders + one row per callout body
-    d = d.withColumn("__callouts", F.regexp_extract_all(F.col(V), F.lit(CALLOUT_RE), 0))
-    d = d.withColumn(V, F.array_join(F.zip_with(
-        F.split(F.col(V), CALLOUT_RE, -1),
-        F.concat(F.transform("__callouts", lambda m, i: F.concat(F.lit("\ue007"), i.cast("string"), F.lit("\ue008"))),
-                 F.array(F.lit(""))),
-        lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))), ""))
-    slots = F.concat(
-        F.array(F.struct(F.lit(-1).alias("slot"), F.col(V).alias("text"), F.lit(None).cast("string").alias("label"),
-                         F.lit(None).cast("string").alias("title"))),
-        F.transform("__callouts", lambda m, i: F.struct(
-            i.alias("slot"),
-            F.regexp_extract(m, r"(?is)<ac:rich-text-body\b[^>]*>(.*)</ac:rich-text-body\s*>", 1).alias("text"),
-            F.lower(F.regexp_extract(m, r"(?is)ac:name\s*=\s*" + _ATTR, 1)).alias("label"),
-            _param(m, "title").alias("title"))))
-    u = d.select("page_id", F.explode(slots).alias("s")).select(
-        "page_id", "s.slot", F.col("s.text").alias(V), "s.label", "s.title")
-    u = _block_stages(u, base_url, diagram_macro)
+def render_markdown(pages: DataFrame, base_url: str, diagram_macro: str | None = None, id_col: str = "page_id",
+                    body_col: str = "body") -> DataFrame:
+    """``(page_id, markdown)`` of well-formed bodies, a row for each row of ``pages``."""
+    return pages.select(F.col(id_col).alias("page_id"), rendered(base_url, diagram_macro, id_col, body_col).alias("markdown"))
 
-    def quoted(r: Column) -> Column:
-        body = tx.strip(r.getField("text"))
-        label = F.when(r.getField("label") == "expand", F.lit("EXPAND")).otherwise(F.upper(r.getField("label")))
-        title = r.getField("title")
-        header = F.concat(F.lit("> [!"), label, F.lit("]"),
-                          F.when(title != "", F.concat(F.lit(" "), title)).otherwise(F.lit("")))
-        lines = F.array_join(F.transform(F.split(body, "\n", -1), lambda ln: F.when(
-            ln != "", F.concat(F.lit("> "), ln)).otherwise(F.lit(">"))), "\n")
-        return F.concat(F.lit("\n\n"), header,
-                        F.when(body != "", F.concat(F.lit("\n"), lines)).otherwise(F.lit("")), F.lit("\n\n"))
 
-    g = u.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct(
-        "slot", F.col(V).alias("text"), "label", "title"))).alias("rows"))
-    g = g.select("page_id", F.element_at("rows", 1).getField("text").alias(V),
-                 F.transform(F.slice("rows", 2, 1 << 30), quoted).alias("__q"))
-    g = g.withColumn(V, _splice(F.col(V), "\ue007[0-9]+\ue008", lambda m: F.coalesce(F.element_at(
-        F.col("__q"), F.regexp_extract(m, "([0-9]+)", 1).cast("int") + 1), F.lit("")), bind=False))
-    # Entities: in well-formed storage markup only XML and numeric ones occur.
-    # The reference decodes each text piece and then the whole page again;
-    # decoding the rendered page twice gives the same text.
-    g = g.withColumn(V, tx.html_unescape(F.col(V)))
-    g = g.withColumn(V, postprocess(F.col(V)))
-    return g.select("page_id", F.concat(tx.clean_text(F.col(V)), F.lit("\n")).alias("markdown"))
+def table_cells(pages: DataFrame, id_col: str = "page_id", body_col: str = "body") -> DataFrame:
+    """``(page_id, table_no, row_no, col_no, flat, content)`` of every table, nested ones too; rows without cells count
+    for nothing. ``flat`` is the cell in one line, ``content`` its blocks."""
+    found = pages.select(F.col(id_col).alias("page_id"), Renderer.of(id_col, "", None).of_column("tables", body_col).alias("tables"))
+    tables = found.select("page_id", F.posexplode("tables").alias("table_no", "t"))
+    rows = tables.select("page_id", "table_no", F.posexplode("t.rows").alias("row_no", "r"))
+    return rows.select("page_id", "table_no", "row_no", F.posexplode("r").alias("col_no", "c")).select(
+        "page_id", "table_no", "row_no", "col_no", F.col("c.f").alias("flat"), F.col("c.c").alias("content"))

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import markup as mk
 from ..operators import navigation as nav
 from ..operators import summaries as sm
+from ..operators.markup_fold import is_well_formed
+from ..session import ensure_checkpoint_dir
 from ..sources import driver_tables as dt
 from . import sqlgen as q
 from .catalog import EXPORTED_AT, register
 from .partitioning import spread
 
-_TOK = mk.TOKEN_RE.replace("'", "''")
+# The token grammar for DuckDB's engine, which has no possessive repeats.
+_TOK = (r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[!?][^>]*>"
+        r"""|</?[A-Za-z](?:[^>"']|"[^"]*"|'[^']*')*>|</?[A-Za-z][^>]*>|[^<]+|<""").replace("'", "''")
 _VOID = ", ".join(f"'{t}'" for t in mk.VOID_TAGS)
 
 
@@ -76,35 +79,10 @@ tk AS (SELECT *, CASE WHEN kind = 'close' THEN run ELSE run - delta END AS depth
     AS run FROM tr4))"""
 
 
-def _wf_sql(src: str) -> str:
-    return f"""{_tokens_sql(src)},
-oc AS (SELECT *, LAST_VALUE(CASE WHEN kind = 'open' THEN name END IGNORE NULLS) OVER (
-    PARTITION BY page_id, depth ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS open_carry
-  FROM tk WHERE kind IN ('open', 'close')),
-mm AS (SELECT page_id, max(CASE WHEN kind = 'close' AND open_carry IS DISTINCT FROM name THEN 1 ELSE 0 END)
-  AS bad_nesting FROM oc GROUP BY page_id),
-sh AS (SELECT page_id, sum(delta) AS final_depth, min(depth) AS min_depth,
-  max(CASE WHEN kind IN ('decl', 'void') OR tok = '<' THEN 1 ELSE 0 END) AS bad_tok FROM tk GROUP BY page_id),
-en AS (SELECT page_id, contains(regexp_replace(body, '{mk.XML_ENTITY_OK}', '', 'g'), '&') AS bad_entity FROM {src}),
-wf AS (SELECT en.page_id, NOT bad_entity AND COALESCE(final_depth, 0) = 0 AND COALESCE(min_depth, 0) >= 0
-    AND COALESCE(bad_tok, 0) = 0 AND COALESCE(bad_nesting, 0) = 0 AS well_formed
-  FROM en LEFT JOIN sh USING (page_id) LEFT JOIN mm USING (page_id))"""
-
-
 def _pages_body(spark: SparkSession, sf: str) -> DataFrame:
     return spread(dt.table(spark, sf, "pages")).select("page_id", F.col("html").alias("body"))
 
 
-def _all_markup(spark: SparkSession, sf: str) -> DataFrame:
-    """Real pages (ids as-is) plus generated part pages (ids offset negative)."""
-    parts = part_markup(dt.table(spark, sf, "part")).select((-1 - F.col("page_id")).alias("page_id"), "body")
-    return _pages_body(spark, sf).unionByName(parts)
-
-
-_ALL_SRC = f"""{_PART_BODY_SQL},
-src AS (SELECT page_id, html AS body FROM pages UNION ALL SELECT -1 - page_id AS page_id, body FROM pm)"""
-
-
 @register("page_tokens", f"""WITH src AS (SELECT page_id, html AS body FROM pages), {_tokens_sql("src")}
 SELECT page_id, CAST(pos AS INTEGER) AS pos, kind, name, CAST(depth AS BIGINT) AS depth FROM tk""")
 def q_page_tokens(spark: SparkSession, sf: str) -> DataFrame:
@@ -113,11 +91,27 @@ def q_page_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("page_id", "pos", "kind", "name", "depth")
 
 
-@register("markup_wellformed", f"""WITH {_ALL_SRC}, {_wf_sql("src")} SELECT page_id, well_formed FROM wf""")
+# Fragments around a name and whether an XML parser takes them.
+WELL_FORMED = [
+    ("<p>{}</p>", True), ("<p>{}", False), ("<![CDATA[{} && <b>]]>", True), ("{} && b", False), ("<p title={}>x</p>", False),
+    ("<p title='a > {}'>x</p>", True), ("<p><b>{}</p></b>", False), ("<foo:x>{}</foo:x>", False), ("<ac:x>{}</ac:x>", True),
+    ('<p a="{}" a="2"/>', False), ("{}&nbsp;", False), ("{}&#65;&#x42;", True), ("{}&#0;", False), ("<!-- {} -- -->", False),
+    ("<!-- {} - --><br/>", True), ("{}<br>", False), ("{} ]]> b", False), ("{} > b", True), ("{} < b", False),
+    ("<ul><li>{}</li><li/></ul>", True), ("</p>{}", False), ("<P>{}</p>", False), ("<?note {}?>", True),
+    ("<p xmlns:q='u'><q:x>{}</q:x></p>", True), ("<!DOCTYPE html>{}", False), ("", True),
+]
+
+
+@register("markup_wellformed", f"""SELECT page_id, lower(html) NOT LIKE '%<!doctype%' AS well_formed FROM pages
+UNION ALL
+SELECT -1 - p_partkey, CASE p_partkey % {len(WELL_FORMED)} {" ".join(
+    f"WHEN {i} THEN {str(ok).lower()}" for i, (_, ok) in enumerate(WELL_FORMED))} END FROM part""")
 def q_markup_wellformed(spark: SparkSession, sf: str) -> DataFrame:
-    """D1 + strict-mode well-formedness over real pages and generated markup."""
-    b = _all_markup(spark, sf)
-    return mk.well_formed(b)
+    """Well-formedness of real pages (none is: all have a doctype) and of fragments around part names."""
+    part = dt.table(spark, sf, "part")
+    case = F.element_at(F.array(*[F.lit(t) for t, _ in WELL_FORMED]), (F.col("p_partkey") % len(WELL_FORMED) + 1).cast("int"))
+    parts = part.select((-1 - F.col("p_partkey")).alias("page_id"), F.replace(case, F.lit("{}"), F.col("p_name")).alias("body"))
+    return mk.well_formed(_pages_body(spark, sf).unionByName(parts))
 
 
 @register("page_headings", f"""WITH h AS (
@@ -133,7 +127,7 @@ def q_page_headings(spark: SparkSession, sf: str) -> DataFrame:
     return mk.headings(_pages_body(spark, sf))
 
 
-_HREF_SQL = mk.HREF_RE.replace("'", "''")
+_HREF_SQL = r"""(?is)\bhref\s*=\s*["']([^"']*)["']""".replace("'", "''")
 
 
 @register("page_links", f"""WITH h AS (
@@ -189,14 +183,11 @@ FROM pm""")
 def q_part_markdown(spark: SparkSession, sf: str) -> DataFrame:
     """D19 body: structured rendering of well-formed markup, strip-tags
     fallback otherwise (strict parity)."""
-    from ..operators.storage_md import render_markdown
+    from ..operators.storage_md import rendered
     b = part_markup(spread(dt.table(spark, sf, "part")))
-    # both branches (structured / fallback) read the well-formedness result
-    j = b.join(mk.well_formed(b), "page_id").persist(StorageLevel.MEMORY_AND_DISK)
-    good = render_markdown(j.filter(F.col("well_formed")), dt.WIKI_BASE).withColumnRenamed("markdown", "body_markdown")
-    bad = j.filter(~F.col("well_formed")).select(
-        "page_id", F.concat(mk.tx.strip_tags("body"), F.lit("\n")).alias("body_markdown"))
-    return good.unionByName(bad)
+    body = F.col("body")
+    return b.select("page_id", F.when(is_well_formed(body), rendered(dt.WIKI_BASE)).otherwise(
+        F.concat(mk.tx.strip_tags("body"), F.lit("\n"))).alias("body_markdown"))
 
 
 def _export_sql() -> str:
@@ -227,21 +218,28 @@ FROM e"""
 def q_export_markdown(spark: SparkSession, sf: str) -> DataFrame:
     """D18 + D19 (+ N2): every page exported in strict parity mode; hub pages
     get the child table, malformed bodies the strip-tags fallback."""
-    pages = spread(dt.table(spark, sf, "pages"))
-    # the page projection feeds five branches (payload, kinds, edges, hub
-    # rows, well-formedness); keep it instead of re-parsing every page each time
-    wiki = dt.wiki_pages(pages).persist(StorageLevel.MEMORY_AND_DISK)
+    return exported_pages(spark, sf)
+
+
+def exported_pages(spark: SparkSession, sf: str, only: DataFrame | None = None) -> DataFrame:
+    """D19 of the live pages, or of those with a ``page_id`` in ``only``: picked before anything is rendered."""
+    wiki = dt.wiki_pages(spread(dt.table(spark, sf, "pages")))
     edges = dt.child_edges(wiki)
     kinds = nav.classify_pages(wiki, edges)
     hubs_ids = kinds.filter(F.col("page_kind") == "hub").select(F.col("page_id").alias("parent_id"))
     hub_md = nav.render_hub(nav.children_of(wiki, edges).join(hubs_ids, "parent_id", "left_semi"))
-    payload = sm.export_payload(wiki).select(
-        F.col("id").alias("page_id"), "title", F.col("body_html").alias("body"), "version", "webui_url",
-        "parent_page_id")
-    payload = payload.join(kinds.select("page_id", "page_kind", "child_count"), "page_id")
-    body = payload.select("page_id", "body")
-    wf = mk.well_formed(body)
-    return mk.export_markdown(payload, wf, dt.WIKI_BASE, EXPORTED_AT, hubs=hub_md)
+    payload = page_payload(wiki).join(kinds.select("page_id", "page_kind", "child_count"), "page_id")
+    if only is not None:
+        # the few pages to render as a table of their own: rendering isn't planned again with every join before it
+        ensure_checkpoint_dir(spark)
+        payload = payload.join(only.select("page_id").distinct(), "page_id", "left_semi").checkpoint(eager=True)
+    return mk.export_markdown(payload, dt.WIKI_BASE, EXPORTED_AT, hubs=hub_md)
+
+
+def page_payload(wiki: DataFrame) -> DataFrame:
+    """What the export needs of a page."""
+    return sm.export_payload(wiki).select(F.col("id").alias("page_id"), "title", F.col("body_html").alias("body"), "version",
+                                          "webui_url", "parent_page_id")
 
 
 # --------------------------------------------------------------------------
@@ -297,10 +295,7 @@ def q_table_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Table cells with their flattened (one-line) text."""
     from ..operators import storage_md as smd
     pages = region_tables(dt.table(spark, sf, "region"), dt.table(spark, sf, "nation"))
-    u = pages.select("page_id", F.lit(-1).alias("slot"), F.col("body").alias(smd.V))
-    cells = smd.table_cells(u)
-    return cells.select("page_id", "slot", F.col("table_no").cast("int"), F.col("row_no").cast("int"),
-                        F.col("col_no").cast("int"), smd.flatten_cell(F.col("cell")).alias("flat"))
+    return smd.table_cells(pages).select("page_id", F.lit(-1).alias("slot"), "table_no", "row_no", "col_no", "flat")
 
 
 @register("region_table_markdown", """WITH n AS (
@@ -319,3 +314,98 @@ def q_region_table_markdown(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators.storage_md import render_markdown
     pages = region_tables(dt.table(spark, sf, "region"), dt.table(spark, sf, "nation"))
     return render_markdown(pages, dt.WIKI_BASE)
+
+
+# --------------------------------------------------------------------------
+# containers in containers, 1 to 8 deep by key
+# --------------------------------------------------------------------------
+
+_DEPTH = "(p_partkey % 8 + 1)"
+
+
+def _nested(part: DataFrame, level) -> DataFrame:
+    """part -> markup of ``p_partkey % 8 + 1`` levels; ``level(k, key, inner)`` wraps the markup of level k + 1."""
+    key = F.col("p_partkey").cast("string")
+    levels = F.sequence((F.col("p_partkey") % 8 + 1).cast("int"), F.lit(1), F.lit(-1))
+    body = F.aggregate(levels, F.lit(""), lambda inner, k: level(k, key, inner))
+    return part.select(F.col("p_partkey").alias("page_id"), body.alias("body"))
+
+
+def _nested_markdown(spark: SparkSession, sf: str, level) -> DataFrame:
+    from ..operators.storage_md import render_markdown
+    return render_markdown(_nested(spread(dt.table(spark, sf, "part")), level), dt.WIKI_BASE)
+
+
+@register("nested_lists", f"""WITH l AS (
+  SELECT p_partkey, unnest(generate_series(1, {_DEPTH})) AS k, {_DEPTH} AS d FROM part),
+i AS (SELECT *, repeat(' ', CAST(CASE WHEN k % 2 = 1 AND (k - 1) * (k + 2) >= 10 OR k % 2 = 0 AND (k - 1) * (k + 2) >= 12 THEN 8
+                           ELSE (k - 1) * (k + 2) END AS INTEGER)) AS pad FROM l),
+n AS (SELECT p_partkey, k AS pos, pad || CASE WHEN k % 2 = 1 THEN '- ' ELSE '1. ' END || 'A' || CAST(k AS VARCHAR) || ' '
+        || CAST(p_partkey AS VARCHAR) AS line FROM i
+      UNION ALL
+      SELECT p_partkey, 2 * d + 1 - k, pad || CASE WHEN k % 2 = 1 THEN '- ' ELSE '2. ' END || 'B' || CAST(k AS VARCHAR) FROM i)
+SELECT p_partkey AS page_id, string_agg(line, chr(10) ORDER BY pos) || chr(10) AS markdown FROM n GROUP BY p_partkey""")
+def q_nested_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists in items, ul and ol in turn, 1 to 8 deep."""
+    def level(k: Column, key: Column, inner: Column) -> Column:
+        tag, n = F.when(k % 2 == 1, "ul").otherwise("ol"), k.cast("string")
+        return F.concat(F.lit("<"), tag, F.lit("><li>A"), n, F.lit(" "), key, inner, F.lit("</li><li>B"), n, F.lit("</li></"), tag,
+                        F.lit(">"))
+    return _nested_markdown(spark, sf, level)
+
+
+@register("nested_macros", f"""WITH l AS (
+  SELECT p_partkey, unnest(generate_series(1, {_DEPTH})) AS k, {_DEPTH} AS d FROM part),
+n AS (SELECT p_partkey, k, repeat('> ', CAST(k AS INTEGER)) || '[!'
+    || CASE k % 5 WHEN 0 THEN 'EXPAND' WHEN 1 THEN 'INFO' WHEN 2 THEN 'NOTE' WHEN 3 THEN 'TIP' ELSE 'WARNING' END || ']'
+    || CASE WHEN k % 3 = 0 THEN '' ELSE ' T' || CAST(k AS VARCHAR) END || chr(10)
+    || repeat('> ', CAST(k AS INTEGER)) || 't' || CAST(k AS VARCHAR) || ' ' || CAST(p_partkey AS VARCHAR)
+    || CASE WHEN k < d THEN chr(10) || repeat('> ', CAST(k - 1 AS INTEGER)) || '>' ELSE '' END AS part_md FROM l)
+SELECT p_partkey AS page_id, string_agg(part_md, chr(10) ORDER BY k) || chr(10) AS markdown FROM n GROUP BY p_partkey""")
+def q_nested_macros(spark: SparkSession, sf: str) -> DataFrame:
+    """Callouts in callouts, some inside a macro without a form of its own, 1 to 8 deep."""
+    def level(k: Column, key: Column, inner: Column) -> Column:
+        n = k.cast("string")
+        name = F.element_at(F.array(*[F.lit(x) for x in ("expand", "info", "note", "tip", "warning")]), k % 5 + 1)
+        title = F.when(k % 3 == 0, "").otherwise(F.concat(F.lit('<ac:parameter ac:name="title">T'), n, F.lit("</ac:parameter>")))
+        panel = F.when(k % 4 == 0, F.concat(F.lit("<ac:structured-macro ac:name='panel'><ac:rich-text-body>"), inner,
+                                            F.lit("</ac:rich-text-body></ac:structured-macro>"))).otherwise(inner)
+        return F.concat(F.lit('<ac:structured-macro ac:name="'), name, F.lit('">'), title, F.lit("<ac:rich-text-body><p>t"), n,
+                        F.lit(" "), key, F.lit("</p>"), panel, F.lit("</ac:rich-text-body></ac:structured-macro>"))
+    return _nested_markdown(spark, sf, level)
+
+
+_HEAD = "'| H' || CAST({k} AS VARCHAR) || ' | ' || CAST(p_partkey AS VARCHAR) || ' |' || chr(10) || '| --- | --- |' || chr(10)"
+
+
+@register("nested_tables", f"""WITH RECURSIVE t(p_partkey, k, cell) AS (
+  SELECT p_partkey, {_DEPTH}, 'c' || CAST({_DEPTH} AS VARCHAR) FROM part
+  UNION ALL
+  SELECT p_partkey, k - 1, 'c' || CAST(k - 1 AS VARCHAR) || ' '
+    || replace(replace({_HEAD.format(k="k")} || '| ' || cell || ' | v |', chr(10), '<br>'), '|', '\\|') FROM t WHERE k > 1)
+SELECT p_partkey AS page_id, {_HEAD.format(k="k")} || '| ' || cell || ' | v |' || chr(10) AS markdown FROM t WHERE k = 1""")
+def q_nested_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables in cells, 1 to 8 deep."""
+    def level(k: Column, key: Column, inner: Column) -> Column:
+        n = k.cast("string")
+        return F.concat(F.lit("<table><tbody><tr><th>H"), n, F.lit("</th><th>"), key, F.lit("</th></tr><tr><td>c"), n, inner,
+                        F.lit("</td><td>v</td></tr></tbody></table>"))
+    return _nested_markdown(spark, sf, level)
+
+
+@register("macro_rows", f"""WITH l AS (
+  SELECT p_partkey, unnest(generate_series(1, {_DEPTH})) AS k, {_DEPTH} AS d FROM part)
+SELECT p_partkey AS page_id, CAST(k - 1 AS INTEGER) AS macro_no, 'm' || CAST(k AS VARCHAR) AS name,
+  'John''s ' || CAST(k AS VARCHAR) || ' & co' AS title, CASE WHEN k = d THEN 'x && ' || CAST(p_partkey AS VARCHAR) ELSE '' END AS plain_body
+FROM l""")
+def q_macro_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Macros in macros as rows; of two parameters of one name the first counts, the outer ones keep their own."""
+    def level(k: Column, key: Column, inner: Column) -> Column:
+        n = k.cast("string")
+        code = F.concat(F.lit("<ac:plain-text-body><![CDATA[x && "), key, F.lit("]]></ac:plain-text-body>"))
+        return F.concat(F.lit('<ac:structured-macro ac:name="m'), n, F.lit('"><ac:parameter ac:name="title">John\'s '), n,
+                        F.lit(' &amp; co</ac:parameter><ac:parameter ac:name="title">other</ac:parameter>'),
+                        F.when(inner == "", code).otherwise(F.concat(F.lit("<ac:rich-text-body>"), inner, F.lit("</ac:rich-text-body>"))),
+                        F.lit("</ac:structured-macro>"))
+    rows = mk.macros(_nested(spread(dt.table(spark, sf, "part")), level))
+    return rows.select("page_id", "macro_no", "name", F.try_element_at("params", F.lit("title")).alias("title"), "plain_body")

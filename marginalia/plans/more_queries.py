@@ -10,6 +10,7 @@ from ..operators import changes as ch
 from ..operators import freshness as fr
 from ..operators import summaries as sm
 from ..operators import threads as th
+from ..session import ensure_checkpoint_dir
 from ..sources import driver_tables as dt
 from .catalog import EXPORTED_AT, ORACLES, _EVENT_RAW_SQL, _event_threads, _threads_sql, register
 from .change_queries import _validated
@@ -210,8 +211,9 @@ def _refresh_sql() -> str:
 @register("refresh_exports", _refresh_sql())
 def q_refresh_exports(spark: SparkSession, sf: str) -> DataFrame:
     """Re-render the stale exported files from the live pages."""
-    from .markup_queries import q_export_markdown
+    from .markup_queries import exported_pages
     from .page_queries import q_stale_exports
-    stale = fr.refresh_set(q_stale_exports(spark, sf), stale_only=True)
-    return stale.join(q_export_markdown(spark, sf).select("page_id", "markdown"), "page_id").select(
+    ensure_checkpoint_dir(spark)
+    stale = fr.refresh_set(q_stale_exports(spark, sf), stale_only=True).checkpoint(eager=True)
+    return stale.join(exported_pages(spark, sf, only=stale).select("page_id", "markdown"), "page_id").select(
         "file", "page_id", "title", "remote_version", "markdown")

@@ -7,6 +7,9 @@ passes the schema so nothing is inferred from a sample.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,3 +102,41 @@ def write_export(content: DataFrame, manifest: DataFrame, path: str) -> None:
     content.write.mode("overwrite").parquet(f"{path.rstrip('/')}/content")
     manifest.select("page_id", "title", "output_file", "source_url", "parent_page_id") \
         .write.mode("overwrite").parquet(f"{path.rstrip('/')}/manifest")
+
+
+def publish_snapshot(content: DataFrame, path: str, manifest: DataFrame | None = None) -> str:
+    """Z2 in two phases: the new snapshot is written beside the old ones, then one row that names it is published.
+
+    Readers (``read_snapshot``) follow the newest published row, so a writer
+    that dies between the phases leaves the old snapshot in force. Returns the
+    snapshot's folder.
+    """
+    spark, root = content.sparkSession, path.rstrip("/")
+    folder = f"{root}/snapshots/{uuid.uuid4().hex}"
+    content.write.parquet(f"{folder}/content")
+    if manifest is not None:
+        manifest.write.parquet(f"{folder}/manifest")
+    number = (_published(spark, root) or (0, ""))[0] + 1
+    spark.createDataFrame([(number, folder)], _PUBLISHED).coalesce(1).write.mode("append").json(f"{root}/published")
+    return folder
+
+
+_PUBLISHED = "number long, folder string"
+
+
+def _published(spark: SparkSession, root: str) -> tuple[int, str] | None:
+    """The newest published snapshot: one row."""
+    try:
+        rows = spark.read.schema(_PUBLISHED).json(f"{root}/published")
+    except AnalysisException:  # nothing published yet
+        return None
+    last = rows.orderBy(F.desc("number"), "folder").first()
+    return (last["number"], last["folder"]) if last else None
+
+
+def read_snapshot(spark: SparkSession, path: str, part: str = "content") -> DataFrame:
+    """The published snapshot under ``path``."""
+    found = _published(spark, path.rstrip("/"))
+    if found is None:
+        raise FileNotFoundError(f"no snapshot published under {path}")
+    return spark.read.parquet(f"{found[1]}/{part}")

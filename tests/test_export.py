@@ -48,6 +48,29 @@ CASES = {
                     "1. cast off\n    - bow\n    - stern\n2. steer\n"),
     "link_with_emphasis": ('<p>Read <a href="https://tides.example.org/a">the <em>tide</em> table</a>, then go.</p>',
                            "Read [the *tide* table](https://tides.example.org/a), then go.\n"),
+    "callout_in_callout": (macro("info", "<p>a</p>" + macro("tip", "<p>b</p>", title="Inner"), title="Outer"),
+                           "> [!INFO] Outer\n> a\n>\n> > [!TIP] Inner\n> > b\n"),
+    "expand_with_list": (macro("expand", "<ul><li>oar</li></ul>", title="More"), "> [!EXPAND] More\n> - oar\n"),
+    "five_lists": ("<ul><li>1<ol><li>2<ul><li>3<ol><li>4<ul><li>5</li></ul></li></ol></li></ul></li></ol></li></ul>",
+                   "- 1\n    1. 2\n        - 3\n        1. 4\n        - 5\n"),
+    "table_in_item": ("<ul><li>x" + rows(th("A", "B"), td("1", "2")) + "</li><li>y</li></ul>",
+                      "- x\n| A | B |\n| --- | --- |\n| 1 | 2 |\n- y\n"),
+    "table_in_cell": (rows(th("A"), td(rows(th("B"), td("2")))),
+                      "| A |\n| --- |\n| \\| B \\|<br>\\| --- \\|<br>\\| 2 \\| |\n"),
+    "korean_key_table": (rows(th("항목", "설명"), td("닻", "무겁다")), "#### 닻\n\n무겁다\n"),
+    "status_in_cell": (rows(th("A"), td(macro("status", title="S", colour="Red") + " now")),
+                       "| A |\n| --- |\n| :status[S]{color=red} now |\n"),
+    "list_in_paragraph": ("<p>a<ul><li>b</li><li>c</li></ul>d</p>", "a\n- b\n - c\nd\n"),
+    "encoded_pipe": (rows(th("A"), td("x&#124;y")), "| A |\n| --- |\n| x\\|y |\n"),
+    "quote_in_file_name": ('<ac:image><ri:attachment ri:filename="John\'s a &amp; b.png"/></ac:image>',
+                           f"![John's a & b.png]({BASE}/download/attachments/quote_in_file_name/John%27s%20a%20%26%20b.png)\n"),
+    "loose_text": ("lost<p>a</p> tail <p>b</p>", "a\n\ntail\nb\n"),
+    "inline_macro": ("<p>a " + macro("jira", key="X-1") + " b</p>", "a b\n"),
+    "angle_in_attribute": ('<p>see <a href="x" title="a > b">t</a></p>', "see [t](x)\n"),
+    "preformatted": ("<pre>\na &amp; b\n  c\n</pre>", "```\na & b\n  c\n```\n"),
+    "cdata_and_comment": ("<p>a <![CDATA[<b> & c]]><!-- no --> d</p>", "a <b> & c d\n"),
+    "unknown_macro": (macro("panel", "<p>in</p>") + "<p>out</p>", "in\n\nout\n"),
+    "nothing": ("", "\n"),
 }
 
 
@@ -68,3 +91,15 @@ def test_diagram_macro_needs_its_name(spark):
     bodies = spark.createDataFrame([("1", body)], "page_id string, body string")
     assert sm.render_markdown(bodies, BASE, "chart").first().markdown.strip() == '```mermaid\npie\n"a": 1\n```'
     assert sm.render_markdown(bodies, BASE, None).first().markdown.strip() == ""
+
+
+def test_repeated_page_ids_keep_their_rows(spark):
+    bodies = spark.createDataFrame([("1", "<p>a</p>"), ("1", "<p>b</p>"), ("2", None)], "page_id string, body string")
+    assert sorted(r.markdown for r in sm.render_markdown(bodies, BASE).collect()) == ["\n", "a\n", "b\n"]
+
+
+def test_rendering_and_checks_need_no_shuffle(spark):
+    from marginalia.operators import markup as mk
+    pages = spark.createDataFrame([("1", "<p>a</p>", "T")], "page_id string, body string, title string")
+    for df in (sm.render_markdown(pages, BASE), sm.table_cells(pages), mk.well_formed(pages), mk.macros(pages)):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()

@@ -59,3 +59,14 @@ def test_sinks_round_trip(spark):
                          F.lit(None).cast("string").alias("source_url"), "parent_page_id")
     rd.write_export(content, manifest, f"{d}/export")
     assert os.path.isdir(f"{d}/export/content") and spark.read.parquet(f"{d}/export/manifest").count() == 1
+
+
+def test_a_crash_before_publishing_leaves_the_old_snapshot(spark):
+    d = tempfile.mkdtemp(prefix="marginalia-io-", dir="/tmp") + "/out"
+    one, two = (spark.createDataFrame([("1", x)], "page_id string, markdown string") for x in ("old", "new"))
+    rd.publish_snapshot(one, d, manifest=one.select("page_id"))
+    # the content of the next snapshot is there, but nothing names it
+    two.write.parquet(f"{d}/snapshots/unpublished/content")
+    assert rd.read_snapshot(spark, d).first().markdown == "old"
+    rd.publish_snapshot(two, d)
+    assert rd.read_snapshot(spark, d).first().markdown == "new"

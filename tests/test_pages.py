@@ -32,13 +32,26 @@ def test_tree_paths_and_cycle_guard(spark):
                                   "id string, title string, webui_url string")
     edges = spark.createDataFrame([("1", 1, "2"), ("2", 1, "3"), ("3", 1, "1")],
                                   "parent_id string, ordinal long, id string")
-    t = {r.page_id: r for r in tr.export_tree(nodes, edges, "1", "out", checkpoint_every=2).collect()}
+    t = {r.page_id: r for r in tr.export_tree(nodes, edges, "1", "out").collect()}
     assert t["1"].output_file == "out/Root Page/index.md"
     assert t["2"].output_file == "out/Root Page/Child Page/index.md" and t["2"].parent_page_id == "1"
     assert t["3"].output_file == "out/Root Page/Child Page/A_B/index.md"
     assert len(t) == 3
 
 
+def test_deep_chain_takes_log_rounds(spark):
+    """A chain of 5,000 pages is complete after at most 13 rounds; a ring below it and an unknown parent add nothing."""
+    ids = spark.range(5001).selectExpr("cast(id as string) page_id", "'n' || id name")
+    edges = spark.range(1, 5001).selectExpr("cast(id - 1 as string) parent_id", "id ordinal", "cast(id as string) id")
+    more = spark.createDataFrame([("5000", 1, "a"), ("a", 1, "b"), ("b", 1, "a"), ("c", 1, "d"), ("d", 1, "c"), ("gone", 1, "e")],
+                                 "parent_id string, ordinal long, id string")
+    names = ids.unionByName(spark.createDataFrame([(x, x) for x in "abcde"], "page_id string, name string"))
+    ways, rounds = tr.root_paths(names, edges.unionByName(more), "0")
+    assert rounds <= 13
+    depth = {r.page_id: r.n for r in ways.selectExpr("page_id", "size(ids) n").collect()}
+    assert len(depth) == 5002 and all(depth[str(k)] == k for k in range(1, 5001)) and (depth["a"], depth["b"]) == (5001, 5002)
+
+
 def test_freshness_rules(spark):
     meta = spark.createDataFrame([(f"f{i}", str(i), lv, None, "t", None) for i, lv in enumerate([7, 8, 9, None, 7])],
                                  "path string, page_id string, local_version long, source_url string, title string,"
@@ -47,6 +60,9 @@ def test_freshness_rules(spark):
                                    "page_id string, remote_title string, remote_version long, remote_url string")
     got = {r.page_id: r.is_stale for r in fr.check_freshness(meta, remote).collect()}
     assert got == {"0": True, "1": False, "2": False, "3": False, "4": False}
+    broken = spark.createDataFrame([("x", None, None, None, None, "no header")], meta.schema)
+    kept = fr.check_freshness(broken, remote).first()
+    assert (kept.file, kept.is_stale, kept.error) == ("x", False, "no header")
 
 
 def test_export_metadata_errors(spark):
@@ -74,6 +90,21 @@ def test_replace_section(spark):
     assert r[2].status == "not_found" and r[3].status == "ambiguous"
 
 
+def test_replace_section_edges(spark):
+    """Inline markup in a heading, its tail, loose text, malformed pages and replacements, an unknown page."""
+    pages = spark.createDataFrame([("1", "lost<h2>Inst<b>all</b></h2>tail<p>a</p>x<h2 class='a > b'>Next</h2>end"), ("2", "<h2>A</h2><br>"),
+                                   ("3", None)], "page_id string, body string")
+    edits = spark.createDataFrame([(1, "1", " Install ", "lost <p>n</p>after"), (2, "1", "Next", None), (3, "2", "A", "<p/>"),
+                                   (4, "1", "Next", "<p>"), (5, "3", "A", ""), (6, "9", "A", "")],
+                                  "seq long, page_id string, heading string, replacement_html string")
+    r = {x.seq: x for x in se.replace_sections(pages, edits).collect()}
+    assert r[1].matched_heading == "Install" and r[1].old_section_html == "<p>a</p>x" and r[1].new_section_html == "<p>n</p>after"
+    assert r[1].updated_body_html == "<h2>Inst<b>all</b></h2>tail<p>n</p>after<h2 class='a > b'>Next</h2>end"
+    assert r[2].updated_body_html == "<h2>Inst<b>all</b></h2>tail<p>a</p>x<h2 class='a > b'>Next</h2>end"
+    assert [r[k].status for k in (3, 4, 5, 6)] == ["malformed", "malformed", "not_found", "no_page"]
+    assert r[3].error == r[4].error == se.PARSE_ERROR
+
+
 def test_apply_updates_fold(spark):
     pages = spark.createDataFrame([("1", "T", "<p>a</p>", 7, None), ("2", "U", "b", None, None)],
                                   "id string, title string, body string, version long, parent_id string")
@@ -150,3 +181,14 @@ def test_replace_sections_folded(spark):
     res, nxt = se.replace_sections_folded(pages, edits)
     assert nxt.first().body == "<h2>A</h2><p>a3</p><h2>B</h2><p>b2</p>"
     assert sorted((r.seq, r.status) for r in res.collect()) == [(1, "ok"), (2, "ok"), (3, "ok")]
+
+
+def test_a_hundred_edits_of_a_page(spark):
+    """Each edit sees what the one before left; headings that an edit brings in can be edited by the next."""
+    pages = spark.createDataFrame([("1", "<h1>T</h1>"), ("2", "<p>as it is</p>")], "page_id string, body string")
+    rows = [(k, "1", "T" if k == 0 else f"H{k}", f"<h1>H{k + 1}</h1>") for k in range(100)]
+    edits = spark.createDataFrame(rows, "seq long, page_id string, heading string, replacement_html string")
+    results, bodies = se.replace_sections_folded(pages, edits)
+    assert {x.status for x in results.collect()} == {"ok"} and results.count() == 100
+    got = {x.page_id: x.body for x in bodies.collect()}
+    assert got == {"1": "<h1>T</h1>" + "".join(f"<h1>H{k}</h1>" for k in range(1, 101)), "2": "<p>as it is</p>"}

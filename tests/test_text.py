@@ -65,3 +65,14 @@ def test_is_empty_body(spark):
              "": True, "<p>x</p>": False}
     for body, expected in cases.items():
         assert one(spark, is_empty_body, body) is expected, body
+
+
+def test_entities_as_the_standard_library_reads_them(spark):
+    """Names without semicolon, longest known beginnings, HTML 5 names, numeric references of every kind."""
+    import html
+    cases = ["&copy 2020", "&notit;", "&ampamp;", "&notin;", "&amp", "&", "a & b", "&;", "&#65 x", "&#x41;&#X42", "&#150;", "&#0;",
+             "&#x110000;", "&#55296;", "&#11;", "&#xFFFE;", "&CounterClockwiseContourIntegral;", "&nope;", "&lt&gt;", "&#;", "&#x;",
+             "&hellip;&bull", "&frac12x", "&fjlig;", "&amp;lt;", "plain"]
+    df = spark.createDataFrame([(c,) for c in cases], "c string")
+    got = {r.c: r.u for r in df.select("c", tx.html_unescape("c").alias("u")).collect()}
+    assert got == {c: html.unescape(c) for c in cases}
