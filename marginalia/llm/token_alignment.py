@@ -90,35 +90,37 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
                         else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(self.b.get_piece_size())]
+        self.names = [str(i) for i in range(max(max(self.a_bytes), len(self.b_bytes)) + 1)]
         self.blank = self.b.piece_to_id("▁")
-        self.units, self.parts = Remembered(self._unit, 150_000), Remembered(self._part, 150_000)
+        self.units = Remembered(self._unit, 200_000)
 
     def _unit(self, unit: str) -> Found:
-        """Groups of a unit: it starts with a blank or newline and is cut off at both ends."""
+        """Groups of a unit, which starts with a blank or newline and is cut off at both ends, or of a part of a plain one."""
         plain = _PLAIN.fullmatch(unit)
         if plain is None:
-            if unit[0] == "\n":
-                b = self.b.encode(unit)[1:]  # B adds a blank, which never joins a newline
-            else:
+            if unit[0] == " ":
                 b = self.b.encode(unit[1:]) if len(unit) > 1 else [self.blank]
+            elif unit[0] == "\n":
+                b = self.b.encode(unit)[1:]  # B adds a blank, which never joins a newline
+            else:  # letters after a newline, or marks
+                b = self.b.encode("\n" + unit)[2:]
             return self._groups(unit, self.a.encode(unit, add_special_tokens=False).ids, b)
         newline, stem, marks = plain.groups()
-        found = [self.parts["\n"], self.parts[stem]] if newline else [self.parts[stem]]
+        if not newline and not marks:
+            a = [t.id for t in self.tokenize(stem.encode().decode("latin-1").translate(self.letters))]
+            return self._groups(stem, a, self.b.encode(stem[1:]))
+        # no token of either goes beyond its part
+        found = [self.units["\n"], self.units[stem]] if newline else [self.units[stem]]
         if marks:
-            found.append(self.parts[marks])
+            found.append(self.units[marks])
         groups, counts, pairs = zip(*found)
         return ";".join(groups), sum(counts), b"".join(pairs)
 
-    def _part(self, part: str) -> Found:
-        """Groups of letters, of letters after a blank, of marks or of a newline: no token of either goes beyond them."""
-        a = [t.id for t in self.tokenize(part.encode().decode("latin-1").translate(self.letters))]
-        return self._groups(part, a, self.b.encode(part[1:]) if part[0] == " " else self.b.encode("\n" + part)[2:])
-
     def _groups(self, text: str, a: list[int], b: list[int]) -> Found:
         a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
         if not b"".join(a_parts) == b"".join(b_parts) == text.encode("utf-8", "surrogatepass"):
             return "", _CHANGED, b""
-        groups, pairs, i, j, a_from, b_from = [], [], 0, 0, 0, 0
+        names, last, groups, pairs, i, j, a_from, b_from = self.names, len(a) - 1, [], [], 0, 0, 0, 0
         a_end, b_end = len(a_parts[0]), len(b_parts[0])
         while True:
             # the bytes up to the nearer end are one link
@@ -130,11 +132,12 @@ class Aligner:
                 j += 1
                 b_end += len(b_parts[j])
             else:
-                i, j = i + 1, j + 1
-                groups.append(",".join(map(str, a[a_from:i])) + "|" + ",".join(map(str, b[b_from:j])))
-                if i == len(a):
+                left = names[a[i]] if i == a_from else ",".join([names[k] for k in a[a_from:i + 1]])
+                right = names[b[j]] if j == b_from else ",".join([names[k] for k in b[b_from:j + 1]])
+                groups.append(f"{left}|{right}")
+                if i == last:
                     break
-                a_from, b_from = i, j
+                a_from, b_from = i, j = i + 1, j + 1
                 a_end += len(a_parts[i])
                 b_end += len(b_parts[j])
         return (";".join(groups), len(a) | len(b) << 40 | len(groups) << 80, struct.pack(f"<{len(pairs)}i", *pairs))
