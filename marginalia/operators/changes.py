@@ -278,22 +278,14 @@ def apply_comments(comments: DataFrame, valid: DataFrame) -> DataFrame:
 def resolve_bodies(changes: DataFrame, mermaid_macro: str | None = None) -> DataFrame:
     """V7: the storage body of each request: ``body_html`` if given, else
     ``body_markdown`` converted by the Markdown importer (M12); the same for
-    the appended part. Adds ``append_source``; ``body_source`` comes from
-    ``validate_changes``. Only requests that carry Markdown are converted.
+    the appended part, both in the row. Adds ``append_source``; ``body_source``
+    comes from ``validate_changes``.
     """
-    from .markdown import import_markdown
-    md = changes.filter(F.col("body_markdown").isNotNull() & F.col("body_html").isNull()).select(
-        F.concat(F.col("request_id"), F.lit("\u0000body")).alias("doc_id"), F.col("body_markdown").alias("text"))
-    ap = changes.filter(F.col("append_markdown").isNotNull() & F.col("append_html").isNull()).select(
-        F.concat(F.col("request_id"), F.lit("\u0000append")).alias("doc_id"), F.col("append_markdown").alias("text"))
-    conv = import_markdown(md.unionByName(ap), mermaid_macro)
-    body = conv.filter(F.col("doc_id").endswith("\u0000body")).select(
-        F.substring_index("doc_id", "\u0000", 1).alias("request_id"), F.col("html").alias("__body"))
-    app = conv.filter(F.col("doc_id").endswith("\u0000append")).select(
-        F.substring_index("doc_id", "\u0000", 1).alias("request_id"), F.col("html").alias("__append"))
-    out = changes.join(body, "request_id", "left").join(app, "request_id", "left")
+    from .markdown import storage_html
+    given = F.array(F.when(F.col("body_html").isNull(), F.col("body_markdown")),
+                    F.when(F.col("append_html").isNull(), F.col("append_markdown")))
+    out = changes.withColumn("__html", F.transform(given, lambda t: F.when(t.isNotNull(), storage_html(t, mermaid_macro))))
     return (out.withColumn("append_source", F.when(F.col("append_html").isNotNull(), "storage_html")
                            .when(F.col("append_markdown").isNotNull(), "markdown"))
-            .withColumn("body_html", F.coalesce("body_html", "__body"))
-            .withColumn("append_html", F.coalesce("append_html", "__append"))
-            .drop("__body", "__append"))
+            .withColumn("body_html", F.coalesce(F.col("body_html"), F.col("__html")[0]))
+            .withColumn("append_html", F.coalesce(F.col("append_html"), F.col("__html")[1])).drop("__html"))

@@ -1,40 +1,20 @@
 """Markdown corpus -> storage markup.
 
-Documents become a **line table** ``(doc_id, ln, line)``; block structure is
-window arithmetic within ``doc_id``. A document arrives as one input row,
-so a per-document window never holds more than one row's worth of lines:
-the windows here are bounded by the largest document, not by the corpus.
-
-Pipeline (all native expressions):
-  M1 lines -> M2 line kinds (fence parity, table/quote/list regions) ->
-  M3 block ids (running count of block starts) -> per-block render
-  (M4 code, M5 quote/callout via a second pass over the quote bodies,
-  M6 lists via a stack fold over the list's items, M7 tables, paragraphs,
-  headings, rules) with inline rendering (M8 plain, M9 tokens, M11 status)
-  -> M12 ordered join of blocks per document.
-
-Known simplification (documented in the README): quotes nest at most
-``QUOTE_DEPTH`` levels (deeper markers stay text).
+Block structure is a fold over a document's line array with a stack of open
+containers (``markdown_fold``, M2-M7); the texts that it finds get their
+inline markup here (M8 plain, M9 tokens, M11 status). All of it is one
+expression of the row: no window, no shuffle, no pass count.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from . import markdown_fold as mf
 from .freshness import LINE_BREAKS
 
-QUOTE_DEPTH = 2
-
-# Markdown line grammar.
-LIST_ITEM_RE = r"^(\s*)([-+*]|\d+\.)\s+(.*)$"
-HEADING_RE = r"^(#{1,6})\s+(.*)$"
-HR_RE = r"^ {0,3}([-*_])(?:\s*\1){2,}\s*$"
-TABLE_SEP_RE = r"^\s*\|?(?:\s*:?-{3,}:?\s*\|)+\s*:?-{3,}:?\s*\|?\s*$"
-CALLOUT_RE = r"(?i)^\[!(INFO|NOTE|TIP|WARNING|EXPAND)\](?:\s+(.*))?$"
-
 # Inline token grammar (image embed, wiki link, status, image, link, code).
 INLINE_TOKEN_RE = (r"!\[\[[^\]]+\]\]|\[\[[^\]]+\]\]|:(?i:status)\[[^\]]+\]\{color\s*=\s*[^}]+\}"
                    r"|!\[[^\]]*\]\([^)]+\)|\[[^\]]+\]\([^)]+\)|`[^`]+`")
@@ -149,10 +129,10 @@ def render_inline(c: Column) -> Column:
 
 def link_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, token_no, kind, target, text) for images, links and wiki
-    links; kind is url | attachment | page."""
-    t = docs.select(F.col(id_col).alias("doc_id"),
-                    F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(INLINE_TOKEN_RE), 0))
-                    .alias("token_no", "tok"))
+    links; kind is url | attachment | page. Frontmatter and code have none."""
+    texts = F.flatten(F.transform(mf.fold(_normalized(F.col(text_col))).getField("pieces"), lambda p: p.getField("texts")))
+    toks = F.flatten(F.transform(texts, lambda x: F.regexp_extract_all(x, F.lit(INLINE_TOKEN_RE), 0)))
+    t = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(toks).alias("token_no", "tok"))
     tok = F.col("tok")
     obs = F.regexp_extract(tok, r"^!?\[\[([^\]]+)\]\]$", 1)
     obs_target = tx.strip(F.split(obs, r"\|", 2).getItem(0))
@@ -196,318 +176,41 @@ def strip_frontmatter(text: Column) -> Column:
 def markdown_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    frontmatter: bool = True) -> DataFrame:
     """M1: (doc_id, ln, line) after frontmatter removal and newline normalization."""
-    t = strip_frontmatter(F.col(text_col)) if frontmatter else F.coalesce(F.col(text_col), F.lit(""))
-    t = F.regexp_replace(F.regexp_replace(t, "\r\n", "\n"), "\r", "\n")
-    return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(t, "\n", -1)).alias("ln", "line"))
-
-
-def _leading_spaces(c: Column) -> Column:
-    return F.length(c) - F.length(F.ltrim(c, F.lit(" ")))
-
-
-def classify_lines(lines: DataFrame) -> DataFrame:
-    """M2: line kinds in the reference's precedence (heading, hr, fence,
-    table start, list item, quote, paragraph), with fence state from the
-    parity of earlier fence lines and the next line for table starts."""
-    w = Window.partitionBy("doc_id").orderBy("ln")
-    wrun = w.rowsBetween(Window.unboundedPreceding, -1)
-    s = tx.strip(F.col("line"))
-    li = F.regexp_extract("line", LIST_ITEM_RE, 0) != ""
-    d = lines.select(
-        "doc_id", "ln", "line", s.alias("stripped"), (s == "").alias("blank"),
-        _leading_spaces(F.col("line")).alias("indent"),
-        s.startswith("```").alias("is_fence"),
-        s.rlike(HEADING_RE).alias("is_heading"),
-        s.rlike(HR_RE).alias("is_hr"),
-        s.rlike(TABLE_SEP_RE).alias("is_sep"),
-        (F.instr("line", "|") > 0).alias("has_pipe"),
-        li.alias("is_item"),
-        s.startswith(">").alias("is_quote"),
-    )
-    # Any non-item line indented past the last list item (no blank or
-    # shallower line since it) is that item's continuation text, whatever it
-    # looks like (heading, table, quote, fence).
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("li_ind", F.last(F.when(F.col("is_item"), F.col("indent")), ignorenulls=True).over(upto))
-    d = d.withColumn("li_ln", F.max(F.when(F.col("is_item"), F.col("ln"))).over(upto))
-    shallow = F.col("blank") | (~F.col("is_item") & (F.col("indent") <= F.coalesce("li_ind", F.lit(-1))))
-    d = d.withColumn("li_break", F.max(F.when(shallow, F.col("ln"))).over(wrun))
-    list_cont = (~F.col("is_item") & ~F.col("blank") & F.col("li_ln").isNotNull()
-                 & (F.col("li_ln") > F.coalesce(F.col("li_break"), F.lit(-1)))
-                 & (F.col("indent") > F.col("li_ind")))
-    d = d.withColumn("list_cont", list_cont).drop("li_ind", "li_ln", "li_break")
-    d = d.withColumn("is_fence", F.col("is_fence") & ~F.col("list_cont"))
-    d = d.withColumn("fences_before", F.coalesce(F.sum(F.col("is_fence").cast("int")).over(wrun), F.lit(0)))
-    in_code = (F.col("fences_before") % 2 == 1)
-    d = d.withColumn("code", in_code)  # code body or closing fence
-    d = d.withColumn("next_sep", F.coalesce(F.lead("is_sep").over(w), F.lit(False)))
-    kind = (F.when(F.col("code"), "code")
-            .when(F.col("blank"), "blank")
-            .when(F.col("list_cont"), "text")
-            .when(F.col("is_heading"), "heading")
-            .when(F.col("is_hr"), "hr")
-            .when(F.col("is_fence"), "fence")
-            .when(F.col("has_pipe") & F.col("next_sep"), "table_start")
-            .when(F.col("is_item"), "item")
-            .when(F.col("is_quote"), "quote")
-            .otherwise("text"))
-    return d.withColumn("kind", kind)
-
-
-def markdown_blocks(cls: DataFrame) -> DataFrame:
-    """M3: block number per line (running count of block starts).
-
-    Regions: fence (opener..closer), table (start + following pipe lines),
-    quote (consecutive quote lines), list (items, their indented
-    continuations, blank lines between items), paragraph (consecutive text
-    lines; any other start interrupts it).
-    """
-    w = Window.partitionBy("doc_id").orderBy("ln")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev = w.rowsBetween(Window.unboundedPreceding, -1)
-    k = F.col("kind")
-    d = cls
-    # table region: after a table start, until a blank / pipe-less / code line
-    brk = (k.isin("blank", "code", "fence") | ~F.col("has_pipe"))
-    d = d.withColumn("last_break", F.max(F.when(brk, F.col("ln"))).over(upto))
-
-    def in_table_col(start_flag: Column) -> Column:
-        last_t = F.max(F.when(start_flag, F.col("ln"))).over(upto)
-        return last_t.isNotNull() & (F.coalesce(F.col("last_break"), F.lit(-1)) < last_t) & ~F.col("code")
-
-    # pass 1: every candidate; a candidate right after a table line is a row
-    d = d.withColumn("in_table0", in_table_col(k == "table_start"))
-    d = d.withColumn("prev_in_table0", F.coalesce(F.lag("in_table0").over(w), F.lit(False)))
-    d = d.withColumn("kind", F.when((k == "table_start") & F.col("prev_in_table0"), "text").otherwise(k))
-    k = F.col("kind")
-    d = d.withColumn("in_table", in_table_col(k == "table_start"))
-    k2 = F.when(F.col("in_table") & (k != "table_start"), "table_row").otherwise(k)
-    d = d.withColumn("kind", k2)
-    k = F.col("kind")
-    # lists: item indent / type carried forward; continuation lines are text
-    # lines indented past the last item's indent with no blank or shallow
-    # line since that item
-    item_ind = F.last(F.when(k == "item", F.col("indent")), ignorenulls=True).over(upto)
-    d = d.withColumn("item_indent", item_ind)
-    d = d.withColumn("last_item", F.max(F.when(k == "item", F.col("ln"))).over(upto))
-    shallow = (k == "blank") | (~k.isin("item", "code", "blank") & (F.col("indent") <= F.coalesce("item_indent", F.lit(-1))))
-    d = d.withColumn("last_shallow", F.max(F.when(shallow, F.col("ln"))).over(prev))
-    cont = (~k.isin("item", "code", "blank", "table_start", "table_row", "fence")
-            & F.col("last_item").isNotNull()
-            & (F.col("last_item") > F.coalesce(F.col("last_shallow"), F.lit(-1)))
-            & (F.col("indent") > F.col("item_indent")))
-    d = d.withColumn("kind", F.when(cont, "cont").otherwise(F.col("kind")))
-    k = F.col("kind")
-    d = d.withColumn("prev_kind", F.lag("kind").over(w))
-    # previous non-blank kind (blank lines inside lists are skipped)
-    d = d.withColumn("prev_nb", F.last(F.when(k != "blank", k), ignorenulls=True).over(prev))
-    d = d.withColumn("prev_is_blank", F.coalesce(F.lag("kind").over(w) == "blank", F.lit(True)))
-    ordered = F.regexp_extract("line", LIST_ITEM_RE, 2).endswith(".")
-    d = d.withColumn("ordered", F.when(k == "item", ordered))
-    # list start: an item whose previous non-blank line is not part of a list,
-    # or a type change at the list's base indent
-    list_like = F.coalesce(F.col("prev_nb").isin("item", "cont"), F.lit(False))
-    d = d.withColumn("prov_start", (k == "item") & ~list_like)
-    d = d.withColumn("base_indent", F.last(F.when(F.col("prov_start"), F.col("indent")), ignorenulls=True).over(upto))
-    d = d.withColumn("base_ordered", F.last(F.when((k == "item") & (F.col("indent") <= F.col("base_indent")),
-                                                   F.col("ordered")), ignorenulls=True).over(prev))
-    type_change = (k == "item") & list_like & (F.col("indent") <= F.col("base_indent")) \
-        & ~F.col("ordered").eqNullSafe(F.col("base_ordered"))
-    start = (F.when(k.isin("code", "blank", "cont", "table_row"), False)
-             .when(k.isin("heading", "hr", "fence", "table_start"), True)
-             .when(k == "item", F.col("prov_start") | type_change)
-             .when(k == "quote", F.col("prev_kind").isNull() | (F.col("prev_kind") != "quote"))
-             .otherwise(F.col("prev_is_blank") | ~F.col("prev_kind").isin("text")))
-    d = d.withColumn("block_start", start)
-    d = d.withColumn("block_no", F.sum(F.col("block_start").cast("int")).over(upto))
-    return d
+    return docs.select(F.col(id_col).alias("doc_id"),
+                       F.posexplode(F.split(_normalized(F.col(text_col), frontmatter), "\n", -1)).alias("ln", "line"))
 
 
-# --------------------------------------------------------------------------
-# block rendering (M4-M7) and assembly
-# --------------------------------------------------------------------------
+def _normalized(text: Column, frontmatter: bool = True) -> Column:
+    t = strip_frontmatter(text) if frontmatter else F.coalesce(text, F.lit(""))
+    return F.regexp_replace(F.regexp_replace(t, "\r\n", "\n"), "\r", "\n")
+
 
-def _code_macro(code: Column, language: Column, mermaid_macro: str | None) -> Column:
-    cdata = F.replace(code, F.lit("]]>"), F.lit("]]]]><![CDATA[>"))
-    plain = F.concat(F.lit("<ac:plain-text-body><![CDATA["), cdata, F.lit("]]></ac:plain-text-body>"))
-    code_m = F.concat(F.lit('<ac:structured-macro ac:name="code" ac:schema-version="1">'
-                            '<ac:parameter ac:name="language">'), tx.html_escape(language),
-                      F.lit('</ac:parameter><ac:parameter ac:name="theme">Default</ac:parameter>'), plain,
-                      F.lit("</ac:structured-macro>"))
-    if not mermaid_macro:
-        return code_m
-    from html import escape
-    mer = F.concat(F.lit(f'<ac:structured-macro ac:name="{escape(mermaid_macro, quote=True)}" '
-                         'ac:schema-version="1">'), plain, F.lit("</ac:structured-macro>"))
-    return F.when(F.lower(language) == "mermaid", mer).otherwise(code_m)
-
-
-def _table_row(line: Column) -> Column:
-    s = tx.strip(line)
-    s = F.regexp_replace(F.regexp_replace(s, r"^\|", ""), r"\|$", "")
-    return F.transform(F.split(s, r"\|", -1), lambda c: tx.strip(c))
-
-
-def _list_html(items: Column) -> Column:
-    """M6: items (ln, indent, ordered, html) -> nested ul/ol by indent, using
-    a stack folded over the list's own items."""
-    empty = F.array().cast("array<struct<indent:int,tag:string>>")
-    init = F.struct(F.lit("").alias("html"), empty.alias("stack"))
-
-    def step(acc: Column, it: Column) -> Column:
-        tag = F.when(it.getField("ordered"), F.lit("ol")).otherwise(F.lit("ul"))
-        ind = it.getField("indent")
-        stack = acc.getField("stack")
-        popped = F.filter(stack, lambda s: s.getField("indent") > ind)
-        closing = F.array_join(F.transform(F.reverse(popped), lambda s: F.concat(
-            F.lit("</li></"), s.getField("tag"), F.lit(">"))), "")
-        kept = F.filter(stack, lambda s: s.getField("indent") <= ind)
-        top = F.element_at(kept, -1)
-        same = (F.size(kept) > 0) & (top.getField("indent") == ind)
-        opening = F.when(same, F.lit("</li><li>")).otherwise(F.concat(F.lit("<"), tag, F.lit("><li>")))
-        new_stack = F.when(same, kept).otherwise(F.concat(kept, F.array(F.struct(
-            ind.alias("indent"), tag.alias("tag")))))
-        return F.struct(F.concat(acc.getField("html"), closing, opening, it.getField("html")).alias("html"),
-                        new_stack.alias("stack"))
-
-    def finish(acc: Column) -> Column:
-        return F.concat(acc.getField("html"), F.array_join(F.transform(
-            F.reverse(acc.getField("stack")), lambda s: F.concat(F.lit("</li></"), s.getField("tag"),
-                                                                 F.lit(">"))), ""))
-
-    return F.aggregate(F.array_sort(items), init, step, finish)
-
-
-def render_blocks(blocks: DataFrame, mermaid_macro: str | None = None, quotes_as_text: bool = False) -> DataFrame:
-    """M4-M7: one HTML string per (doc_id, block_no).
-
-    Every block first lists the texts that need inline rendering as
-    ``array<array<string>>`` (heading text, paragraph text, table cells per
-    row, list item + continuation texts); they are rendered by ONE
-    ``transform`` so the (large) inline expression appears once in the plan.
-    Quote blocks return their content lines for the caller's next pass, or
-    are rendered as paragraph text once the nesting bound is reached.
+def classify_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """M2, M3: (doc_id, ln, line, kind, block_no, block_start) of every line after frontmatter.
+
+    ``kind`` is blank, heading, hr, fence, code (and a closing fence),
+    table_start, table_row, item, cont (goes on with an item), quote or text;
+    ``block_no`` counts the top-level blocks.
     """
-    lines = blocks.filter(F.col("block_no") > 0)
-    # continuation text attaches to the item it follows
-    w = Window.partitionBy("doc_id", "block_no").orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
-    lines = lines.withColumn("owner", F.last(F.when(F.col("kind") == "item", F.col("ln")), ignorenulls=True).over(w))
-    g = lines.groupBy("doc_id", "block_no").agg(
-        F.min_by("kind", "ln").alias("first_kind"),
-        F.min_by("stripped", "ln").alias("first_stripped"),
-        F.array_sort(F.collect_list(F.struct("ln", "line", "stripped", "kind", "indent", "ordered", "owner")))
-        .alias("ls"))
-    ls = F.col("ls")
-    fk = F.col("first_kind")
-    items = F.filter(ls, lambda r: r.getField("kind") == "item")
-    rows = F.filter(ls, lambda r: r.getField("kind").isin("table_start", "table_row")
-                    & ~r.getField("stripped").rlike(TABLE_SEP_RE))
-    quote_lines = F.transform(F.filter(ls, lambda r: r.getField("kind") == "quote"),
-                              lambda r: F.regexp_replace(tx.lstrip(r.getField("line")), r"^> ?", ""))
-    one = lambda c: F.array(F.array(c))
-    none = F.array().cast("array<array<string>>")
-    item_srcs = F.transform(items, lambda it: F.concat(
-        F.array(tx.strip(F.regexp_extract(it.getField("line"), LIST_ITEM_RE, 3))),
-        F.transform(F.filter(ls, lambda r: (r.getField("kind") == "cont") & (r.getField("owner") == it.getField("ln"))),
-                    lambda r: r.getField("stripped"))))
-    para_src = one(tx.strip(F.array_join(F.transform(ls, lambda r: r.getField("stripped")), " ")))
-    srcs = (F.when(fk == "heading", one(tx.strip(F.regexp_extract("first_stripped", HEADING_RE, 2))))
-            .when(fk == "table_start", F.transform(rows, lambda r: _table_row(r.getField("line"))))
-            .when(fk == "item", item_srcs)
-            .when(fk.isin("fence", "hr"), none)
-            .when(fk == "quote", one(tx.strip(F.array_join(quote_lines, " "))) if quotes_as_text else none)
-            .otherwise(para_src))
-    g = g.select("doc_id", "block_no", "first_kind", "first_stripped", "ls", srcs.alias("srcs"),
-                 F.when(fk == "quote", quote_lines).alias("quote_lines"))
-    g = g.withColumn("rendered", F.transform("srcs", lambda row: F.transform(row, lambda c: render_inline(c))))
-    r = F.col("rendered")
-    first = F.try_element_at(F.try_element_at(r, F.lit(1)), F.lit(1))
-    # headings
-    hm_level = F.length(F.regexp_extract("first_stripped", HEADING_RE, 1)).cast("string")
-    heading = F.concat(F.lit("<h"), hm_level, F.lit(">"), first, F.lit("</h"), hm_level, F.lit(">"))
-    para = F.concat(F.lit("<p>"), first, F.lit("</p>"))
-    # fenced code: opener gives the language; the closing fence is dropped
-    lang = F.coalesce(F.nullif(tx.strip(F.substring("first_stripped", 4, 1 << 30)), F.lit("")), F.lit("none"))
-    code_rows = F.filter(ls, lambda x: x.getField("kind") == "code")
-    closed = F.exists(code_rows, lambda x: x.getField("stripped").startswith("```"))
-    # the closing fence is the last code row of a closed block
-    code_lines = F.when(closed, F.slice(code_rows, 1, F.greatest(F.size(code_rows) - 1, F.lit(0)))
-                        ).otherwise(code_rows)
-    code = _code_macro(F.array_join(F.transform(code_lines, lambda x: x.getField("line")), "\n"), lang, mermaid_macro)
-    # tables: first row is the header
-    header = F.array_join(F.transform(F.try_element_at(r, F.lit(1)),
-                                      lambda c: F.concat(F.lit("<th>"), c, F.lit("</th>"))), "")
-    body_rows = F.array_join(F.transform(F.slice(r, 2, 1 << 30), lambda row: F.concat(
-        F.lit("<tr>"), F.array_join(F.transform(row, lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))), ""),
-        F.lit("</tr>"))), "")
-    table = F.concat(F.lit("<table><tbody><tr>"), header, F.lit("</tr>"), body_rows, F.lit("</tbody></table>"))
-    # lists: item text + " " + each continuation
-    items2 = F.zip_with(items, r, lambda it, parts: F.struct(
-        it.getField("ln").alias("ln"), it.getField("indent").cast("int").alias("indent"),
-        it.getField("ordered").alias("ordered"),
-        tx.strip(F.concat(F.element_at(parts, 1), F.array_join(F.transform(
-            F.slice(parts, 2, 1 << 30), lambda x: F.concat(F.lit(" "), x)), ""))).alias("html")))
-    lst = _list_html(items2)
-    fk = F.col("first_kind")
-    html = (F.when(fk == "heading", heading).when(fk == "hr", F.lit("<hr />"))
-            .when(fk == "fence", code).when(fk == "table_start", table)
-            .when(fk == "item", lst)
-            .when(fk == "quote", para if quotes_as_text else F.lit(None).cast("string"))
-            .otherwise(para))
-    return g.select("doc_id", "block_no", fk.alias("kind"), html.alias("html"), "quote_lines")
-
-
-def _assemble(rendered: DataFrame) -> DataFrame:
-    """Blocks joined in order per document (bounded by one document)."""
-    return rendered.groupBy("doc_id").agg(tx.strip(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("block_no", F.coalesce("html", F.lit("")).alias("html")))),
-        lambda b: b.getField("html")), "")).alias("html"))
-
-
-def _to_html(docs: DataFrame, mermaid_macro: str | None, depth: int, frontmatter: bool = True) -> DataFrame:
-    blocks = markdown_blocks(classify_lines(markdown_lines(docs, frontmatter=frontmatter)))
-    if depth > 0:
-        # the block table feeds both this level's rendering and the next
-        # level's quote bodies: keep it (recomputable from lineage if lost)
-        blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
-    rendered = render_blocks(blocks, mermaid_macro, quotes_as_text=depth <= 0)
-    quotes = rendered.filter(F.col("kind") == "quote")
-    if depth > 0:
-        first = tx.strip(F.element_at("quote_lines", 1))
-        is_callout = first.rlike(CALLOUT_RE)
-        q = quotes.select("doc_id", "block_no", is_callout.alias("callout"),
-                          F.upper(F.regexp_extract(first, CALLOUT_RE, 1)).alias("token"),
-                          tx.strip(F.regexp_extract(first, CALLOUT_RE, 2)).alias("title"),
-                          F.array_join(F.when(is_callout, F.slice("quote_lines", 2, 1 << 30))
-                                       .otherwise(F.col("quote_lines")), "\n").alias("inner"))
-        sub_docs = q.select(F.concat(F.col("doc_id").cast("string"), F.lit("\u0000"),
-                                     F.col("block_no").cast("string")).alias("doc_id"), F.col("inner").alias("text"))
-        # callout bodies are parsed without the diagram setting
-        inner = _to_html(sub_docs, None, depth - 1, frontmatter=False).withColumnRenamed("doc_id", "sub_id")
-        q = q.withColumn("sub_id", F.concat(F.col("doc_id").cast("string"), F.lit("\u0000"),
-                                            F.col("block_no").cast("string")))
-        q = q.join(inner, "sub_id", "left")
-        inner_html = F.coalesce(F.col("html"), F.lit(""))
-        macro = F.when(F.col("token") == "EXPAND", "expand").otherwise(F.lower("token"))
-        title_xml = F.when(F.col("title") != "", F.concat(F.lit('<ac:parameter ac:name="title">'),
-                                                         tx.html_escape(F.col("title"), quote=False),
-                                                         F.lit("</ac:parameter>"))).otherwise(F.lit(""))
-        callout = F.concat(F.lit('<ac:structured-macro ac:name="'), macro, F.lit('" ac:schema-version="1">'),
-                           title_xml, F.lit("<ac:rich-text-body>"),
-                           F.coalesce(F.nullif(inner_html, F.lit("")), F.lit("<p></p>")),
-                           F.lit("</ac:rich-text-body></ac:structured-macro>"))
-        quote_html = q.select("doc_id", "block_no", F.when(F.col("callout"), callout).otherwise(
-            F.concat(F.lit("<blockquote>"), inner_html, F.lit("</blockquote>"))).alias("qhtml"))
-        rendered = rendered.join(quote_html, ["doc_id", "block_no"], "left").withColumn(
-            "html", F.coalesce(F.col("html"), F.col("qhtml")))
-    return _assemble(rendered.select("doc_id", "block_no", "html"))
+    d = docs.select(F.col(id_col).alias("doc_id"), _normalized(F.col(text_col)).alias("t"))
+    d = d.select("doc_id", F.split("t", "\n", -1).alias("ls"), mf.fold(F.col("t"), trace=True).getField("trace").alias("tr"))
+    return d.select("doc_id", F.posexplode(F.arrays_zip("ls", "tr")).alias("ln", "x")).select(
+        "doc_id", "ln", F.col("x.ls").alias("line"), F.col("x.tr.kind").alias("kind"), F.col("x.tr.block_no").alias("block_no"),
+        F.col("x.tr.start").alias("block_start"))
+
+
+def markdown_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """M3: (doc_id, block_no, kind, ln) of the first line of every top-level block."""
+    return classify_lines(docs, id_col, text_col).where("block_start").select("doc_id", "block_no", "kind", "ln")
+
+
+def storage_html(text: Column, mermaid_macro: str | None = None, frontmatter: bool = True) -> Column:
+    """The storage markup of a Markdown text, as one expression of the row."""
+    pieces = mf.fold(_normalized(text, frontmatter), mermaid_macro).getField("pieces")
+    return tx.strip(mf.write(pieces, render_inline))
 
 
 def import_markdown(docs: DataFrame, mermaid_macro: str | None = None, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """``(doc_id, html)`` storage markup for every document; empty
-    documents give an empty string."""
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    out = _to_html(d, mermaid_macro, QUOTE_DEPTH)
-    return d.select("doc_id").join(out, "doc_id", "left").select(
-        "doc_id", F.coalesce(F.col("html"), F.lit("")).alias("html"))
+    """``(doc_id, html)`` storage markup for every row, in the row; empty and null texts give an empty string."""
+    return docs.select(F.col(id_col).alias("doc_id"), storage_html(F.col(text_col), mermaid_macro).alias("html"))

@@ -89,8 +89,7 @@ SELECT p_partkey, 7, CASE WHEN p_partkey % 3 = 0 THEN 'item' ELSE 'fence' END FR
 def q_markdown_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """M1-M3: block numbering and the kind of each block's first line."""
     docs = part_markdown_docs(dt.table(spark, sf, "part"))
-    b = md.markdown_blocks(md.classify_lines(md.markdown_lines(docs))).filter(F.col("block_start"))
-    return b.select("doc_id", F.col("block_no").cast("int"), "kind")
+    return md.markdown_blocks(docs).select("doc_id", "block_no", "kind")
 
 
 def part_create_changes(part: DataFrame) -> DataFrame:
@@ -117,3 +116,37 @@ def q_markdown_create_previews(spark: SparkSession, sf: str) -> DataFrame:
     allow = spark.createDataFrame([], "kind string, value string")
     v = ch.resolve_bodies(ch.validate_changes(changes, allow), MERMAID_MACRO)
     return ch.preview_create(v)
+
+
+# --------------------------------------------------------------------------
+# containers of any depth
+# --------------------------------------------------------------------------
+
+def order_quotes(orders: DataFrame) -> DataFrame:
+    """Quotes one to eight deep with a callout and a fence in the innermost, then lists that change type and end."""
+    k = F.col("o_orderkey").cast("string")
+    depth = (F.col("o_orderkey") % 8 + 1).cast("int")
+    marks = lambda n: F.repeat(F.lit("> "), n)
+    quotes = F.array_join(F.transform(F.sequence(F.lit(1), depth), lambda i: F.concat(
+        marks(i), F.lit("q"), i.cast("string"), F.lit(" **"), k, F.lit("**\n"))), "")
+    callout = F.when(F.col("o_orderkey") % 3 == 0, F.concat(
+        marks(depth + 1), F.lit("[!tip] T"), k, F.lit("\n"), marks(depth + 1), F.lit("```sql\n"), marks(depth + 1),
+        F.lit("> a | b\n"), marks(depth + 1), F.lit("```\n"))).otherwise("")
+    rest = F.concat(F.lit("\nafter\n\n- a\n  - b "), k, F.lit("\n  1. c\n- d\n\n- e\n\n\n- f\n1. g\n"))
+    return orders.select(F.col("o_orderkey").alias("doc_id"),
+                         F.concat(F.lit("---\nsee: [[Hidden]]\n---\n"), quotes, callout, rest).alias("text"))
+
+
+@register("nested_quotes", """WITH o AS (SELECT o_orderkey AS doc_id, CAST(o_orderkey AS VARCHAR) AS k, o_orderkey % 8 + 1 AS depth FROM orders)
+SELECT doc_id, """ + " || ".join(
+    f"CASE WHEN depth >= {i} THEN '<blockquote><p>q{i} <strong>' || k || '</strong></p>' ELSE '' END" for i in range(1, 9)) + """
+  || CASE WHEN doc_id % 3 = 0 THEN '<ac:structured-macro ac:name="tip" ac:schema-version="1"><ac:parameter ac:name="title">T'
+    || k || '</ac:parameter><ac:rich-text-body><ac:structured-macro ac:name="code" ac:schema-version="1">'
+    || '<ac:parameter ac:name="language">sql</ac:parameter><ac:parameter ac:name="theme">Default</ac:parameter>'
+    || '<ac:plain-text-body><![CDATA[> a | b]]></ac:plain-text-body></ac:structured-macro></ac:rich-text-body></ac:structured-macro>'
+    ELSE '' END
+  || repeat('</blockquote>', CAST(depth AS INTEGER)) || '<p>after</p><ul><li>a<ul><li>b ' || k
+  || '</li></ul><ol><li>c</li></ol></li><li>d</li><li>e</li></ul><ul><li>f</li></ul><ol><li>g</li></ol>' AS html FROM o""")
+def q_nested_quotes(spark: SparkSession, sf: str) -> DataFrame:
+    """M3, M5, M6: quotes of any depth, lists in lists of another type, lists that a second blank line ends."""
+    return md.import_markdown(order_quotes(spread(dt.table(spark, sf, "orders"))))

@@ -27,7 +27,7 @@ def test_each_comment_in_exactly_one_thread(spark):
 
 def test_blocks_partition_lines(spark):
     docs = part_markdown_docs(dt.table(spark, SF, "part"))
-    b = md.markdown_blocks(md.classify_lines(md.markdown_lines(docs)))
+    b = md.classify_lines(docs)
     nonblank = b.filter(F.col("kind") != "blank")
     # every non-blank line belongs to exactly one block, and blocks are numbered 1..k
     assert nonblank.filter(F.col("block_no") < 1).count() == 0
