@@ -124,35 +124,47 @@ def detect_conflicts(changes: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def apply_updates(pages: DataFrame, updates: DataFrame) -> DataFrame:
-    """U2 (+U3 parent moves): next snapshot of ``pages``.
+    """Next snapshot of ``pages``, all its columns, and ``edit_count``.
 
     ``pages``: (id, title, body, version, parent_id, ...);
     ``updates``: valid apply-mode rows (seq, page_id, title, body_html,
-    append_html, new_parent_id). Several edits of one page are folded in
-    ``seq`` order: a non-empty title replaces, a body replaces, a non-empty
-    append appends, each edit adds one version. Untouched pages pass through.
-    The per-page edit list is bounded by the change set, not by the corpus.
+    append_html, new_parent_id). Edits of a page count in ``seq`` order: the
+    last non-empty title, body and new parent win, non-empty appends since
+    that body (its own included) follow it, each edit adds one version.
+    Untouched pages pass through; a page id that occurs twice is edited twice;
+    edits of unknown pages are in ``unapplied``. Aggregates with map-side
+    combine give all but the appends, and of these only the ones that the next
+    body holds are gathered: bodies that are replaced later never are.
     """
-    u = updates.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct(
-        "seq", "title", "body_html", "append_html", "new_parent_id"))).alias("edits"))
-    j = pages.join(u, pages["id"] == u["page_id"], "left").drop("page_id")
-    init = F.struct(F.col("title").alias("title"), F.coalesce(F.col("body"), F.lit("")).alias("body"),
-                    F.col("version").alias("version"), F.col("parent_id").alias("parent_id"))
-
-    def step(acc: Column, e: Column) -> Column:
-        t = e.getField("title")
-        body = F.coalesce(e.getField("body_html"), acc.getField("body"))
-        app = e.getField("append_html")
-        body = F.when(app.isNotNull() & (app != ""), F.concat(body, app)).otherwise(body)
-        return F.struct(
-            F.when(t.isNotNull() & (t != ""), t).otherwise(acc.getField("title")).alias("title"),
-            body.alias("body"),
-            (F.coalesce(acc.getField("version"), F.lit(0)) + 1).cast("long").alias("version"),
-            F.coalesce(e.getField("new_parent_id"), acc.getField("parent_id")).alias("parent_id"))
-
-    folded = F.when(F.col("edits").isNull(), init).otherwise(F.aggregate("edits", init, step))
-    return j.select("id", folded.alias("n"), F.coalesce(F.size("edits"), F.lit(0)).alias("edit_count")).select(
-        "id", "n.title", "n.body", "n.version", "n.parent_id", "edit_count")
+    at = F.col("seq")
+
+    def last(col: str, given: Column) -> Column:
+        return F.max_by(F.when(given, F.col(col)), F.when(given, at))
+
+    has_body, has_append = F.col("body_html").isNotNull(), F.coalesce(F.col("append_html"), F.lit("")) != ""
+    summary = updates.groupBy("page_id").agg(
+        F.count(F.lit(1)).alias("__edits"), last("title", F.col("title") != "").alias("__title"),
+        last("body_html", has_body).alias("__body"),
+        last("new_parent_id", F.col("new_parent_id").isNotNull()).alias("__parent"))
+    since = updates.where(has_body).groupBy("page_id").agg(F.max("seq").alias("__since"))
+    tails = (updates.where(has_append).select("page_id", "seq", "append_html").join(since, "page_id", "left")
+             .where("__since is null or seq >= __since").groupBy("page_id").agg(F.array_join(F.transform(
+                 F.array_sort(F.collect_list(F.struct("seq", "append_html"))), lambda x: x.getField("append_html")), "")
+                 .alias("__tail")))
+    edits = summary.join(tails, "page_id", "left").withColumnRenamed("page_id", "__page")
+    j = pages.join(edits, pages["id"] == F.col("__page"), "left")
+    n = F.coalesce(F.col("__edits"), F.lit(0))
+    body = F.concat(F.coalesce(F.col("__body"), pages["body"], F.lit("")), F.coalesce(F.col("__tail"), F.lit("")))
+    now = {"title": F.coalesce(F.col("__title"), pages["title"]), "body": F.when(n > 0, body).otherwise(pages["body"]),
+           "version": F.when(n > 0, F.coalesce(pages["version"], F.lit(0)) + n).otherwise(pages["version"]).cast("long"),
+           "parent_id": F.coalesce(F.col("__parent"), pages["parent_id"])}
+    return j.select(*[now.get(c, pages[c]).alias(c) for c in pages.columns], n.alias("edit_count"))
+
+
+def unapplied(pages: DataFrame, updates: DataFrame) -> DataFrame:
+    """The edits whose page isn't there, with the error that they end in."""
+    lost = updates.join(pages.select(F.col("id").alias("page_id")), "page_id", "left_anti")
+    return lost.withColumn("error", F.concat(F.lit("Page "), F.coalesce(F.col("page_id"), F.lit("None")), F.lit(" was not found.")))
 
 
 def preview_update(valid: DataFrame, pages: DataFrame) -> DataFrame:
@@ -259,12 +271,17 @@ def preview_comment(valid: DataFrame, issues: DataFrame) -> DataFrame:
 
 
 def apply_creates(pages: DataFrame, valid: DataFrame) -> DataFrame:
-    """Next snapshot with the created pages appended (id = request id)."""
+    """Next snapshot, all columns of ``pages``, with the created pages appended (id = request id).
+
+    A created page is a current page of the requested space; columns that the
+    request doesn't tell are null.
+    """
     c = valid.filter((F.col("action") == "create-page") & F.col("error").isNull() & (F.col("mode") == "apply"))
-    new = c.select(F.concat(F.lit("new-"), F.col("request_id")).alias("id"), "title",
-                   F.coalesce(F.col("body_html"), F.lit("")).alias("body"), F.lit(1).cast("long").alias("version"),
-                   "parent_id")
-    return pages.select("id", "title", "body", "version", "parent_id").unionByName(new)
+    new = {"id": F.concat(F.lit("new-"), F.col("request_id")), "title": F.col("title"),
+           "body": F.coalesce(F.col("body_html"), F.lit("")), "version": F.lit(1), "parent_id": F.col("parent_id"),
+           "type": F.lit("page"), "status": F.lit("current"), "space_key": F.col("space_key")}
+    return pages.unionByName(c.select(*[
+        new.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in pages.schema.fields]))
 
 
 def apply_comments(comments: DataFrame, valid: DataFrame) -> DataFrame:

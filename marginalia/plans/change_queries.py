@@ -135,6 +135,56 @@ def q_apply_updates(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("edit_count").cast("int"))
 
 
+def account_pages(customer: DataFrame) -> DataFrame:
+    """A page with all its columns for four customers of five; the others' pages aren't there."""
+    k = F.col("c_custkey").cast("string")
+    return customer.where(F.col("c_custkey") % 5 != 0).select(
+        k.alias("id"), F.lit("page").alias("type"), F.lit("current").alias("status"), F.col("c_name").alias("title"),
+        F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("space_key"),
+        F.concat(F.lit("<p>"), k, F.lit("</p>")).alias("body"), (F.col("c_custkey") % 9).cast("long").alias("version"),
+        F.lit("root").alias("parent_id"), F.concat(F.lit("/p/"), k).alias("webui"))
+
+
+def account_edits(orders: DataFrame) -> DataFrame:
+    """An edit for each order: a move, a title, an append, or a body with an append."""
+    k = F.col("o_orderkey").cast("string")
+    kind = F.floor(F.col("o_orderkey") / 3) % 4
+    return orders.select(
+        F.col("o_orderkey").alias("seq"), F.concat(F.lit("e"), k).alias("request_id"),
+        F.col("o_custkey").cast("string").alias("page_id"),
+        F.when(kind == 1, F.concat(F.lit("T"), k)).when(kind == 2, F.lit("")).alias("title"),
+        F.when(kind == 3, F.concat(F.lit("<h1>"), k, F.lit("</h1>"))).alias("body_html"),
+        F.when(kind >= 2, F.concat(F.lit("<i>"), k, F.lit("</i>"))).when(kind == 1, F.lit("")).alias("append_html"),
+        F.when(kind == 0, F.concat(F.lit("P"), (F.col("o_orderkey") % 10).cast("string"))).alias("new_parent_id"))
+
+
+@register("apply_moves", """WITH o AS (SELECT o_custkey AS c, o_orderkey AS k, (o_orderkey // 3) % 4 AS kind FROM orders),
+s AS (SELECT c, max(k) FILTER (WHERE kind = 3) AS since FROM o GROUP BY c),
+e AS (SELECT o.c, count(*) AS n, max(k) FILTER (WHERE kind = 0) AS moved, max(k) FILTER (WHERE kind = 1) AS named,
+    any_value(since) AS since,
+    string_agg('<i>' || CAST(k AS VARCHAR) || '</i>', '' ORDER BY k) FILTER (WHERE kind >= 2 AND k >= COALESCE(since, 0)) AS tail
+  FROM o JOIN s ON o.c = s.c GROUP BY o.c)
+SELECT CAST(c_custkey AS VARCHAR) AS id, 'page' AS type, 'current' AS status,
+  COALESCE('T' || CAST(named AS VARCHAR), c_name) AS title, 'S' || CAST(c_nationkey AS VARCHAR) AS space_key,
+  COALESCE('<h1>' || CAST(since AS VARCHAR) || '</h1>', '<p>' || CAST(c_custkey AS VARCHAR) || '</p>') || COALESCE(tail, '') AS body,
+  CAST(c_custkey % 9 + COALESCE(n, 0) AS BIGINT) AS version,
+  COALESCE('P' || CAST(moved % 10 AS VARCHAR), 'root') AS parent_id, '/p/' || CAST(c_custkey AS VARCHAR) AS webui,
+  CAST(COALESCE(n, 0) AS BIGINT) AS edit_count
+FROM customer LEFT JOIN e ON c_custkey = e.c WHERE c_custkey % 5 <> 0""")
+def q_apply_moves(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole next page records after moves, titles, bodies and appends, many to a page."""
+    return ch.apply_updates(account_pages(dt.table(spark, sf, "customer")), account_edits(dt.table(spark, sf, "orders")))
+
+
+@register("unapplied_edits", """SELECT 'e' || CAST(o_orderkey AS VARCHAR) AS request_id, CAST(o_custkey AS VARCHAR) AS page_id,
+  'Page ' || CAST(o_custkey AS VARCHAR) || ' was not found.' AS error
+FROM orders WHERE o_custkey % 5 = 0 OR o_custkey NOT IN (SELECT c_custkey FROM customer)""")
+def q_unapplied_edits(spark: SparkSession, sf: str) -> DataFrame:
+    """Edits of pages that aren't there."""
+    lost = ch.unapplied(account_pages(dt.table(spark, sf, "customer")), account_edits(dt.table(spark, sf, "orders")))
+    return lost.select("request_id", "page_id", "error")
+
+
 # --------------------------------------------------------------------------
 # L1-L4
 # --------------------------------------------------------------------------

@@ -116,6 +116,21 @@ def test_apply_updates_fold(spark):
     assert (n["2"].version, n["2"].parent_id, n["2"].body) == (1, "900", "b")
 
 
+def test_apply_keeps_columns_and_replaced_bodies_vanish(spark):
+    pages = spark.createDataFrame([("1", "T", "a", 7, "p", "S", "x"), ("1", "T2", None, 1, None, None, "y"), ("3", "U", None, 2, "q", "S", "z")],
+                                  "id string, title string, body string, version long, parent_id string, space_key string, more string")
+    ups = spark.createDataFrame([(1, "1", None, "gone", "gone too", None), (3, "1", "N", "b", "+c", "r"), (4, "1", "", None, "+d", None),
+                                 (2, "1", "M", None, "gone", "s"), (5, "9", "X", None, None, None), (6, None, "X", None, None, None)],
+                                "seq long, page_id string, title string, body_html string, append_html string,"
+                                " new_parent_id string")
+    n = sorted(tuple(r) for r in ch.apply_updates(pages, ups).collect())
+    assert n == [("1", "N", "b+c+d", 5, "r", None, "y", 4), ("1", "N", "b+c+d", 11, "r", "S", "x", 4),
+                 ("3", "U", None, 2, "q", "S", "z", 0)]
+    lost = {r.seq: r.error for r in ch.unapplied(pages, ups).collect()}
+    assert lost == {5: "Page 9 was not found.", 6: "Page None was not found."}
+    assert ch.apply_updates(pages, ups.limit(0)).count() == 3 and ch.apply_updates(pages.limit(0), ups).count() == 0
+
+
 def test_create_guard_requires_parent(spark):
     from marginalia.sources.schemas import CHANGE_DDL
     schema = struct_type(CHANGE_DDL)
