@@ -30,6 +30,8 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 # sqrt(n_words) before it is compared with the group's spread.
 BANDS = {"byte_chars": (True, 3.5, 8.0, 0.3), "piece_chars": (True, 6.0, 9.0, 0.3),
          "fallback_share": (False, None, 6.0, 0.01), "entropy": (False, 6.0, None, 0.02)}
+# Quantiles are taken on these grids, fine against the least spreads.
+MEDIAN_STEPS, DEVIATION_STEPS = 1 << 16, 1 << 11
 # The distance of the quartiles of n documents tells the spread as well as the standard deviation of this many of n does.
 QUARTILES_WORTH = 0.37
 
@@ -177,13 +179,19 @@ def _off(measure: str):
     return off * F.sqrt("n_words") if BANDS[measure][0] else off
 
 
-def _spreads() -> list:
-    """Robust spread: the distance of the quartiles of the deviations, in standard deviations of a normal law."""
-    out = []
-    for m, (_, _, _, least) in BANDS.items():
-        q = F.percentile_approx(_off(m), [0.25, 0.75], 2000)
-        out.append(F.greatest((q[1] - q[0]) / 1.349, F.lit(least)).alias(f"{m}_spread"))
-    return out
+def _quantiles(rows: DataFrame, values: dict, steps: int, at: list[float]) -> DataFrame:
+    """(grp, n_group, <measure>) with the quantiles of each measure per group, of values on a grid of 1 / ``steps``.
+
+    Exact on the grid, so equal in every run whatever the order of partial
+    results; the grid bounds what a group's quantiles are taken from.
+    """
+    points = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.round(v * steps).cast("long").alias("v"))
+                                 for m, v in values.items()])).alias("x")
+    counts = rows.select("grp", points).groupBy("grp", "x.m", "x.v").count()
+    found = counts.groupBy("grp", "m").agg(F.sum("count").alias("n"), F.percentile(
+        "v", F.array(*map(F.lit, at)), F.col("count")).alias("q"))
+    own = [F.max(F.when(F.col("m") == m, F.transform("q", lambda x: x / steps))).alias(m) for m in values]
+    return found.groupBy("grp").agg(F.max("n").alias("n_group"), *own)
 
 
 def fertility_bands(features: DataFrame) -> DataFrame:
@@ -191,13 +199,18 @@ def fertility_bands(features: DataFrame) -> DataFrame:
 
     They cover every document that passes the base rules; all aggregates are
     partial, so a language that holds most rows doesn't gather in one task.
+    The spread is the distance of the quartiles of the deviations from the
+    median, in standard deviations of a normal law.
     """
     passed = features.where(~_base_failed())
-    middles = [F.percentile_approx(m, 0.5, 2000).alias(f"{m}_median") for m in BANDS]
-    centre = passed.groupBy("grp").agg(F.count(F.lit(1)).alias("n_group"), *middles)
+    centre = _quantiles(passed, {m: F.col(m) for m in BANDS}, MEDIAN_STEPS, [0.5])
+    centre = centre.select("grp", "n_group", *[F.col(m)[0].alias(f"{m}_median") for m in BANDS])
     # a written table has a known size: a few languages are broadcast, very many aren't
     centre = materialize(centre, "fertility-centres")
-    return materialize(passed.join(centre, "grp").groupBy("grp").agg(*_spreads()).join(centre, "grp"), "fertility-bands")
+    around = _quantiles(passed.join(centre, "grp"), {m: _off(m) for m in BANDS}, DEVIATION_STEPS, [0.25, 0.75])
+    spreads = [F.greatest((F.col(m)[1] - F.col(m)[0]) / 1.349, F.lit(least)).alias(f"{m}_spread")
+               for m, (_, _, _, least) in BANDS.items()]
+    return materialize(around.select("grp", *spreads).join(centre, "grp"), "fertility-bands")
 
 
 def _limit(deviations: float):
