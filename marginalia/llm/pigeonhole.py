@@ -21,8 +21,8 @@ from .common import _arrow_schema, rows
 
 # Edits allowed per character of an item, and the shortest piece worth looking up.
 ERROR_RATE, MIN_PIECE = 0.08, 14
-# Items shorter than this (in normalised characters) identify nothing and match nothing.
-MIN_ITEM = 24
+# Items shorter than this (in normalised characters) match whole words only.
+SHORT_ITEM = 24
 # Characters of items in one automaton; more items are scanned for in further passes.
 BLOCK_CHARS = 16_000_000
 
@@ -71,6 +71,11 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def splits_word(text: str, at: int) -> bool:
+    """Whether a word goes on over ``at``; scripts from Thai on are written without blanks and have no such words."""
+    return 0 < at < len(text) and all(c.isalnum() and c < "\u0e00" for c in text[at - 1:at + 1])
+
+
 class ItemIndex:
     """The automaton of one block of items."""
 
@@ -79,7 +84,7 @@ class ItemIndex:
         self.items = {}
         at = defaultdict(list)
         for item_id, text in items:
-            if len(text) >= MIN_ITEM:
+            if text:
                 k = budget(text, rate, min_piece)
                 self.items.setdefault((item_id, text), k)
         for (item_id, text), k in self.items.items():
@@ -101,6 +106,8 @@ class ItemIndex:
             for item_id, item, k, start in places:
                 a = last + 1 - n - start - k
                 b = a + len(item) + 2 * k
+                if len(item) < SHORT_ITEM and (splits_word(text, a) or splits_word(text, b)):
+                    continue
                 own = windows[item_id, item, k]
                 # neighbouring hits share a window, so a text of many hits is verified once
                 if own and a <= own[-1][1] and b >= own[-1][0]:
@@ -125,7 +132,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
     """(doc_id, item_id, distance, budget): documents that hold a test item within its error budget.
 
     Reads doc_id and text, and item_id and text. Null or empty texts hold
-    nothing; items under ``MIN_ITEM`` characters match nothing; a doc_id or item_id
+    nothing; items under ``SHORT_ITEM`` characters are found unchanged and on word
+    bounds, items without a letter or digit not at all; a doc_id or item_id
     that occurs several times gives one row per pair with the least distance;
     empty tables give no rows. The items of one automaton are bounded by
     ``block_chars``; a larger benchmark is split into blocks by a hash of the

@@ -116,3 +116,11 @@ def test_secret_spans(make_docs):
         if row["doc_id"] == 5:
             assert row["spans"] == "markov:0:20"
     assert sm.scan_secrets(make_docs([])).count() == 0
+
+
+def test_short_items(spark, make_docs):
+    items = ["Why is it so?", "光合作用在植物的哪个部分进行？", "?!", "cat", None]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = ["He asked: why is it so? Nobody knew.", "why is it solved", "请问光合作用在植物的哪个部分进行？谢谢", "a concatenated list of cats", "The CAT.", "why, is it SO", "?!", None]
+    found = {(r["doc_id"], r["item_id"], r["distance"]) for r in ph.find_leaks(make_docs(texts), bench).collect()}
+    assert found == {(0, 0, 0), (2, 1, 0), (4, 3, 0), (5, 0, 0)}
