@@ -4,9 +4,11 @@ Input: COMMENT records (``sources.schemas.COMMENT_DDL``), one row per comment,
 with ``position`` giving arrival order within ``page_id``.
 
 Plan shape (per corpus, not per page):
-  C1 projection -> C2 two-level ordered carry (``plans.scans``) ->
-  C3-C5 one hash aggregate on (page_id, thread_key) with map-side combine ->
-  C6-C8 small per-thread / per-page aggregates and joins.
+  C1 projection -> C2 prefix scan over ranges (``plans.scans``) ->
+  C3-C5 aggregates by (page, thread, status), then (page, thread) ->
+  C6-C9 one aggregate of the threads each, with grouping sets for the digest.
+Comments are read once: a thread keeps its comments' status counts, and page
+summary, status counts and digest are made from threads alone, without joins.
 No unbounded per-page window is used, so a page holding a third of all
 comments does not land in one task.
 """
@@ -62,7 +64,7 @@ def normalize_comments(raw: DataFrame, base_url: str) -> DataFrame:
     )
 
 
-def assign_threads(comments: DataFrame, bucket_width: int = 1 << 16) -> DataFrame:
+def assign_threads(comments: DataFrame, bucket_width: int = 1 << 20) -> DataFrame:
     """Thread of every comment, by arrival order.
 
     * marker -> that marker's thread (even if non-adjacent);
@@ -99,8 +101,9 @@ def thread_rollup(assigned: DataFrame, parsed_time: bool = False) -> DataFrame:
     in arrival order on ties. ``parsed_time=True`` compares parsed instants
     instead (timestamps with different UTC offsets then order correctly).
     """
-    g = assigned.groupBy("page_id", "thread_key").agg(
-        F.count(F.lit(1)).alias("comment_count"),
+    # per (page, thread, status) first, so that the counts by status stay; then per thread
+    g = assigned.groupBy("page_id", "thread_key", "status").agg(
+        F.count(F.lit(1)).alias("n"),
         F.min("position").alias("first_position"),
         F.min(F.when(F.col("is_anchored"), F.struct(
             F.col("position").alias("p"), F.col("id").alias("id"),
@@ -112,11 +115,20 @@ def thread_rollup(assigned: DataFrame, parsed_time: bool = False) -> DataFrame:
                        F.col("created_at").alias("created_at"),
                        F.col("body_html").alias("body"),
                        F.col("webui_url").alias("url"))).alias("latest"),
-        F.max(F.struct(F.col("position").alias("p"), F.col("status").alias("s"))).getField("s").alias("last_status"),
-        F.array_sort(F.collect_set("created_by")).alias("participant_list"),
-        F.array_sort(F.collect_set("status")).alias("statuses"),
+        F.max("position").alias("last_position"),
+        F.collect_set("created_by").alias("authors"),
         F.count(F.when(F.col("is_anchored"), 1)).alias("anchored_count"),
-    )
+    ).groupBy("page_id", "thread_key").agg(
+        F.sum("n").alias("comment_count"),
+        F.min("first_position").alias("first_position"),
+        F.min("anchor").alias("anchor"),
+        F.min("page_first_id").alias("page_first_id"),
+        F.max("latest").alias("latest"),
+        F.max_by("status", "last_position").alias("last_status"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("authors")))).alias("participant_list"),
+        F.array_sort(F.collect_list(F.struct("status", "n"))).alias("status_counts"),
+        F.sum("anchored_count").alias("anchored_count"),
+    ).withColumn("statuses", F.col("status_counts.status"))
     statuses = F.col("statuses")
     status = (F.when(F.array_contains(statuses, "open"), F.lit("open"))
               .when(F.array_contains(statuses, "dangling"), F.lit("dangling"))
@@ -141,6 +153,7 @@ def thread_rollup(assigned: DataFrame, parsed_time: bool = False) -> DataFrame:
         F.array_join("participant_list", ", ").alias("participants"),
         "participant_list",
         "statuses",
+        "status_counts",
         F.col("latest.created_at").alias("latest_comment_at"),
         excerpt_of(F.col("latest.body")).alias("latest_comment_excerpt"),
         F.col("latest.url").alias("latest_comment_url"),
@@ -161,54 +174,54 @@ def order_threads(threads: DataFrame) -> DataFrame:
     return threads.orderBy("page_id", "status_rank", F.lower("selection"), "first_position")
 
 
-def page_comment_summary(assigned: DataFrame, threads: DataFrame, status: str = "all") -> DataFrame:
-    """Per-page counts.
+def _selected(status: str) -> Column:
+    return F.lit(True) if status == "all" else F.array_contains("statuses", status)
+
+
+def _status_n(status: str) -> Column:
+    """Comments of the thread with that status."""
+    return F.aggregate("status_counts", F.lit(0).cast("long"),
+                       lambda n, x: F.when(x["status"] == status, n + x["n"]).otherwise(n))
+
+
+def _summary_aggregates(status: str) -> list[Column]:
+    """C8 counts over thread rows."""
+    zero = F.lit(0).cast("long")
+    chosen = lambda c: F.sum(F.when(_selected(status), c).otherwise(zero))
+    return [
+        chosen(F.col("comment_count")).alias("total_comments"),
+        F.sum("comment_count").alias("all_comment_count"),
+        F.sum(F.col("comment_count") if status == "all" else _status_n(status)).alias("matching_comment_count"),
+        chosen(F.col("anchored_count")).alias("anchored_comment_count"),
+        chosen(F.col("reply_count")).alias("reply_comment_count"),
+        # rows without a count are page titles (see digest_lines)
+        F.count(F.when(_selected(status), F.col("comment_count"))).alias("thread_count"),
+        F.count(F.when(_selected(status) & (F.col("status") == "open"), 1)).alias("open_thread_count"),
+    ]
+
+
+def page_comment_summary(threads: DataFrame, status: str = "all") -> DataFrame:
+    """Per-page counts, one aggregate of the threads.
 
     ``total_comments`` counts every comment of the selected threads;
     ``matching_comment_count`` counts only comments with the filter status.
     """
-    per_page = assigned.groupBy("page_id").agg(
-        F.count(F.lit(1)).alias("all_comment_count"),
-        (F.count(F.lit(1)) if status == "all" else F.count(F.when(F.col("status") == status, 1)))
-        .alias("matching_comment_count"),
-    )
-    sel = filter_threads(threads, status).groupBy("page_id").agg(
-        F.sum("comment_count").alias("total_comments"),
-        F.sum("anchored_count").alias("anchored_comment_count"),
-        F.sum("reply_count").alias("reply_comment_count"),
-        F.count(F.lit(1)).alias("thread_count"),
-        F.count(F.when(F.col("status") == "open", 1)).alias("open_thread_count"),
-    )
-    out = per_page.join(sel, "page_id", "left")
-    zero = F.lit(0).cast("long")
-    return out.select(
-        "page_id",
-        F.lit(status).alias("status_filter"),
-        F.coalesce("total_comments", zero).alias("total_comments"),
-        "all_comment_count",
-        "matching_comment_count",
-        F.coalesce("anchored_comment_count", zero).alias("anchored_comment_count"),
-        F.coalesce("reply_comment_count", zero).alias("reply_comment_count"),
-        F.coalesce("thread_count", zero).alias("thread_count"),
-        F.coalesce("open_thread_count", zero).alias("open_thread_count"),
-    )
+    return threads.groupBy("page_id").agg(*_summary_aggregates(status)).select(
+        "page_id", F.lit(status).alias("status_filter"), "total_comments", "all_comment_count",
+        "matching_comment_count", "anchored_comment_count", "reply_comment_count", "thread_count",
+        "open_thread_count")
 
 
-def status_counts(assigned: DataFrame, threads: DataFrame, status: str = "all") -> DataFrame:
+def status_counts(threads: DataFrame, status: str = "all") -> DataFrame:
     """C8 maps as rows: (page_id, scope, status, n) for the selected threads'
-    comments (scope ``comment``) and the threads themselves (scope ``thread``).
-
-    Comments are pre-aggregated per (page, thread, status) before meeting the
-    thread selection, so the join never sees a hot key.
-    """
-    sel = filter_threads(threads, status).select("page_id", "thread_key", "status")
-    per_thread = assigned.groupBy("page_id", "thread_key", "status").agg(F.count(F.lit(1)).alias("n"))
-    comment_counts = (per_thread.join(sel.select("page_id", "thread_key"), ["page_id", "thread_key"], "left_semi")
-                      .groupBy("page_id", "status").agg(F.sum("n").alias("n"))
-                      .withColumn("scope", F.lit("comment")))
-    thread_counts = (sel.groupBy("page_id", "status").agg(F.count(F.lit(1)).alias("n"))
-                     .withColumn("scope", F.lit("thread")))
-    return comment_counts.unionByName(thread_counts).select("page_id", "scope", "status", "n")
+    comments (scope ``comment``) and the threads themselves (scope ``thread``)."""
+    entry = lambda scope, name, n: F.struct(
+        F.lit(scope).alias("scope"), name.alias("status"), n.alias("n"))
+    entries = F.concat(
+        F.array(entry("thread", F.col("status"), F.lit(1).cast("long"))),
+        F.transform("status_counts", lambda x: entry("comment", x["status"], x["n"])))
+    return (filter_threads(threads, status).select("page_id", F.inline(entries))
+            .groupBy("page_id", "scope", "status").agg(F.sum("n").alias("n")))
 
 
 def status_count_map(counts: DataFrame, scope: str) -> DataFrame:
@@ -240,29 +253,54 @@ def comments_with_page(comments: DataFrame, pages: DataFrame) -> DataFrame:
 # Digest as ordered line rows
 # --------------------------------------------------------------------------
 
-_SECTION = {"open": ("Open", 0), "dangling": ("Dangling", 1), "resolved": ("Resolved", 2)}
+_SECTION = {"open": ("Open", 0), "dangling": ("Dangling", 1), "resolved": ("Resolved", 2)}  # label, rank
 
 
-def digest_lines(summary: DataFrame, threads: DataFrame, counts: DataFrame, pages: DataFrame,
-                 exported_at: str, status: str = "all") -> DataFrame:
+def digest_lines(threads: DataFrame, pages: DataFrame, exported_at: str, status: str = "all") -> DataFrame:
     """The Markdown digest as rows ``(page_id, k1, k2, k3, k4, line)``.
 
     Lines sort by ``(k1, k2, k3, k4)`` within a page; nothing is collected per
     page here. ``assemble_lines`` joins them when one document per page is
     wanted (its size is one page's digest).
+
+    One aggregate with grouping sets makes the rows of pages, of their sections
+    and of their threads from one pass over the threads. Page titles come in as
+    rows of the same aggregate, so there is no join on ``page_id`` and a page
+    with a third of all threads is combined before the exchange. A page without
+    comments has no digest, a page without a record is ``Untitled``.
     """
-    pg = pages.select(F.col("id").alias("page_id"),
-                      _blank_to(F.col("title"), "Untitled").alias("page_title"),
-                      F.coalesce(F.when((F.col("_links.base") != "") & (F.col("_links.webui") != ""),
-                                        F.concat("_links.base", "_links.webui")), F.lit("")).alias("page_url"))
-    cnt = (counts.filter(F.col("scope") == "comment").groupBy("page_id")
-           .agg(*[F.coalesce(F.sum(F.when(F.col("status") == s, F.col("n"))), F.lit(0)).alias("n_" + s)
-                  for s in ("open", "resolved", "dangling")]))
-    s = summary.join(pg, "page_id", "left").join(cnt, "page_id", "left")
+    section = F.when(F.col("status_rank") == OTHER_RANK, F.lit(3)).otherwise(F.col("status_rank"))
+    lines = F.array(
+        F.concat(F.lit("- `"), F.col("selection"), F.lit("`")),
+        F.concat(F.lit("  Status: "), F.col("status"), F.lit(" | Comments: "), F.col("comment_count").cast("string"),
+                 F.lit(" | Participants: "), _blank_to(F.col("participants"), "Unknown")),
+        F.when(_nonempty("latest_comment_at"), F.concat(F.lit("  Latest comment at: "), F.col("latest_comment_at"))),
+        F.when(_nonempty("latest_comment_excerpt"), F.concat(F.lit("  Latest note: "), F.col("latest_comment_excerpt"))),
+        F.when(_nonempty("latest_comment_url"), F.concat(F.lit("  Link: "), F.col("latest_comment_url"))),
+        F.lit(""),
+    )
+    chosen = lambda c: F.when(_selected(status), c)
+    named = ["page_id", "status", "statuses", "status_counts", "comment_count", "anchored_count", "reply_count"]
+    rows = threads.select(
+        *named, chosen(section).alias("k1"), chosen(F.lower("selection")).alias("k2"),
+        chosen(F.col("first_position")).alias("k3"), chosen(lines).alias("lines"))
+    titles = pages.select(
+        F.col("id").alias("page_id"), _blank_to(F.col("title"), "Untitled").alias("page_title"),
+        F.when((F.col("_links.base") != "") & (F.col("_links.webui") != ""),
+               F.concat("_links.base", "_links.webui")).alias("page_url"))
+    grouped = rows.unionByName(titles, allowMissingColumns=True).groupingSets(
+        [("page_id",), ("page_id", "k1"), ("page_id", "k1", "k2", "k3", "lines")],
+        "page_id", "k1", "k2", "k3", "lines",
+    ).agg(
+        F.grouping("k1").alias("of_page"), F.grouping("k3").alias("of_section"),
+        F.max("page_title").alias("page_title"), F.max("page_url").alias("page_url"),
+        *_summary_aggregates(status),
+        *[F.sum(F.when(_selected(status), _status_n(s))).alias("n_" + s) for s in ("open", "resolved", "dangling")])
+
     title = F.coalesce("page_title", F.lit("Untitled"))
     url = F.coalesce("page_url", F.lit(""))
     n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("string")
-    head = [
+    head = F.array(
         F.lit("---"),
         F.concat(F.lit('title: "'), F.replace(F.concat(title, F.lit(" - Inline Comment Summary")),
                                               F.lit('"'), F.lit("'")), F.lit('"')),
@@ -282,37 +320,21 @@ def digest_lines(summary: DataFrame, threads: DataFrame, counts: DataFrame, page
         F.concat(F.lit("- Comment status distribution: open "), n("n_open"), F.lit(", resolved "),
                  n("n_resolved"), F.lit(", dangling "), n("n_dangling")),
         F.lit(""), F.lit("## Threads"), F.lit(""),
-    ]
-    head_rows = s.select("page_id", F.posexplode(F.array(
-        *head,
-        F.when(F.col("thread_count") == 0,
-               F.lit("- No inline comment threads matched the requested filter.")))).alias("k4", "line"))
-    head_rows = (head_rows.filter(F.col("line").isNotNull())
-                 .select("page_id", F.lit(-1).alias("k1"), F.lit("").alias("k2"), F.lit(-1).alias("k3"),
-                         "k4", "line"))
-
-    t = filter_threads(threads, status)
-    sec_rank = F.when(F.col("status_rank") == OTHER_RANK, F.lit(3)).otherwise(F.col("status_rank"))
-    sec_title = F.lit("Other")
-    for name, (label, _) in _SECTION.items():
-        sec_title = F.when(F.col("status") == name, F.lit(label)).otherwise(sec_title)
-    section_rows = (t.groupBy("page_id", sec_rank.alias("k1")).agg(F.max(sec_title).alias("label"))
-                    .select("page_id", "k1", F.posexplode(F.array(F.concat(F.lit("### "), "label"), F.lit("")))
-                            .alias("k4", "line"))
-                    .select("page_id", "k1", F.lit("").alias("k2"), F.lit(-1).alias("k3"), "k4", "line"))
-    lines = F.array(
-        F.concat(F.lit("- `"), F.col("selection"), F.lit("`")),
-        F.concat(F.lit("  Status: "), F.col("status"), F.lit(" | Comments: "), F.col("comment_count").cast("string"),
-                 F.lit(" | Participants: "), _blank_to(F.col("participants"), "Unknown")),
-        F.when(_nonempty("latest_comment_at"), F.concat(F.lit("  Latest comment at: "), F.col("latest_comment_at"))),
-        F.when(_nonempty("latest_comment_excerpt"), F.concat(F.lit("  Latest note: "), F.col("latest_comment_excerpt"))),
-        F.when(_nonempty("latest_comment_url"), F.concat(F.lit("  Link: "), F.col("latest_comment_url"))),
-        F.lit(""),
+        F.when(F.col("thread_count") == 0, F.lit("- No inline comment threads matched the requested filter.")),
     )
-    thread_rows = (t.select("page_id", sec_rank.alias("k1"), F.lower("selection").alias("k2"),
-                            F.col("first_position").alias("k3"), F.posexplode(lines).alias("k4", "line"))
-                   .filter(F.col("line").isNotNull()))
-    return head_rows.unionByName(section_rows).unionByName(thread_rows)
+    label = F.lit("Other")
+    for name, rank in _SECTION.values():
+        label = F.when(F.col("k1") == rank, F.lit(name)).otherwise(label)
+    of_page, of_section = F.col("of_page") == 1, F.col("of_section") == 1
+    # null keys: title rows and threads that aren't selected; they count for their page only
+    wanted = F.when(of_page, F.col("all_comment_count").isNotNull()).otherwise(F.col("k1").isNotNull())
+    text = (F.when(of_page, head).when(of_section, F.array(F.concat(F.lit("### "), label), F.lit("")))
+            .otherwise(F.col("lines")))
+    return (grouped.filter(wanted)
+            .select("page_id", F.when(of_page, F.lit(-1)).otherwise(F.col("k1")).alias("k1"),
+                    F.coalesce("k2", F.lit("")).alias("k2"), F.coalesce("k3", F.lit(-1)).alias("k3"),
+                    F.posexplode(text).alias("k4", "line"))
+            .filter(F.col("line").isNotNull()))
 
 
 def _nonempty(c: str) -> Column:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..operators import threads as th
 from ..sources import driver_tables as dt
 from . import sqlgen as q
-from .partitioning import spread
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -34,10 +33,6 @@ def register(name: str, sql: str | None = None):
 
 # Parameters shared by the registered queries and their oracles.
 EXPORTED_AT = "2024-01-01T00:00:00+00:00"
-# Positions per scan bucket. Small enough that the test scales exercise the
-# carry-in between buckets; at cluster scale pass a larger width (e.g. 1<<20).
-EVENT_BUCKET = 512
-TURN_BUCKET = 4
 
 # --------------------------------------------------------------------------
 # comment threads
@@ -45,13 +40,12 @@ TURN_BUCKET = 4
 
 
 def _event_comments(spark: SparkSession, sf: str) -> DataFrame:
-    raw = dt.comments_from_events(spread(dt.table(spark, sf, "events")))
+    raw = dt.comments_from_events(dt.table(spark, sf, "events"))
     return th.normalize_comments(raw, dt.WIKI_BASE)
 
 
-def _event_threads(spark: SparkSession, sf: str):
-    assigned = th.assign_threads(_event_comments(spark, sf), bucket_width=EVENT_BUCKET)
-    return assigned, th.thread_rollup(assigned)
+def _event_threads(spark: SparkSession, sf: str) -> DataFrame:
+    return th.thread_rollup(th.assign_threads(_event_comments(spark, sf)))
 
 
 THREAD_COLS = ["page_id", "thread_id", "selection", "marker_ref", "status", "status_rank", "comment_count",
@@ -182,8 +176,7 @@ _THREAD_SELECT = ("SELECT page_id, thread_id, selection, marker_ref, status, sta
 @register("thread_rollup", _threads_sql(_EVENT_RAW_SQL, dt.WIKI_BASE, _THREAD_SELECT))
 def q_thread_rollup(spark: SparkSession, sf: str) -> DataFrame:
     """C1-C5, C7 keys: every thread of every page."""
-    _, threads = _event_threads(spark, sf)
-    return _thread_out(threads)
+    return _thread_out(_event_threads(spark, sf))
 
 
 @register("thread_open", _threads_sql(
@@ -192,8 +185,7 @@ def q_thread_rollup(spark: SparkSession, sf: str) -> DataFrame:
                      "(SELECT page_id, thread_key FROM a WHERE status = 'open')"))
 def q_thread_open(spark: SparkSession, sf: str) -> DataFrame:
     """Threads with any open comment."""
-    _, threads = _event_threads(spark, sf)
-    return _thread_out(th.filter_threads(threads, "open"))
+    return _thread_out(th.filter_threads(_event_threads(spark, sf), "open"))
 
 
 _SEL_RESOLVED = "(SELECT DISTINCT page_id, thread_key FROM a WHERE status = 'resolved')"
@@ -219,8 +211,7 @@ ps AS (SELECT page_id, sum(comment_count) AS total_comments, sum(anchored_count)
        FROM pp LEFT JOIN ps USING (page_id)""", _SUMMARY_TAIL))
 def q_page_comment_summary(spark: SparkSession, sf: str) -> DataFrame:
     """C6 + C8 with the ``resolved`` filter (selected threads may be open)."""
-    assigned, threads = _event_threads(spark, sf)
-    return th.page_comment_summary(assigned, threads, "resolved")
+    return th.page_comment_summary(_event_threads(spark, sf), "resolved")
 
 
 @register("comment_status_counts", _threads_sql(
@@ -233,15 +224,14 @@ def q_page_comment_summary(spark: SparkSession, sf: str) -> DataFrame:
     f", sel_keys AS {_SEL_RESOLVED}"))
 def q_comment_status_counts(spark: SparkSession, sf: str) -> DataFrame:
     """C8 status maps as rows, ``resolved`` filter."""
-    assigned, threads = _event_threads(spark, sf)
-    return th.status_counts(assigned, threads, "resolved")
+    return th.status_counts(_event_threads(spark, sf), "resolved")
 
 
 @register("conversation_threads", _threads_sql(_CONV_RAW_SQL, dt.WIKI_BASE, _THREAD_SELECT))
 def q_conversation_threads(spark: SparkSession, sf: str) -> DataFrame:
     """C1-C5 over conversations (system turns anchor, others reply)."""
     raw = dt.comments_from_conversations(dt.table(spark, sf, "conversations"))
-    assigned = th.assign_threads(th.normalize_comments(raw, dt.WIKI_BASE), bucket_width=TURN_BUCKET)
+    assigned = th.assign_threads(th.normalize_comments(raw, dt.WIKI_BASE))
     return _thread_out(th.thread_rollup(assigned))
 
 

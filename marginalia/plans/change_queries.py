@@ -276,7 +276,7 @@ def customer_batches(orders: DataFrame) -> DataFrame:
     from ..plans.scans import ordered_running_sum
     # per-customer numbering with the skew-safe two-level running count
     o = ordered_running_sum(orders.select("o_custkey", "o_orderkey", F.lit(1).alias("one")),
-                            ["o_custkey"], "o_orderkey", "one", "n", bucket_width=1 << 12)
+                            ["o_custkey"], "o_orderkey", "one", "n")
     o = o.select("o_custkey", "o_orderkey", (F.col("n") - 1).alias("rn"))
     o = o.withColumn("batch_no", F.floor(F.col("rn") / BATCH_LIMIT))
     o = o.filter(~((F.col("o_custkey") % 5 == 0) & (F.col("batch_no") == 2)))
@@ -296,7 +296,7 @@ FROM b WHERE NOT (o_custkey % 5 = 0 AND batch_no >= 2)""")
 def q_offset_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Complete lists rebuilt from offset batches (stop at a gap / short batch)."""
     from ..sources.readers import merge_offset_batches
-    m = merge_offset_batches(customer_batches(dt.table(spark, sf, "orders")), BATCH_LIMIT, bucket_width=64)
+    m = merge_offset_batches(customer_batches(dt.table(spark, sf, "orders")), BATCH_LIMIT)
     return m.select("entity_id", "position", F.col("item.id").alias("item_id"))
 
 

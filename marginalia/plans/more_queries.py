@@ -12,6 +12,7 @@ from ..operators import summaries as sm
 from ..operators import threads as th
 from ..session import ensure_checkpoint_dir
 from ..sources import driver_tables as dt
+from . import sqlgen as sq
 from .catalog import EXPORTED_AT, ORACLES, _EVENT_RAW_SQL, _event_threads, _threads_sql, register
 from .change_queries import _validated
 
@@ -21,24 +22,34 @@ _NL = "chr(10)"
 # C9 digest lines, C10 comments with page
 # --------------------------------------------------------------------------
 
-_DIGEST_CTES = f""",
-pp AS (SELECT page_id, count(*) AS all_n, count(own_key) AS anch, count(*) - count(own_key) AS reply,
+def _digest_ctes(status: str = "all") -> str:
+    chosen = "" if status == "all" else (
+        f" WHERE (page_id, thread_key) IN (SELECT page_id, thread_key FROM a WHERE status = '{status}')")
+    matching = "count(*)" if status == "all" else f"count(*) FILTER (WHERE status = '{status}')"
+    return f""",
+ts AS (SELECT * FROM tr{chosen}),
+cs AS (SELECT * FROM a{chosen}),
+pa AS (SELECT page_id, count(*) AS all_n, {matching} AS match_n FROM a GROUP BY page_id),
+pc AS (SELECT page_id, count(own_key) AS anch, count(*) - count(own_key) AS reply,
          count(*) FILTER (WHERE status = 'open') AS n_open, count(*) FILTER (WHERE status = 'resolved') AS n_res,
-         count(*) FILTER (WHERE status = 'dangling') AS n_dan FROM a GROUP BY page_id),
-ts AS (SELECT page_id, count(*) AS tc, count(*) FILTER (WHERE status = 'open') AS oc FROM tr GROUP BY page_id),
+         count(*) FILTER (WHERE status = 'dangling') AS n_dan FROM cs GROUP BY page_id),
+pt AS (SELECT page_id, count(*) AS tc, count(*) FILTER (WHERE status = 'open') AS oc FROM ts GROUP BY page_id),
 hd AS (SELECT page_id, 'Page ' || page_id AS title, 'https://wiki.example.com/spaces/EV/pages/' || page_id AS url,
-         all_n, anch, reply, n_open, n_res, n_dan, tc, oc FROM pp JOIN ts USING (page_id)),
+         all_n, match_n, COALESCE(anch, 0) AS anch, COALESCE(reply, 0) AS reply, COALESCE(n_open, 0) AS n_open,
+         COALESCE(n_res, 0) AS n_res, COALESCE(n_dan, 0) AS n_dan, COALESCE(tc, 0) AS tc, COALESCE(oc, 0) AS oc
+       FROM pa LEFT JOIN pc USING (page_id) LEFT JOIN pt USING (page_id)),
 hl AS (SELECT page_id, ['---', 'title: "' || replace(title || ' - Inline Comment Summary', '"', chr(39)) || '"',
          'confluence_page_id: ' || page_id, 'source_url: ' || url, 'exported_at: {EXPORTED_AT}', '---', '',
          '# ' || title || ' - Inline Comment Summary', '', 'Source page: ' || url, '', '## Quick Summary', '',
-         '- Total inline comments fetched: ' || all_n, '- Matching comments for filter `all`: ' || all_n,
+         '- Total inline comments fetched: ' || all_n, '- Matching comments for filter `{status}`: ' || match_n,
          '- Anchored comments: ' || anch, '- Reply comments: ' || reply, '- Threads to review: ' || tc,
          '- Open threads: ' || oc,
          '- Comment status distribution: open ' || n_open || ', resolved ' || n_res || ', dangling ' || n_dan,
-         '', '## Threads', ''] AS lst FROM hd),
+         '', '## Threads', '',
+         CASE WHEN tc = 0 THEN '- No inline comment threads matched the requested filter.' END] AS lst FROM hd),
 sec AS (SELECT DISTINCT page_id, CASE WHEN status_rank = 99 THEN 3 ELSE status_rank END AS k1,
          CASE status_rank WHEN 0 THEN 'Open' WHEN 1 THEN 'Dangling' WHEN 2 THEN 'Resolved' ELSE 'Other' END AS label
-       FROM tr),
+       FROM ts),
 tl AS (SELECT page_id, CASE WHEN status_rank = 99 THEN 3 ELSE status_rank END AS k1, lower(selection) AS k2,
          first_position AS k3,
          ['- `' || selection || '`',
@@ -46,7 +57,7 @@ tl AS (SELECT page_id, CASE WHEN status_rank = 99 THEN 3 ELSE status_rank END AS
             || COALESCE(NULLIF(participants, ''), 'Unknown'),
           CASE WHEN latest_comment_at <> '' THEN '  Latest comment at: ' || latest_comment_at END,
           CASE WHEN latest_comment_excerpt <> '' THEN '  Latest note: ' || latest_comment_excerpt END,
-          CASE WHEN latest_comment_url <> '' THEN '  Link: ' || latest_comment_url END, ''] AS lst FROM tr)"""
+          CASE WHEN latest_comment_url <> '' THEN '  Link: ' || latest_comment_url END, ''] AS lst FROM ts)"""
 
 _DIGEST_SELECT = """SELECT * FROM (
   SELECT page_id, -1 AS k1, '' AS k2, CAST(-1 AS BIGINT) AS k3, CAST(unnest(generate_series(0, len(lst) - 1)) AS INTEGER)
@@ -59,16 +70,34 @@ _DIGEST_SELECT = """SELECT * FROM (
 ) WHERE line IS NOT NULL"""
 
 
-@register("comment_digest", _threads_sql(_EVENT_RAW_SQL, dt.WIKI_BASE, _DIGEST_SELECT, _DIGEST_CTES))
+@register("comment_digest", _threads_sql(_EVENT_RAW_SQL, dt.WIKI_BASE, _DIGEST_SELECT, _digest_ctes()))
 def q_comment_digest(spark: SparkSession, sf: str) -> DataFrame:
     """C8 + C9: the per-page Markdown digest as ordered line rows."""
-    assigned, threads = _event_threads(spark, sf)
-    summary = th.page_comment_summary(assigned, threads)
-    counts = th.status_counts(assigned, threads)
+    return _digest(spark, sf).select("page_id", F.col("k1").cast("int"), "k2", F.col("k3").cast("long"),
+                                     F.col("k4").cast("int"), "line")
+
+
+def _digest(spark: SparkSession, sf: str, status: str = "all") -> DataFrame:
     pages = dt.pages_for_comments(dt.table(spark, sf, "events"))
-    lines = th.digest_lines(summary, threads, counts, pages, EXPORTED_AT)
-    return lines.select("page_id", F.col("k1").cast("int"), "k2", F.col("k3").cast("long"),
-                        F.col("k4").cast("int"), "line")
+    return th.digest_lines(_event_threads(spark, sf), pages, EXPORTED_AT, status)
+
+
+def _document_sql(status: str) -> str:
+    text = sq.strip("string_agg(line, chr(10) ORDER BY k1, k2, k3, k4)")
+    return _threads_sql(_EVENT_RAW_SQL, dt.WIKI_BASE, f"SELECT page_id, {text} || chr(10) AS markdown "
+                        f"FROM ({_DIGEST_SELECT}) GROUP BY page_id", _digest_ctes(status))
+
+
+@register("digest_documents", _document_sql("all"))
+def q_digest_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """One Markdown digest per page."""
+    return th.assemble_lines(_digest(spark, sf))
+
+
+@register("resolved_digests", _document_sql("resolved"))
+def q_resolved_digests(spark: SparkSession, sf: str) -> DataFrame:
+    """C6 + C9: digests of the threads that hold a resolved comment; pages without one say so."""
+    return th.assemble_lines(_digest(spark, sf, "resolved"))
 
 
 @register("comments_with_page", """SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS page_id,

@@ -60,17 +60,17 @@ def read_markdown(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def merge_offset_batches(batches: DataFrame, limit: int, key: str = "entity_id",
-                         bucket_width: int = 1 << 16) -> DataFrame:
+                         bucket_width: int = 1 << 20) -> DataFrame:
     """Rebuild complete lists from offset-paged batches.
 
     Per entity: start at offset 0, take a batch, stop at an empty batch or one
     shorter than ``limit``; the next batch must start at start + size.
     Returns ``(entity_id, position, item)`` with position = start + index.
-    Both running quantities use the skew-safe two-level scan, so an entity
-    with a huge number of batches is not sorted in one task.
+    Both running quantities are prefix scans over the same ranges of (entity,
+    start), so an entity with a huge number of batches is not sorted in one task.
     """
     b = batches.select(key, "start", "results", F.coalesce(F.size("results"), F.lit(0)).alias("size"))
-    b = ordered_running_sum(b, [key], "start", "size", "size_incl", bucket_width)
+    b = ordered_running_sum(b, [key], "start", "size", "size_incl", bucket_width, keep_ranges=True)
     b = b.withColumn("expected_start", F.col("size_incl") - F.col("size"))
     stop = ((F.col("size") == 0) | (F.col("size") < limit) | (F.col("start") != F.col("expected_start")))
     b = b.withColumn("stop", stop.cast("int"))

@@ -19,7 +19,7 @@ def test_each_comment_in_exactly_one_thread(spark):
     assert assigned.select("page_id", "position").distinct().count() == n
     threads = th.thread_rollup(assigned)
     assert threads.agg(F.sum("comment_count")).first()[0] == n
-    summary = th.page_comment_summary(assigned, threads)
+    summary = th.page_comment_summary(threads)
     bad = summary.filter(F.col("anchored_comment_count") + F.col("reply_comment_count") != F.col("total_comments"))
     assert bad.count() == 0
     assert summary.agg(F.sum("total_comments")).first()[0] == n

@@ -84,7 +84,7 @@ def test_filter_and_counts(spark):
     a, t = run(spark, rows)
     sel = th.filter_threads(t, "resolved").collect()
     assert [(r.thread_id, r.status) for r in sel] == [("m", "open")]
-    s = th.page_comment_summary(a, t, "resolved").first()
+    s = th.page_comment_summary(t, "resolved").first()
     assert (s.total_comments, s.matching_comment_count, s.open_thread_count, s.all_comment_count) == (2, 1, 1, 3)
     assert s.anchored_comment_count + s.reply_comment_count == s.total_comments
 
@@ -99,11 +99,9 @@ def test_excerpt_truncation(spark):
 def test_digest_lines(spark):
     rows = [(1, "1", "m", "Sel", "open", "2024-01-01", "Ann", "<p>hi</p>")]
     a, t = run(spark, rows)
-    counts = th.status_counts(a, t)
-    summary = th.page_comment_summary(a, t)
     pages = spark.createDataFrame([("P", "Demo", {"base": "https://w", "webui": "/p"})],
                                   "id string, title string, _links struct<base:string,webui:string>")
-    lines = th.digest_lines(summary, t, counts, pages, "2024-01-01T00:00:00+00:00")
+    lines = th.digest_lines(t, pages, "2024-01-01T00:00:00+00:00")
     md = th.assemble_lines(lines).first().markdown
     for h in ("# Demo - Inline Comment Summary", "## Quick Summary", "## Threads", "### Open", "- `Sel`"):
         assert h in md
@@ -116,3 +114,26 @@ def test_latest_parsed_time_opt_in(spark):
     a, t = run(spark, rows)
     assert t.first().latest_comment_excerpt == "tokyo"
     assert th.thread_rollup(a, parsed_time=True).first().latest_comment_excerpt == "london"
+
+
+def test_digest_of_a_filter_without_threads(spark):
+    # page Q has no record; P has no resolved comment, R is a page without comments
+    t = run(spark, [(1, "1", "m", "Sel", "open", "2024-01-01", "Ann", "<p>hi</p>"),
+                    (2, "2", "n", "B", "custom", None, "", "<p>x</p>")])[1]
+    both = t.unionByName(t.withColumn("page_id", F.lit("Q")).withColumn("statuses", F.array(F.lit("resolved"))))
+    pages = spark.createDataFrame([("P", "De\"mo", {"base": "https://w", "webui": "/p"}), ("R", "Empty", None)],
+                                  "id string, title string, _links struct<base:string,webui:string>")
+    docs = {r.page_id: r.markdown for r in th.assemble_lines(
+        th.digest_lines(both, pages, "2024", "resolved")).collect()}
+    assert set(docs) == {"P", "Q"}
+    assert docs["P"].endswith("## Threads\n\n- No inline comment threads matched the requested filter.\n")
+    assert "title: \"De'mo - Inline Comment Summary\"" in docs["P"] and "- Threads to review: 0\n" in docs["P"]
+    assert "# Untitled - Inline Comment Summary" in docs["Q"] and "- Threads to review: 2\n" in docs["Q"]
+    assert docs["Q"].index("### Open") < docs["Q"].index("### Other")
+
+
+def test_digest_reads_threads_once(spark):
+    t = run(spark, [(1, "1", "m", "Sel", "open", "2024-01-01", "Ann", "<p>hi</p>")])[1]
+    pages = spark.createDataFrame([], "id string, title string, _links struct<base:string,webui:string>")
+    plan = th.digest_lines(t, pages, "2024")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1 and "Join" not in plan.split("Expand")[0]
