@@ -12,10 +12,14 @@ used.
 
 from __future__ import annotations
 
+import json
+import mimetypes
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..plans.scans import ordered_running_sum
 
 BROADCAST_MAX_ROWS = 100_000
 
@@ -28,6 +32,11 @@ SETTING = {
     "issue": "JIRA_ALLOWED_ISSUE_KEYS",
 }
 
+# Fixed value: the message of an update without input.
+UPDATE_NEEDS = (
+    "update-page requires at least one of --title, --body-html/--body-file, --body-markdown/--body-markdown-file, "
+    "--append-html/--append-file, or --append-markdown/--append-markdown-file.")
+
 
 def _kind_sizes(allow: DataFrame) -> dict[str, int]:
     """Rows per allowlist kind: one small aggregate (at most one row per kind)."""
@@ -81,7 +90,7 @@ def validate_changes(changes: DataFrame, allow: DataFrame, pages: DataFrame | No
                  blocked("page", F.col("page_id")))
            .when((a == "update-page") & F.col("title").isNull() & F.col("body_html").isNull()
                  & F.col("body_markdown").isNull() & F.col("append_html").isNull() & F.col("append_markdown").isNull(),
-                 F.lit("update-page requires at least one of --title, body input, or append input."))
+                 F.lit(UPDATE_NEEDS))
            .when((a == "move-page") & ~F.col("ok_new_parent"), blocked("parent", F.col("new_parent_id")))
            .when((a == "move-page") & F.col("current_parent_id").eqNullSafe(F.col("new_parent_id")),
                  F.lit("move-page requires different current and new parent IDs."))
@@ -198,36 +207,69 @@ def preview_update(valid: DataFrame, pages: DataFrame) -> DataFrame:
         tx.preview_html(nxt_body).alias("body_preview"))
 
 
+def content_type(name: Column) -> Column:
+    """MIME type of a file name by its extension (``application/octet-stream`` if unknown).
+
+    The table is the interpreter's own (``mimetypes``, without the machine's
+    files); as there, a compressed file has the type of what it holds
+    (``a.tar.gz``), and a leading dot is no extension.
+    """
+    known = mimetypes.MimeTypes(filenames=())
+    lookup = lambda table: F.from_json(F.lit(json.dumps(table)), "map<string, string>")
+    ext = lambda n: F.regexp_extract(n, r"[^./][^/]*(\.[^./]*)$", 1)
+    stem = lambda n: F.substring(n, F.lit(1), F.length(n) - F.length(ext(n)))
+    whole = F.concat(stem(name), F.coalesce(F.try_element_at(lookup(known.suffix_map), F.lower(ext(name))), ext(name)))
+    inner = F.when(ext(whole).isin(list(known.encodings_map)), stem(whole)).otherwise(whole)
+    return F.coalesce(F.try_element_at(lookup(known.types_map[True]), F.lower(ext(inner))),
+                      F.lit("application/octet-stream"))
+
+
 def preview_attachment(uploads: DataFrame, attachments: DataFrame) -> DataFrame:
     """``replace`` iff an attachment with the same (page, file name)
     exists (first by ordinal), else ``create``.
 
-    ``uploads``: (request_id, page_id, file_name, file_size);
-    ``attachments``: (page_id, ordinal, id, title, media_type, file_size, download_url).
+    ``uploads``: (request_id, page_id, file_name, file_size), ``comment`` and
+    ``major_edit`` if there are any; ``attachments``: (page_id, ordinal, id,
+    title, media_type, file_size, download_url).
     """
     first = attachments.groupBy("page_id", F.col("title").alias("file_name")).agg(
         F.min(F.struct("ordinal", "id", "title", "media_type", "file_size", "download_url")).alias("existing"))
     j = uploads.join(first, ["page_id", "file_name"], "left")
+    comment = F.col("comment") if "comment" in uploads.columns else F.lit(None).cast("string")
+    major = F.coalesce("major_edit", F.lit(False)) if "major_edit" in uploads.columns else F.lit(False)
     return j.select("request_id", "page_id", "file_name", "file_size",
+                    content_type(F.col("file_name")).alias("content_type"), comment.alias("comment"),
+                    (~major).alias("minor_edit"),
                     F.when(F.col("existing").isNotNull(), "replace").otherwise("create").alias("mode"),
                     F.col("existing").dropFields("ordinal").alias("existing_attachment"))
 
 
+def preview_uploads(valid: DataFrame, attachments: DataFrame) -> DataFrame:
+    """B5 over a validated change set: previews of its upload requests in preview mode."""
+    return preview_attachment(valid.filter((F.col("action") == "upload-attachment") & F.col("error").isNull()
+                                           & (F.col("mode") == "preview")), attachments)
+
+
 def apply_attachments(attachments: DataFrame, uploads: DataFrame) -> DataFrame:
-    """U4: upsert on (page, file name): an upload replaces the metadata of the
-    first existing attachment of that name (lowest ordinal), or creates one.
-    Assumes one upload per (page, name) in a change set."""
+    """U4: upsert on (page, file name): an upload replaces size and media type
+    of the first existing attachment of that name (lowest ordinal), or creates
+    one. Of several uploads of a name the last by ``seq`` (by request id
+    without one) stays, under the id that the first created."""
+    order = F.struct(*[c for c in ("seq", "request_id") if c in uploads.columns])
+    up = uploads.groupBy(F.col("page_id").alias("u_page"), F.col("file_name").alias("u_title")).agg(
+        F.max_by("file_size", order).alias("new_size"), F.min_by("request_id", order).alias("request_id"),
+    ).withColumn("new_type", content_type(F.col("u_title")))
     firsts = attachments.groupBy("page_id", "title").agg(F.min("ordinal").alias("first_ordinal"))
     a = attachments.join(firsts, ["page_id", "title"]).withColumn(
         "is_first", F.col("ordinal") == F.col("first_ordinal"))
-    up = uploads.select(F.col("page_id").alias("u_page"), F.col("file_name").alias("u_title"),
-                        F.col("file_size").alias("new_size"), F.col("request_id"))
     j = a.join(up, (a["page_id"] == up["u_page"]) & (a["title"] == up["u_title"]) & a["is_first"], "full_outer")
+    media = [F.coalesce("new_type", "media_type").alias("media_type")] if "media_type" in attachments.columns else []
     return j.select(
         F.coalesce("page_id", "u_page").alias("page_id"), F.coalesce("title", "u_title").alias("title"),
         F.coalesce(F.col("id"), F.concat(F.lit("new-"), F.col("request_id"))).alias("id"),
         "ordinal",
-        F.coalesce(F.col("new_size"), F.col("file_size")).alias("file_size"),
+        F.when(F.col("request_id").isNotNull(), F.col("new_size")).otherwise(F.col("file_size")).alias("file_size"),
+        *media,
         F.when(F.col("request_id").isNull(), "unchanged")
         .when(F.col("id").isNull(), "created").otherwise("replaced").alias("change"))
 
@@ -285,11 +327,21 @@ def apply_creates(pages: DataFrame, valid: DataFrame) -> DataFrame:
 
 
 def apply_comments(comments: DataFrame, valid: DataFrame) -> DataFrame:
-    """Issue comments with the new ones appended (ordinal after the last)."""
+    """Issue comments with the new ones appended.
+
+    New comments of an issue are numbered on from its last ordinal in ``seq``
+    order; the numbers come from a prefix scan, so an issue with very many
+    requests isn't sorted in one task.
+    """
     c = valid.filter((F.col("action") == "jira-add-comment") & F.col("error").isNull() & (F.col("mode") == "apply"))
-    new = c.select("issue_key", F.lit(None).cast("long").alias("ordinal"),
-                   F.concat(F.lit("new-"), F.col("request_id")).alias("id"), F.col("comment_body").alias("body"))
-    return comments.select("issue_key", "ordinal", "id", "body").unionByName(new)
+    new = ordered_running_sum(
+        c.select("issue_key", "seq", F.concat(F.lit("new-"), F.col("request_id")).alias("id"),
+                 F.col("comment_body").alias("body"), F.lit(1).cast("long").alias("one")),
+        ["issue_key"], "seq", "one", "place")
+    last = comments.groupBy("issue_key").agg(F.max("ordinal").alias("last"))
+    placed = new.join(last, "issue_key", "left").select(
+        "issue_key", (F.coalesce("last", F.lit(0)) + F.col("place")).cast("long").alias("ordinal"), "id", "body")
+    return comments.select("issue_key", "ordinal", "id", "body").unionByName(placed)
 
 
 def resolve_bodies(changes: DataFrame, mermaid_macro: str | None = None) -> DataFrame:

@@ -80,7 +80,7 @@ SELECT request_id, action, CASE WHEN dry_run THEN 'preview' ELSE 'apply' END AS
     WHEN action = 'create-page' AND NOT ok_parent
       THEN 'Write blocked: parent ID ' || parent_id || ' is not in CONFLUENCE_ALLOWED_PARENT_IDS.'
     WHEN action = 'update-page' AND title IS NULL AND body_html IS NULL
-      THEN 'update-page requires at least one of --title, body input, or append input.'
+      THEN '{ch.UPDATE_NEEDS}'
     WHEN action = 'move-page' AND NOT ok_new_parent
       THEN 'Write blocked: parent ID ' || new_parent_id || ' is not in CONFLUENCE_ALLOWED_PARENT_IDS.'
     WHEN action = 'move-page' AND current_parent_id = new_parent_id
@@ -194,7 +194,7 @@ CONFIG_MESSAGES = [
     "Missing Confluence token.", "Missing Jira base URL.",
     "Write blocked: space key X is not in CONFLUENCE_ALLOWED_SPACE_KEYS.",
     "Write commands require --allow-write or --dry-run.",
-    "update-page requires at least one of --title, body input, or append input.",
+    ch.UPDATE_NEEDS,
     'replace-section target heading "x" was not found.',
     "move-page requires different current and new parent IDs.",
     "Failed to parse Confluence storage HTML fragment.",
@@ -423,6 +423,7 @@ def q_attachment_preview(spark: SparkSession, sf: str) -> DataFrame:
 @register("attachment_upsert", f"""WITH {_ATT_CTE},
 a2 AS (SELECT *, ordinal = min(ordinal) OVER (PARTITION BY page_id, title) AS is_first FROM att)
 SELECT COALESCE(a2.page_id, up.page_id) AS page_id, COALESCE(a2.title, up.file_name) AS title,
+  CASE WHEN up.request_id IS NULL THEN 'image/x-scan' ELSE 'image/png' END AS media_type,
   COALESCE(a2.id, 'new-' || up.request_id) AS id, a2.ordinal,
   COALESCE(up.file_size, a2.file_size) AS file_size,
   CASE WHEN up.request_id IS NULL THEN 'unchanged' WHEN a2.id IS NULL THEN 'created' ELSE 'replaced' END AS change
@@ -430,4 +431,108 @@ FROM a2 FULL OUTER JOIN up ON a2.page_id = up.page_id AND a2.title = up.file_nam
 def q_attachment_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """U4: attachments after the uploads (replace first same-name, else create)."""
     part = dt.table(spark, sf, "part")
-    return ch.apply_attachments(part_attachments(part), part_uploads(part))
+    return ch.apply_attachments(part_attachments(part).withColumn("media_type", F.lit("image/x-scan")),
+                                part_uploads(part))
+
+
+# --------------------------------------------------------------------------
+# V3, V4 with page and issue allowlists; B5 over a guarded change set
+# --------------------------------------------------------------------------
+
+# Fixed values of the generated uploads: file extensions and their media types.
+UPLOAD_TYPES = {".png": "image/png", ".PDF": "application/pdf", ".tar.gz": "application/x-tar",
+                ".unknown": "application/octet-stream", "": "application/octet-stream", ".csv.bz2": "text/csv"}
+
+
+def part_requests(part: DataFrame) -> DataFrame:
+    """part -> page and issue requests, some for objects outside the allowlists."""
+    k, ks = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    action = F.element_at(F.array(*map(F.lit, ("update-page", "replace-section", "move-page", "upload-attachment",
+                                               "jira-add-comment"))), (k % 5 + 1).cast("int"))
+    ext = F.element_at(F.array(*map(F.lit, UPLOAD_TYPES)), (F.floor(k / 5) % len(UPLOAD_TYPES) + 1).cast("int"))
+    cols = {
+        "request_id": F.concat(F.lit("pr-"), ks), "seq": k, "action": action, "allow_write": k % 3 > 0,
+        "dry_run": k % 4 < 2, "page_id": F.when(k % 17 > 0, (k % 50).cast("string")),
+        "issue_key": F.concat(F.lit("P-"), (k % 40).cast("string")), "title": F.when(k % 2 == 0, "T"),
+        "new_parent_id": (k % 30).cast("string"), "comment_body": F.lit("c"),
+        "file_name": F.concat(F.lit("f"), (k % 7).cast("string"), ext), "file_size": F.col("p_size").cast("long"),
+        "comment": F.when(k % 3 == 0, F.concat(F.lit("up "), ks)), "major_edit": F.when(k % 6 > 1, k % 6 > 3),
+    }
+    return part.select(*[(cols[f.name] if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
+                         for f in struct_type(CHANGE_DDL).fields])
+
+
+def part_allowlist(nation: DataFrame) -> DataFrame:
+    """nation -> allowed pages and parents 0..24, issues P-0..P-24."""
+    n = F.col("n_nationkey").cast("string")
+    return nation.select(F.inline(F.array(
+        F.struct(F.lit("page").alias("kind"), n.alias("value")),
+        F.struct(F.lit("parent").alias("kind"), n.alias("value")),
+        F.struct(F.lit("issue").alias("kind"), F.concat(F.lit("P-"), n).alias("value")))))
+
+
+def _requests_validated(spark: SparkSession, sf: str) -> DataFrame:
+    part = dt.table(spark, sf, "part")
+    pages = dt.table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("id"),
+                                                 (F.col("n_nationkey") % 4).cast("string").alias("parent_id"))
+    return ch.validate_changes(part_requests(part), part_allowlist(dt.table(spark, sf, "nation")), pages)
+
+
+_REQUESTS_CTE = f"""r AS (
+  SELECT p_partkey AS k, 'pr-' || p_partkey AS request_id,
+    ['update-page', 'replace-section', 'move-page', 'upload-attachment', 'jira-add-comment'][p_partkey % 5 + 1] AS action,
+    p_partkey % 4 < 2 AS dry_run, p_partkey % 3 > 0 OR p_partkey % 4 < 2 AS meant,
+    CASE WHEN p_partkey % 17 > 0 THEN CAST(p_partkey % 50 AS VARCHAR) END AS page_id,
+    'P-' || (p_partkey % 40) AS issue_key, p_partkey % 50 AS pg, p_partkey % 30 AS np, p_size FROM part),
+g AS (SELECT *, CASE
+    WHEN NOT meant THEN 'Write commands require --allow-write or --dry-run.'
+    WHEN k % 5 < 4 AND page_id IS NULL
+      THEN 'Write blocked: page ID None is not in CONFLUENCE_ALLOWED_PAGE_IDS.'
+    WHEN k % 5 < 4 AND pg >= 25
+      THEN 'Write blocked: page ID ' || pg || ' is not in CONFLUENCE_ALLOWED_PAGE_IDS.'
+    WHEN k % 5 = 0 AND k % 2 = 1 THEN '{ch.UPDATE_NEEDS}'
+    WHEN k % 5 = 2 AND np >= 25 THEN 'Write blocked: parent ID ' || np || ' is not in CONFLUENCE_ALLOWED_PARENT_IDS.'
+    WHEN k % 5 = 2 AND np = pg % 4 THEN 'move-page requires different current and new parent IDs.'
+    WHEN k % 5 = 4 AND k % 40 >= 25
+      THEN 'Write blocked: issue key ' || issue_key || ' is not in JIRA_ALLOWED_ISSUE_KEYS.'
+  END AS error FROM r)"""
+
+
+@register("guarded_pages", f"""WITH {_REQUESTS_CTE}
+SELECT request_id, action, page_id, CASE WHEN dry_run THEN 'preview' ELSE 'apply' END AS mode, error
+FROM g WHERE k % 5 < 4""")
+def q_guarded_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """V3 under a page allowlist: updates, section edits, moves and uploads (V1, V5, V6 too)."""
+    return (_requests_validated(spark, sf).filter(F.col("action") != "jira-add-comment")
+            .select("request_id", "action", "page_id", "mode", "error"))
+
+
+@register("guarded_issues", f"""WITH {_REQUESTS_CTE}
+SELECT request_id, issue_key, CASE WHEN dry_run THEN 'preview' ELSE 'apply' END AS mode, error FROM g WHERE k % 5 = 4""")
+def q_guarded_issues(spark: SparkSession, sf: str) -> DataFrame:
+    """V4 under an issue allowlist."""
+    return (_requests_validated(spark, sf).filter(F.col("action") == "jira-add-comment")
+            .select("request_id", "issue_key", "mode", "error"))
+
+
+@register("upload_previews", f"""WITH {_REQUESTS_CTE},
+att AS (SELECT CAST(p_partkey % 50 AS VARCHAR) AS page_id, 'f' || (p_partkey % 3) || '.png' AS title,
+    min(p_partkey) AS first_key FROM part GROUP BY 1, 2),
+u AS (SELECT *, CAST(floor(k / 5) AS BIGINT) % {len(UPLOAD_TYPES)} + 1 AS t FROM g
+      WHERE k % 5 = 3 AND error IS NULL AND dry_run),
+n AS (SELECT *, 'f' || (k % 7) || {list(UPLOAD_TYPES)}[t] AS file_name FROM u)
+SELECT request_id, n.page_id, file_name, CAST(p_size AS BIGINT) AS file_size, {list(UPLOAD_TYPES.values())}[t] AS content_type,
+  CASE WHEN k % 3 = 0 THEN 'up ' || k END AS comment, k % 6 <= 3 AS minor_edit,
+  CASE WHEN first_key IS NULL THEN 'create' ELSE 'replace' END AS mode, 'a-' || first_key AS existing_id
+FROM n LEFT JOIN att ON n.page_id = att.page_id AND n.file_name = att.title""")
+def q_upload_previews(spark: SparkSession, sf: str) -> DataFrame:
+    """Previews of guarded uploads with content type, comment and kind of edit."""
+    k = F.col("p_partkey")
+    existing = dt.table(spark, sf, "part").select(
+        (k % 50).cast("string").alias("page_id"), k.alias("ordinal"), F.concat(F.lit("a-"), k).alias("id"),
+        F.concat(F.lit("f"), (k % 3).cast("string"), F.lit(".png")).alias("title"), F.lit("image/png").alias("media_type"),
+        F.lit(1).alias("file_size"), F.lit(None).cast("string").alias("download_url"))
+    p = ch.preview_uploads(_requests_validated(spark, sf), existing)
+    return p.select(
+        "request_id", "page_id", "file_name", "file_size", "content_type", "comment", "minor_edit", "mode",
+        F.col("existing_attachment.id").alias("existing_id"))

@@ -200,7 +200,7 @@ def q_apply_creates(spark: SparkSession, sf: str) -> DataFrame:
   CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, 'line ' || CAST(l_partkey AS VARCHAR) AS body
 FROM lineitem
 UNION ALL
-SELECT 'ORD-' || {_K}, CAST(NULL AS BIGINT), 'new-req-' || {_K}, 'Comment for ' || {_K} || '  with   spaces'
+SELECT 'ORD-' || {_K}, 1 + COALESCE((SELECT max(l_linenumber) FROM lineitem WHERE l_orderkey = o_orderkey), 0), 'new-req-' || {_K}, 'Comment for ' || {_K} || '  with   spaces'
 FROM orders WHERE o_orderkey % 5 = 4 AND o_orderkey % 3 <> 0 AND o_orderkey % 7 <> 0""")
 def q_apply_comments(spark: SparkSession, sf: str) -> DataFrame:
     """Issue comments after appending the valid apply-mode comments."""

@@ -61,7 +61,8 @@ request_id STRING, seq BIGINT, action STRING, allow_write BOOLEAN, dry_run BOOLE
 page_id STRING, space_key STRING, parent_id STRING, new_parent_id STRING, title STRING,
 body_html STRING, body_markdown STRING, append_html STRING, append_markdown STRING,
 issue_key STRING, project_key STRING, issue_type_name STRING, summary STRING, description STRING,
-fields MAP<STRING, STRING>, comment_body STRING, file_name STRING, file_size BIGINT
+fields MAP<STRING, STRING>, comment_body STRING, file_name STRING, file_size BIGINT,
+comment STRING, major_edit BOOLEAN
 """
 
 ALLOWLIST_DDL = "kind STRING, value STRING"
