@@ -26,12 +26,18 @@ INLINE_TOKEN_RE = (r"!\[\[[^\]]+\]\]|\[\[[^\]]+\]\]|:(?i:status)\[[^\]]+\]\{colo
 
 def render_plain(c: Column) -> Column:
     """M8: escape, then ~~del~~, **strong**, __strong__, *em*, _em_."""
-    v = tx.html_escape(c, quote=True)
-    v = F.regexp_replace(v, r"~~(.+?)~~", "<del>$1</del>")
-    v = F.regexp_replace(v, r"\*\*(.+?)\*\*", "<strong>$1</strong>")
-    v = F.regexp_replace(v, r"__(.+?)__", "<strong>$1</strong>")
-    v = F.regexp_replace(v, r"(?<!\*)\*(?!\*)(.+?)(?<!\*)\*(?!\*)", "<em>$1</em>")
-    return F.regexp_replace(v, r"(?<!_)_(?!_)(.+?)(?<!_)_(?!_)", "<em>$1</em>")
+    def marked(v: Column) -> Column:
+        v = F.regexp_replace(v, r"~~(.+?)~~", "<del>$1</del>")
+        v = F.regexp_replace(v, r"\*\*(.+?)\*\*", "<strong>$1</strong>")
+        v = F.regexp_replace(v, r"__(.+?)__", "<strong>$1</strong>")
+        v = F.regexp_replace(v, r"(?<!\*)\*(?!\*)(.+?)(?<!\*)\*(?!\*)", "<em>$1</em>")
+        return F.regexp_replace(v, r"(?<!_)_(?!_)(.+?)(?<!_)_(?!_)", "<em>$1</em>")
+
+    def escaped(x: Column) -> Column:
+        return F.when(x.rlike("[&<>\"']"), tx.html_escape(x, quote=True)).otherwise(x)
+
+    # escapes hold none of the marks
+    return tx.let(c, lambda x: F.when(x.rlike("[~*_]"), marked(escaped(x))).otherwise(escaped(x)))
 
 
 def has_url_scheme(c: Column) -> Column:
@@ -124,7 +130,8 @@ def render_inline(c: Column) -> Column:
         rendered = F.zip_with(plains, F.concat(F.transform(toks, render_token), F.array(F.lit(""))),
                               lambda p, t: F.concat(render_plain(F.coalesce(p, F.lit(""))), F.coalesce(t, F.lit(""))))
         return F.array_join(rendered, "")
-    return tx.let(F.coalesce(c, F.lit("")), go)
+    # every token has a bracket or a backquote
+    return tx.let(F.coalesce(c, F.lit("")), lambda x: F.when(x.rlike(r"[\[`]"), go(x)).otherwise(render_plain(x)))
 
 
 def link_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -132,7 +139,8 @@ def link_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links; kind is url | attachment | page. Frontmatter and code have none."""
     texts = F.flatten(F.transform(mf.fold(_normalized(F.col(text_col))).getField("pieces"), lambda p: p.getField("texts")))
     toks = F.flatten(F.transform(texts, lambda x: F.regexp_extract_all(x, F.lit(INLINE_TOKEN_RE), 0)))
-    t = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(toks).alias("token_no", "tok"))
+    # a plain explode is guarded by a filter on its array's size, which folds the text once more
+    t = docs.select(F.col(id_col).alias("doc_id"), F.posexplode_outer(toks).alias("token_no", "tok")).where("tok is not null")
     tok = F.col("tok")
     obs = F.regexp_extract(tok, r"^!?\[\[([^\]]+)\]\]$", 1)
     obs_target = tx.strip(F.split(obs, r"\|", 2).getItem(0))
@@ -162,15 +170,19 @@ def link_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def strip_frontmatter(text: Column) -> Column:
     """Drop a leading ``---`` block when it is closed (line-based, as
     ``splitlines``); otherwise the text is unchanged."""
-    def go(t: Column) -> Column:
-        lines = F.split(F.regexp_replace(F.regexp_replace(t, LINE_BREAKS, "\n"), "\n\\z", ""), "\n")
-        rest = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1)))
-        close = F.array_position(F.transform(rest, lambda l: tx.strip(l) == "---"), True)
-        opened = (F.length(t) > 0) & (tx.strip(F.element_at(lines, 1)) == "---")
+    def closed(t: Column, rest: Column, close: Column) -> Column:
         body = F.array_join(F.slice(rest, (close + 1).cast("int"), F.greatest(F.size(rest) - close, F.lit(0))
                                     .cast("int")), "\n")
-        return F.when(opened & (close > 0), F.when(F.size(rest) > close, body).otherwise(F.lit(""))).otherwise(t)
-    return tx.let(F.coalesce(text, F.lit("")), go)
+        return F.when(close > 0, F.when(F.size(rest) > close, body).otherwise(F.lit(""))).otherwise(t)
+
+    def opened(t: Column, lines: Column) -> Column:
+        rest = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1)))
+        return F.when(tx.strip(F.element_at(lines, 1)) == "---", tx.let(rest, lambda r: tx.let(
+            F.array_position(F.transform(r, lambda l: tx.strip(l) == "---"), True), lambda close: closed(t, r, close)))).otherwise(t)
+
+    lines = lambda t: F.split(F.regexp_replace(F.regexp_replace(t, LINE_BREAKS, "\n"), "\n\\z", ""), "\n")
+    return tx.let(F.coalesce(text, F.lit("")), lambda t: F.when(
+        F.contains(t, F.lit("---")), tx.let(lines(t), lambda x: opened(t, x))).otherwise(t))
 
 
 def markdown_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -194,7 +206,7 @@ def classify_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     d = docs.select(F.col(id_col).alias("doc_id"), _normalized(F.col(text_col)).alias("t"))
     d = d.select("doc_id", F.split("t", "\n", -1).alias("ls"), mf.fold(F.col("t"), trace=True).getField("trace").alias("tr"))
-    return d.select("doc_id", F.posexplode(F.arrays_zip("ls", "tr")).alias("ln", "x")).select(
+    return d.select("doc_id", F.posexplode_outer(F.arrays_zip("ls", "tr")).alias("ln", "x")).where("x is not null").select(
         "doc_id", "ln", F.col("x.ls").alias("line"), F.col("x.tr.kind").alias("kind"), F.col("x.tr.block_no").alias("block_no"),
         F.col("x.tr.start").alias("block_start"))
 

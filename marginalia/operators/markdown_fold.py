@@ -86,32 +86,35 @@ def _tag(item: Column) -> Column:
 # -- a line -------------------------------------------------------------------------------------------------------
 
 def _line(line: Column) -> Column:
-    return F.struct(line.alias("line"), F.regexp_extract_all(line, F.lit(_MARK_RE), 0).alias("marks"))
+    marks = F.when(F.contains(line, F.lit(">")), F.regexp_extract_all(line, F.lit(_MARK_RE), 0)).otherwise(_none("array<string>"))
+    return F.struct(line.alias("line"), marks.alias("marks"))
 
 
 def _inside(line: Column, level: Column) -> Column:
     """The line within so many quotes."""
     marks = F.array_join(_first(line.getField("marks"), level), "")
-    return F.substring(line.getField("line"), F.length(marks) + 1, F.length(line.getField("line")))
+    rest = F.substring(line.getField("line"), F.length(marks) + 1, F.length(line.getField("line")))
+    return F.when(level == 0, line.getField("line")).otherwise(rest)
 
 
 def _facts(e: Column, level: Column) -> Column:
-    """What a line is within ``level`` quotes, whatever is open."""
-    def of(t: Column) -> Column:
-        s = tx.strip(t)
+    """What a line is within ``level`` quotes, whatever is open. Its text, stripped too, is bound: every fact reads it."""
+    def of(t: Column, s: Column, item: Column) -> Column:
+        rule = (s.startswith("-") | s.startswith("*") | s.startswith("_")) & s.rlike(HR_RE)
         return F.struct(
-            t.alias("t"), s.alias("s"), (F.length(t) - F.length(F.ltrim(t, F.lit(" ")))).alias("indent"),
-            t.rlike(LIST_ITEM_RE).alias("item"), F.regexp_extract(t, LIST_ITEM_RE, 2).endswith(".").alias("ordered"),
-            tx.strip(F.regexp_extract(t, LIST_ITEM_RE, 3)).alias("said"), s.rlike(HEADING_RE).alias("heading"),
-            s.rlike(HR_RE).alias("rule"), s.startswith("```").alias("fence"), _is_table(e, level).alias("table"),
-            (F.size(e.getField("this").getField("marks")) > level).alias("quote"))
-    return of(_inside(e.getField("this"), level))
+            t.alias("t"), s.alias("s"), (F.length(t) - F.length(F.ltrim(t, F.lit(" ")))).alias("indent"), item.alias("item"),
+            (item & F.regexp_extract(t, LIST_ITEM_RE, 2).endswith(".")).alias("ordered"),
+            F.when(item, tx.strip(F.regexp_extract(t, LIST_ITEM_RE, 3))).otherwise("").alias("said"),
+            (s.startswith("#") & s.rlike(HEADING_RE)).alias("heading"), rule.alias("rule"), s.startswith("```").alias("fence"),
+            _is_table(e, level, t).alias("table"), (F.size(e.getField("this").getField("marks")) > level).alias("quote"))
+    return _let(_inside(e.getField("this"), level), lambda t: _let(tx.strip(t), lambda s: _let(
+        t.rlike(LIST_ITEM_RE), lambda item: of(t, s, item))))
 
 
-def _is_table(e: Column, level: Column) -> Column:
-    """A pipe, and a separator in the same quotes next."""
+def _is_table(e: Column, level: Column, t: Column | None = None) -> Column:
+    """A pipe, and a separator in the same quotes next; ``t``: the line within them, if it is known."""
     after = e.getField("next")
-    return (F.contains(_inside(e.getField("this"), level), F.lit("|"))
+    return (F.contains(_inside(e.getField("this"), level) if t is None else t, F.lit("|"))
             & F.coalesce((F.size(after.getField("marks")) >= level)
                          & tx.strip(_inside(after, level)).rlike(TABLE_SEP_RE), F.lit(False)))
 
@@ -140,7 +143,8 @@ def _ended(s: Column, mermaid_macro: str | None) -> Column:
              .when(mode == "table", _piece("</tbody></table>"))
              .when(mode == "list", _piece(_backwards(s.getField("lists"), F.lit(0), _ends)))
              .otherwise(_none(f"array<{_PIECE}>")))
-    return _with(s, pieces=_added(s, piece), mode=F.lit(""), lines=_none("array<string>"), lists=_none(f"array<{_LIST}>"))
+    done = _with(s, pieces=_added(s, piece), mode=F.lit(""), lines=_none("array<string>"), lists=_none(f"array<{_LIST}>"))
+    return F.when(mode == "", s).otherwise(done)
 
 
 def _left(s: Column, level: Column) -> Column:
@@ -226,8 +230,11 @@ def _taken(s: Column, f: Column) -> Column:
 
 # -- a line that starts something ---------------------------------------------------------------------------------
 
-def _opened(s: Column, e: Column, level: Column) -> Column:
-    """The state after a line outside of any block within ``level`` quotes: quotes that it opens, then a block."""
+def _opened(s: Column, e: Column, level: Column, f: Column) -> Column:
+    """The state after a line outside of any block within ``level`` quotes: quotes that it opens, then a block.
+
+    ``f``: what the line is within these quotes, read again only if it opens more.
+    """
     this = e.getField("this")
     n_marks = F.size(this.getField("marks"))
 
@@ -238,9 +245,8 @@ def _opened(s: Column, e: Column, level: Column) -> Column:
     stop = F.array_min(F.filter(F.sequence(level, F.greatest(n_marks, level)), lambda x: (x >= n_marks) | _is_table(e, x) | (
         (x > level) & title(x).rlike(CALLOUT_RE))))
 
-    def at(upto: Column) -> Column:
+    def deeper(upto: Column, said: Column) -> Column:
         n = upto - level
-        said = title(upto)
         callout = (n > 0) & said.rlike(CALLOUT_RE)
         name = F.lower(F.regexp_extract(said, CALLOUT_RE, 1))
         text = tx.strip(F.regexp_extract(said, CALLOUT_RE, 2))
@@ -253,9 +259,10 @@ def _opened(s: Column, e: Column, level: Column) -> Column:
         ends = F.concat(F.array_repeat(F.lit(_QUOTE_END), n - callout.cast("int")),
                         F.when(callout, F.array(F.lit(_CALLOUT_END))).otherwise(_none("array<string>")))
         q = F.when(n > 0, _with(s, pieces=_added(s, _piece(head)), quotes=F.concat(s.getField("quotes"), ends))).otherwise(s)
-        return _let(q, lambda q: _let(_facts(e, upto), lambda f: F.when(callout, q).otherwise(_block(q, f))))
+        return _let(q, lambda q: F.when(callout, q).otherwise(_let(_facts(e, upto), lambda f: _block(q, f))))
 
-    return _let(stop, at)
+    return F.when(n_marks <= level, _block(s, f)).otherwise(_let(stop, lambda upto: F.when(upto == level, _block(s, f)).otherwise(
+        _let(title(upto), lambda said: deeper(upto, said)))))
 
 
 def _block(s: Column, f: Column) -> Column:
@@ -301,19 +308,17 @@ def fold(text: Column, mermaid_macro: str | None = None, trace: bool = False) ->
                        for f, t in _STATE.items()])
 
     def step(s: Column, e: Column) -> Column:
-        level = F.least(F.size(s.getField("quotes")), F.size(e.getField("this").getField("marks")))
-
-        def read(f: Column) -> Column:
-            lv = F.least(F.size(s.getField("quotes")), F.size(e.getField("this").getField("marks")))
-            on = (lv == F.size(s.getField("quotes"))) & _goes_on(s, f)
+        def read(level: Column, f: Column) -> Column:
+            on = (level == F.size(s.getField("quotes"))) & _goes_on(s, f)
 
             def act(on: Column) -> Column:
-                begun = _let(_ended(s, mermaid_macro), lambda x: _let(_left(x, lv), lambda y: _let(
-                    lv, lambda at: _opened(y, e, at))))
+                begun = _let(_ended(s, mermaid_macro), lambda x: _let(_left(x, level), lambda y: _opened(y, e, level, f)))
                 after = F.when(on, _taken(s, f)).otherwise(begun)
                 return _let(after, lambda x: _traced(s, x, f, on)) if trace else after
             return _let(on, act)
-        return _let(_facts(e, level), read)
+
+        held = F.least(F.size(s.getField("quotes")), F.size(e.getField("this").getField("marks")))
+        return _let(held, lambda level: _let(_facts(e, level), lambda f: read(level, f)))
 
     def finish(s: Column) -> Column:
         return _let(_ended(s, mermaid_macro), lambda x: _left(x, F.lit(0)))
