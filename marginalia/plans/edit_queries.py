@@ -87,6 +87,11 @@ def batch_edits(orders: DataFrame) -> DataFrame:
                          F.concat(F.lit(" S"), (k % 6).cast("string"), F.lit("  ")).alias("heading"), new.alias("replacement_html"))
 
 
+def _batches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return se.replace_sections_folded(batch_pages(dt.table(spark, sf, "customer")),
+                                      batch_edits(spread(dt.table(spark, sf, "orders"))))
+
+
 _BATCH = """WITH o AS (
   SELECT o_orderkey AS k, o_custkey // 10 AS page, o_orderkey % 6 AS j,
     CASE WHEN (o_custkey // 10) % 17 = 16 THEN 'malformed' WHEN o_orderkey % 6 = 5 THEN 'not_found'
@@ -103,7 +108,7 @@ SELECT k AS seq, CAST(page AS VARCHAR) AS page_id, status,
     ELSE '<p>order ' || CAST(prev AS VARCHAR) || '</p>' END AS old_section_html FROM g""")
 def q_section_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Results of some hundred edits a page, folded in order."""
-    results, _ = se.replace_sections_folded(batch_pages(dt.table(spark, sf, "customer")), batch_edits(dt.table(spark, sf, "orders")))
+    results, _ = _batches(spark, sf)
     return results.select("seq", "page_id", "status", "error", "matched_heading", "old_section_html")
 
 
@@ -119,5 +124,5 @@ SELECT CAST(c.page AS VARCHAR) AS page_id, '<h1>Page ' || CAST(c.page AS VARCHAR
   || CASE WHEN c.page % 17 = 16 THEN '<br>' ELSE '' END AS body FROM c LEFT JOIN n ON c.page = n.page""")
 def q_section_batch_bodies(spark: SparkSession, sf: str) -> DataFrame:
     """The pages after all their edits."""
-    _, bodies = se.replace_sections_folded(batch_pages(dt.table(spark, sf, "customer")), batch_edits(dt.table(spark, sf, "orders")))
+    _, bodies = _batches(spark, sf)
     return bodies
