@@ -1,5 +1,9 @@
 """Pages: summaries, tree, freshness, sections, change sets, batches."""
 
+import collections
+import hashlib
+import os
+
 from pyspark.sql import functions as F
 
 from marginalia.operators import changes as ch
@@ -52,6 +56,50 @@ def test_deep_chain_takes_log_rounds(spark):
     assert len(depth) == 5002 and all(depth[str(k)] == k for k in range(1, 5001)) and (depth["a"], depth["b"]) == (5001, 5002)
 
 
+def _stored(spark) -> int:
+    from marginalia.session import ensure_checkpoint_dir
+    top = ensure_checkpoint_dir(spark).removeprefix("file:")
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(top) for f in files)
+
+
+def test_deep_paths_are_not_stored(spark):
+    """The paths of a chain of 3,000 pages are 25 MB of text; less than 1 kB a page is written for them, and no join or sort has them."""
+    n = 3000
+    nodes = spark.range(n).selectExpr("cast(id as string) id", "'page' || id title", "cast(null as string) webui_url")
+    edges = spark.range(1, n).selectExpr("cast(id - 1 as string) parent_id", "id ordinal", "cast(id as string) id")
+    before = _stored(spark)
+    t = tr.export_tree(nodes, edges, "0", "out").select("page_id", "depth", "parent_page_id", F.md5("output_file").alias("digest"))
+    got = {r.page_id: (r.depth, r.parent_page_id, r.digest) for r in t.collect()}
+    assert _stored(spark) - before < 1000 * n
+    path, want = "out", {}
+    for k in range(n):
+        path += f"/page{k}"
+        want[str(k)] = (k, str(k - 1) if k else None, hashlib.md5(f"{path}/index.md".encode()).hexdigest())
+    assert got == want
+
+
+def test_ways_in_pieces_are_all_simple_ways(spark, monkeypatch):
+    """Pages with several parents, rings through and beside posts, pages and edges that come twice: the ways a plain walk finds."""
+    monkeypatch.setattr(tr, "POST_EVERY", 2)
+    monkeypatch.setattr(tr, "POSTS_PER_BLOCK", 2)
+    links = [(k - 1, k, k) for k in range(1, 60)] + [(k, k + 100, k + 2) for k in range(3, 50, 9)]
+    links += [(20, 200, 14), (41, 200, 33), (59, 1, 58), (30, 7, 30), (70, 1, 71), (71, 1, 70), (72, 1, 73), (45, 9, 0), (11, 11, 12)]
+    ids = [*range(60), 70, 71, 72, 73, 25]
+    nodes = spark.createDataFrame([(str(k), f"p{k % 50}", f"u{i}") for i, k in enumerate(ids)], "id string, title string, webui_url string")
+    edges = spark.createDataFrame([(str(a), o, str(b)) for a, o, b in links] + [(None, 1, "5"), ("5", 1, None), ("5", 1, "lost")],
+                                  "parent_id string, ordinal long, id string")
+    want, todo = collections.Counter(), [((0,), (0,), 1)]
+    while todo:
+        way, key, times = todo.pop()
+        path = "/".join(["out", *(f"p{k % 50}" for k in way), "index.md"])
+        for i in (i for i, k in enumerate(ids) if k == way[-1]):
+            want[str(way[-1]), len(way) - 1, str(way[-2]) if len(way) > 1 else None, key, path, f"u{i}"] += times
+        todo += [((*way, b), (*key, o), times * ids.count(b)) for a, o, b in links if a == way[-1] and b not in way]
+    t = tr.export_tree(nodes, edges, "0", "out")
+    got = collections.Counter((r.page_id, r.depth, r.parent_page_id, tuple(r.order_key), r.output_file, r.source_url) for r in t.collect())
+    assert got == want and want.total() > 1000
+
+
 def test_freshness_rules(spark):
     meta = spark.createDataFrame([(f"f{i}", str(i), lv, None, "t", None) for i, lv in enumerate([7, 8, 9, None, 7])],
                                  "path string, page_id string, local_version long, source_url string, title string,"
