@@ -3,13 +3,16 @@
 A document's set holds the hashes of its distinct word shingles. Equal sets
 form a class; only classes are compared.
 
-1. Shingles are ordered from rare to frequent by a count sketch of the whole
-   table (one bounded array). Two sets that reach the similarity share at least l
-   shingles among the first ``n - ceil(t n) + l`` of each, so only those are
-   posted; l grows with the set, and the lesser l of two sets holds for both.
-2. Classes that share l short lists, or stand next to each other by size in a
-   long one, are joined into blobs: every link lies within one. Sizes that rule
-   out the similarity are left out on the way.
+1. The range of the hashes is cut into k parts. Two sets that reach the
+   similarity differ in at most h shingles, so in at most h parts; of the parts
+   that are equal, the first in any order of contents is among the first h + 1
+   of both sets. So a set posts a signature for each of its first h + 1 parts,
+   those with the rarest shingles by a count sketch of the whole table (one
+   bounded array), then those with the most. A signature holds several shingles:
+   unlike a single shingle's its list doesn't grow with the table.
+2. Classes that stand next to each other by size in a list are joined into
+   blobs: every link lies within one. Sizes that rule out the similarity are
+   left out on the way.
 3. Blobs are dealt out in cells of bounded size; a task gets one cell or two.
    It searches each set against an inverted index of its cell: short lists are
    heap-merged, long ones binary-probed (DivideSkip), and sets that reach the
@@ -22,7 +25,6 @@ from __future__ import annotations
 import heapq
 import itertools
 import math
-import re
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -32,48 +34,47 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Remembered, _arrow_schema, held, materialize, rows
+from .common import _arrow_schema, held, materialize, rows
 from .graph import Union, connected_components
 
 SKETCH_BITS = 20
-# A list is salted when its shingle is so many times as frequent as the sketch's mean.
+# A list is salted when its rarest shingle is so many times as frequent as the sketch's mean.
 HEAVY, SALTS = 16, 32
-# Lists of up to so many classes count each of their pairs; longer ones are chained by size.
-SHORT_LIST = 16
-# A set posts this share of its shingles beyond the least prefix, and so many more have to be shared.
-SHARED = 40
+# So many keys at most are sent to all tasks; by more of them rows are shuffled.
+KEYS_SENT = 1 << 20
 # A cell holds at most about so many shingles and sets.
 CELL_SHINGLES, CELL_SETS = 1 << 18, 256
 # Weight of DivideSkip's choice of how many lists are long.
 MU = 0.002
 
-_WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _mixed(code: np.ndarray) -> np.ndarray:
+    code = (code ^ code >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return code ^ code >> np.uint64(32)
+
+
 class Shingler:
     """Sorted distinct shingle hashes of a text, over words of A-Z lower-cased bytes."""
 
     def __init__(self, size: int):
         self.size = size
-        self.words = Remembered(xxhash.xxh3_64_intdigest, 100_000)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = _WORD.findall(text.encode("utf-8", "surrogatepass").lower()) if text else []
+        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []  # at blanks of ASCII only
         if not words:
             return np.zeros(0, np.uint64)
         if len(words) < self.size:
             # the whole sequence is one shingle, apart from all shingles of full size
             return np.array([xxhash.xxh3_64_intdigest(b"\x20".join(words), seed=len(words))], np.uint64)
-        h = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         n = len(words) - self.size + 1
         code = h[:n].copy()
         for k in range(1, self.size):
             code = code * _P + h[k:n + k]
-        code ^= code >> np.uint64(29)
-        code *= np.uint64(0xBF58476D1CE4E5B9)
-        code ^= code >> np.uint64(32)
-        return np.unique(code)
+        code = np.sort(_mixed(code))
+        return code[np.concatenate([[True], code[1:] != code[:-1]])]
 
 
 def shingler_of(size: int) -> Shingler:
@@ -130,36 +131,62 @@ def frequency_levels(docs: DataFrame, size: int) -> tuple[np.ndarray, int]:
     return level(counts).astype(np.uint8), heavy
 
 
-def shared_least(n):
-    """l: how many posted shingles a set of n shares with any set that reaches the similarity; number or column."""
-    return 1 + n // SHARED if isinstance(n, int) else 1 + F.floor(n / SHARED)
+def most_apart(n: int, percent: int) -> int:
+    """h: in how many shingles a set of n differs at most from any set that reaches the similarity."""
+    return n * (100 - percent) // percent
+
 
+def part_bits(n: int, percent: int) -> int:
+    """The logarithm of the number of parts for sets of n; it grows by two, so that sets of most sizes have one number."""
+    least = 5 * (most_apart(n, percent) + 1) // 4 + 6
+    bits = (least - 1).bit_length()
+    return bits + bits % 2
 
-def prefix_length(n: int, percent: int) -> int:
-    return min(n, n - -(-percent * n // 100) + shared_least(n))
+
+def signatures(own: np.ndarray, level: np.ndarray, percent: int) -> np.ndarray:
+    """What a set posts: the level of a part's rarest shingle leads, 56 bits name the part and all shingles in it.
+
+    ``own``: sorted hashes, ``level``: their levels. Two sets use the number of parts of the smaller one, so a set near
+    a step of that number posts for both. The order of parts rests on what they hold, so it is the same in all sets.
+    """
+    n, apart = len(own), most_apart(len(own), percent)
+    if not apart:  # only an equal set reaches the similarity
+        return np.zeros(0, np.int64)
+    posted = []
+    for bits in range(part_bits(-(-percent * n // 100), percent), part_bits(n, percent) + 1, 2):
+        part = own >> np.uint64(64 - bits)
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        name = _mixed(np.add.reduceat(own, first) + _P * (part[first] * np.uint64(64) + np.uint64(bits)))
+        rarest = np.minimum.reduceat(level, first)
+        held = np.minimum(np.add.reduceat(np.uint64(128) - level, first), np.uint64(4095))
+        asked = min(1 << bits, apart + 1)
+        rank = ((np.uint64(127) - rarest) >> np.uint64(3)) << np.uint64(60) | held << np.uint64(48) | name >> np.uint64(16)
+        kept = np.argsort(rank, kind="stable")[-asked:]
+        posted.append(rarest[kept] << np.uint64(56) | name[kept] >> np.uint64(8))
+        if len(first) < asked:  # empty parts come last
+            empty = np.setdiff1d(np.arange(min(1 << bits, asked + len(first)), dtype=np.uint64), part[first])[:asked - len(first)]
+            posted.append(np.uint64(127 << 56) | _mixed(_P * (empty * np.uint64(64) + np.uint64(bits))) >> np.uint64(8))
+    return np.concatenate(posted).astype(np.int64)
 
 
 def shingle_table(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(doc_id, key, n, cls, prefix) of every row; cls is null and prefix empty for an empty set."""
+    """(doc_id, key, n, cls, posts) of every row; cls is null and posts empty for an empty set."""
     slim = _texts(docs)
-    schema = f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, key long, n long, cls long, prefix array<long>"
+    schema = f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, key long, n long, cls long, posts array<long>"
     spark = docs.sparkSession
     arrow, shared = _arrow_schema(spark, schema), spark.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, level = shingler_of(size), shared.value.astype(np.uint64)
         for part in rows(batches):
-            ns, classes, prefixes = [], [], []
+            ns, classes, posts = [], [], []
             for text in part["text"]:
                 own = shingler(text)
                 ns.append(len(own))
                 classes.append(set_class(own) if len(own) else None)
-                # rare first: the level leads, the hash decides among equals
-                order = level[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] << np.uint64(56) | own >> np.uint64(8)
-                p = prefix_length(len(own), percent) if len(own) else 0
-                prefixes.append((np.partition(order, p - 1)[:p] if p else order).astype(np.int64))
+                posts.append(signatures(own, level[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], percent))
             yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], "key": part["key"], "n": ns, "cls": classes,
-                                              "prefix": prefixes}, schema=arrow)
+                                              "posts": posts}, schema=arrow)
 
     return slim.mapInArrow(run, schema)
 
@@ -167,26 +194,15 @@ def shingle_table(docs: DataFrame, levels: np.ndarray, size: int, percent: int)
 def candidate_chains(classes: DataFrame, heavy: int, percent: int) -> DataFrame:
     """(u, v) pairs of classes whose components hold every pair that reaches the similarity.
 
-    A list of a heavy shingle is dealt over ``SALTS`` lists; the least class of each size band of
+    A list of heavy shingles only is dealt over ``SALTS`` lists; the least class of each size band of
     each of them is chained in a second, small list.
     """
     is_heavy = F.shiftright("s", 56) >= heavy
     salt = F.when(is_heavy, F.pmod("cls", F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
-    posted = classes.select(F.explode("prefix").alias("s"), "cls", "n").withColumn("salt", salt)
-    one = Window.partitionBy("s", "salt")
-    by_size = one.orderBy("n", "cls")
-    several = posted.withColumn("c", F.count(F.lit(1)).over(one)).where("c > 1")
-    before = F.collect_list(F.struct("cls", "n")).over(by_size.rowsBetween(1 - SHORT_LIST, -1))
-    long_list = (F.col("c") > SHORT_LIST) | is_heavy
-    near = F.when(long_list, F.slice("before", -1, 1)).otherwise(F.col("before"))
-    pairs = (several.withColumn("before", before).where(F.size("before") > 0)
-             .select("cls", "n", long_list.alias("chain"), F.explode(near).alias("b"))
-             .where(F.col("b.n") * 100 >= F.col("n") * percent))
-    # the smaller set's l holds for both; standing together in a long list is enough
-    weighed = pairs.select(F.col("b.cls").alias("u"), F.col("cls").alias("v"), shared_least(F.col("b.n")).alias("least"),
-                           F.when(F.col("chain"), F.lit(1 << 40)).otherwise(F.lit(1)).alias("w"))
-    own = (weighed.groupBy("u", "v").agg(F.sum("w").alias("w"), F.min("least").alias("least"))
-           .where(F.col("w") >= F.col("least")).select("u", "v"))
+    posted = classes.select(F.explode("posts").alias("s"), "cls", "n").withColumn("salt", salt)
+    by_size = Window.partitionBy("s", "salt").orderBy("n", "cls")
+    own = (posted.withColumns({"u": F.lag("cls").over(by_size), "b": F.lag("n").over(by_size)})
+           .where(F.col("b") * 100 >= F.col("n") * percent).select("u", F.col("cls").alias("v")))
     # bands narrower than the size ratio: compatible sizes are at most two bands apart
     narrow = 0.5 * (1 + percent / 100) if percent < 90 else percent / 100 + 0.02
     reach = math.ceil(math.log(percent / 100) / math.log(narrow))
@@ -279,9 +295,33 @@ def search(sets: list[np.ndarray], sides: list[int], percent: int) -> Iterator[t
                 yield order[c], order[q]
 
 
+def few(keys: DataFrame, kind: str) -> tuple[DataFrame, bool]:
+    """The keys, written, and whether they are few enough to be sent to all tasks."""
+    keys = materialize(keys, kind)
+    return keys, keys.count() <= KEYS_SENT
+
+
+def one_each(df: DataFrame, kept: DataFrame, counts: DataFrame, by: list[str]) -> DataFrame:
+    """One row of ``df`` for each of the distinct keys ``kept``; ``counts``: the keys of all its rows and their number ``c``.
+
+    If the keys left out or repeated are few, the other rows stay where they are.
+    """
+    odd, sent = few(counts.join(kept.select(*by, F.lit(True).alias("again")), by, "left").where("again is null or c > 1")
+                    .select(*by, "again"), "odd-keys")
+    if not sent:
+        return df.join(kept, by, "left_semi").dropDuplicates(by)
+    rest, again = df.join(F.broadcast(odd.drop("again")), by, "left_anti"), odd.where("again").drop("again")
+    if again.isEmpty():
+        return rest
+    return rest.unionByName(df.join(F.broadcast(again), by, "left_semi").dropDuplicates(by))
+
+
 def verified_links(docs: DataFrame, tasks: DataFrame, size: int, percent: int) -> DataFrame:
     """(u, v) classes linked by the search tasks; a task's sets are made from the whole texts again."""
     texts = _texts(docs).select("key", "text")
+    keys, sent = few(tasks.select("key").distinct(), "task-keys")
+    if sent:  # texts outside of blobs aren't shuffled
+        texts = texts.join(F.broadcast(keys), "key", "left_semi")
     dealt = (tasks.join(texts, "key").select("task", "side", "cls", "text")
              .repartition("task").sortWithinPartitions("task"))
     arrow = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -323,18 +363,23 @@ def jaccard_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
     """
     levels, heavy = frequency_levels(docs, size)
     table = materialize(shingle_table(docs, levels, size, percent), "shingles")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("f")
-    classes = materialize(table.where("n > 0").groupBy("cls").agg(first, F.min("n").alias("n")).select(
+    # rows of one key are repeated rows, apart from clashing hashes
+    own = materialize(table.where("n > 0").groupBy("cls", "key").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("d"), F.min("n").alias("n"),
+        F.count(F.lit(1)).alias("c")), "class-keys")
+    first = F.min(F.struct("d.none", "d.doc_id", "key")).alias("f")
+    classes = materialize(own.groupBy("cls").agg(first, F.min("n").alias("n")).select(
         "cls", F.col("f.doc_id").alias("rep"), F.col("f.key").alias("key"), "n"), "classes")
-    posting = table.join(classes.select("key", "cls"), ["key", "cls"], "left_semi").dropDuplicates(["key", "cls"])
+    posting = one_each(table.where("n > 0").select("cls", "key", "n", "posts"), classes.select("cls", "key"),
+                       own.select("cls", "key", "c"), ["cls", "key"])
     blobs = connected_components(candidate_chains(posting, heavy, percent))
-    tasks = blob_tasks(classes, blobs, percent)
+    tasks = materialize(blob_tasks(classes, blobs, percent), "tasks")
     links = connected_components(verified_links(docs, tasks, size, percent))
     roots = classes.select("cls", "rep").join(links.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
         "cls", "rep", F.coalesce("root", "cls").alias("grp"))
     least = roots.groupBy("grp").agg(F.min("rep").alias("component_id"))
     named = roots.join(least, "grp").select("cls", "grp", "component_id")
-    joined = table.drop("prefix").join(named, "cls", "left")
+    joined = table.drop("posts").join(named, "cls", "left")
     return joined.select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("grp", "key").alias("grp"),
                          F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
