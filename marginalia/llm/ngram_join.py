@@ -389,8 +389,8 @@ def keep_one(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
 
     Rows without a set stay, one for repeated rows.
     """
-    groups = jaccard_groups(docs, size, percent)
+    groups = materialize(jaccard_groups(docs, size, percent).select("doc_id", "key", "grp"), "groups")
     first = groups.groupBy("grp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("f"))
     keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
-    kept = keyed.join(first.select(F.col("f.key").alias("__key")).distinct(), "__key", "left_semi")
-    return kept.dropDuplicates(["__key"]).select(*docs.columns)
+    counts = groups.groupBy(F.col("key").alias("__key")).agg(F.count(F.lit(1)).alias("c"))
+    return one_each(keyed, first.select(F.col("f.key").alias("__key")).distinct(), counts, ["__key"]).select(*docs.columns)

@@ -46,3 +46,18 @@ def test_a_common_phrase_joins_nothing(make_docs):
     docs = make_docs([phrase + " " + " ".join(f"w{r.randint(0, 10**6)}" for _ in range(60)) for _ in range(400)])
     classes, heavy = posted(docs, 3, 90)
     assert nj.candidate_chains(classes, heavy, 90).count() < 100
+
+
+def test_texts_that_stay_are_not_shuffled(make_docs, monkeypatch):
+    texts, plan = near_copies(), lambda df: df._jdf.queryExecution().toString()
+    assert "Exchange hashpartitioning" not in plan(nj.keep_one(make_docs(texts)))
+    wanted = sorted({c for _, c in brute(texts, 3, 90).values()})
+    monkeypatch.setattr(nj, "KEYS_SENT", 0)
+    assert sorted(r["doc_id"] for r in nj.keep_one(make_docs(texts)).collect()) == wanted
+
+
+def test_repeated_rows_stay_once(make_docs):
+    texts, ids = ["a b c d e", "a b c d e", "a b c d e", "", "", "x y", None, None], [4, 4, 3, 7, 7, 8, 9, 9]
+    kept = nj.keep_one(make_docs(texts, ids=ids)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept if r["text"] is not None) == [(3, "a b c d e"), (7, ""), (8, "x y")]
+    assert [r["doc_id"] for r in kept if r["text"] is None] == [9]
